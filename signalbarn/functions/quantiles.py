@@ -1,10 +1,10 @@
 """Exact discrete quantiles of whole-number values per group, safe for hot groups.
 
 The built-in `percentile_disc` keeps all distinct values of a group in one
-task. Here equal values are counted first, the counts are summed into coarse
-value ranges (a few thousand per group, whatever its size), the range holding
-each rank is found on these sums, and only the values of that one range are
-ordered. The answer is the one `percentile_disc` gives.
+task. Here rows are counted in coarse value ranges (a few thousand per group,
+whatever its size), the range holding each rank is found on these counts, and
+only the distinct values of that one range are ordered. The answer is the one
+`percentile_disc` gives.
 """
 
 from __future__ import annotations
@@ -45,42 +45,39 @@ def exact_quantiles(
     the same scan and shuffles.
     """
     extra = extra or {}
-    counted = (
-        df.groupBy(*by, value)
-        .agg(F.count(value).alias("_n"), *[p.alias(n) for n, (p, _) in extra.items()])
-        .withColumn("_range", value_range(F.col(value)))
-    )
+    # NULL values form a range of their own below all others, with no weight.
+    ranged = df.withColumn("_range", F.coalesce(value_range(F.col(value)), F.lit(-1)))
 
-    ranges = counted.groupBy(*by, "_range").agg(
-        F.sum("_n").alias("_n"), *[m.alias(n) for n, (_, m) in extra.items()]
+    # Coarse counts: a few thousand rows per group, combined on the map side.
+    ranges = ranged.groupBy(*by, "_range").agg(
+        F.count(value).alias("_n"), *[p.alias(n) for n, (p, _) in extra.items()]
     )
     group = Window.partitionBy(*by)
-    ordered = group.orderBy("_range")
-    placed = ranges.withColumn("_upto", F.sum("_n").over(ordered)).withColumn(
-        "_all", F.sum("_n").over(group)
+    placed = ranges.withColumns(
+        {
+            "_upto": F.sum("_n").over(group.orderBy("_range")),
+            "_all": F.sum("_n").over(group),
+        }
     )
 
     def rank(q: str) -> Column:
         exact = F.ceil(F.lit(q).cast("decimal(10,9)") * F.col("_all").cast("decimal(20,0)"))
         return F.greatest(exact.cast("bigint"), F.lit(1))
 
-    # Per group: the range holding each rank, and the rank inside that range.
-    targets = {
-        name: F.min(
-            F.when(
-                F.col("_upto") >= rank(q),
-                F.struct(
-                    F.col("_range").alias("range"),
-                    (rank(q) - (F.col("_upto") - F.col("_n"))).alias("rank"),
-                ),
-            )
-        ).alias(f"_at_{name}")
-        for name, q in quantiles.items()
-    }
-    groups = placed.groupBy(*by).agg(*targets.values(), *[m.alias(n) for n, (_, m) in extra.items()])
+    def target(q: str) -> Column:
+        """The range that holds the rank, and the rank inside that range."""
+        inside = rank(q) - (F.col("_upto") - F.col("_n"))
+        hit = F.struct(F.col("_range").alias("range"), inside.alias("rank"))
+        nothing = F.struct(F.lit(-1).cast("bigint").alias("range"), F.lit(0).cast("bigint").alias("rank"))
+        return F.coalesce(F.min(F.when(F.col("_upto") >= rank(q), hit)), nothing)
 
+    groups = placed.groupBy(*by).agg(
+        *[target(q).alias(f"_at_{name}") for name, q in quantiles.items()],
+        *[m.alias(n) for n, (_, m) in extra.items()],
+    )
     wanted = groups.select(
         *by,
+        *extra,
         F.inline(
             F.array(
                 *[
@@ -94,25 +91,23 @@ def exact_quantiles(
             )
         ),
     )
-    inside = Window.partitionBy(*by, "_range", "_name").orderBy(value)
+
+    # Exact counts per value, of which only the wanted ranges are ordered.
+    counted = ranged.groupBy(*by, "_range", value).agg(F.count(value).alias("_n"))
     keys = [*by, "_range"]
-    narrowed = counted.select(*by, "_range", value, "_n").alias("c").join(
+    narrowed = counted.alias("c").join(
         wanted.alias("w"), [F.col(f"c.{k}").eqNullSafe(F.col(f"w.{k}")) for k in keys]
     )
-    picked = (
-        narrowed.select(*[F.col(f"c.{k}").alias(k) for k in keys], value, "_n", "_name", "_rank")
+    inside = Window.partitionBy(*keys, "_name").orderBy(value)
+    return (
+        narrowed.select(
+            *[F.col(f"c.{k}").alias(k) for k in keys], value, "_n", "_name", "_rank", *extra
+        )
         .withColumn("_upto", F.sum("_n").over(inside))
         .filter(F.col("_upto") >= F.col("_rank"))
         .groupBy(*by)
-        .agg(*[F.min(F.when(F.col("_name") == n, F.col(value))).alias(n) for n in quantiles])
-    )
-    out = groups.alias("g").join(
-        picked.alias("p"),
-        [F.col(f"g.{k}").eqNullSafe(F.col(f"p.{k}")) for k in by],
-        "left",
-    )
-    return out.select(
-        *[F.col(f"g.{k}").alias(k) for k in by],
-        *[F.col(f"g.{n}").alias(n) for n in extra],
-        *[F.col(f"p.{n}").alias(n) for n in quantiles],
+        .agg(
+            *[F.max(n).alias(n) for n in extra],
+            *[F.min(F.when(F.col("_name") == n, F.col(value))).alias(n) for n in quantiles],
+        )
     )

@@ -5,15 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from signalbarn.functions.columns import nonempty
-
 
 def with_ids(trace: str = "TraceId", span: str = "SpanId") -> Column:
-    return nonempty(trace) & nonempty(span)
+    """Both ids are there. Plain comparisons, so that they reach the Parquet scan."""
+    return (F.col(trace) != "") & (F.col(span) != "")
+
 
+def id_key(span: str = "SpanId") -> Column:
+    """Join key of a row that is known to have ids."""
+    return F.concat(F.lit("s"), F.col(span))
 
-def id_key(trace: str = "TraceId", span: str = "SpanId") -> Column:
-    """Span id as a join key; rows without ids get keys that match nothing.
+
+def id_key_or_none(trace: str = "TraceId", span: str = "SpanId") -> Column:
+    """Join key of a row that may lack ids; without them it matches nothing.
 
     In a left or anti join, rows without ids must be kept although they cannot
     match. With their empty ids as the key they would all meet in one task, so
@@ -21,6 +25,7 @@ def id_key(trace: str = "TraceId", span: str = "SpanId") -> Column:
     two kinds of key apart.
     """
     other = F.xxhash64("TimestampNanos", "ServiceName", trace, span)
-    return F.when(with_ids(trace, span), F.concat(F.lit("s"), F.col(span))).otherwise(
+    return F.when(with_ids(trace, span), id_key(span)).otherwise(
         F.concat(F.lit("x"), other.cast("string"))
     )
+

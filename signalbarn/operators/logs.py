@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from signalbarn.functions.columns import has_token, in_day_range, in_time_range
-from signalbarn.operators.keys import id_key, with_ids
+from signalbarn.operators.keys import id_key, id_key_or_none, with_ids
 
 
 def by_span_id(logs: DataFrame, span_id: str) -> DataFrame:
@@ -74,7 +74,9 @@ def logs_with_spans(logs: DataFrame, spans: DataFrame, how: str = "inner") -> Da
         "StatusCode",
         "Duration",
     )
-    left = logs.filter(with_ids()) if how in ("inner", "left_semi") else logs
-    left = left.withColumn("_key", id_key())
+    if how in ("inner", "left_semi"):
+        left = logs.filter(with_ids()).withColumn("_key", id_key())
+    else:
+        left = logs.withColumn("_key", id_key_or_none())
     on = (F.col("TraceId") == F.col("_trace")) & (F.col("_key") == F.col("_span"))
     return left.join(right, on, how).drop("_trace", "_span", "_key")

@@ -17,7 +17,7 @@ from signalbarn.functions.columns import (
     nonempty,
 )
 from signalbarn.functions.quantiles import exact_quantiles
-from signalbarn.operators.keys import id_key, with_ids
+from signalbarn.operators.keys import id_key, id_key_or_none, with_ids
 
 # ---------------------------------------------------------------- filters
 
@@ -203,7 +203,7 @@ def parent_child(spans: DataFrame) -> DataFrame:
         F.col("ServiceName").alias("ParentService"),
         F.col("SpanName").alias("ParentName"),
     )
-    children = spans.withColumn("_key", id_key(span="ParentSpanId"))
+    children = spans.withColumn("_key", id_key_or_none(span="ParentSpanId"))
     on = (F.col("TraceId") == F.col("_trace")) & (F.col("_key") == F.col("_span"))
     return children.join(parents, on, "left").drop("_trace", "_span", "_key")
 

@@ -27,21 +27,24 @@ def table_schema(table: str) -> StructType:
     return StructType.fromDDL(f"{spec.ddl}, {spec.day} DATE")
 
 
-def layout_options(table: str, distinct_ids: int = 1_000_000) -> dict[str, str]:
+def layout_options(table: str, distinct_ids: int | None = None) -> dict[str, str]:
     """Parquet writer options: compression and Bloom filters on the id columns.
 
-    `distinct_ids` is the expected number of different ids per row group; the
-    filters shrink by themselves where a file holds fewer.
+    The filters size themselves to the ids a row group really holds, up to 4 MB.
+    With `distinct_ids` they have the fixed size for that many ids instead, which
+    is cheaper to write but wasteful in small files.
     """
     options = {"compression": "zstd"}
     bloom = TABLES[table].bloom
-    if bloom:
-        options["parquet.bloom.filter.adaptive.enabled"] = "true"
-        options["parquet.bloom.filter.max.bytes"] = str(4 * 1024 * 1024)
     for column, rate in bloom.items():
         options[f"parquet.bloom.filter.enabled#{column}"] = "true"
         options[f"parquet.bloom.filter.fpp#{column}"] = str(rate)
-        options[f"parquet.bloom.filter.expected.ndv#{column}"] = str(distinct_ids)
+        if distinct_ids is not None:
+            options[f"parquet.bloom.filter.expected.ndv#{column}"] = str(distinct_ids)
+    if bloom:
+        options["parquet.bloom.filter.max.bytes"] = str(4 * 1024 * 1024)
+        if distinct_ids is None:
+            options["parquet.bloom.filter.adaptive.enabled"] = "true"
     return options
 
 
