@@ -6,7 +6,6 @@ from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 NANOS_PER_SECOND = 1_000_000_000
 
@@ -30,17 +29,6 @@ def div(c: ColumnOrName, by: int) -> Column:
     return F.call_function("div", _col(c), F.lit(by).cast("bigint"))
 
 
-def long_text(c: ColumnOrName) -> Column:
-    """64-bit integers arrive as text; NULL when absent, empty or out of range."""
-    return _col(c).try_cast("bigint")
-
-
-def bad_long(c: ColumnOrName) -> Column:
-    """True for text that should be a 64-bit integer and is not one."""
-    c = _col(c)
-    return F.coalesce((F.trim(c) != "") & c.try_cast("bigint").isNull(), F.lit(False))
-
-
 def nanos_to_timestamp(c: ColumnOrName) -> Column:
     return F.timestamp_micros(div(c, 1000))
 
@@ -122,63 +110,100 @@ def attr_equals(m: ColumnOrName, key: str, value: str) -> Column:
     return attr(m, key) == F.lit(value)
 
 
-def series_key(m: ColumnOrName) -> Column:
+def series_key(m: str) -> Column:
     """Order-independent text of an attribute map."""
-    return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(_col(m)))))
+    return F.expr(sql_series_key(m))
+
+
+def any_value_text(v: str) -> Column:
+    """Text of one wire value of any kind; see `sql_value`."""
+    return F.expr(sql_value(v))
+
+
+def attrs_to_map(kvs: str) -> Column:
+    """Key/value list to a string map; a repeated key keeps its last value."""
+    return F.expr(sql_attrs(kvs))
+
+
+# ---------------------------------------------------------------- SQL text of longer expressions
+# The projections of nested batches are written as SQL text: each is one parse
+# instead of hundreds of calls into the JVM.
 
 
-def _plain_decimal(x: Column, scale: int) -> Column:
-    """A double's shortest digits, written without an exponent or trailing zeros."""
-    digits = x.cast("string").try_cast(f"decimal(38,{scale})").cast("string")
-    return F.regexp_replace(F.regexp_replace(digits, r"0+$", ""), r"\.$", "")
+def sql_text(c: str) -> str:
+    return f"coalesce({c}, '')"
 
 
-def double_text(c: ColumnOrName) -> Column:
+def sql_long(c: str) -> str:
+    """A 64-bit integer that arrives as text; absent reads as 0."""
+    return f"coalesce(try_cast({c} AS BIGINT), 0L)"
+
+
+def sql_bad_long(c: str) -> str:
+    """True for text that should be a 64-bit integer and is not one."""
+    return f"coalesce(trim({c}) <> '' AND try_cast({c} AS BIGINT) IS NULL, false)"
+
+
+def sql_timestamp(nanos: str) -> str:
+    return f"timestamp_micros(({nanos}) div 1000)"
+
+
+def sql_series_key(m: str) -> str:
+    return f"to_json(map_from_entries(array_sort(map_entries({m}))))"
+
+
+def sql_double_text(x: str) -> str:
     """Text of a double: plain digits from 1e-6 up to 1e21, exponent form outside."""
-    x = _col(c)
-    size = F.abs(x)
-    exponent = F.regexp_replace(
-        F.regexp_replace(x.cast("string"), r"\.0E", "E"), r"E(\d)", "E+$1"
+
+    def plain(scale: int) -> str:
+        digits = f"CAST(try_cast(CAST({x} AS STRING) AS DECIMAL(38,{scale})) AS STRING)"
+        return f"regexp_replace(regexp_replace({digits}, '0+$', ''), '[.]$', '')"
+
+    exponent = (
+        f"lower(regexp_replace(regexp_replace(CAST({x} AS STRING), '[.]0E', 'E'), "
+        "'E([0-9])', 'E+$1'))"
     )
     return (
-        F.when(F.isnan(x) | size.isin(float("inf")), x.cast("string"))
-        .when(size == 0, F.lit("0"))
-        .when((size >= 1e-3) & (size < 1e21), _plain_decimal(x, 17))
-        .when((size >= 1e-6) & (size < 1e-3), _plain_decimal(x, 30))
-        .otherwise(F.lower(exponent))
+        f"CASE WHEN {x} IS NULL THEN NULL "
+        f"WHEN isnan({x}) OR abs({x}) = double('Infinity') THEN CAST({x} AS STRING) "
+        f"WHEN {x} = 0 THEN '0' "
+        f"WHEN abs({x}) >= 1e-3D AND abs({x}) < 1e21D THEN {plain(17)} "
+        f"WHEN abs({x}) >= 1e-6D AND abs({x}) < 1e-3D THEN {plain(30)} "
+        f"ELSE {exponent} END"
     )
 
 
-def any_value_text(v: Column) -> Column:
+def sql_value(v: str) -> str:
     """Text of one wire value of any kind.
 
     Bytes stay base64; nested lists and maps become the JSON text of the wire value.
     """
 
-    def kind(name: str, as_type: str = "string") -> Column:
-        return F.try_variant_get(v, f"$.{name}", as_type)
-
-    return F.coalesce(
-        kind("stringValue"),
-        kind("intValue"),
-        double_text(kind("doubleValue").try_cast(DoubleType())),
-        kind("boolValue"),
-        kind("bytesValue"),
-        F.to_json(kind("arrayValue", "variant")),
-        F.to_json(kind("kvlistValue", "variant")),
-        F.lit(""),
+    def kind(name: str, as_type: str = "string") -> str:
+        return f"try_variant_get({v}, '$.{name}', '{as_type}')"
+
+    # A one-element array gives the number a name, so that it is read once.
+    number = f"try_cast({kind('doubleValue')} AS DOUBLE)"
+    number_text = f"transform(array({number}), num -> {sql_double_text('num')})[0]"
+    return (
+        f"coalesce({kind('stringValue')}, {kind('intValue')}, {number_text}, "
+        f"{kind('boolValue')}, {kind('bytesValue')}, "
+        f"to_json({kind('arrayValue', 'variant')}), to_json({kind('kvlistValue', 'variant')}), '')"
     )
 
 
-def attrs_to_map(kvs: ColumnOrName) -> Column:
-    """Key/value list to a string map; a repeated key keeps its last value."""
-    named = F.filter(_col(kvs), lambda kv: kv["key"].isNotNull())
-    entries = F.transform(
-        named,
-        lambda kv: F.struct(kv["key"].alias("key"), any_value_text(kv["value"]).alias("value")),
+def sql_attrs(kvs: str) -> str:
+    entry = f"named_struct('key', kv.key, 'value', {sql_value('kv.value')})"
+    return (
+        f"coalesce(map_from_entries(transform(filter({kvs}, kv -> kv.key IS NOT NULL), "
+        f"kv -> {entry})), CAST(map() AS MAP<STRING,STRING>))"
     )
-    empty = F.create_map().cast("map<string,string>")
-    return F.coalesce(F.map_from_entries(entries), empty)
+
+
+def sql_enum(code: str, names: dict[int, str]) -> str:
+    """Name of an enum code; an absent code is 0, an unknown one the empty string."""
+    cases = " ".join(f"WHEN {k} THEN '{name}'" for k, name in names.items())
+    return f"CASE coalesce({code}, 0) {cases} ELSE '' END"
 
 
 # ---------------------------------------------------------------- ids, tokens, enums
@@ -211,9 +236,3 @@ def has_token(body: ColumnOrName, token: str) -> Column:
 # Enum names of the data model.
 SPAN_KINDS = {0: "Unspecified", 1: "Internal", 2: "Server", 3: "Client", 4: "Producer", 5: "Consumer"}
 STATUS_CODES = {0: "Unset", 1: "Ok", 2: "Error"}
-
-
-def enum_name(c: ColumnOrName, names: dict[int, str], default: str) -> Column:
-    code = F.coalesce(_col(c), F.lit(0))
-    pairs = [x for k, name in names.items() for x in (F.lit(k), F.lit(name))]
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), code), F.lit(default))

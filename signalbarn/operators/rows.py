@@ -1,4 +1,8 @@
-"""Projections from flattened batch records to stored rows, details and rejects."""
+"""Projections from flattened batch records to stored rows, details and rejects.
+
+Each projection is a mapping from column to SQL text. Later entries may use
+earlier columns.
+"""
 
 from __future__ import annotations
 
@@ -9,19 +13,19 @@ from pyspark.sql.types import StructType
 from signalbarn.functions.columns import (
     SPAN_KINDS,
     STATUS_CODES,
-    any_value_text,
     attr,
-    attrs_to_map,
-    bad_long,
-    enum_name,
-    long_text,
-    nanos_to_timestamp,
-    series_key,
-    text,
+    sql_attrs,
+    sql_bad_long,
+    sql_enum,
+    sql_long,
+    sql_series_key,
+    sql_text,
+    sql_timestamp,
+    sql_value,
 )
 from signalbarn.schemas import METRIC_TABLES, TABLES
 
-# Metric kind: column of the wire struct -> stored table, and the type's name.
+# Wire struct of each metric kind -> stored table and type name.
 # The five metric type names of the data model.
 METRIC_KINDS = {
     "gauge": ("gauge", "Gauge"),
@@ -32,35 +36,26 @@ METRIC_KINDS = {
 }
 
 
-def _conform(df: DataFrame, table: str) -> DataFrame:
-    """Columns of the table's schema, in order and with its types."""
-    wanted = StructType.fromDDL(TABLES[table].ddl)
-    return df.select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted.fields]
+def _project(df: DataFrame, table: str, columns: dict[str, str]) -> DataFrame:
+    """Evaluate the projection, then keep the table's columns in order and type."""
+    wanted = StructType.fromDDL(TABLES[table].ddl).fields
+    return df.selectExpr(*[f"{sql} AS {name}" for name, sql in columns.items()]).selectExpr(
+        *[f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in wanted]
     )
 
 
-def _zero(c: str) -> Column:
-    return F.coalesce(F.col(c).cast("bigint"), F.lit(0).cast("bigint"))
-
-
-def _nanos(c: Column | str) -> Column:
-    return F.coalesce(long_text(c), F.lit(0).cast("bigint"))
-
-
-def _context(df: DataFrame) -> DataFrame:
-    """Resource and scope columns shared by all signals."""
-    return df.withColumns(
-        {
-            "ResourceAttributes": attrs_to_map("resource.attributes"),
-            "ResourceSchemaUrl": text("resourceSchemaUrl"),
-            "ScopeName": text("scope.name"),
-            "ScopeVersion": text("scope.version"),
-            "ScopeAttributes": attrs_to_map("scope.attributes"),
-            "ScopeDroppedAttrCount": _zero("scope.droppedAttributesCount"),
-            "ScopeSchemaUrl": text("scopeSchemaUrl"),
-        }
-    )
+# Resource and scope columns shared by all signals.
+_CONTEXT = {
+    "ResourceAttributes": sql_attrs("resource.attributes"),
+    "ResourceSchemaUrl": sql_text("resourceSchemaUrl"),
+    "ScopeName": sql_text("scope.name"),
+    "ScopeVersion": sql_text("scope.version"),
+    "ScopeAttributes": sql_attrs("scope.attributes"),
+    "ScopeDroppedAttrCount": "coalesce(scope.droppedAttributesCount, 0L)",
+    "ScopeSchemaUrl": sql_text("scopeSchemaUrl"),
+    "ServiceName": "coalesce(ResourceAttributes['service.name'], '')",
+    "ServiceVersion": "coalesce(ResourceAttributes['service.version'], '')",
+}
 
 
 def promote_service(df: DataFrame) -> DataFrame:
@@ -73,53 +68,38 @@ def promote_service(df: DataFrame) -> DataFrame:
     )
 
 
-def _any_bad(items: Column, fields: list[str]) -> Column:
-    """True when an array of structs has a malformed 64-bit text in any field."""
-
-    def bad(x: Column) -> Column:
-        out = F.lit(False)
-        for f in fields:
-            out = out | bad_long(x[f])
-        return out
-
-    return F.coalesce(F.exists(items, bad), F.lit(False))
-
-
-def _bad_array(items: Column) -> Column:
-    return F.coalesce(F.exists(items, bad_long), F.lit(False))
+def _any_bad(items: str, *fields: str) -> str:
+    """True when an array holds a malformed 64-bit text, itself or in the given fields."""
+    tests = [sql_bad_long(f"x.{f}") for f in fields] or [sql_bad_long("x")]
+    return f"coalesce(exists({items}, x -> {' OR '.join(tests)}), false)"
 
 
 # ---------------------------------------------------------------- logs
 
+_BAD_LOG = " OR ".join(
+    [sql_bad_long("record.timeUnixNano"), sql_bad_long("record.observedTimeUnixNano")]
+)
 
-def _bad_log() -> Column:
-    return bad_long("record.timeUnixNano") | bad_long("record.observedTimeUnixNano")
+_LOG = {
+    **_CONTEXT,
+    "TimestampNanos": sql_long("record.timeUnixNano"),
+    "Timestamp": sql_timestamp("TimestampNanos"),
+    "ObservedTimestampNanos": sql_long("record.observedTimeUnixNano"),
+    "ObservedTimestamp": sql_timestamp("ObservedTimestampNanos"),
+    "TraceId": sql_text("record.traceId"),
+    "SpanId": sql_text("record.spanId"),
+    "TraceFlags": "coalesce(record.flags, 0L)",
+    "SeverityText": sql_text("record.severityText"),
+    "SeverityNumber": "coalesce(record.severityNumber, 0)",
+    "Body": sql_value("record.body"),
+    "LogAttributes": sql_attrs("record.attributes"),
+    "LogDroppedAttrCount": "coalesce(record.droppedAttributesCount, 0L)",
+}
 
 
 def to_logs_rows(records: DataFrame) -> DataFrame:
     """Flattened log records to the logs schema; unreadable ones go to `log_rejects`."""
-    df = promote_service(_context(records.filter(~_bad_log())))
-    df = df.withColumns(
-        {
-            "TimestampNanos": _nanos("record.timeUnixNano"),
-            "ObservedTimestampNanos": _nanos("record.observedTimeUnixNano"),
-            "TraceId": text("record.traceId"),
-            "SpanId": text("record.spanId"),
-            "TraceFlags": _zero("record.flags"),
-            "SeverityText": text("record.severityText"),
-            "SeverityNumber": F.coalesce("record.severityNumber", F.lit(0)),
-            "Body": any_value_text(F.col("record.body")),
-            "LogAttributes": attrs_to_map("record.attributes"),
-            "LogDroppedAttrCount": _zero("record.droppedAttributesCount"),
-        }
-    )
-    df = df.withColumns(
-        {
-            "Timestamp": nanos_to_timestamp("TimestampNanos"),
-            "ObservedTimestamp": nanos_to_timestamp("ObservedTimestampNanos"),
-        }
-    )
-    return _conform(df, "logs")
+    return _project(records.filter(f"NOT ({_BAD_LOG})"), "logs", _LOG)
 
 
 def log_detail(logs: DataFrame) -> DataFrame:
@@ -132,68 +112,59 @@ def log_detail(logs: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- spans
 
+_BAD_SPAN = " OR ".join(
+    [
+        sql_bad_long("record.startTimeUnixNano"),
+        sql_bad_long("record.endTimeUnixNano"),
+        _any_bad("record.events", "timeUnixNano"),
+    ]
+)
+_SIGNED_DURATION = (
+    f"{sql_long('record.endTimeUnixNano')} - {sql_long('record.startTimeUnixNano')}"
+)
+_EVENT = (
+    f"named_struct('Timestamp', {sql_timestamp(sql_long('e.timeUnixNano'))}, "
+    f"'TimestampNanos', {sql_long('e.timeUnixNano')}, 'Name', {sql_text('e.name')}, "
+    f"'Attributes', {sql_attrs('e.attributes')})"
+)
+_LINK = (
+    f"named_struct('TraceId', {sql_text('x.traceId')}, 'SpanId', {sql_text('x.spanId')}, "
+    f"'TraceState', {sql_text('x.traceState')}, 'Attributes', {sql_attrs('x.attributes')})"
+)
 
-def _bad_span() -> Column:
-    return (
-        bad_long("record.startTimeUnixNano")
-        | bad_long("record.endTimeUnixNano")
-        | _any_bad(F.col("record.events"), ["timeUnixNano"])
-    )
-
-
-def _signed_duration() -> Column:
-    return _nanos("record.endTimeUnixNano") - _nanos("record.startTimeUnixNano")
+_SPAN = {
+    **_CONTEXT,
+    "TimestampNanos": sql_long("record.startTimeUnixNano"),
+    "Timestamp": sql_timestamp("TimestampNanos"),
+    "TraceId": sql_text("record.traceId"),
+    "SpanId": sql_text("record.spanId"),
+    "ParentSpanId": sql_text("record.parentSpanId"),
+    "TraceState": sql_text("record.traceState"),
+    "SpanName": sql_text("record.name"),
+    "SpanKind": sql_enum("record.kind", SPAN_KINDS),
+    "SpanAttributes": sql_attrs("record.attributes"),
+    # The stored duration is unsigned.
+    "Duration": f"greatest({_SIGNED_DURATION}, 0L)",
+    "StatusCode": sql_enum("record.status.code", STATUS_CODES),
+    "StatusMessage": sql_text("record.status.message"),
+    "Events": f"coalesce(transform(record.events, e -> {_EVENT}), array())",
+    "Links": f"coalesce(transform(record.links, x -> {_LINK}), array())",
+}
 
 
 def to_span_rows(records: DataFrame) -> DataFrame:
     """Flattened spans to the traces schema; a negative duration is stored as 0."""
-    df = promote_service(_context(records.filter(~_bad_span())))
-    events = F.transform(
-        "record.events",
-        lambda e: F.struct(
-            nanos_to_timestamp(_nanos(e["timeUnixNano"])).alias("Timestamp"),
-            _nanos(e["timeUnixNano"]).alias("TimestampNanos"),
-            text(e["name"]).alias("Name"),
-            attrs_to_map(e["attributes"]).alias("Attributes"),
-        ),
-    )
-    links = F.transform(
-        "record.links",
-        lambda x: F.struct(
-            text(x["traceId"]).alias("TraceId"),
-            text(x["spanId"]).alias("SpanId"),
-            text(x["traceState"]).alias("TraceState"),
-            attrs_to_map(x["attributes"]).alias("Attributes"),
-        ),
-    )
-    df = df.withColumns(
-        {
-            "TimestampNanos": _nanos("record.startTimeUnixNano"),
-            "TraceId": text("record.traceId"),
-            "SpanId": text("record.spanId"),
-            "ParentSpanId": text("record.parentSpanId"),
-            "TraceState": text("record.traceState"),
-            "SpanName": text("record.name"),
-            "SpanKind": enum_name("record.kind", SPAN_KINDS, ""),
-            "SpanAttributes": attrs_to_map("record.attributes"),
-            "Duration": F.greatest(_signed_duration(), F.lit(0).cast("bigint")),
-            "StatusCode": enum_name("record.status.code", STATUS_CODES, ""),
-            "StatusMessage": text("record.status.message"),
-            "Events": F.coalesce(events, F.array()),
-            "Links": F.coalesce(links, F.array()),
-        }
-    )
-    return _conform(df.withColumn("Timestamp", nanos_to_timestamp("TimestampNanos")), "traces")
+    return _project(records.filter(f"NOT ({_BAD_SPAN})"), "traces", _SPAN)
 
 
 def span_detail(records: DataFrame) -> DataFrame:
     """Received spans as ids, name, kind and signed duration (end - start)."""
-    return records.filter(~_bad_span()).select(
-        text("record.spanId").alias("span_id"),
-        text("record.traceId").alias("trace_id"),
-        text("record.name").alias("name"),
-        enum_name("record.kind", SPAN_KINDS, "").alias("kind"),
-        _signed_duration().alias("duration"),
+    return records.filter(f"NOT ({_BAD_SPAN})").selectExpr(
+        f"{sql_text('record.spanId')} AS span_id",
+        f"{sql_text('record.traceId')} AS trace_id",
+        f"{sql_text('record.name')} AS name",
+        f"{sql_enum('record.kind', SPAN_KINDS)} AS kind",
+        f"{_SIGNED_DURATION} AS duration",
     )
 
 
@@ -211,155 +182,149 @@ def metric_type() -> Column:
 
 def metric_detail(records: DataFrame) -> DataFrame:
     return records.select(
-        text("record.name").alias("name"),
-        text("record.description").alias("description"),
-        text("record.unit").alias("unit"),
+        F.expr(sql_text("record.name")).alias("name"),
+        F.expr(sql_text("record.description")).alias("description"),
+        F.expr(sql_text("record.unit")).alias("unit"),
         metric_type().alias("type"),
     )
 
 
 def data_points(records: DataFrame, wire: str) -> DataFrame:
     """One row per data point of one metric kind (`gauge`, `sum`, `histogram`, ...)."""
-    return records.filter(F.col(f"record.{wire}").isNotNull()).select(
+    timed = wire not in ("gauge", "summary")
+    return records.filter(f"record.{wire} IS NOT NULL").selectExpr(
         "resource",
         "resourceSchemaUrl",
         "scope",
         "scopeSchemaUrl",
-        *[F.col(f"record.{c}").alias(c) for c in ("name", "description", "unit")],
-        *(
-            [F.col(f"record.{wire}.aggregationTemporality").alias("temporality")]
-            if wire not in ("gauge", "summary")
-            else [F.lit(0).alias("temporality")]
-        ),
-        (F.col("record.sum.isMonotonic") if wire == "sum" else F.lit(False)).alias("monotonic"),
-        F.explode(f"record.{wire}.dataPoints").alias("p"),
+        "record.name AS name",
+        "record.description AS description",
+        "record.unit AS unit",
+        f"{f'record.{wire}.aggregationTemporality' if timed else '0'} AS temporality",
+        f"{'record.sum.isMonotonic' if wire == 'sum' else 'false'} AS monotonic",
+        f"explode(record.{wire}.dataPoints) AS p",
     )
 
 
-def _exemplars() -> Column:
-    items = F.transform(
-        "p.exemplars",
-        lambda e: F.struct(
-            attrs_to_map(e["filteredAttributes"]).alias("FilteredAttributes"),
-            nanos_to_timestamp(_nanos(e["timeUnixNano"])).alias("TimeUnix"),
-            _nanos(e["timeUnixNano"]).alias("TimeUnixNanos"),
-            F.coalesce(e["asDouble"], e["asInt"].try_cast("double"), F.lit(0.0)).alias("Value"),
-            text(e["spanId"]).alias("SpanId"),
-            text(e["traceId"]).alias("TraceId"),
-        ),
-    )
-    return F.coalesce(items, F.array())
-
-
-def _longs(items: Column) -> Column:
-    return F.coalesce(F.transform(items, lambda x: _nanos(x)), F.array())
-
-
-def _bad_point(wire: str) -> Column:
-    bad = bad_long("p.startTimeUnixNano") | bad_long("p.timeUnixNano")
-    if wire != "summary":
-        bad = bad | _any_bad(F.col("p.exemplars"), ["timeUnixNano", "asInt"])
-    if wire in ("gauge", "sum"):
-        return bad | bad_long("p.asInt")
-    bad = bad | bad_long("p.count")
-    if wire == "histogram":
-        size = F.coalesce(F.size("p.bucketCounts"), F.lit(0))
-        bounds = F.coalesce(F.size("p.explicitBounds"), F.lit(0))
-        # Both absent (only count and sum recorded) is allowed.
-        fits = ((size <= 0) & (bounds <= 0)) | (size == F.greatest(bounds, F.lit(0)) + 1)
-        return bad | _bad_array(F.col("p.bucketCounts")) | ~fits
-    if wire == "exponentialHistogram":
-        return (
-            bad
-            | bad_long("p.zeroCount")
-            | _bad_array(F.col("p.positive.bucketCounts"))
-            | _bad_array(F.col("p.negative.bucketCounts"))
-        )
-    return bad
+_EXEMPLAR = (
+    f"named_struct('FilteredAttributes', {sql_attrs('e.filteredAttributes')}, "
+    f"'TimeUnix', {sql_timestamp(sql_long('e.timeUnixNano'))}, "
+    f"'TimeUnixNanos', {sql_long('e.timeUnixNano')}, "
+    "'Value', coalesce(e.asDouble, try_cast(e.asInt AS DOUBLE), 0D), "
+    f"'SpanId', {sql_text('e.spanId')}, 'TraceId', {sql_text('e.traceId')})"
+)
+_EXEMPLARS = f"coalesce(transform(p.exemplars, e -> {_EXEMPLAR}), array())"
+
+_POINT = {
+    **_CONTEXT,
+    "MetricName": sql_text("name"),
+    "MetricDescription": sql_text("description"),
+    "MetricUnit": sql_text("unit"),
+    "Attributes": sql_attrs("p.attributes"),
+    "SeriesKey": sql_series_key("Attributes"),
+    "StartTimeUnixNanos": sql_long("p.startTimeUnixNano"),
+    "StartTimeUnix": sql_timestamp("StartTimeUnixNanos"),
+    "TimeUnixNanos": sql_long("p.timeUnixNano"),
+    "TimeUnix": sql_timestamp("TimeUnixNanos"),
+    "Flags": "coalesce(p.flags, 0L)",
+    "AggregationTemporality": "coalesce(temporality, 0)",
+    "IsMonotonic": "coalesce(monotonic, false)",
+}
 
 
-def _point_rows(records: DataFrame, wire: str) -> DataFrame:
-    points = data_points(records, wire)
-    df = promote_service(_context(points.filter(~_bad_point(wire))))
-    df = df.withColumns(
-        {
-            "MetricName": text("name"),
-            "MetricDescription": text("description"),
-            "MetricUnit": text("unit"),
-            "Attributes": attrs_to_map("p.attributes"),
-            "StartTimeUnixNanos": _nanos("p.startTimeUnixNano"),
-            "TimeUnixNanos": _nanos("p.timeUnixNano"),
-            "Flags": _zero("p.flags"),
-            "AggregationTemporality": F.coalesce("temporality", F.lit(0)),
-            "IsMonotonic": F.coalesce("monotonic", F.lit(False)),
-        }
-    )
-    return df.withColumns(
-        {
-            "SeriesKey": series_key("Attributes"),
-            "StartTimeUnix": nanos_to_timestamp("StartTimeUnixNanos"),
-            "TimeUnix": nanos_to_timestamp("TimeUnixNanos"),
-        }
-    )
+def _longs(items: str) -> str:
+    return f"coalesce(transform({items}, x -> {sql_long('x')}), array())"
+
+
+_NUMBER = {
+    **_POINT,
+    "Value": "coalesce(p.asDouble, try_cast(p.asInt AS DOUBLE), 0D)",
+    "Exemplars": _EXEMPLARS,
+}
+_DISTRIBUTION = {
+    **_POINT,
+    "Count": sql_long("p.count"),
+    "Sum": "coalesce(p.sum, 0D)",
+}
+# Absent Min and Max stay NULL, so that they are no false minima.
+_MEASURED = {**_DISTRIBUTION, "Exemplars": _EXEMPLARS, "Min": "p.min", "Max": "p.max"}
+
+_POINT_COLUMNS = {
+    "gauge": _NUMBER,
+    "sum": _NUMBER,
+    "histogram": {
+        **_MEASURED,
+        "BucketCounts": _longs("p.bucketCounts"),
+        "ExplicitBounds": "coalesce(p.explicitBounds, array())",
+    },
+    "exponentialHistogram": {
+        **_MEASURED,
+        "Scale": "coalesce(p.scale, 0)",
+        "ZeroCount": sql_long("p.zeroCount"),
+        "PositiveOffset": "coalesce(p.positive.offset, 0)",
+        "PositiveBucketCounts": _longs("p.positive.bucketCounts"),
+        "NegativeOffset": "coalesce(p.negative.offset, 0)",
+        "NegativeBucketCounts": _longs("p.negative.bucketCounts"),
+    },
+    "summary": {
+        **_DISTRIBUTION,
+        "ValueAtQuantiles": (
+            "coalesce(transform(p.quantileValues, "
+            "v -> named_struct('Quantile', v.quantile, 'Value', v.value)), array())"
+        ),
+    },
+}
 
+_BAD_TIMES = [sql_bad_long("p.startTimeUnixNano"), sql_bad_long("p.timeUnixNano")]
+_BAD_EXEMPLARS = _any_bad("p.exemplars", "timeUnixNano", "asInt")
+_BAD_COUNT = sql_bad_long("p.count")
+# One more bucket than bounds; both absent (only count and sum recorded) is allowed.
+_BAD_LENGTH = (
+    "NOT (coalesce(size(p.bucketCounts), 0) = 0 AND coalesce(size(p.explicitBounds), 0) = 0) "
+    "AND coalesce(size(p.bucketCounts), 0) <> coalesce(size(p.explicitBounds), 0) + 1"
+)
+_BAD_POINT = {
+    wire: " OR ".join(f"({test})" for test in [*_BAD_TIMES, *tests])
+    for wire, tests in {
+        "gauge": [sql_bad_long("p.asInt"), _BAD_EXEMPLARS],
+        "sum": [sql_bad_long("p.asInt"), _BAD_EXEMPLARS],
+        "histogram": [_BAD_COUNT, _any_bad("p.bucketCounts"), _BAD_LENGTH, _BAD_EXEMPLARS],
+        "exponentialHistogram": [
+            _BAD_COUNT,
+            sql_bad_long("p.zeroCount"),
+            _any_bad("p.positive.bucketCounts"),
+            _any_bad("p.negative.bucketCounts"),
+            _BAD_EXEMPLARS,
+        ],
+        "summary": [_BAD_COUNT],
+    }.items()
+}
 
-def _number_rows(records: DataFrame, wire: str) -> DataFrame:
-    value = F.coalesce("p.asDouble", F.col("p.asInt").try_cast("double"), F.lit(0.0))
-    return _point_rows(records, wire).withColumns({"Value": value, "Exemplars": _exemplars()})
+
+def _point_rows(records: DataFrame, wire: str) -> DataFrame:
+    good = data_points(records, wire).filter(f"NOT ({_BAD_POINT[wire]})")
+    return _project(good, METRIC_KINDS[wire][0], _POINT_COLUMNS[wire])
 
 
 def to_gauge_rows(records: DataFrame) -> DataFrame:
-    return _conform(_number_rows(records, "gauge"), "gauge")
+    return _point_rows(records, "gauge")
 
 
 def to_sum_rows(records: DataFrame) -> DataFrame:
-    return _conform(_number_rows(records, "sum"), "sum")
-
-
-def _distribution(df: DataFrame) -> DataFrame:
-    return df.withColumns(
-        {"Count": _nanos("p.count"), "Sum": F.coalesce("p.sum", F.lit(0.0))}
-    )
+    return _point_rows(records, "sum")
 
 
 def to_histogram_rows(records: DataFrame) -> DataFrame:
-    """Absent Min and Max stay NULL, so that they are no false minima."""
-    df = _distribution(_point_rows(records, "histogram")).withColumns(
-        {
-            "BucketCounts": _longs(F.col("p.bucketCounts")),
-            "ExplicitBounds": F.coalesce("p.explicitBounds", F.array()),
-            "Exemplars": _exemplars(),
-            "Min": F.col("p.min"),
-            "Max": F.col("p.max"),
-        }
-    )
-    return _conform(df, "histogram")
+    """Points whose bucket and bound counts do not fit are rejected."""
+    return _point_rows(records, "histogram")
 
 
 def to_exp_histogram_rows(records: DataFrame) -> DataFrame:
-    df = _distribution(_point_rows(records, "exponentialHistogram")).withColumns(
-        {
-            "Scale": F.coalesce("p.scale", F.lit(0)),
-            "ZeroCount": _nanos("p.zeroCount"),
-            "PositiveOffset": F.coalesce("p.positive.offset", F.lit(0)),
-            "PositiveBucketCounts": _longs(F.col("p.positive.bucketCounts")),
-            "NegativeOffset": F.coalesce("p.negative.offset", F.lit(0)),
-            "NegativeBucketCounts": _longs(F.col("p.negative.bucketCounts")),
-            "Exemplars": _exemplars(),
-            "Min": F.col("p.min"),
-            "Max": F.col("p.max"),
-        }
-    )
-    return _conform(df, "exponential_histogram")
+    return _point_rows(records, "exponentialHistogram")
 
 
 def to_summary_rows(records: DataFrame) -> DataFrame:
-    pairs = F.transform(
-        "p.quantileValues",
-        lambda v: F.struct(v["quantile"].alias("Quantile"), v["value"].alias("Value")),
-    )
-    df = _distribution(_point_rows(records, "summary"))
-    return _conform(df.withColumn("ValueAtQuantiles", F.coalesce(pairs, F.array())), "summary")
+    return _point_rows(records, "summary")
 
 
 METRIC_ROWS = {
@@ -379,27 +344,27 @@ def route_metrics(records: DataFrame) -> dict[str, DataFrame]:
 # ---------------------------------------------------------------- rejects
 
 
-def _reject(df: DataFrame, level: str, raw: Column) -> DataFrame:
-    return df.select(
-        F.lit(level).alias("Level"),
-        F.lit("integer out of range or array lengths that do not fit").alias("Reason"),
-        F.to_json(raw).alias("Raw"),
+def _reject(df: DataFrame, level: str, *parts: str) -> DataFrame:
+    return df.selectExpr(
+        f"'{level}' AS Level",
+        "'integer out of range or array lengths that do not fit' AS Reason",
+        f"to_json(struct({', '.join(parts)})) AS Raw",
     )
 
 
 def log_rejects(records: DataFrame) -> DataFrame:
-    return _reject(records.filter(_bad_log()), "record", F.struct("resource", "scope", "record"))
+    return _reject(records.filter(_BAD_LOG), "record", "resource", "scope", "record")
 
 
 def span_rejects(records: DataFrame) -> DataFrame:
-    return _reject(records.filter(_bad_span()), "record", F.struct("resource", "scope", "record"))
+    return _reject(records.filter(_BAD_SPAN), "record", "resource", "scope", "record")
 
 
 def point_rejects(records: DataFrame) -> DataFrame:
     """Data points that no metrics table can hold."""
     out = None
     for wire in METRIC_KINDS:
-        points = data_points(records, wire).filter(_bad_point(wire))
-        part = _reject(points, "point", F.struct("resource", "scope", "name", "p"))
+        bad = data_points(records, wire).filter(_BAD_POINT[wire])
+        part = _reject(bad, "point", "resource", "scope", "name", "p")
         out = part if out is None else out.unionByName(part)
     return out

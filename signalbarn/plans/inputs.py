@@ -6,236 +6,219 @@ counterparts in `oracle.py` give equal rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from signalbarn.functions.columns import NANOS_PER_SECOND, div, nanos_to_timestamp, series_key
+from signalbarn.functions.columns import sql_series_key, sql_timestamp
 from signalbarn.functions.quantiles import exact_quantiles
 from signalbarn.operators.metrics import delta_to_cumulative
-from signalbarn.schemas import EXEMPLARS, TEMPORALITY_CUMULATIVE, TEMPORALITY_DELTA
+from signalbarn.schemas import (
+    EVENTS,
+    EXEMPLARS,
+    LINKS,
+    TEMPORALITY_CUMULATIVE,
+    TEMPORALITY_DELTA,
+)
 
 # Histogram bounds in cents.
 BOUNDS = [100, 500, 1000, 2500, 5000, 10000, 25000]
 
+_NO_ATTRS = "CAST(map() AS MAP<STRING,STRING>)"
+_NO_EXEMPLARS = f"CAST(array() AS {EXEMPLARS})"
 
-def _id(prefix: str, number: Column) -> Column:
-    return F.md5(F.concat(F.lit(prefix), number.cast("string")).cast("binary"))
 
+def _trace_id(event: str) -> str:
+    return f"md5(concat('t', CAST(({event}) div 5 AS STRING)))"
 
-def _span_id(number: Column) -> Column:
-    return F.substring(_id("s", number), 1, 16)
 
+def _span_id(event: str) -> str:
+    return f"substring(md5(concat('s', CAST({event} AS STRING))), 1, 16)"
 
-def _trace_id(number: Column) -> Column:
-    return _id("t", div(number, 5))
 
-
-def _attrs(**pairs: Column | str) -> Column:
-    cells = []
-    for key, value in pairs.items():
-        cells += [F.lit(key.replace("__", ".")), F.col(value) if isinstance(value, str) else value]
-    return F.create_map(*cells)
-
-
-def _no_attrs() -> Column:
-    return F.create_map().cast("map<string,string>")
+def _project(df: DataFrame, columns: dict[str, str], *extra: str) -> DataFrame:
+    return df.selectExpr(*[f"{sql} AS {name}" for name, sql in columns.items()], *extra)
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ts = F.col("ts").cast("timestamp")
-    event = F.col("event_id")
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
-        "event_id",
-        "user_id",
-        "event_type",
-        F.round(F.col("value") * 100).cast("bigint").alias("cents"),
-        F.concat(F.lit("svc-"), (F.col("user_id") % 8).cast("string")).alias("svc"),
-        F.to_date(ts).alias("d"),
-        F.get_json_object("props", "$.k").alias("k"),
-        (F.unix_micros(ts) * 1000 + event % 1000).alias("nanos"),
+    return _project(
+        spark.read.parquet(f"{sf_dir}/events.parquet"),
+        {
+            "event_id": "event_id",
+            "user_id": "user_id",
+            "event_type": "event_type",
+            "cents": "CAST(round(value * 100) AS BIGINT)",
+            "svc": "concat('svc-', CAST(user_id % 8 AS STRING))",
+            "d": "CAST(ts AS DATE)",
+            "k": "get_json_object(props, '$.k')",
+            "nanos": "unix_micros(CAST(ts AS TIMESTAMP)) * 1000 + event_id % 1000",
+        },
     )
 
 
-def spans(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
-    """One span per event; `extra` names further event columns to keep."""
-    e = F.col("event_id")
-    step = e % 5
-    parent = e - step + div(step - 1, 2)
-    error = F.col("event_type") == "error"
-    exception = F.struct(
-        nanos_to_timestamp("nanos").alias("Timestamp"),
-        F.col("nanos").alias("TimestampNanos"),
-        F.lit("exception").alias("Name"),
-        _attrs(exception__type=F.concat(F.lit("E"), "k")).alias("Attributes"),
-    )
-    link = F.struct(
-        _trace_id(e - 5).alias("TraceId"),
-        _span_id(e - 5).alias("SpanId"),
-        F.lit("").alias("TraceState"),
-        _no_attrs().alias("Attributes"),
-    )
-    return events(spark, sf_dir).select(
-        nanos_to_timestamp("nanos").alias("Timestamp"),
-        F.col("nanos").alias("TimestampNanos"),
-        _trace_id(e).alias("TraceId"),
-        _span_id(e).alias("SpanId"),
-        F.when(step == 0, F.lit("")).otherwise(_span_id(parent)).alias("ParentSpanId"),
-        F.lit("").alias("TraceState"),
-        F.col("event_type").alias("SpanName"),
-        F.when(F.col("event_type") == "view", "Server")
-        .when(F.col("event_type") == "click", "Client")
-        .otherwise("Internal")
-        .alias("SpanKind"),
-        F.col("svc").alias("ServiceName"),
-        _attrs(service__name="svc").alias("ResourceAttributes"),
-        F.lit("").alias("ScopeName"),
-        F.lit("").alias("ScopeVersion"),
-        _attrs(k="k").alias("SpanAttributes"),
-        (F.col("cents") * 10000).alias("Duration"),
-        F.when(error, "Error")
-        .when(F.col("event_type") == "purchase", "Ok")
-        .otherwise("Unset")
-        .alias("StatusCode"),
-        F.lit("").alias("StatusMessage"),
-        F.filter(F.array(exception), lambda _: error).alias("Events"),
-        F.filter(F.array(link), lambda _: (e % 7 == 0) & (e >= 5)).alias("Links"),
-        F.col("d").alias("EventDate"),
-        *extra,
-    )
+# ---------------------------------------------------------------- spans and logs
+
+_SPAN = {
+    "Timestamp": sql_timestamp("nanos"),
+    "TimestampNanos": "nanos",
+    "TraceId": _trace_id("event_id"),
+    "SpanId": _span_id("event_id"),
+    "ParentSpanId": (
+        "CASE WHEN event_id % 5 = 0 THEN '' ELSE "
+        + _span_id("event_id - event_id % 5 + (event_id % 5 - 1) div 2")
+        + " END"
+    ),
+    "TraceState": "''",
+    "SpanName": "event_type",
+    "SpanKind": (
+        "CASE event_type WHEN 'view' THEN 'Server' WHEN 'click' THEN 'Client' "
+        "ELSE 'Internal' END"
+    ),
+    "ServiceName": "svc",
+    "ResourceAttributes": "map('service.name', svc)",
+    "ScopeName": "''",
+    "ScopeVersion": "''",
+    "SpanAttributes": "map('k', k)",
+    "Duration": "cents * 10000",
+    "StatusCode": (
+        "CASE event_type WHEN 'error' THEN 'Error' WHEN 'purchase' THEN 'Ok' ELSE 'Unset' END"
+    ),
+    "StatusMessage": "''",
+    "Events": (
+        "CASE WHEN event_type = 'error' THEN array(named_struct("
+        f"'Timestamp', {sql_timestamp('nanos')}, 'TimestampNanos', nanos, 'Name', 'exception', "
+        f"'Attributes', map('exception.type', concat('E', k)))) ELSE CAST(array() AS {EVENTS}) END"
+    ),
+    "Links": (
+        "CASE WHEN event_id % 7 = 0 AND event_id >= 5 THEN array(named_struct("
+        f"'TraceId', {_trace_id('event_id - 5')}, 'SpanId', {_span_id('event_id - 5')}, "
+        f"'TraceState', '', 'Attributes', {_NO_ATTRS})) ELSE CAST(array() AS {LINKS}) END"
+    ),
+    "EventDate": "d",
+}
+
+_LOG = {
+    "Timestamp": sql_timestamp("nanos"),
+    "TimestampNanos": "nanos",
+    "ObservedTimestampNanos": "nanos + (user_id % 5) * 1000000000",
+    "ObservedTimestamp": sql_timestamp("nanos + (user_id % 5) * 1000000000"),
+    "TraceId": f"CASE WHEN event_id % 10 = 0 THEN '' ELSE {_trace_id('event_id')} END",
+    "SpanId": f"CASE WHEN event_id % 10 = 0 THEN '' ELSE {_span_id('event_id')} END",
+    "TraceFlags": "0L",
+    "SeverityText": (
+        "CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'view' THEN 'WARN' "
+        "WHEN 'click' THEN 'DEBUG' ELSE 'INFO' END"
+    ),
+    "SeverityNumber": (
+        "CASE event_type WHEN 'error' THEN 17 WHEN 'view' THEN 13 WHEN 'click' THEN 5 ELSE 9 END"
+    ),
+    "ServiceName": "svc",
+    "ServiceVersion": "concat('1.', CAST(user_id % 3 AS STRING))",
+    "Body": (
+        "concat('event_', event_type, ' user=', CAST(user_id AS STRING), ' cents=', "
+        "CAST(cents AS STRING), ' k=', k)"
+    ),
+    "ResourceAttributes": (
+        "map('service.name', svc, 'service.version', concat('1.', CAST(user_id % 3 AS STRING)))"
+    ),
+    "ResourceSchemaUrl": "''",
+    "ScopeName": "''",
+    "ScopeVersion": "''",
+    "ScopeAttributes": _NO_ATTRS,
+    "ScopeDroppedAttrCount": "0L",
+    "ScopeSchemaUrl": "''",
+    "LogAttributes": "map('event_type', event_type, 'k', k)",
+    "LogDroppedAttrCount": "0L",
+    "EventDate": "d",
+}
 
 
-def _severity() -> tuple[Column, Column]:
-    kind = F.col("event_type")
-    number = (
-        F.when(kind == "error", 17).when(kind == "view", 13).when(kind == "click", 5).otherwise(9)
-    )
-    name = (
-        F.when(kind == "error", "ERROR")
-        .when(kind == "view", "WARN")
-        .when(kind == "click", "DEBUG")
-        .otherwise("INFO")
-    )
-    return number, name
+def spans(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
+    """One span per event; `extra` names further event columns to keep."""
+    return _project(events(spark, sf_dir), _SPAN, *extra)
 
 
 def logs(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     """One log record per event; `extra` names further event columns to keep."""
-    e = F.col("event_id")
-    bare = e % 10 == 0
-    number, name = _severity()
-    observed = F.col("nanos") + (F.col("user_id") % 5) * NANOS_PER_SECOND
-    body = F.concat(
-        F.lit("event_"), "event_type", F.lit(" user="), F.col("user_id").cast("string"),
-        F.lit(" cents="), F.col("cents").cast("string"), F.lit(" k="), "k",
-    )
-    version = F.concat(F.lit("1."), (F.col("user_id") % 3).cast("string"))
-    return events(spark, sf_dir).select(
-        nanos_to_timestamp("nanos").alias("Timestamp"),
-        F.col("nanos").alias("TimestampNanos"),
-        nanos_to_timestamp(observed).alias("ObservedTimestamp"),
-        observed.alias("ObservedTimestampNanos"),
-        F.when(bare, "").otherwise(_trace_id(e)).alias("TraceId"),
-        F.when(bare, "").otherwise(_span_id(e)).alias("SpanId"),
-        F.lit(0).cast("bigint").alias("TraceFlags"),
-        name.alias("SeverityText"),
-        number.alias("SeverityNumber"),
-        F.col("svc").alias("ServiceName"),
-        version.alias("ServiceVersion"),
-        body.alias("Body"),
-        _attrs(service__name=F.col("svc"), service__version=version).alias("ResourceAttributes"),
-        F.lit("").alias("ResourceSchemaUrl"),
-        F.lit("").alias("ScopeName"),
-        F.lit("").alias("ScopeVersion"),
-        _no_attrs().alias("ScopeAttributes"),
-        F.lit(0).cast("bigint").alias("ScopeDroppedAttrCount"),
-        F.lit("").alias("ScopeSchemaUrl"),
-        _attrs(event_type="event_type", k="k").alias("LogAttributes"),
-        F.lit(0).cast("bigint").alias("LogDroppedAttrCount"),
-        F.col("d").alias("EventDate"),
-        *extra,
-    )
+    return _project(events(spark, sf_dir), _LOG, *extra)
 
 
 def log_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prose bodies for token search: one row per document, the whole text."""
-    start = F.unix_seconds(F.lit("2024-01-01").cast("timestamp"))
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select(
-        "doc_id",
-        F.col("text").alias("Body"),
-        F.col("source").alias("ServiceName"),
-        ((start + F.col("doc_id") * 60) * NANOS_PER_SECOND).alias("TimestampNanos"),
+    return _project(
+        spark.read.parquet(f"{sf_dir}/documents.parquet"),
+        {
+            "doc_id": "doc_id",
+            "Body": "text",
+            "ServiceName": "source",
+            "TimestampNanos": (
+                "(unix_seconds(TIMESTAMP'2024-01-01 00:00:00') + doc_id * 60) * 1000000000"
+            ),
+        },
     )
 
 
 # ---------------------------------------------------------------- metrics
 
-
-def _metric(metric: str, attributes: Column, start: Column, time: Column) -> list[Column]:
-    empty = F.lit("")
-    return [
-        _attrs(service__name="svc").alias("ResourceAttributes"),
-        empty.alias("ResourceSchemaUrl"),
-        empty.alias("ScopeName"),
-        empty.alias("ScopeVersion"),
-        _no_attrs().alias("ScopeAttributes"),
-        F.lit(0).cast("bigint").alias("ScopeDroppedAttrCount"),
-        empty.alias("ScopeSchemaUrl"),
-        F.col("svc").alias("ServiceName"),
-        F.lit(metric).alias("MetricName"),
-        empty.alias("MetricDescription"),
-        F.lit("cents").alias("MetricUnit"),
-        attributes.alias("Attributes"),
-        series_key(attributes).alias("SeriesKey"),
-        nanos_to_timestamp(start).alias("StartTimeUnix"),
-        start.alias("StartTimeUnixNanos"),
-        nanos_to_timestamp(time).alias("TimeUnix"),
-        time.alias("TimeUnixNanos"),
-    ]
-
-
-def _midnight() -> Column:
-    return F.unix_micros(F.col("d").cast("timestamp")) * 1000
-
-
-def _own_exemplar() -> Column:
-    e = F.col("event_id")
-    return F.array(
-        F.struct(
-            _attrs(k="k").alias("FilteredAttributes"),
-            nanos_to_timestamp("nanos").alias("TimeUnix"),
-            F.col("nanos").alias("TimeUnixNanos"),
-            F.col("cents").cast("double").alias("Value"),
-            _span_id(e).alias("SpanId"),
-            _trace_id(e).alias("TraceId"),
-        )
-    )
-
-
-def _no_exemplars() -> Column:
-    return F.filter(_own_exemplar(), lambda _: F.lit(False))
+_MIDNIGHT = "unix_micros(CAST(d AS TIMESTAMP)) * 1000"
+_DAY_END = f"{_MIDNIGHT} + 86400L * 1000000000L - 1"
+
+
+def _metric(metric: str, attributes: str, start: str, time: str) -> dict[str, str]:
+    return {
+        "ResourceAttributes": "map('service.name', svc)",
+        "ResourceSchemaUrl": "''",
+        "ScopeName": "''",
+        "ScopeVersion": "''",
+        "ScopeAttributes": _NO_ATTRS,
+        "ScopeDroppedAttrCount": "0L",
+        "ScopeSchemaUrl": "''",
+        "ServiceName": "svc",
+        "MetricName": f"'{metric}'",
+        "MetricDescription": "''",
+        "MetricUnit": "'cents'",
+        "Attributes": attributes,
+        "SeriesKey": sql_series_key(attributes),
+        "StartTimeUnix": sql_timestamp(start),
+        "StartTimeUnixNanos": start,
+        "TimeUnix": sql_timestamp(time),
+        "TimeUnixNanos": time,
+        "Flags": "0L",
+        "EventDate": "d",
+    }
+
+
+_BY_TYPE = "map('event_type', event_type)"
+_BY_SERVICE = "map('service.name', svc)"
 
 
 def gauge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events(spark, sf_dir).select(
-        *_metric("event.value", _attrs(event_type="event_type"), F.col("nanos"), F.col("nanos")),
-        F.col("cents").cast("double").alias("Value"),
-        F.lit(0).cast("bigint").alias("Flags"),
-        _own_exemplar().alias("Exemplars"),
-        F.lit(0).alias("AggregationTemporality"),
-        F.lit(False).alias("IsMonotonic"),
-        F.col("d").alias("EventDate"),
+    exemplar = (
+        f"named_struct('FilteredAttributes', map('k', k), 'TimeUnix', {sql_timestamp('nanos')}, "
+        "'TimeUnixNanos', nanos, 'Value', CAST(cents AS DOUBLE), "
+        f"'SpanId', {_span_id('event_id')}, 'TraceId', {_trace_id('event_id')})"
+    )
+    return _project(
+        events(spark, sf_dir),
+        {
+            **_metric("event.value", _BY_TYPE, "nanos", "nanos"),
+            "Value": "CAST(cents AS DOUBLE)",
+            "Exemplars": f"array({exemplar})",
+            "AggregationTemporality": "0",
+            "IsMonotonic": "false",
+        },
     )
 
 
 def sum_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events(spark, sf_dir).select(
-        *_metric("event.cents", _attrs(service__name="svc"), _midnight(), F.col("nanos")),
-        F.col("cents").cast("double").alias("Value"),
-        F.lit(0).cast("bigint").alias("Flags"),
-        _no_exemplars().alias("Exemplars"),
-        F.lit(TEMPORALITY_DELTA).alias("AggregationTemporality"),
-        F.lit(True).alias("IsMonotonic"),
-        F.col("d").alias("EventDate"),
+    return _project(
+        events(spark, sf_dir),
+        {
+            **_metric("event.cents", _BY_SERVICE, _MIDNIGHT, "nanos"),
+            "Value": "CAST(cents AS DOUBLE)",
+            "Exemplars": _NO_EXEMPLARS,
+            "AggregationTemporality": str(TEMPORALITY_DELTA),
+            "IsMonotonic": "true",
+        },
     )
 
 
@@ -252,17 +235,17 @@ def sum_cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _bucket_counts() -> list[Column]:
+def _bucket_counts() -> str:
     edges = [None, *BOUNDS, None]
-    out = []
+    counts = []
     for low, high in zip(edges, edges[1:]):
-        cond = F.lit(True)
+        tests = []
         if low is not None:
-            cond = cond & (F.col("cents") > low)
+            tests.append(f"cents > {low}")
         if high is not None:
-            cond = cond & (F.col("cents") <= high)
-        out.append(F.count_if(cond))
-    return out
+            tests.append(f"cents <= {high}")
+        counts.append(f"count_if({' AND '.join(tests)})")
+    return f"array({', '.join(counts)})"
 
 
 def histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -270,26 +253,26 @@ def histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
         events(spark, sf_dir)
         .groupBy("svc", "event_type", "d")
         .agg(
-            F.count(F.lit(1)).alias("Count"),
-            F.sum("cents").cast("double").alias("Sum"),
-            F.array(*_bucket_counts()).alias("BucketCounts"),
-            F.min("cents").cast("double").alias("Min"),
-            F.max("cents").cast("double").alias("Max"),
+            F.expr("count(1) AS n"),
+            F.expr("sum(cents) AS total"),
+            F.expr("min(cents) AS low"),
+            F.expr("max(cents) AS high"),
+            F.expr(f"{_bucket_counts()} AS buckets"),
         )
     )
-    end = _midnight() + 86_400 * NANOS_PER_SECOND - 1
-    return grouped.select(
-        *_metric("event.cents.hist", _attrs(event_type="event_type"), _midnight(), end),
-        "Count",
-        "Sum",
-        "BucketCounts",
-        F.array(*[F.lit(float(b)) for b in BOUNDS]).alias("ExplicitBounds"),
-        _no_exemplars_grouped().alias("Exemplars"),
-        F.lit(0).cast("bigint").alias("Flags"),
-        "Min",
-        "Max",
-        F.lit(TEMPORALITY_DELTA).alias("AggregationTemporality"),
-        F.col("d").alias("EventDate"),
+    return _project(
+        grouped,
+        {
+            **_metric("event.cents.hist", _BY_TYPE, _MIDNIGHT, _DAY_END),
+            "Count": "n",
+            "Sum": "CAST(total AS DOUBLE)",
+            "BucketCounts": "buckets",
+            "ExplicitBounds": f"array({', '.join(f'{b}D' for b in BOUNDS)})",
+            "Exemplars": _NO_EXEMPLARS,
+            "Min": "CAST(low AS DOUBLE)",
+            "Max": "CAST(high AS DOUBLE)",
+            "AggregationTemporality": str(TEMPORALITY_DELTA),
+        },
     )
 
 
@@ -304,7 +287,6 @@ def histogram_cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     running = [F.sum(F.get("BucketCounts", F.lit(i))).over(upto) for i in range(len(BOUNDS) + 1)]
-    started = F.min("StartTimeUnixNanos").over(Window.partitionBy(*series))
     return daily.withColumns(
         {
             "BucketCounts": F.array(*running),
@@ -312,17 +294,13 @@ def histogram_cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:
             "Sum": F.sum("Sum").over(upto),
             "Min": F.min("Min").over(upto),
             "Max": F.max("Max").over(upto),
-            "StartTimeUnixNanos": started,
-            "StartTimeUnix": nanos_to_timestamp(started),
+            "StartTimeUnixNanos": F.min("StartTimeUnixNanos").over(upto),
+            "StartTimeUnix": F.min("StartTimeUnix").over(upto),
             "AggregationTemporality": F.lit(TEMPORALITY_CUMULATIVE),
         }
     )
 
 
-def _no_exemplars_grouped() -> Column:
-    return F.array().cast(EXEMPLARS)
-
-
 def exp_histogram(spark: SparkSession, sf_dir: str, mixed_scales: bool = False) -> DataFrame:
     """Scale 0; the index of a value v is `bit length of (v - 1)` minus one.
 
@@ -330,52 +308,46 @@ def exp_histogram(spark: SparkSession, sf_dir: str, mixed_scales: bool = False)
     indexes 2i and 2i + 1 of scale 0. Counts are taken per bucket first, so a
     group is at most some 60 rows.
     """
-    coarser = F.dayofmonth("d") % 2 if mixed_scales else F.lit(0)
-    index = F.when(F.col("cents") <= 1, F.lit(-1)).otherwise(
-        F.length(F.bin(F.col("cents") - 1)) - 1
-    )
-    index = F.call_function("shiftright", index, coarser)
+    coarser = "dayofmonth(d) % 2" if mixed_scales else "0"
+    index = f"shiftright(CASE WHEN cents <= 1 THEN -1 ELSE length(bin(cents - 1)) - 1 END, {coarser})"
     buckets = (
         events(spark, sf_dir)
-        .groupBy("svc", "d", index.alias("idx"))
+        .groupBy("svc", "d", F.expr(f"{index} AS idx"))
         .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum("cents").alias("total"),
-            F.min("cents").alias("low"),
-            F.max("cents").alias("high"),
+            F.expr("count(1) AS n"),
+            F.expr("sum(cents) AS total"),
+            F.expr("min(cents) AS low"),
+            F.expr("max(cents) AS high"),
         )
     )
     grouped = buckets.groupBy("svc", "d").agg(
-        F.sum("n").alias("Count"),
-        F.sum("total").cast("double").alias("Sum"),
-        F.min("low").cast("double").alias("Min"),
-        F.max("high").cast("double").alias("Max"),
-        F.min("idx").alias("PositiveOffset"),
-        F.max("idx").alias("_top"),
-        F.map_from_entries(F.collect_list(F.struct("idx", "n"))).alias("_n"),
+        F.expr("sum(n) AS n"),
+        F.expr("sum(total) AS total"),
+        F.expr("min(low) AS low"),
+        F.expr("max(high) AS high"),
+        F.expr("min(idx) AS first"),
+        F.expr("max(idx) AS last"),
+        F.expr("map_from_entries(collect_list(struct(idx, n))) AS counts"),
     )
-    counts = F.transform(
-        F.sequence("PositiveOffset", "_top"),
-        lambda i: F.coalesce(F.try_element_at(F.col("_n"), i), F.lit(0).cast("bigint")),
-    )
-    end = _midnight() + 86_400 * NANOS_PER_SECOND - 1
-    zero = F.lit(0).cast("bigint")
-    return grouped.select(
-        *_metric("event.cents.exp", _attrs(service__name="svc"), _midnight(), end),
-        "Count",
-        "Sum",
-        (-coarser).alias("Scale"),
-        zero.alias("ZeroCount"),
-        "PositiveOffset",
-        counts.alias("PositiveBucketCounts"),
-        F.lit(0).alias("NegativeOffset"),
-        F.filter(F.array(zero), lambda _: F.lit(False)).alias("NegativeBucketCounts"),
-        _no_exemplars_grouped().alias("Exemplars"),
-        zero.alias("Flags"),
-        "Min",
-        "Max",
-        F.lit(TEMPORALITY_DELTA).alias("AggregationTemporality"),
-        F.col("d").alias("EventDate"),
+    return _project(
+        grouped,
+        {
+            **_metric("event.cents.exp", _BY_SERVICE, _MIDNIGHT, _DAY_END),
+            "Count": "n",
+            "Sum": "CAST(total AS DOUBLE)",
+            "Scale": f"-({coarser})",
+            "ZeroCount": "0L",
+            "PositiveOffset": "first",
+            "PositiveBucketCounts": (
+                "transform(sequence(first, last), i -> coalesce(try_element_at(counts, i), 0L))"
+            ),
+            "NegativeOffset": "0",
+            "NegativeBucketCounts": "CAST(array() AS ARRAY<BIGINT>)",
+            "Exemplars": _NO_EXEMPLARS,
+            "Min": "CAST(low AS DOUBLE)",
+            "Max": "CAST(high AS DOUBLE)",
+            "AggregationTemporality": str(TEMPORALITY_DELTA),
+        },
     )
 
 
@@ -386,20 +358,20 @@ def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         "cents",
         {"q50": "0.5", "q90": "0.9", "q99": "0.99"},
         {
-            "Count": (F.count(F.lit(1)), F.sum("Count")),
+            "n": (F.count(F.lit(1)), F.sum("n")),
             "total": (F.sum("cents"), F.sum("total")),
         },
     )
-
-    def pair(q: float, c: str) -> Column:
-        return F.struct(F.lit(q).alias("Quantile"), F.col(c).cast("double").alias("Value"))
-
-    end = _midnight() + 86_400 * NANOS_PER_SECOND - 1
-    return grouped.select(
-        *_metric("event.cents.summary", _attrs(service__name="svc"), _midnight(), end),
-        "Count",
-        F.col("total").cast("double").alias("Sum"),
-        F.array(pair(0.5, "q50"), pair(0.9, "q90"), pair(0.99, "q99")).alias("ValueAtQuantiles"),
-        F.lit(0).cast("bigint").alias("Flags"),
-        F.col("d").alias("EventDate"),
+    pairs = ", ".join(
+        f"named_struct('Quantile', {q}D, 'Value', CAST({c} AS DOUBLE))"
+        for q, c in ((0.5, "q50"), (0.9, "q90"), (0.99, "q99"))
+    )
+    return _project(
+        grouped,
+        {
+            **_metric("event.cents.summary", _BY_SERVICE, _MIDNIGHT, _DAY_END),
+            "Count": "n",
+            "Sum": "CAST(total AS DOUBLE)",
+            "ValueAtQuantiles": f"array({pairs})",
+        },
     )

@@ -1,48 +1,36 @@
 """Nested JSON batches made from the derived inputs, to feed the batch readers.
 
-A batch holds 40 consecutive events, grouped by resource, so that no group
-grows with the data.
+A batch of logs or spans holds 40 consecutive events, grouped by resource, so
+that no group grows with the data. A batch of metrics holds one metric.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalbarn.functions.columns import div
 from signalbarn.plans import inputs
 
-_BATCH = "_batch"
-# Wire codes of span kinds and status codes.
-_KIND = {"Internal": 1, "Server": 2, "Client": 3}
-_STATUS = {"Unset": 0, "Ok": 1, "Error": 2}
+_BATCH = "event_id div 40 AS _batch"
 
 
-def _value(**kinds: Column) -> Column:
-    """A wire value; absent kinds are left out of the JSON text."""
-    types = {"stringValue": "string", "intValue": "string", "boolValue": "boolean"}
-    return F.struct(
-        *[kinds.get(k, F.lit(None)).cast(t).alias(k) for k, t in types.items()]
-    )
-
-
-def _kv(key: str, value: Column) -> Column:
-    return F.struct(F.lit(key).alias("key"), value.alias("value"))
+def _struct(**fields: str) -> str:
+    return "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in fields.items()) + ")"
 
 
-def _string_kv(key: str, value: Column) -> Column:
-    return _kv(key, _value(stringValue=value))
+def _kv(key: str, kind: str, value: str) -> str:
+    """A key with one value; the other value kinds are NULL and left out of the JSON."""
+    kinds = {"stringValue": "STRING", "intValue": "STRING", "boolValue": "BOOLEAN"}
+    values = {k: f"CAST({value if k == kind else 'NULL'} AS {t})" for k, t in kinds.items()}
+    return _struct(key=f"'{key}'", value=_struct(**values))
 
 
-def _int_kv(key: str, value: Column) -> Column:
-    return _kv(key, _value(intValue=value))
+def _attrs(*kvs: str) -> str:
+    return f"array({', '.join(kvs)})"
 
 
-def _code(c: str, codes: dict[str, int]) -> Column:
-    out = F.lit(None).cast("int")
-    for name, code in codes.items():
-        out = F.when(F.col(c) == name, F.lit(code)).otherwise(out)
-    return out
+def _digits(c: str) -> str:
+    return f"CAST({c} AS STRING)"
 
 
 def _write(lines: DataFrame, path: str, files: int) -> str:
@@ -51,79 +39,74 @@ def _write(lines: DataFrame, path: str, files: int) -> str:
 
 
 def _lines(
-    rows: DataFrame,
-    record: Column,
-    resource: list[Column],
-    names: tuple[str, str, str],
-    keys: list[str],
+    rows: DataFrame, record: str, resource: str, names: tuple[str, str, str], keys: list[str]
 ) -> DataFrame:
     """Rows to one JSON line per batch."""
     resources, scopes, records = names
-    scope = F.struct(F.lit("events").alias("name"), F.lit("1").alias("version"))
-    per_resource = rows.groupBy(_BATCH, *keys).agg(F.collect_list(record).alias("_records"))
-    entry = F.struct(
-        F.struct(F.array(*resource).alias("attributes")).alias("resource"),
-        F.array(F.struct(scope.alias("scope"), F.col("_records").alias(records))).alias(scopes),
+    scope = _struct(name="'events'", version="'1'")
+    entry = _struct(
+        resource=_struct(attributes=resource),
+        **{scopes: f"array({_struct(scope=scope, **{records: '_records'})})"},
     )
-    return per_resource.groupBy(_BATCH).agg(F.collect_list(entry).alias(resources)).select(
-        F.to_json(F.struct(resources)).alias("value")
+    return (
+        rows.groupBy("_batch", *keys)
+        .agg(F.expr(f"collect_list({record}) AS _records"))
+        .groupBy("_batch")
+        .agg(F.expr(f"collect_list({entry}) AS {resources}"))
+        .selectExpr(f"to_json(struct({resources})) AS value")
     )
 
 
 def write_log_batches(spark: SparkSession, sf_dir: str, path: str, files: int = 4) -> str:
-    rows = inputs.logs(spark, sf_dir, "event_id").withColumn(_BATCH, div("event_id", 40))
-    record = F.struct(
-        F.col("TimestampNanos").cast("string").alias("timeUnixNano"),
-        F.col("ObservedTimestampNanos").cast("string").alias("observedTimeUnixNano"),
-        F.col("SeverityNumber").alias("severityNumber"),
-        F.col("SeverityText").alias("severityText"),
-        _value(stringValue=F.col("Body")).alias("body"),
-        F.array(
-            _string_kv("event_type", F.col("LogAttributes")["event_type"]),
-            _int_kv("k", F.col("LogAttributes")["k"]),
-            _kv("bare", _value(boolValue=F.col("TraceId") == "")),
-        ).alias("attributes"),
-        F.col("TraceId").alias("traceId"),
-        F.col("SpanId").alias("spanId"),
+    rows = inputs.logs(spark, sf_dir, _BATCH)
+    record = _struct(
+        timeUnixNano=_digits("TimestampNanos"),
+        observedTimeUnixNano=_digits("ObservedTimestampNanos"),
+        severityNumber="SeverityNumber",
+        severityText="SeverityText",
+        body=_struct(stringValue="Body"),
+        attributes=_attrs(
+            _kv("event_type", "stringValue", "LogAttributes['event_type']"),
+            _kv("k", "intValue", "LogAttributes['k']"),
+            _kv("bare", "boolValue", "TraceId = ''"),
+        ),
+        traceId="TraceId",
+        spanId="SpanId",
+    )
+    resource = _attrs(
+        _kv("service.name", "stringValue", "ServiceName"),
+        _kv("service.version", "stringValue", "ServiceVersion"),
     )
-    resource = [
-        _string_kv("service.name", F.col("ServiceName")),
-        _string_kv("service.version", F.col("ServiceVersion")),
-    ]
     names = ("resourceLogs", "scopeLogs", "logRecords")
     lines = _lines(rows, record, resource, names, ["ServiceName", "ServiceVersion"])
     return _write(lines, path, files)
 
 
 def write_span_batches(spark: SparkSession, sf_dir: str, path: str, files: int = 4) -> str:
-    rows = inputs.spans(spark, sf_dir, "event_id").withColumn(_BATCH, div("event_id", 40))
-    span_events = F.transform(
-        "Events",
-        lambda e: F.struct(
-            e["TimestampNanos"].cast("string").alias("timeUnixNano"),
-            e["Name"].alias("name"),
-            F.array(_string_kv("exception.type", e["Attributes"]["exception.type"])).alias(
-                "attributes"
-            ),
-        ),
-    )
-    links = F.transform(
-        "Links", lambda x: F.struct(x["TraceId"].alias("traceId"), x["SpanId"].alias("spanId"))
+    rows = inputs.spans(spark, sf_dir, _BATCH)
+    event = _struct(
+        timeUnixNano=_digits("e.TimestampNanos"),
+        name="e.Name",
+        attributes=_attrs(_kv("exception.type", "stringValue", "e.Attributes['exception.type']")),
     )
-    record = F.struct(
-        F.col("TraceId").alias("traceId"),
-        F.col("SpanId").alias("spanId"),
-        F.col("ParentSpanId").alias("parentSpanId"),
-        F.col("SpanName").alias("name"),
-        _code("SpanKind", _KIND).alias("kind"),
-        F.col("TimestampNanos").cast("string").alias("startTimeUnixNano"),
-        (F.col("TimestampNanos") + F.col("Duration")).cast("string").alias("endTimeUnixNano"),
-        F.array(_int_kv("k", F.col("SpanAttributes")["k"])).alias("attributes"),
-        span_events.alias("events"),
-        links.alias("links"),
-        F.struct(_code("StatusCode", _STATUS).alias("code")).alias("status"),
+    link = _struct(traceId="x.TraceId", spanId="x.SpanId")
+    # Wire codes of span kinds and status codes.
+    kind = "CASE SpanKind WHEN 'Server' THEN 2 WHEN 'Client' THEN 3 ELSE 1 END"
+    status = "CASE StatusCode WHEN 'Ok' THEN 1 WHEN 'Error' THEN 2 ELSE 0 END"
+    record = _struct(
+        traceId="TraceId",
+        spanId="SpanId",
+        parentSpanId="ParentSpanId",
+        name="SpanName",
+        kind=kind,
+        startTimeUnixNano=_digits("TimestampNanos"),
+        endTimeUnixNano=_digits("TimestampNanos + Duration"),
+        attributes=_attrs(_kv("k", "intValue", "SpanAttributes['k']")),
+        events=f"transform(Events, e -> {event})",
+        links=f"transform(Links, x -> {link})",
+        status=_struct(code=status),
     )
-    resource = [_string_kv("service.name", F.col("ServiceName"))]
+    resource = _attrs(_kv("service.name", "stringValue", "ServiceName"))
     names = ("resourceSpans", "scopeSpans", "spans")
     return _write(_lines(rows, record, resource, names, ["ServiceName"]), path, files)
 
@@ -131,126 +114,97 @@ def write_span_batches(spark: SparkSession, sf_dir: str, path: str, files: int =
 # ---------------------------------------------------------------- metrics
 
 
-def _point(*fields: Column) -> Column:
-    attributes = F.transform(
-        F.map_entries("Attributes"),
-        lambda e: F.struct(
-            e["key"].alias("key"), F.struct(e["value"].alias("stringValue")).alias("value")
-        ),
+def _points(**fields: str) -> str:
+    attribute = _struct(key="e.key", value=_struct(stringValue="e.value"))
+    point = _struct(
+        attributes=f"transform(map_entries(Attributes), e -> {attribute})",
+        startTimeUnixNano=_digits("StartTimeUnixNanos"),
+        timeUnixNano=_digits("TimeUnixNanos"),
+        **fields,
     )
-    return F.struct(
-        attributes.alias("attributes"),
-        F.col("StartTimeUnixNanos").cast("string").alias("startTimeUnixNano"),
-        F.col("TimeUnixNanos").cast("string").alias("timeUnixNano"),
-        *fields,
-    )
-
+    return f"array({point})"
 
-def _points(*fields: Column) -> Column:
-    return F.array(_point(*fields)).alias("dataPoints")
 
+def _texts(c: str) -> str:
+    return f"transform({c}, n -> CAST(n AS STRING))"
 
-def _text(c: str, name: str) -> Column:
-    return F.col(c).cast("string").alias(name)
 
-
-def _exemplars() -> Column:
-    return F.transform(
-        "Exemplars",
-        lambda e: F.struct(
-            e["TimeUnixNanos"].cast("string").alias("timeUnixNano"),
-            e["Value"].alias("asDouble"),
-            e["SpanId"].alias("spanId"),
-            e["TraceId"].alias("traceId"),
-        ),
-    ).alias("exemplars")
-
-
-def _metric_line(rows: DataFrame, wire: str, body: Column) -> DataFrame:
+def _metric_lines(rows: DataFrame, wire: str, body: str) -> DataFrame:
     """One batch line per metric row."""
-    metric = F.struct(
-        F.col("MetricName").alias("name"),
-        F.col("MetricUnit").alias("unit"),
-        body.alias(wire),
+    metric = _struct(name="MetricName", unit="MetricUnit", **{wire: body})
+    scope = _struct(scope=_struct(name="'events'"), metrics=f"array({metric})")
+    entry = _struct(
+        resource=_struct(attributes=_attrs(_kv("service.name", "stringValue", "ServiceName"))),
+        scopeMetrics=f"array({scope})",
     )
-    entry = F.struct(
-        F.struct(
-            F.array(
-                F.struct(
-                    F.lit("service.name").alias("key"),
-                    F.struct(F.col("ServiceName").alias("stringValue")).alias("value"),
-                )
-            ).alias("attributes")
-        ).alias("resource"),
-        F.array(
-            F.struct(
-                F.struct(F.lit("events").alias("name")).alias("scope"),
-                F.array(metric).alias("metrics"),
-            )
-        ).alias("scopeMetrics"),
-    )
-    return rows.select(F.to_json(F.struct(F.array(entry).alias("resourceMetrics"))).alias("value"))
+    return rows.selectExpr(f"to_json(named_struct('resourceMetrics', array({entry}))) AS value")
 
 
 def write_metric_batches(spark: SparkSession, sf_dir: str, path: str, files: int = 4) -> str:
-    counts = F.transform("BucketCounts", lambda n: n.cast("string")).alias("bucketCounts")
-    positive = F.struct(
-        F.col("PositiveOffset").alias("offset"),
-        F.transform("PositiveBucketCounts", lambda n: n.cast("string")).alias("bucketCounts"),
-    )
-    quantiles = F.transform(
-        "ValueAtQuantiles",
-        lambda q: F.struct(q["Quantile"].alias("quantile"), q["Value"].alias("value")),
+    exemplar = _struct(
+        timeUnixNano=_digits("x.TimeUnixNanos"),
+        asDouble="x.Value",
+        spanId="x.SpanId",
+        traceId="x.TraceId",
     )
-    temporality = F.col("AggregationTemporality").alias("aggregationTemporality")
-    shared = [_text("Count", "count"), F.col("Sum").alias("sum")]
-    low_high = [F.col("Min").alias("min"), F.col("Max").alias("max")]
-    parts = [
-        _metric_line(
-            inputs.gauge(spark, sf_dir),
-            "gauge",
-            F.struct(_points(F.col("Value").alias("asDouble"), _exemplars())),
+    positive = _struct(offset="PositiveOffset", bucketCounts=_texts("PositiveBucketCounts"))
+    quantile = _struct(quantile="q.Quantile", value="q.Value")
+    temporality = {"aggregationTemporality": "AggregationTemporality"}
+    shared = {"count": _digits("Count"), "sum": "Sum"}
+    low_high = {"min": "Min", "max": "Max"}
+    bodies = {
+        "gauge": (
+            inputs.gauge,
+            {
+                "dataPoints": _points(
+                    asDouble="Value", exemplars=f"transform(Exemplars, x -> {exemplar})"
+                )
+            },
         ),
-        _metric_line(
-            inputs.sum_delta(spark, sf_dir),
-            "sum",
-            F.struct(
-                _points(F.col("Value").cast("bigint").cast("string").alias("asInt")),
-                temporality,
-                F.col("IsMonotonic").alias("isMonotonic"),
-            ),
+        "sum": (
+            inputs.sum_delta,
+            {
+                "dataPoints": _points(asInt=_digits("CAST(Value AS BIGINT)")),
+                **temporality,
+                "isMonotonic": "IsMonotonic",
+            },
         ),
-        _metric_line(
-            inputs.histogram(spark, sf_dir),
-            "histogram",
-            F.struct(
-                _points(
-                    *shared, counts, F.col("ExplicitBounds").alias("explicitBounds"), *low_high
+        "histogram": (
+            inputs.histogram,
+            {
+                "dataPoints": _points(
+                    **shared,
+                    bucketCounts=_texts("BucketCounts"),
+                    explicitBounds="ExplicitBounds",
+                    **low_high,
                 ),
-                temporality,
-            ),
+                **temporality,
+            },
         ),
-        _metric_line(
-            inputs.exp_histogram(spark, sf_dir),
-            "exponentialHistogram",
-            F.struct(
-                _points(
-                    *shared,
-                    F.col("Scale").alias("scale"),
-                    _text("ZeroCount", "zeroCount"),
-                    positive.alias("positive"),
-                    *low_high,
+        "exponentialHistogram": (
+            inputs.exp_histogram,
+            {
+                "dataPoints": _points(
+                    **shared,
+                    scale="Scale",
+                    zeroCount=_digits("ZeroCount"),
+                    positive=positive,
+                    **low_high,
                 ),
-                temporality,
-            ),
+                **temporality,
+            },
         ),
-        _metric_line(
-            inputs.summary(spark, sf_dir),
-            "summary",
-            F.struct(_points(*shared, quantiles.alias("quantileValues"))),
+        "summary": (
+            inputs.summary,
+            {
+                "dataPoints": _points(
+                    **shared, quantileValues=f"transform(ValueAtQuantiles, q -> {quantile})"
+                )
+            },
         ),
-    ]
-    lines = parts[0]
-    for part in parts[1:]:
-        lines = lines.unionByName(part)
+    }
+    lines = None
+    for wire, (source, body) in bodies.items():
+        part = _metric_lines(source(spark, sf_dir), wire, _struct(**body))
+        lines = part if lines is None else lines.unionByName(part)
     return _write(lines, path, files)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime, timedelta
+from functools import partial
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,7 @@ from signalbarn.functions.columns import (
     ttl_interval,
     ttl_seconds,
 )
+from signalbarn.functions.jobs import run_together
 from signalbarn.operators.rows import point_rejects, route_metrics
 from signalbarn.schemas import METRIC_TABLES, TABLES
 
@@ -129,9 +131,12 @@ def write_metrics(records: DataFrame, root: str, mode: str = "append") -> None:
     """
     kept = records.persist(StorageLevel.DISK_ONLY)
     try:
-        for table, rows in route_metrics(kept).items():
-            write_table(rows, table, metric_path(root, table), mode)
-        point_rejects(kept).write.mode(mode).parquet(f"{root}/rejects")
+        jobs = [
+            partial(write_table, rows, table, metric_path(root, table), mode)
+            for table, rows in route_metrics(kept).items()
+        ]
+        jobs.append(partial(point_rejects(kept).write.mode(mode).parquet, f"{root}/rejects"))
+        run_together(jobs)
     finally:
         kept.unpersist()
 

@@ -9,11 +9,13 @@ watermark: late rows land in the partition of their own day.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from signalbarn.functions.jobs import run_together
 from signalbarn.operators.rows import (
     log_rejects,
     point_rejects,
@@ -87,9 +89,12 @@ def stream_ingest(
         kept = batches.persist(StorageLevel.DISK_ONLY)
         try:
             records = flatten(kept, signal)
-            write_batch(to_rows(records), table, f"{target}/rows", batch)
-            _write_rejects(
-                [rejected_lines(kept, signal), rejects(records)], f"{target}/rejects", batch
+            bad = [rejected_lines(kept, signal), rejects(records)]
+            run_together(
+                [
+                    partial(write_batch, to_rows(records), table, f"{target}/rows", batch),
+                    partial(_write_rejects, bad, f"{target}/rejects", batch),
+                ]
             )
         finally:
             kept.unpersist()
@@ -112,13 +117,12 @@ def stream_route_metrics(
         kept = batches.persist(StorageLevel.DISK_ONLY)
         try:
             records = flatten(kept, "metrics")
-            for table, rows in route_metrics(records).items():
-                write_batch(rows, table, metric_path(target, table), batch)
-            _write_rejects(
-                [rejected_lines(kept, "metrics"), point_rejects(records)],
-                f"{target}/rejects",
-                batch,
-            )
+            jobs = [
+                partial(write_batch, rows, table, metric_path(target, table), batch)
+                for table, rows in route_metrics(records).items()
+            ]
+            bad = [rejected_lines(kept, "metrics"), point_rejects(records)]
+            run_together([*jobs, partial(_write_rejects, bad, f"{target}/rejects", batch)])
         finally:
             kept.unpersist()
 
