@@ -30,15 +30,28 @@ def read_batch_stream(
     return reader.json(path)
 
 
-def rejected_lines(batches: DataFrame, signal: str) -> DataFrame:
-    """Lines that could not be read as a batch, whole, for repair and replay."""
-    # The resource column keeps Spark from reading the corrupt column alone.
-    return batches.filter(F.col(CORRUPT).isNotNull()).select(
+def _as_rejects(lines: DataFrame, raw: str) -> DataFrame:
+    return lines.select(
         F.lit("line").alias("Level"),
         F.lit("malformed batch line").alias("Reason"),
-        F.col(CORRUPT).alias("Raw"),
-        F.size(F.coalesce(BATCHES[signal].resources, F.array())).alias("Resources"),
-    ).drop("Resources")
+        F.col(raw).alias("Raw"),
+    )
+
+
+def rejected_lines(spark: SparkSession, signal: str, path: str) -> DataFrame:
+    """Lines that could not be read as a batch, whole, for repair and replay.
+
+    Spark does not answer queries on the corrupt column of a JSON file alone,
+    so the lines are read as text and parsed by the same schema.
+    """
+    parsed = F.from_json("value", BATCHES[signal].ddl, {"mode": "PERMISSIVE"})
+    lines = spark.read.text(path).filter(F.trim("value") != "").withColumn("_batch", parsed)
+    return _as_rejects(lines.filter(F.col(f"_batch.{CORRUPT}").isNotNull()), "value")
+
+
+def malformed(batches: DataFrame) -> DataFrame:
+    """The same lines from batches that are persisted or stored."""
+    return _as_rejects(batches.filter(F.col(CORRUPT).isNotNull()), CORRUPT)
 
 
 def flatten(batches: DataFrame, signal: str) -> DataFrame:

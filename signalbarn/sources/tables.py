@@ -136,7 +136,7 @@ def write_metrics(records: DataFrame, root: str, mode: str = "append") -> None:
             for table, rows in route_metrics(kept).items()
         ]
         jobs.append(partial(point_rejects(kept).write.mode(mode).parquet, f"{root}/rejects"))
-        run_together(jobs)
+        run_together(records.sparkSession, jobs)
     finally:
         kept.unpersist()
 

@@ -25,7 +25,7 @@ from signalbarn.operators.rows import (
     to_span_rows,
 )
 from signalbarn.operators.traces import trace_id_ts
-from signalbarn.sources.batches import flatten, read_batch_stream, rejected_lines
+from signalbarn.sources.batches import flatten, malformed, read_batch_stream
 from signalbarn.sources.tables import metric_path, table_schema, write_batch
 
 Trigger = dict
@@ -89,12 +89,13 @@ def stream_ingest(
         kept = batches.persist(StorageLevel.DISK_ONLY)
         try:
             records = flatten(kept, signal)
-            bad = [rejected_lines(kept, signal), rejects(records)]
+            bad = [malformed(kept), rejects(records)]
             run_together(
+                batches.sparkSession,
                 [
                     partial(write_batch, to_rows(records), table, f"{target}/rows", batch),
                     partial(_write_rejects, bad, f"{target}/rejects", batch),
-                ]
+                ],
             )
         finally:
             kept.unpersist()
@@ -121,8 +122,9 @@ def stream_route_metrics(
                 partial(write_batch, rows, table, metric_path(target, table), batch)
                 for table, rows in route_metrics(records).items()
             ]
-            bad = [rejected_lines(kept, "metrics"), point_rejects(records)]
-            run_together([*jobs, partial(_write_rejects, bad, f"{target}/rejects", batch)])
+            bad = [malformed(kept), point_rejects(records)]
+            jobs.append(partial(_write_rejects, bad, f"{target}/rejects", batch))
+            run_together(batches.sparkSession, jobs)
         finally:
             kept.unpersist()
 
