@@ -12,21 +12,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_RANGE_BITS = 10
+# Ranges per doubling of the value: each is about 0.07 % wide.
+_RANGES_PER_OCTAVE = 1024
 
 
 def value_range(value: Column) -> Column:
     """Order-preserving coarse range of a non-negative whole number.
 
-    Values with the same bit length share an octave; each octave is cut into
-    2**10 equal ranges. Only integer operations are used.
+    Only the order matters: a larger value never gets a smaller range, since
+    rounding and Java's logarithm never swap two numbers.
     """
-    bits = F.length(F.bin(value))
-    shift = F.greatest(bits - F.lit(_RANGE_BITS + 1), F.lit(0))
-    # shiftright takes a literal count only in the Column API, hence the SQL name.
-    return shift.cast("bigint") * F.lit(1 << (_RANGE_BITS + 1)) + F.call_function(
-        "shiftright", value, shift
-    )
+    octaves = F.log2(value.cast("double") + 1.0)
+    return F.floor(octaves * _RANGES_PER_OCTAVE).cast("bigint")
 
 
 def exact_quantiles(

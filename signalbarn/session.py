@@ -46,16 +46,22 @@ def local_session(cores: int | str = 8, app: str = "signalbarn", **extra: str) -
     return builder.getOrCreate()
 
 
+_local_folder: str | None = None
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for written intermediate tables.
 
     Read from the session (`spark.checkpoint.dir`). Only where the session has
-    none, as in tests, a fresh local folder is set.
+    none, as in tests on one machine, a fresh local folder is used.
     """
+    global _local_folder
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="signalbarn-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        _local_folder = _local_folder or tempfile.mkdtemp(prefix="signalbarn-")
+        folder = _local_folder
     return folder.rstrip("/")
 
 

@@ -226,7 +226,7 @@ def expired_partitions(df: DataFrame, table: str, ttl: timedelta, now: datetime)
     """
     spec = TABLES[table]
     if ttl <= timedelta(0):
-        return df.select(spec.day, F.col(spec.time).alias("LastTime")).limit(0)
+        return df.select(spec.day, F.col(spec.time).alias("LastTime")).filter(F.lit(False))
     latest = (now - timedelta(seconds=ttl_seconds(ttl))).date()
     return (
         df.filter(F.col(spec.day) <= F.lit(latest))
