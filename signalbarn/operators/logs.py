@@ -65,18 +65,19 @@ def logs_with_spans(logs: DataFrame, spans: DataFrame, how: str = "inner") -> Da
     how = {"semi": "left_semi", "anti": "left_anti"}.get(how, how)
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
+    keep_all = how in ("left", "left_anti")
     right = spans.filter(with_ids()).select(
         F.col("TraceId").alias("_trace"),
-        id_key().alias("_span"),
+        (id_key() if keep_all else F.col("SpanId")).alias("_span"),
         "SpanName",
         "SpanKind",
         F.col("ServiceName").alias("SpanService"),
         "StatusCode",
         "Duration",
     )
-    if how in ("inner", "left_semi"):
-        left = logs.filter(with_ids()).withColumn("_key", id_key())
-    else:
+    if keep_all:
         left = logs.withColumn("_key", id_key_or_none())
+    else:
+        left = logs.filter(with_ids()).withColumn("_key", F.col("SpanId"))
     on = (F.col("TraceId") == F.col("_trace")) & (F.col("_key") == F.col("_span"))
     return left.join(right, on, how).drop("_trace", "_span", "_key")

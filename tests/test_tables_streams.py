@@ -37,7 +37,7 @@ def test_a_large_day_is_split_over_files(spark, out):
     spark.conf.set(size, "200KB")
     try:
         one_day = inputs.spans(spark, SF_SMALL).withColumn("Timestamp", F.lit(datetime(2024, 1, 1)))
-        many = one_day.crossJoin(spark.range(30)).drop("id").repartition(8)
+        many = one_day.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(30)))).repartition(8)
         S.write_traces(many, out)
     finally:
         spark.conf.set(size, old)
@@ -165,9 +165,9 @@ def test_lookup_stream_partial_rows(spark, out):
             [("t1", 90), ("t3", 91)],
         ]
     ):
-        df = spark.createDataFrame(rows, "TraceId string, second bigint")
+        df = spark.createDataFrame(rows, "TraceId string, second bigint").withColumn("one", F.lit(1))
         wide = inputs.spans(spark, SF_SMALL).limit(1).drop("TraceId", "TimestampNanos", "Timestamp")
-        full = df.crossJoin(F.broadcast(wide)).withColumns(
+        full = df.join(wide.withColumn("one", F.lit(1)), "one").withColumns(
             {
                 "TimestampNanos": F.col("second") * 1_000_000_000 + 7,
                 "Timestamp": F.timestamp_seconds("second"),

@@ -190,6 +190,12 @@ def test_token_at_the_end_of_a_long_text(spark):
     assert L.body_has_token(df, "needle").count() == 1
 
 
+def test_severity_ranges(spark):
+    df = spark.createDataFrame([(n,) for n in range(1, 25)], "SeverityNumber int")
+    assert L.severity_at_least(df, 17).count() == 8
+    assert L.severity_between(df, 9, 12).count() == 4
+
+
 def test_attributes(spark):
     df = spark.sql("SELECT map('a', '1', 'b', '') AS m")
     row = df.select(
