@@ -780,7 +780,7 @@ def slowest_spans(spark, sf_dir):
 def stream_logs(spark, sf_dir):
     source = wire.write_log_batches(spark, sf_dir, scratch_dir(spark, "stream-logs-in"))
     target, state = scratch_dir(spark, "stream-logs-out"), scratch_dir(spark, "stream-logs-state")
-    stream_ingest(spark, "logs", source, target, state, max_files=2).awaitTermination()
+    stream_ingest(spark, "logs", source, target, state, max_files=4).awaitTermination()
     return _log_view(S.read_table(spark, "logs", f"{target}/rows"))
 
 
@@ -789,7 +789,7 @@ def stream_traces(spark, sf_dir):
     source = wire.write_span_batches(spark, sf_dir, scratch_dir(spark, "stream-traces-in"))
     target = scratch_dir(spark, "stream-traces-out")
     state = scratch_dir(spark, "stream-traces-state")
-    stream_ingest(spark, "traces", source, target, state, max_files=2).awaitTermination()
+    stream_ingest(spark, "traces", source, target, state, max_files=4).awaitTermination()
     return _span_view(S.read_table(spark, "traces", f"{target}/rows"))
 
 
@@ -798,7 +798,7 @@ def stream_metrics(spark, sf_dir):
     source = wire.write_metric_batches(spark, sf_dir, scratch_dir(spark, "stream-metrics-in"))
     root = scratch_dir(spark, "stream-metrics-out")
     state = scratch_dir(spark, "stream-metrics-state")
-    stream_route_metrics(spark, source, root, state, max_files=2).awaitTermination()
+    stream_route_metrics(spark, source, root, state, max_files=4).awaitTermination()
     return _metric_view(
         {t: S.read_table(spark, t, S.metric_path(root, t)) for t in METRIC_TABLES}
     )

@@ -57,7 +57,7 @@ def _lines(
     )
 
 
-def write_log_batches(spark: SparkSession, sf_dir: str, path: str, files: int = 4) -> str:
+def write_log_batches(spark: SparkSession, sf_dir: str, path: str, files: int = 8) -> str:
     rows = inputs.logs(spark, sf_dir, _BATCH)
     record = _struct(
         timeUnixNano=_digits("TimestampNanos"),
@@ -82,7 +82,7 @@ def write_log_batches(spark: SparkSession, sf_dir: str, path: str, files: int =
     return _write(lines, path, files)
 
 
-def write_span_batches(spark: SparkSession, sf_dir: str, path: str, files: int = 4) -> str:
+def write_span_batches(spark: SparkSession, sf_dir: str, path: str, files: int = 8) -> str:
     rows = inputs.spans(spark, sf_dir, _BATCH)
     event = _struct(
         timeUnixNano=_digits("e.TimestampNanos"),
@@ -140,7 +140,7 @@ def _metric_lines(rows: DataFrame, wire: str, body: str) -> DataFrame:
     return rows.selectExpr(f"to_json(named_struct('resourceMetrics', array({entry}))) AS value")
 
 
-def write_metric_batches(spark: SparkSession, sf_dir: str, path: str, files: int = 4) -> str:
+def write_metric_batches(spark: SparkSession, sf_dir: str, path: str, files: int = 8) -> str:
     exemplar = _struct(
         timeUnixNano=_digits("x.TimeUnixNanos"),
         asDouble="x.Value",
