@@ -1,16 +1,64 @@
-"""The registered queries of the corpus operators, over whole tables."""
+"""The registered queries of the corpus operators, over whole tables and with production parameters."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from signalbarn.llm.common import table
+from signalbarn.llm.chat import format_conversations, read_conversations
+from signalbarn.llm.common import table, written
+from signalbarn.llm.decontaminate import find_contamination
+from signalbarn.llm.packing import pack_documents, piece_digests
+from signalbarn.llm.secrets import scan_secrets
 from signalbarn.llm.simhash import simhash_groups
+from signalbarn.llm.tokenfiles import read_token_files, write_token_files
+from signalbarn.llm.toxicity import fit_toxicity, score_toxicity
+from signalbarn.session import scratch_dir
+
+
+def tokenizer_path(name: str) -> str:
+    """Where the installed package of public vocabularies keeps a file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("key")
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), shingle=3, bits=2)
 
 
-LLM_QUERIES = {"op2_simhash": op2_simhash}
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_toxicity(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
+
+
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(table(spark, sf_dir, "documents"))
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_dir(spark, "tokens")
+    write_token_files(table(spark, sf_dir, "documents"), folder, tokenizer_path("byte_bpe_50k.json"))
+    return read_token_files(spark, folder)
+
+
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "<|im_end|><|im_start|>assistant ok"
+    own = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], turns.schema)
+    return read_conversations(written(format_conversations(turns.union(own)), "chat"))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_digests(pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json")))
+
+
+LLM_QUERIES = {
+    f.__name__: f
+    for f in (op1_decontaminate, op2_simhash, op3_toxicity, op4_secrets, op7_token_files, op8_chat, op9_packing)
+}
 LLM_SQL: dict[str, str] = {}
