@@ -37,6 +37,15 @@ def small_or_shuffled(lookup: DataFrame, rows: int = BROADCAST_ROWS) -> DataFram
     return F.broadcast(lookup) if lookup.limit(rows + 1).count() <= rows else lookup
 
 
+def bound(value: Column, use) -> Column:
+    """use(value) with the value computed once per row, also where `use` asks for it inside a lambda.
+
+    The optimizer may put a column's expression in the place of its name, and
+    inside a lambda that means once per element.
+    """
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def document_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     """Tells rows apart that share an id but not the text. Equal rows share a key and get equal results."""
     return F.struct(F.col(doc_id).alias("id"), F.xxhash64(text).alias("hash"))

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from signalbarn.llm.common import document_key, lower_ascii, small_or_shuffled, written
+from signalbarn.llm.common import bound, document_key, lower_ascii, small_or_shuffled, written
 
 WINDOW = 13
 GRAM = 5
@@ -33,76 +33,86 @@ def words_of(text: Column) -> Column:
     return F.coalesce(words, F.array().cast("array<string>"))
 
 
+def _runs(n: Column, run: int, at) -> Column:
+    """at(i) for i = 1 up to the number of runs of `run` among n; none if there are fewer."""
+    last = n - run + 1
+    return F.when(last > 0, F.transform(F.sequence(F.lit(1), last), at)).otherwise(F.array().cast("array<bigint>"))
+
+
 def _hashes(words: Column, gram: int) -> Column:
     """A hash of each `gram` consecutive words."""
-    last = F.size(words) - gram + 1
-    return F.when(last > 0, F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.slice(words, i, gram)))).otherwise(
-        F.array().cast("array<bigint>")
-    )
+    return bound(words, lambda w: _runs(F.size(w), gram, lambda i: F.xxhash64(F.slice(w, i, gram))))
 
 
-def _least(hashes: Column, run: int) -> Column:
-    """The least hash of each `run` consecutive ones."""
-    if run == 1:
-        return hashes
-    last = F.size(hashes) - run + 1
-    return F.when(last > 0, F.transform(F.sequence(F.lit(1), last), lambda i: F.array_min(F.slice(hashes, i, run)))).otherwise(
-        F.array().cast("array<bigint>")
-    )
+def _anchors(words: Column, gram: int, run: int) -> Column:
+    """The kept hashes of a text, with the words that windows around them can hold.
+
+    `first` is the place of the first of these words, of which `skip` stand
+    before the hashed ones.
+    """
+
+    def kept(s: Column) -> Column:
+        """s holds words, hashes and the least hash of each run; place i is in the runs i - run + 1 to i."""
+        begin = lambda i: F.greatest(i - run + 1, F.lit(1))
+        places = F.filter(
+            F.sequence(F.lit(1), F.size(s["hashes"])),
+            lambda i: F.array_contains(F.slice(s["least"], begin(i), i - begin(i) + 1), F.element_at(s["hashes"], i)),
+        )
+        return F.transform(
+            places,
+            lambda i: F.struct(
+                F.element_at(s["hashes"], i).alias("hash"),
+                (begin(i) - 1).alias("first"),
+                (i - begin(i)).alias("skip"),
+                F.slice(s["words"], begin(i), i - begin(i) + gram + run - 1).alias("words"),
+            ),
+        )
 
+    def with_least(s: Column) -> Column:
+        least = _runs(F.size(s["hashes"]), run, lambda i: F.array_min(F.slice(s["hashes"], i, run)))
+        return bound(F.struct(s["words"].alias("words"), s["hashes"].alias("hashes"), least.alias("least")), kept)
 
-def _windows(items: DataFrame, window: int) -> tuple[DataFrame, list[int]]:
-    """Distinct windows with the ids of their items, and the lengths that occur.
+    def with_hashes(w: Column) -> Column:
+        hashes = _runs(F.size(w), gram, lambda i: F.xxhash64(F.slice(w, i, gram)))
+        return bound(F.struct(w.alias("words"), hashes.alias("hashes")), with_least)
 
-    Columns: size, words, text, items.
-    """
+    return F.when(F.size(words) >= gram + run - 1, bound(words, with_hashes))
+
+
+def _windows(items: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
+    """Distinct windows (size, words, text, group) and the groups (group, items) of items that share windows."""
     own = items.select(F.col("item_id"), words_of(F.col("text")).alias("words")).where(F.size("words") > 0)
     size = F.least(F.size("words"), F.lit(window))
     at = F.explode(F.sequence(F.lit(1), F.size("words") - size + 1))
     own = own.select("item_id", "words", size.alias("size"), at.alias("at"))
     own = own.select("item_id", "size", F.slice("words", F.col("at"), F.col("size")).alias("words"))
-    own = own.withColumn("text", F.array_join("words", " "))
-    windows = written(own.groupBy("size", "words", "text").agg(F.collect_set("item_id").alias("items")), "windows")
-    return windows, _sizes(windows)
+    shared = own.groupBy("size", "words").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
+    shared = written(shared.withColumn("text", F.array_join("words", " ")), "windows")
+    groups = shared.select("items").distinct().withColumn("group", F.monotonically_increasing_id())
+    groups = written(groups, "items")
+    return written(shared.join(groups, "items").drop("items"), "windows"), groups
 
 
 def _sizes(windows: DataFrame) -> list[int]:
     return sorted(r[0] for r in windows.select("size").distinct().collect())  # at most WINDOW numbers
 
 
-def window_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """Rows (key, start, size, items): where documents hold windows of the benchmark; start counts words from 0."""
-    windows, sizes = _windows(items, window)
+def window_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
+    """Where documents hold windows of the benchmark, and the groups of items.
+
+    Rows (key, start, size, group), written once; start counts words from 0.
+    Rows (group, items) with the items whose windows these are.
+    """
+    windows, groups = _windows(items, window)
     docs = docs.select(document_key().alias("key"), words_of(F.col("text")).alias("words"))
     found = None
-    for size in sizes:
+    for size in _sizes(windows):
         own = windows.where(F.col("size") == size)
         k = min(gram, size)
         run = size - k + 1
         # all words of a window are one run, whose least hash is the only one kept
         kept = own.select(F.array_min(_hashes(F.col("words"), k)).alias("hash")).distinct()
-        hashed = docs.withColumn("hashes", _hashes(F.col("words"), k))
-        hashed = hashed.withColumn("least", _least(F.col("hashes"), run))
-
-        def anchors(words: Column, hashes: Column, least: Column, k=k, run=run) -> Column:
-            """Kept hashes with the words that windows around them can hold; `skip` words stand before the hashed ones."""
-            places = F.filter(
-                F.sequence(F.lit(1), F.size(hashes)),
-                lambda i: F.array_contains(
-                    F.slice(least, F.greatest(i - run + 1, F.lit(1)), F.least(i, F.lit(run))), F.element_at(hashes, i)
-                ),
-            )
-            return F.transform(
-                places,
-                lambda i: F.struct(
-                    F.element_at(hashes, i).alias("hash"),
-                    (F.greatest(i - run + 1, F.lit(1)) - 1).alias("first"),
-                    (i - F.greatest(i - run + 1, F.lit(1))).alias("skip"),
-                    F.slice(words, F.greatest(i - run + 1, F.lit(1)), (i - F.greatest(i - run + 1, F.lit(1))) + k + run - 1).alias("words"),
-                ),
-            )
-
-        at = hashed.where(F.size("least") > 0).select("key", F.explode(anchors(F.col("words"), F.col("hashes"), F.col("least"))).alias("a"))
+        at = docs.select("key", F.explode(_anchors(F.col("words"), k, run)).alias("a"))
         at = at.select("key", "a.*").join(small_or_shuffled(kept), "hash", "left_semi")
         # windows that start at most `run - 1` words before the hashed words and end within the words at hand
         starts = F.sequence(F.lit(0), F.least(F.col("skip"), F.size("words") - size))
@@ -110,13 +120,14 @@ def window_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram: i
         each = each.select(
             "key", (F.col("first") + F.col("s")).alias("start"), F.array_join(F.slice("words", F.col("s") + 1, size), " ").alias("text")
         ).distinct()
-        hits = each.join(small_or_shuffled(own.select("text", "items")), "text").select(
-            "key", "start", F.lit(size).alias("size"), "items"
+        hits = each.join(small_or_shuffled(own.select("text", "group")), "text").select(
+            "key", "start", F.lit(size).alias("size"), "group"
         )
         found = hits if found is None else found.union(hits)
     if found is None:
-        return docs.select("key", F.lit(0).alias("start"), F.lit(0).alias("size"), F.array(F.lit(0)).alias("items")).limit(0)
-    return found
+        number = F.lit(0).cast("long")
+        found = docs.select("key", F.lit(0).alias("start"), F.lit(0).alias("size"), number.alias("group")).limit(0)
+    return written(found, "hits"), groups
 
 
 def _covered(spans: Column) -> Column:
@@ -138,10 +149,11 @@ def find_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW,
     with another text are judged each by its own text. Null item ids are not
     counted as items, but their words are hit. Other columns are not read.
     """
-    hits = window_hits(docs, items, window, gram)
+    hits, groups = window_hits(docs, items, window, gram)
     spans = hits.select("key", "start", (F.col("start") + F.col("size")).alias("end")).distinct()
     covered = spans.groupBy("key").agg(_covered(F.array_sort(F.collect_list(F.struct("start", "end")))).alias("n_hit"))
-    whose = hits.select("key", F.explode("items").alias("item")).where("item is not null").distinct()
+    whose = hits.select("key", "group").distinct().join(small_or_shuffled(groups), "group")
+    whose = whose.select("key", F.explode("items").alias("item")).distinct()
     whose = whose.groupBy("key").agg(F.array_sort(F.collect_list(F.col("item").cast("string"))).alias("items"))
     judged = covered.join(whose, "key", "left")
     own = docs.select(F.col("doc_id"), document_key().alias("key"), F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
