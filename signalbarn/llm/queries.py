@@ -7,11 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from signalbarn.llm.chat import format_conversations, read_conversations
 from signalbarn.llm.common import table, written
 from signalbarn.llm.decontaminate import find_contamination
+from signalbarn.llm.neighbours import nearest
 from signalbarn.llm.packing import pack_documents, piece_digests
 from signalbarn.llm.secrets import scan_secrets
 from signalbarn.llm.simhash import simhash_groups
 from signalbarn.llm.tokenfiles import read_token_files, write_token_files
 from signalbarn.llm.toxicity import fit_toxicity, score_toxicity
+from signalbarn.llm.urls import judge_urls
+from signalbarn.llm.warc import read_warc, write_warc
 from signalbarn.session import scratch_dir
 
 
@@ -40,6 +43,16 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"))
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_dir(spark, "warc")
+    write_warc(table(spark, sf_dir, "pages"), folder)
+    return read_warc(spark, folder)
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_dir(spark, "tokens")
     write_token_files(table(spark, sf_dir, "documents"), folder, tokenizer_path("byte_bpe_50k.json"))
@@ -57,8 +70,24 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json")))
 
 
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
 LLM_QUERIES = {
     f.__name__: f
-    for f in (op1_decontaminate, op2_simhash, op3_toxicity, op4_secrets, op7_token_files, op8_chat, op9_packing)
+    for f in (
+        op1_decontaminate,
+        op2_simhash,
+        op3_toxicity,
+        op4_secrets,
+        op5_urls,
+        op6_warc,
+        op7_token_files,
+        op8_chat,
+        op9_packing,
+        op10_neighbours,
+    )
 }
+#: None of the ten can be told in SQL whole and in time; each has a brute-force counterpart in tests/llm.
 LLM_SQL: dict[str, str] = {}
