@@ -1,12 +1,28 @@
-"""The training-corpus pipeline: stages over `documents`, each written and read again."""
+"""The training-corpus pipeline: stages over `documents`, each written and read again.
+
+Toxic documents go, one document of each group of near copies stays,
+contaminated documents go, secrets are replaced inside texts, and what is left
+is packed into sequences of token ids.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalbarn.llm.common import table, written
+from signalbarn.llm.common import document_key, table, written
+from signalbarn.llm.decontaminate import find_contamination
+from signalbarn.llm.packing import pack_documents
+from signalbarn.llm.queries import tokenizer_path
+from signalbarn.llm.secrets import fit_markov, redacted, with_spans
 from signalbarn.llm.simhash import keep_first, simhash_groups
+from signalbarn.llm.toxicity import THRESHOLD, fit_toxicity, toxicity_column
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose score is below the threshold."""
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels"))
+    return docs.where(toxicity_column(spark, model) < THRESHOLD)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,8 +30,36 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_first(docs, simhash_groups(docs, shingle=3, bits=2))
 
 
-STAGES = [("simhash", near_copies)]
-#: No stage before packing can be told in SQL: scores, trees and token ids.
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold too much of the benchmark go."""
+    bad = find_contamination(docs, table(spark, sf_dir, "benchmark")).where("contaminated")
+    bad = bad.select(F.col("key.id").alias("bad_id"), F.col("key.hash").alias("bad_hash"))
+    key = document_key()
+    return docs.join(bad, key["id"].eqNullSafe(F.col("bad_id")) & (key["hash"] == F.col("bad_hash")), "left_anti")
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents stay; secrets in their texts are replaced and n_chars is counted anew."""
+    found = with_spans(docs, fit_markov(docs), prefix="secrets_")
+    clean = found.withColumn("text", redacted(F.col("text"), F.col("secrets_spans")))
+    if "n_chars" in docs.columns:
+        clean = clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return clean.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their token ids and places in sequences."""
+    return pack_documents(docs, tokenizer_path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("toxicity", toxicity),
+    ("simhash", near_copies),
+    ("decontamination", decontamination),
+    ("secrets", secrets),
+    ("packing", packing),
+]
+#: Scores, trees and token ids cannot be told in SQL.
 ORACLE_SQL = None
 
 

@@ -3,8 +3,8 @@
 Everything is column expressions; a text never leaves its row. The models are
 tables of character pairs: how random strings and ordinary identifiers go on
 after each character. Their labelled samples come from the documents themselves:
-what the fixed patterns find is random, all other long strings are ordinary.
-Each string counts as often as it occurs. A string is a secret if its mean log
+what the fixed patterns find is random, other long strings that are spelled as
+words are ordinary. Each string counts as often as it occurs. A string is a secret if its mean log
 likelihood ratio per character reaches a threshold.
 """
 
@@ -28,9 +28,13 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
 #: Row and column of the table: 1.. for the alphabet's characters, then the end; row 0 is the start.
 SIZE = len(ALPHABET) + 2
 LEAST_LABELLED, LEAST_JUDGED = 12, 20
+#: What labels a string as ordinary: words of letters, joined by single signs.
+WORDLIKE = r"^[A-Z]?[a-z]+([_/-][A-Z]?[a-z]+)*$"
 #: Share of the models that is spread evenly over all characters.
 SPREAD = 0.5
-THRESHOLD = 0.7
+#: Weight, in characters, of single characters' frequencies after each context.
+LEAN = 5.0
+THRESHOLD = 1.5
 
 _SPANS = "array<struct<start:int,kind:int,end:int>>"
 
@@ -91,6 +95,10 @@ def pair_counts(docs: DataFrame, text: str = "text") -> DataFrame:
         F.transform(ordinary, lambda v: F.struct(F.lit(False).alias("random"), v.alias("word"))),
     )
     words = docs.select(F.explode(samples).alias("s")).groupBy("s.random", "s.word").agg(F.count("*").alias("n"))
+    words = words.where(F.col("random") | F.col("word").rlike(WORDLIKE))
+    # identifiers are spelled in capitals as well
+    spelled = F.when(F.col("random"), F.array("word")).otherwise(F.array("word", F.upper("word")))
+    words = words.select("random", F.explode(spelled).alias("word"), "n")
     place = F.explode(F.sequence(F.lit(0), F.length("word")))
     pairs = words.select("random", "word", "n", place.alias("i"))
     before = F.when(F.col("i") == 0, F.lit(0)).otherwise(_index(F.substring(F.col("word"), F.col("i"), F.lit(1))))
@@ -107,12 +115,17 @@ def fit_markov(docs: DataFrame, text: str = "text") -> list[float]:
     for r in pair_counts(docs, text).collect():  # at most 2 * SIZE * SIZE rows
         table[r.random][r.a][r.b] += r.n
 
-    def share(rows: list[list[float]], a: int, b: int, spread: float) -> float:
-        return (1 - spread) * (rows[a][b] + 1 / SIZE) / (sum(rows[a]) + 1) + spread / SIZE
-
-    return [
-        math.log(share(table[True], a, b, SPREAD) / share(table[False], a, b, 0.01)) for a in range(SIZE) for b in range(SIZE)
-    ]
+    def logs(rows: list[list[float]], spread: float) -> list[float]:
+        """Rare contexts lean on how often characters occur at all, and all on the even distribution."""
+        each = [sum(r[b] for r in rows) + 1 for b in range(SIZE)]
+        total = sum(each)
+        out = []
+        for r in rows:
+            n = sum(r) + LEAN
+            out += [math.log((1 - spread) * (r[b] + LEAN * each[b] / total) / n + spread / SIZE) for b in range(SIZE)]
+        return out
+
+    return [x - y for x, y in zip(logs(table[True], SPREAD), logs(table[False], 0.01))]
 
 
 def string_score(string: Column, ratios: Column) -> Column:

@@ -164,7 +164,7 @@ def gram_counts(words: DataFrame) -> DataFrame:
                     s[c] = batch[c].to_numpy()[s["word"]]
                 yield s.groupby("gram", as_index=False).agg({c: "min" for c in orders} | {c: "sum" for c in held})
 
-    fields = ", ".join(f"{c} long" for c in ["gram", *orders, *held])
+    fields = ", ".join([f"{c} int" for c in ["gram", *orders]] + [f"{c} long" for c in held])
     spelled = words.mapInPandas(spell, fields)
     return spelled.groupBy("gram").agg(*(F.min(c).alias(c) for c in orders), *(F.sum(c).alias(c) for c in held))
 
