@@ -37,7 +37,8 @@ def write_token_files(
     """
     own = docs.select("doc_id", "text")
     order = [F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()]
-    ranged = own.repartitionByRange(*([partitions] if partitions else []), *order).sortWithinPartitions(*order)
+    # ranges by id alone: the bounds are drawn from a sample that the driver sees
+    ranged = own.repartitionByRange(*([partitions] if partitions else []), order[0]).sortWithinPartitions(*order)
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
