@@ -3,12 +3,12 @@
 A word is spelled letter by letter; each letter's context is the word so far, at
 most its last five letters. For a class c (toxic, ordinary)
 
-    P_c(x | context) = max(n_c - D, 0) / N_c + D * T_c / N_c * P(x | context)
+    P_c(x | context) = max(n_c - D, 0) / N_c + G_c / N_c * P(x | context)
 
-with n_c, N_c and T_c the class's count, total and number of different letters.
+with n_c and N_c the class's count and total and G_c what the discount D took.
 P is the backoff both classes share: an interpolated Kneser-Ney model of all
-documents, labelled or not, whose lower orders count contexts, not occurrences.
-A spelling that a class hardly knows is so judged alike by both. Words are
+documents, labelled or not, that knows the last two letters and counts the
+contexts a letter follows, not its occurrences. Words are
 counted by a Spark aggregate over all documents; their n-grams go to a fixed
 number of buckets, which bounds the model whatever the corpus.
 
@@ -37,6 +37,8 @@ BUCKETS = 1 << 20
 LOW_BUCKETS = 1 << 16
 CONTEXT = 5
 DISCOUNT = 0.75
+#: Discount of the class's own counts. Most words of toxic texts are ordinary: what was seen a few times proves nothing.
+CLASS_DISCOUNT = 3.0
 #: Log ratio of a word above which it counts as a strong sign.
 STRONG = 2.0
 #: About so many labelled rows, chosen by the hash of their ids, are used for the class counts and the curve.
@@ -187,13 +189,13 @@ def log_ratios(grams: pd.DataFrame) -> ToxicityModel:
     low_types = np.bincount(g["low_gram"], minlength=LOW_BUCKETS)
     low = np.zeros(LOW_BUCKETS)
     low[g["low_gram"][first]] = backed(low_types[g["low_gram"][first]], g["low_context"][first], LOW_BUCKETS, letter[g["letter"][first]])
-    shared = backed(g["in_all"], g["context"], BUCKETS, low[g["low_gram"]])
+    shared = low[g["low_gram"]]
     log, unseen = [], []
     for c in ("in_toxic", "in_ordinary"):
         total = np.bincount(g["context"], g[c], BUCKETS)
-        types = np.bincount(g["context"], g[c] > 0, BUCKETS)
-        left = np.where(total > 0, np.minimum(1, DISCOUNT * types / np.maximum(total, 1)), 1.0)
-        own = np.maximum(g[c] - DISCOUNT, 0) / np.maximum(total, 1)[g["context"]]
+        given = np.bincount(g["context"], np.minimum(g[c], CLASS_DISCOUNT), BUCKETS)
+        left = np.where(total > 0, np.minimum(1, given / np.maximum(total, 1)), 1.0)
+        own = np.maximum(g[c] - CLASS_DISCOUNT, 0) / np.maximum(total, 1)[g["context"]]
         log.append(np.log(np.maximum(own + left[g["context"]] * shared, 1e-12)))
         unseen.append(np.log(left))
     model = ToxicityModel(np.zeros(BUCKETS, np.float32), (unseen[0] - unseen[1]).astype(np.float32), np.zeros(BUCKETS, bool))
