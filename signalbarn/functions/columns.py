@@ -38,10 +38,6 @@ def nanos_to_second(c: ColumnOrName) -> Column:
     return F.timestamp_seconds(div(c, NANOS_PER_SECOND))
 
 
-def nanos_to_date(c: ColumnOrName) -> Column:
-    return F.to_date(nanos_to_timestamp(c))
-
-
 def to_nanos(value: int | datetime) -> int:
     """A literal bound as epoch nanoseconds; naive datetimes are UTC."""
     if isinstance(value, int):
@@ -115,11 +111,6 @@ def series_key(m: str) -> Column:
     return F.expr(sql_series_key(m))
 
 
-def any_value_text(v: str) -> Column:
-    """Text of one wire value of any kind; see `sql_value`."""
-    return F.expr(sql_value(v))
-
-
 def attrs_to_map(kvs: str) -> Column:
     """Key/value list to a string map; a repeated key keeps its last value."""
     return F.expr(sql_attrs(kvs))

@@ -43,13 +43,19 @@ def exact_quantiles(
     """
     extra = extra or {}
     # NULL values form a range of their own below all others, with no weight.
-    ranged = df.withColumn("_range", F.coalesce(value_range(F.col(value)), F.lit(-1)))
+    # A struct is a plain join key also where its fields are NULL.
+    ranged = df.withColumns(
+        {
+            "_range": F.coalesce(value_range(F.col(value)), F.lit(-1)),
+            "_group": F.struct(*by),
+        }
+    )
 
     # Coarse counts: a few thousand rows per group, combined on the map side.
-    ranges = ranged.groupBy(*by, "_range").agg(
+    ranges = ranged.groupBy("_group", "_range").agg(
         F.count(value).alias("_n"), *[p.alias(n) for n, (p, _) in extra.items()]
     )
-    group = Window.partitionBy(*by)
+    group = Window.partitionBy("_group")
     placed = ranges.withColumns(
         {
             "_upto": F.sum("_n").over(group.orderBy("_range")),
@@ -68,12 +74,12 @@ def exact_quantiles(
         nothing = F.struct(F.lit(-1).cast("bigint").alias("range"), F.lit(0).cast("bigint").alias("rank"))
         return F.coalesce(F.min(F.when(F.col("_upto") >= rank(q), hit)), nothing)
 
-    groups = placed.groupBy(*by).agg(
+    groups = placed.groupBy("_group").agg(
         *[target(q).alias(f"_at_{name}") for name, q in quantiles.items()],
         *[m.alias(n) for n, (_, m) in extra.items()],
     )
     wanted = groups.select(
-        *by,
+        "_group",
         *extra,
         F.inline(
             F.array(
@@ -89,22 +95,19 @@ def exact_quantiles(
         ),
     )
 
-    # Exact counts per value, of which only the wanted ranges are ordered.
-    counted = ranged.groupBy(*by, "_range", value).agg(F.count(value).alias("_n"))
-    keys = [*by, "_range"]
-    narrowed = counted.alias("c").join(
-        wanted.alias("w"), [F.col(f"c.{k}").eqNullSafe(F.col(f"w.{k}")) for k in keys]
-    )
+    # Only rows of wanted ranges are counted by value. They are shuffled once, by group and
+    # range: the counts, and the order inside a range, need no other partitioning.
+    keys = ["_group", "_range"]
+    narrowed = ranged.select(*keys, value).join(wanted, keys)
+    counted = narrowed.groupBy(*keys, "_name", "_rank", *extra, value).agg(F.count(value).alias("_n"))
     inside = Window.partitionBy(*keys, "_name").orderBy(value)
     return (
-        narrowed.select(
-            *[F.col(f"c.{k}").alias(k) for k in keys], value, "_n", "_name", "_rank", *extra
-        )
-        .withColumn("_upto", F.sum("_n").over(inside))
+        counted.withColumn("_upto", F.sum("_n").over(inside))
         .filter(F.col("_upto") >= F.col("_rank"))
-        .groupBy(*by)
+        .groupBy("_group")
         .agg(
             *[F.max(n).alias(n) for n in extra],
             *[F.min(F.when(F.col("_name") == n, F.col(value))).alias(n) for n in quantiles],
         )
+        .select(*[F.col(f"_group.{c}").alias(c) for c in by], *extra, *quantiles)
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from signalbarn.functions.series import DEFAULT_SLICE, previous_point
-from signalbarn.operators.metrics import SERIES, with_series_key
+from signalbarn.operators.metrics import SERIES, last_of_runs, with_series_key
 from signalbarn.schemas import TEMPORALITY_CUMULATIVE, TEMPORALITY_DELTA
 
 
@@ -23,13 +23,14 @@ def merge_histograms(points: DataFrame, by: list[str]) -> DataFrame:
     """Histograms added up per group and bucket layout.
 
     Points with different bounds are never mixed: the bounds are part of the
-    group. Buckets are summed as rows, with map-side combining, and only the
+    group. Cumulative points count once per run; `histogram_to_delta` gives
+    intervals where groups divide the time. Buckets are summed as rows, with map-side combining, and only the
     few sums of a layout are put back into an array.
     """
     keys = [*by, "ExplicitBounds"]
     # Count, Sum, Min and Max ride on the first bucket row of each point.
     head = F.coalesce(F.col("_pos"), F.lit(0)) == 0
-    buckets = points.select(
+    buckets = last_of_runs(points).select(
         *keys, "Count", "Sum", "Min", "Max", F.posexplode_outer("BucketCounts").alias("_pos", "_n")
     )
     summed = buckets.groupBy(*keys, "_pos").agg(
@@ -292,10 +293,11 @@ def merge_exp_buckets(points: DataFrame, by: list[str]) -> DataFrame:
 def merge_exp_histograms(points: DataFrame, by: list[str]) -> DataFrame:
     """Merged exponential histograms with dense bucket arrays, one row per group.
 
-    Arrays run from the lowest to the highest non-empty bucket. For groups whose
+    Cumulative points count once per run. Arrays run from the lowest to the
+    highest non-empty bucket. For groups whose
     buckets lie extremely far apart use `merge_exp_buckets`, which has no arrays.
     """
-    merged = merge_exp_buckets(points, by)
+    merged = merge_exp_buckets(last_of_runs(points), by)
 
     def side(kind: int) -> Column:
         return F.array_sort(

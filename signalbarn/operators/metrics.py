@@ -25,10 +25,38 @@ _ORDER = ["TimeUnixNanos", "StartTimeUnixNanos", "Value"]
 
 
 def with_series_key(points: DataFrame) -> DataFrame:
-    """Stored tables carry `SeriesKey`; other inputs get it here."""
-    if "SeriesKey" in points.columns:
+    """Stored tables carry `SeriesKey`; other inputs get it here. NULL attributes are no attributes."""
+    none = F.lit("{}")
+    own = "SeriesKey" if "SeriesKey" in points.columns else series_key("Attributes")
+    return points.withColumn("SeriesKey", F.coalesce(own, none))
+
+
+def with_value(points: DataFrame) -> DataFrame:
+    """Points that recorded a value; the others only tell that there was none."""
+    return points.filter(F.col("Value").isNotNull())
+
+
+def last_of_runs(points: DataFrame) -> DataFrame:
+    """Points that can be added up: of each cumulative run only the last point, all others as they are.
+
+    A run is a series with one start time. Its points repeat what came before,
+    so only the last one counts. Filters on the temporality reach the scan, and
+    a run sends one row per task.
+    """
+    if "AggregationTemporality" not in points.columns:
         return points
-    return points.withColumn("SeriesKey", series_key("Attributes"))
+    is_cumulative = F.coalesce(
+        F.col("AggregationTemporality") == TEMPORALITY_CUMULATIVE, F.lit(False)
+    )
+    newest = Window.partitionBy(*SERIES, "StartTimeUnixNanos").orderBy(
+        F.desc("TimeUnixNanos"), F.desc("Count"), F.desc("Sum")
+    )
+    last = (
+        with_series_key(points.filter(is_cumulative))
+        .withColumn("_rank", F.row_number().over(newest))
+        .filter(F.col("_rank") == 1)
+    )
+    return points.filter(~is_cumulative).unionByName(last.select(*points.columns))
 
 
 def series_for(
@@ -121,8 +149,11 @@ def summary_at(summaries: DataFrame, quantile: float, sla: float | None = None)
 
 
 def mean_from_sum_count(points: DataFrame, by: list[str]) -> DataFrame:
-    """Mean of the recorded values: summed Sum over summed Count, NULL without any."""
-    return points.groupBy(*by).agg(
+    """Mean of the recorded values: summed Sum over summed Count, NULL without any.
+
+    Cumulative points count once per run.
+    """
+    return last_of_runs(points).groupBy(*by).agg(
         (F.sum("Sum") / F.nullif(F.sum("Count"), F.lit(0).cast("bigint"))).alias("mean")
     )
 
@@ -138,11 +169,14 @@ def series_cardinality(points: DataFrame, approximate: bool = False) -> DataFram
 
 
 def metric_trend(points: DataFrame, width: timedelta) -> DataFrame:
-    """Per series and time bucket: count, sum, min, max, avg and the last value."""
+    """Per series and time bucket: count, sum, min, max, avg and the last value.
+
+    Points without a value are left out.
+    """
     step = (width // timedelta(microseconds=1)) * 1000
     bucket = (div("TimeUnixNanos", step) * step).alias("BucketNanos")
     return (
-        with_series_key(points)
+        with_series_key(with_value(points))
         .groupBy(*SERIES, bucket)
         .agg(
             F.count("Value").alias("count"),
@@ -167,7 +201,7 @@ def metric_trend(points: DataFrame, width: timedelta) -> DataFrame:
 
 
 def latest_per_series(points: DataFrame) -> DataFrame:
-    """Newest point of each series.
+    """Newest point of each series that has a value.
 
     Spark cuts `row_number() = 1` on the map side (window group limit), so a
     busy series sends one row per task.
@@ -175,6 +209,8 @@ def latest_per_series(points: DataFrame) -> DataFrame:
     newest = Window.partitionBy(*SERIES).orderBy(
         F.desc("TimeUnixNanos"), F.desc("StartTimeUnixNanos"), F.desc("Value")
     )
+    if "Value" in points.columns:
+        points = with_value(points)
     return (
         with_series_key(points)
         .withColumn("_rank", F.row_number().over(newest))
@@ -205,7 +241,7 @@ def _with_previous(points: DataFrame, slice_width: timedelta) -> DataFrame:
 
 
 def _cumulative(points: DataFrame) -> DataFrame:
-    return points.filter(F.col("AggregationTemporality") == TEMPORALITY_CUMULATIVE)
+    return with_value(points).filter(F.col("AggregationTemporality") == TEMPORALITY_CUMULATIVE)
 
 
 def counter_increase(points: DataFrame, slice_width: timedelta = DEFAULT_SLICE) -> DataFrame:
@@ -270,7 +306,7 @@ def cumulative_to_delta(points: DataFrame, slice_width: timedelta = DEFAULT_SLIC
 
 def delta_to_cumulative(points: DataFrame, slice_width: timedelta = DEFAULT_SLICE) -> DataFrame:
     """Delta points as running totals since the start of their series."""
-    deltas = with_series_key(points).filter(
+    deltas = with_series_key(with_value(points)).filter(
         F.col("AggregationTemporality") == TEMPORALITY_DELTA
     )
     return (
@@ -299,15 +335,41 @@ def delta_to_cumulative(points: DataFrame, slice_width: timedelta = DEFAULT_SLIC
 def sum_total(
     points: DataFrame, by: list[str], slice_width: timedelta = DEFAULT_SLICE
 ) -> DataFrame:
-    """Total growth per group whatever the temporality.
+    """`total` growth per group, and how many points `unspecified` temporality leaves out.
 
-    Delta points add up. Cumulative points first become increases; adding raw
-    running totals would count the same growth again and again.
+    Delta points add up. Cumulative points first become increases, since adding
+    running totals would count the same growth again and again; without
+    monotonicity a fall counts as a fall. The first point of a series adds 0.
+    Points that say neither cannot be added to anything; they are counted.
     """
-    deltas = points.filter(F.col("AggregationTemporality") == TEMPORALITY_DELTA).select(
-        *by, F.col("Value").alias("Increase")
+    temporality = F.coalesce(F.col("AggregationTemporality"), F.lit(0))
+    known = [TEMPORALITY_DELTA, TEMPORALITY_CUMULATIVE]
+    none = F.lit(0).cast("bigint").alias("_left")
+    parts = [
+        points.filter(temporality == TEMPORALITY_DELTA).select(
+            *by, F.col("Value").alias("Increase"), none
+        ),
+        counter_increase(points, slice_width).select(*by, "Increase", none),
+        _signed_change(points, slice_width).select(*by, F.col("_change").alias("Increase"), none),
+        points.filter(~temporality.isin(known)).select(
+            *by, F.lit(None).cast("double").alias("Increase"), F.lit(1).cast("bigint").alias("_left")
+        ),
+    ]
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    return every.groupBy(*by).agg(
+        F.sum("Increase").alias("total"), F.sum("_left").alias("unspecified")
     )
-    increases = counter_increase(points, slice_width).select(*by, "Increase")
-    return (
-        deltas.unionByName(increases).groupBy(*by).agg(F.sum("Increase").alias("total"))
+
+
+def _signed_change(points: DataFrame, slice_width: timedelta) -> DataFrame:
+    """`_change` of each point of cumulative sums that may fall; 0 for the first, the value after a new start."""
+    sums = _cumulative(points).filter(~F.coalesce("IsMonotonic", F.lit(False)))
+    restarted = F.col("StartTimeUnixNanos") != F.col("_prev.StartTimeUnixNanos")
+    change = (
+        F.when(F.col("_prev").isNull(), F.lit(0.0))
+        .when(restarted, F.col("Value"))
+        .otherwise(F.col("Value") - F.col("_prev.Value"))
     )
+    return _with_previous(sums, slice_width).withColumn("_change", change)

@@ -82,7 +82,11 @@ _BAD_LOG = " OR ".join(
 
 _LOG = {
     **_CONTEXT,
-    "TimestampNanos": sql_long("record.timeUnixNano"),
+    # Without an event time, a log is kept at the time it was observed, not in 1970.
+    "TimestampNanos": (
+        f"coalesce(nullif({sql_long('record.timeUnixNano')}, 0L), "
+        f"{sql_long('record.observedTimeUnixNano')})"
+    ),
     "Timestamp": sql_timestamp("TimestampNanos"),
     "ObservedTimestampNanos": sql_long("record.observedTimeUnixNano"),
     "ObservedTimestamp": sql_timestamp("ObservedTimestampNanos"),
@@ -210,7 +214,7 @@ _EXEMPLAR = (
     f"named_struct('FilteredAttributes', {sql_attrs('e.filteredAttributes')}, "
     f"'TimeUnix', {sql_timestamp(sql_long('e.timeUnixNano'))}, "
     f"'TimeUnixNanos', {sql_long('e.timeUnixNano')}, "
-    "'Value', coalesce(e.asDouble, try_cast(e.asInt AS DOUBLE), 0D), "
+    "'Value', coalesce(e.asDouble, try_cast(e.asInt AS DOUBLE)), "
     f"'SpanId', {sql_text('e.spanId')}, 'TraceId', {sql_text('e.traceId')})"
 )
 _EXEMPLARS = f"coalesce(transform(p.exemplars, e -> {_EXEMPLAR}), array())"
@@ -236,9 +240,10 @@ def _longs(items: str) -> str:
     return f"coalesce(transform({items}, x -> {sql_long('x')}), array())"
 
 
+# A point without a value says so in its flags; it is no 0.
 _NUMBER = {
     **_POINT,
-    "Value": "coalesce(p.asDouble, try_cast(p.asInt AS DOUBLE), 0D)",
+    "Value": "coalesce(p.asDouble, try_cast(p.asInt AS DOUBLE))",
     "Exemplars": _EXEMPLARS,
 }
 _DISTRIBUTION = {

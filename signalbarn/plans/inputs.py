@@ -235,6 +235,26 @@ def sum_cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sum_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The running totals with some points that recorded no value."""
+    gap = F.col("TimeUnixNanos") % 7 == 0
+    return sum_cumulative(spark, sf_dir).withColumns(
+        {"Value": F.when(~gap, F.col("Value")), "Flags": F.when(gap, 1).otherwise(0).cast("bigint")}
+    )
+
+
+def sum_up_and_down(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums that may fall, and some points that do not tell their temporality."""
+    unknown = F.col("TimeUnixNanos") % 11 == 0
+    return sum_cumulative(spark, sf_dir).withColumns(
+        {
+            "Value": F.col("Value") % 1000,
+            "IsMonotonic": F.lit(False),
+            "AggregationTemporality": F.when(unknown, 0).otherwise(F.col("AggregationTemporality")),
+        }
+    )
+
+
 def _bucket_counts() -> str:
     edges = [None, *BOUNDS, None]
     counts = []
@@ -375,3 +395,19 @@ def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
             "ValueAtQuantiles": f"array({pairs})",
         },
     )
+
+
+def exp_histogram_cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily histograms as runs of two cumulative points: half of the counts, then all."""
+    whole = exp_histogram(spark, sf_dir, mixed_scales=True).withColumn(
+        "AggregationTemporality", F.lit(TEMPORALITY_CUMULATIVE)
+    )
+    half = whole.withColumns(
+        {
+            "TimeUnixNanos": F.col("TimeUnixNanos") - 3_600_000_000_000,
+            "Count": F.floor(F.col("Count") / 2),
+            "Sum": F.col("Sum") / 2,
+            "PositiveBucketCounts": F.transform("PositiveBucketCounts", lambda n: F.floor(n / 2)),
+        }
+    )
+    return whole.unionByName(half)

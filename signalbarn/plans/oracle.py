@@ -488,6 +488,23 @@ ORACLE_SQL: dict[str, str] = {
         FROM hist GROUP BY svc
         """,
     ),
+    "merge_histograms_cumulative": _with(
+        ["hist"],
+        f"""
+        SELECT svc AS ServiceName, CAST(sum(n) AS BIGINT) AS Count,
+               CAST(sum(total) AS BIGINT) AS total,
+               {_BUCKET_SUMS} AS buckets, '{",".join(str(b) for b in BOUNDS)}' AS bounds
+        FROM hist GROUP BY svc
+        """,
+    ),
+    "dist_mean_cumulative": _with(
+        ["ev"],
+        """
+        SELECT svc AS ServiceName, 'event.cents.hist' AS MetricName,
+               round(sum(cents) / count(*), 4) AS mean
+        FROM ev GROUP BY svc
+        """,
+    ),
     "histogram_quantile": _with(
         ["hist"],
         f"""
@@ -635,6 +652,34 @@ ORACLE_SQL: dict[str, str] = {
         SELECT svc, CAST(2 AS INTEGER), CAST(sum(increase) AS BIGINT) FROM grown GROUP BY svc
         """,
     ),
+    "sum_total_nonmonotonic": _with(
+        ["running"],
+        """
+        , up_down AS (
+            SELECT svc, nanos, d, value % 1000 AS v FROM running WHERE nanos % 11 <> 0
+        ), change AS (
+            SELECT svc, CASE WHEN lag(v) OVER w IS NULL THEN 0
+                             WHEN lag(d) OVER w <> d THEN v
+                             ELSE v - lag(v) OVER w END AS change
+            FROM up_down WINDOW w AS (PARTITION BY svc ORDER BY nanos)
+        )
+        SELECT r.svc AS ServiceName,
+               (SELECT CAST(sum(change) AS BIGINT) FROM change c WHERE c.svc = r.svc) AS total,
+               CAST(count(*) FILTER (nanos % 11 = 0) AS BIGINT) AS unspecified
+        FROM running r GROUP BY r.svc
+        """,
+    ),
+    "counter_gaps": _with(
+        ["running"],
+        """
+        SELECT svc AS ServiceName, nanos AS TimeUnixNanos,
+               CASE WHEN lag(value) OVER w IS NULL THEN 0
+                    WHEN lag(d) OVER w <> d THEN value
+                    ELSE value - lag(value) OVER w END AS increase
+        FROM running WHERE nanos % 7 <> 0
+        WINDOW w AS (PARTITION BY svc ORDER BY nanos)
+        """,
+    ),
     "counter_increase": _with(
         ["grown"],
         "SELECT svc AS ServiceName, nanos AS TimeUnixNanos, increase FROM grown",
@@ -738,3 +783,8 @@ ORACLE_SQL: dict[str, str] = {
         """,
     ),
 }
+
+# The same events told twice as cumulative runs; runs have no extremes of their own.
+ORACLE_SQL["merge_exp_cumulative"] = ORACLE_SQL["merge_exp_histograms"].replace(
+    "s.n AS Count, s.total, s.low,\n               s.high,", "s.n AS Count, s.total,"
+)

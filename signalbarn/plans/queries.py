@@ -591,6 +591,29 @@ def merge_histograms(spark, sf_dir):
     )
 
 
+def _merged(merged):
+    return merged.select(
+        "ServiceName",
+        "Count",
+        F.col("Sum").cast("bigint").alias("total"),
+        _joined("BucketCounts", "buckets"),
+        _joined("ExplicitBounds", "bounds"),
+    )
+
+
+@query
+def merge_histograms_cumulative(spark, sf_dir):
+    """Running totals of a series hold its events once, however many points tell them."""
+    return _merged(H.merge_histograms(inputs.histogram_cumulative(spark, sf_dir), ["ServiceName"]))
+
+
+@query
+def dist_mean_cumulative(spark, sf_dir):
+    points = inputs.histogram_cumulative(spark, sf_dir)
+    means = M.mean_from_sum_count(points, ["ServiceName", "MetricName"])
+    return means.select("ServiceName", "MetricName", F.round("mean", 4).alias("mean"))
+
+
 @query
 def histogram_quantile(spark, sf_dir):
     found = H.histogram_quantile(inputs.histogram(spark, sf_dir), 0.9)
@@ -626,6 +649,19 @@ def merge_exp_histograms(spark, sf_dir):
     )
 
 
+@query
+def merge_exp_cumulative(spark, sf_dir):
+    merged = H.merge_exp_histograms(inputs.exp_histogram_cumulative(spark, sf_dir), ["ServiceName"])
+    return merged.select(
+        "ServiceName",
+        "Scale",
+        "Count",
+        F.col("Sum").cast("bigint").alias("total"),
+        "PositiveOffset",
+        _joined("PositiveBucketCounts", "buckets"),
+    )
+
+
 @query
 def exp_quantile(spark, sf_dir):
     found = H.exp_histogram_quantile(inputs.exp_histogram(spark, sf_dir), 0.9)
@@ -694,9 +730,24 @@ def sum_total(spark, sf_dir):
     )
 
 
+@query
+def sum_total_nonmonotonic(spark, sf_dir):
+    total = M.sum_total(inputs.sum_up_and_down(spark, sf_dir), ["ServiceName"])
+    return total.select("ServiceName", F.col("total").cast("bigint").alias("total"), "unspecified")
+
+
 # ---------------------------------------------------------------- series
 
 
+@query
+def counter_gaps(spark, sf_dir):
+    """Points without a value are no resets and no points."""
+    found = M.counter_increase(inputs.sum_with_gaps(spark, sf_dir))
+    return found.select(
+        "ServiceName", "TimeUnixNanos", F.col("Increase").cast("bigint").alias("increase")
+    )
+
+
 @query
 def counter_increase(spark, sf_dir):
     found = M.counter_increase(inputs.sum_cumulative(spark, sf_dir))

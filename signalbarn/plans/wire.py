@@ -33,8 +33,14 @@ def _digits(c: str) -> str:
     return f"CAST({c} AS STRING)"
 
 
-def _write(lines: DataFrame, path: str, files: int) -> str:
-    lines.repartition(files).write.text(path)
+#: Lines in a file at most; a line is one nested batch.
+_LINES_PER_FILE = 10_000
+
+
+def _write(lines: DataFrame, path: str, files: int | None = None) -> str:
+    """As many files as tasks, or for tests of small streams a given number."""
+    lines = lines.repartition(files) if files else lines
+    lines.write.option("maxRecordsPerFile", _LINES_PER_FILE).text(path)
     return path
 
 
@@ -57,7 +63,7 @@ def _lines(
     )
 
 
-def write_log_batches(spark: SparkSession, sf_dir: str, path: str, files: int = 8) -> str:
+def write_log_batches(spark: SparkSession, sf_dir: str, path: str, files: int | None = None) -> str:
     rows = inputs.logs(spark, sf_dir, _BATCH)
     record = _struct(
         timeUnixNano=_digits("TimestampNanos"),
@@ -82,7 +88,7 @@ def write_log_batches(spark: SparkSession, sf_dir: str, path: str, files: int =
     return _write(lines, path, files)
 
 
-def write_span_batches(spark: SparkSession, sf_dir: str, path: str, files: int = 8) -> str:
+def write_span_batches(spark: SparkSession, sf_dir: str, path: str, files: int | None = None) -> str:
     rows = inputs.spans(spark, sf_dir, _BATCH)
     event = _struct(
         timeUnixNano=_digits("e.TimestampNanos"),
@@ -140,7 +146,7 @@ def _metric_lines(rows: DataFrame, wire: str, body: str) -> DataFrame:
     return rows.selectExpr(f"to_json(named_struct('resourceMetrics', array({entry}))) AS value")
 
 
-def write_metric_batches(spark: SparkSession, sf_dir: str, path: str, files: int = 8) -> str:
+def write_metric_batches(spark: SparkSession, sf_dir: str, path: str, files: int | None = None) -> str:
     exemplar = _struct(
         timeUnixNano=_digits("x.TimeUnixNanos"),
         asDouble="x.Value",
