@@ -106,6 +106,16 @@ def attr_equals(m: ColumnOrName, key: str, value: str) -> Column:
     return attr(m, key) == F.lit(value)
 
 
+def promoted_name(column: str, key: str) -> str:
+    """The top-level column that holds one key of one attribute map.
+
+    All but letters and digits of the key are spelled `_` and their code, so
+    that dotted keys need no quoting and no two keys share a column.
+    """
+    spelled = "".join(c if c.isascii() and c.isalnum() else f"_{ord(c):x}_" for c in key)
+    return f"attr_{column}_{spelled}"
+
+
 def series_key(m: str) -> Column:
     """Order-independent text of an attribute map."""
     return F.expr(sql_series_key(m))

@@ -15,6 +15,7 @@ from signalbarn.functions.columns import (
     in_time_range,
     nanos_to_second,
     nonempty,
+    promoted_name,
 )
 from signalbarn.functions.quantiles import exact_quantiles
 from signalbarn.operators.keys import id_key, id_key_or_none, with_ids
@@ -40,9 +41,10 @@ def where_attr_value(df: DataFrame, column: str, value: str) -> DataFrame:
 
 
 def where_attr_equals(df: DataFrame, column: str, key: str, value: str) -> DataFrame:
-    """Uses the promoted column `attr_<key>` where the table has one."""
-    if f"attr_{key}" in df.columns:
-        return df.filter(F.col(f"`attr_{key}`") == value)
+    """Rows whose map `column` has this value; uses the column promoted from that map and key, if any."""
+    promoted = promoted_name(column, key)
+    if promoted in df.columns:
+        return df.filter(F.col(promoted) == value)
     return df.filter(attr_equals(column, key, value))
 
 

@@ -335,6 +335,11 @@ ORACLE_SQL: dict[str, str] = {
         ["logs"],
         "SELECT TimestampNanos, ServiceName, Body FROM logs WHERE resource_service = 'svc-3'",
     ),
+    "promoted_attr": _with(
+        ["logs"],
+        "SELECT TimestampNanos, ServiceName, coalesce(k, '') AS k FROM logs "
+        "WHERE resource_service = 'svc-3'",
+    ),
     "duration_between": _with(
         ["spans"],
         "SELECT SpanId, Duration FROM spans WHERE Duration BETWEEN 10000000 AND 20000000",

@@ -13,7 +13,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalbarn.functions.columns import attr, has_attr_key, has_attr_value
+from signalbarn.functions.columns import attr, has_attr_key, has_attr_value, promoted_name
 from signalbarn.operators import histograms as H
 from signalbarn.operators import logs as L
 from signalbarn.operators import metrics as M
@@ -404,6 +404,23 @@ def attr_equals(spark, sf_dir):
     return found.select("TimestampNanos", "ServiceName", "Body")
 
 
+@query
+def promoted_attr(spark, sf_dir):
+    """A dotted key of one map and a key of another, promoted, stored, read back and filtered."""
+    keys = {"ResourceAttributes": ["service.name"], "LogAttributes": ["k", "service.name"]}
+    rows = inputs.logs(spark, sf_dir)
+    for column, own in keys.items():
+        rows = S.promote_attrs(rows, column, own)
+    path = scratch_dir(spark, "promoted")
+    S.write_table(rows, "logs", path)
+    stored = S.read_table(spark, "logs", path, promoted=keys)
+    found = T.where_attr_equals(stored, "ResourceAttributes", "service.name", "svc-3")
+    absent = T.where_attr_equals(found, "LogAttributes", "service.name", "")
+    return absent.select(
+        "TimestampNanos", "ServiceName", F.col(promoted_name("LogAttributes", "k")).alias("k")
+    )
+
+
 @query
 def duration_between(spark, sf_dir):
     found = T.duration_between(inputs.spans(spark, sf_dir), 10_000_000, 20_000_000)

@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 from signalbarn.functions.columns import (
     in_day_range,
     in_time_range,
+    promoted_name,
     ttl_interval,
     ttl_seconds,
 )
@@ -22,11 +23,16 @@ from signalbarn.schemas import METRIC_TABLES, TABLES
 
 BATCH = "BatchId"
 
+#: Attribute maps and the keys of them that are columns of their own.
+Promoted = dict[str, list[str]]
 
-def table_schema(table: str) -> StructType:
-    """Stored schema including the partition day."""
+
+def table_schema(table: str, promoted: Promoted | None = None) -> StructType:
+    """Stored schema including promoted attributes and the partition day."""
     spec = TABLES[table]
-    return StructType.fromDDL(f"{spec.ddl}, {spec.day} DATE")
+    names = [promoted_name(m, k) for m, keys in (promoted or {}).items() for k in keys]
+    extra = "".join(f", {n} STRING" for n in names)
+    return StructType.fromDDL(f"{spec.ddl}{extra}, {spec.day} DATE")
 
 
 def layout_options(table: str, distinct_ids: int | None = None) -> dict[str, str]:
@@ -70,12 +76,16 @@ def cluster_sort(df: DataFrame, table: str) -> DataFrame:
 
 
 def promote_attrs(df: DataFrame, column: str, keys: list[str]) -> DataFrame:
-    """Copy hot attributes to top-level columns `attr_<key>`.
+    """Copy hot attributes of one map to top-level columns, see `promoted_name`.
 
     Parquet statistics and pushdown work on these; on map entries they do not.
+    Read them back with the same maps and keys as `promoted`.
     """
     return df.withColumns(
-        {f"attr_{k}": F.coalesce(F.try_element_at(column, F.lit(k)), F.lit("")) for k in keys}
+        {
+            promoted_name(column, k): F.coalesce(F.try_element_at(column, F.lit(k)), F.lit(""))
+            for k in keys
+        }
     )
 
 
@@ -144,9 +154,14 @@ def write_metrics(records: DataFrame, root: str, mode: str = "append") -> None:
 # ---------------------------------------------------------------- reading
 
 
-def read_table(spark: SparkSession, table: str, path: str) -> DataFrame:
-    """The whole stored table, without schema inference."""
-    return spark.read.schema(table_schema(table)).parquet(path)
+def read_table(
+    spark: SparkSession, table: str, path: str, promoted: Promoted | None = None
+) -> DataFrame:
+    """The whole stored table, without schema inference.
+
+    Promoted attributes of files that were written without them are NULL.
+    """
+    return spark.read.schema(table_schema(table, promoted)).parquet(path)
 
 
 def scan(

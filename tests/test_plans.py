@@ -153,3 +153,16 @@ def test_bloom_filters_are_written_and_small(spark, stored):
     fixed = S.layout_options("logs", distinct_ids=1000)
     assert fixed["parquet.bloom.filter.expected.ndv#SpanId"] == "1000"
     assert "parquet.bloom.filter.adaptive.enabled" not in fixed
+
+
+def test_promoted_attributes_reach_the_scan_and_keep_maps_apart(spark, out):
+    from signalbarn.functions.columns import promoted_name
+
+    rows = S.promote_attrs(inputs.logs(spark, SF_SMALL), "ResourceAttributes", ["service.name"])
+    assert T.where_attr_equals(rows, "LogAttributes", "service.name", "svc-3").count() == 0
+    S.write_table(rows, "logs", f"{out}/logs")
+    stored = S.read_table(spark, "logs", f"{out}/logs", {"ResourceAttributes": ["service.name"]})
+    found = T.where_attr_equals(stored, "ResourceAttributes", "service.name", "svc-3")
+    assert f"EqualTo({promoted_name('ResourceAttributes', 'service.name')},svc-3)" in formatted(found)
+    assert found.count() > 0
+    assert promoted_name("a", "b.c") != promoted_name("a", "b_2e_c")
