@@ -23,25 +23,48 @@ WINDOW = 13
 GRAM = 5
 #: A document is contaminated if at least one word in so many is hit.
 ONE_IN = 20
-#: Fixed value: everything that is not part of a word.
-NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Fixed value: everything that is not part of a word, once A-Z are lower-cased; words hold no other A-Z.
+NOT_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def words_of(text: Column) -> Column:
-    """The words of a text, A-Z lower-cased; none for a null."""
-    words = F.filter(F.split(lower_ascii(text), NOT_WORD), lambda w: w != "")
-    return F.coalesce(words, F.array().cast("array<string>"))
+    """The words of a text, A-Z lower-cased; none for a null.
 
+    Only words that lower() changes are looked at letter by letter.
+    """
+    lowered = F.transform(split_words(text), lambda w: F.when(F.lower(w) == w, w).otherwise(lower_ascii(w)))
+    return F.coalesce(lowered, F.array().cast("array<string>"))
+
+
+def split_words(text: Column) -> Column:
+    """The words of a text as they are spelled; null for a null."""
+    return F.array_remove(F.split(text, NOT_WORD), "")
+
+
+def n_words(text: Column) -> Column:
+    return F.coalesce(F.size(split_words(text)), F.lit(0)).cast("long")
+
+
+def _each(n: Column, run: int, at) -> Column:
+    """at(i) for i = 0 up to the number of runs of `run` among n; none if there are fewer.
 
-def _runs(n: Column, run: int, at) -> Column:
-    """at(i) for i = 1 up to the number of runs of `run` among n; none if there are fewer."""
-    last = n - run + 1
-    return F.when(last > 0, F.transform(F.sequence(F.lit(1), last), at)).otherwise(F.array().cast("array<bigint>"))
+    Elements are taken one by one with get(), whose cost does not depend on the
+    array's length; slice() copies the whole array each time.
+    """
+    last = n - run
+    return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), at)).otherwise(F.array().cast("array<bigint>"))
 
 
 def _hashes(words: Column, gram: int) -> Column:
-    """A hash of each `gram` consecutive words."""
-    return bound(words, lambda w: _runs(F.size(w), gram, lambda i: F.xxhash64(F.slice(w, i, gram))))
+    """A hash of each `gram` consecutive words of a bound array."""
+    return _each(F.size(words), gram, lambda i: F.xxhash64(*[F.get(words, i + o) for o in range(gram)]))
+
+
+def _least(hashes: Column, run: int) -> Column:
+    """The least of each `run` consecutive hashes of a bound array."""
+    if run == 1:
+        return hashes
+    return _each(F.size(hashes), run, lambda i: F.least(*[F.get(hashes, i + o) for o in range(run)]))
 
 
 def _anchors(words: Column, gram: int, run: int) -> Column:
@@ -52,29 +75,40 @@ def _anchors(words: Column, gram: int, run: int) -> Column:
     """
 
     def kept(s: Column) -> Column:
-        """s holds words, hashes and the least hash of each run; place i is in the runs i - run + 1 to i."""
-        begin = lambda i: F.greatest(i - run + 1, F.lit(1))
-        places = F.filter(
-            F.sequence(F.lit(1), F.size(s["hashes"])),
-            lambda i: F.array_contains(F.slice(s["least"], begin(i), i - begin(i) + 1), F.element_at(s["hashes"], i)),
-        )
-        return F.transform(
-            places,
-            lambda i: F.struct(
-                F.element_at(s["hashes"], i).alias("hash"),
-                (begin(i) - 1).alias("first"),
-                (i - begin(i)).alias("skip"),
-                F.slice(s["words"], begin(i), i - begin(i) + gram + run - 1).alias("words"),
+        """s holds words, hashes and the least hash of each run; run j has the hashes from j on.
+
+        A run's least hash is looked up where it is a new one, or where the place
+        of the last one may just have left; so each run holds a place looked up.
+        """
+        words, hashes, least = s["words"], s["hashes"], s["least"]
+        runs = F.filter(
+            F.sequence(F.lit(0), F.size(least) - 1),
+            lambda j: (
+                (j == 0) | (F.get(least, j) != F.get(least, j - 1)) | (F.get(hashes, j - 1) == F.get(least, j))
             ),
         )
 
+        def around(j: Column) -> Column:
+            own = F.get(least, j)
+            # the last place of the run with this hash
+            place = F.coalesce(*[F.when(F.get(hashes, j + o) == own, j + o) for o in range(run - 1, -1, -1)])
+            return F.struct(own.alias("hash"), place.alias("place"))
+
+        def with_words(p: Column) -> Column:
+            first = F.greatest(p["place"] - (run - 1), F.lit(0))
+            context = F.array_compact(F.array(*[F.get(words, first + o) for o in range(gram + 2 * run - 2)]))
+            return F.struct(
+                p["hash"].alias("hash"), first.alias("first"), (p["place"] - first).alias("skip"), context.alias("words")
+            )
+
+        return F.transform(F.transform(runs, around), with_words)
+
     def with_least(s: Column) -> Column:
-        least = _runs(F.size(s["hashes"]), run, lambda i: F.array_min(F.slice(s["hashes"], i, run)))
-        return bound(F.struct(s["words"].alias("words"), s["hashes"].alias("hashes"), least.alias("least")), kept)
+        held = F.struct(s["words"].alias("words"), s["hashes"].alias("hashes"), _least(s["hashes"], run).alias("least"))
+        return bound(held, kept)
 
     def with_hashes(w: Column) -> Column:
-        hashes = _runs(F.size(w), gram, lambda i: F.xxhash64(F.slice(w, i, gram)))
-        return bound(F.struct(w.alias("words"), hashes.alias("hashes")), with_least)
+        return bound(F.struct(w.alias("words"), _hashes(w, gram).alias("hashes")), with_least)
 
     return F.when(F.size(words) >= gram + run - 1, bound(words, with_hashes))
 
@@ -111,7 +145,7 @@ def window_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram: i
         k = min(gram, size)
         run = size - k + 1
         # all words of a window are one run, whose least hash is the only one kept
-        kept = own.select(F.array_min(_hashes(F.col("words"), k)).alias("hash")).distinct()
+        kept = own.select(F.array_min(bound(F.col("words"), lambda w: _hashes(w, k))).alias("hash")).distinct()
         at = docs.select("key", F.explode(_anchors(F.col("words"), k, run)).alias("a"))
         at = at.select("key", "a.*").join(small_or_shuffled(kept), "hash", "left_semi")
         # windows that start at most `run - 1` words before the hashed words and end within the words at hand
@@ -156,7 +190,7 @@ def find_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW,
     whose = whose.select("key", F.explode("items").alias("item")).distinct()
     whose = whose.groupBy("key").agg(F.array_sort(F.collect_list(F.col("item").cast("string"))).alias("items"))
     judged = covered.join(whose, "key", "left")
-    own = docs.select(F.col("doc_id"), document_key().alias("key"), F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
+    own = docs.select(F.col("doc_id"), document_key().alias("key"), n_words(F.col("text")).alias("n_words"))
     same = own["key"].eqNullSafe(judged["key"])
     none = F.array().cast("array<string>")
     out = own.join(judged, same, "left").select(
