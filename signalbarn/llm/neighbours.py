@@ -24,14 +24,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PROJECTIONS = 96
+PROJECTIONS = 48
 #: Share of the windows that a vector must lie in to be verified.
 THRESHOLD = 0.57
 #: Standard deviations by which an equally distant vector would be expected beyond the threshold when a query ends.
 MARGIN = 0.8
 #: Windows widen by this factor from round to round; the first one's half width is this share of the vectors' length.
-WIDEN, FIRST = 1.25, 0.1
-SHARD_ROWS, BLOCK_ROWS = 16384, 4096
+WIDEN, FIRST = 1.4, 0.2
+#: Windows end at marks this far apart, as a share of the vectors' length.
+MARK = 0.01
+SHARD_ROWS, BLOCK_ROWS = 16384, 1024
 SEED = 7
 
 
@@ -52,8 +54,11 @@ class CollisionIndex:
         self.axes = rng.standard_normal((lifted.shape[1], projections))
         places = lifted @ self.axes
         order = np.argsort(places, axis=0, kind="stable")
-        self.sorted = np.ascontiguousarray(np.take_along_axis(places, order, axis=0).T)
-        self.order = np.ascontiguousarray(order.T.astype(np.int32))
+        self.order = np.ascontiguousarray(order.T)
+        self.limit = float(np.abs(places).max()) + 2 * MARK
+        marks = np.arange(-self.limit, self.limit + MARK, MARK)
+        #: How many vectors lie before each mark, by projection.
+        self.before = np.stack([np.searchsorted(p, marks) for p in np.take_along_axis(places, order, axis=0).T])
         self.need = math.ceil(THRESHOLD * projections)
         p = min(0.99, THRESHOLD + MARGIN * math.sqrt(THRESHOLD * (1 - THRESHOLD) / projections))
         #: Half width of a window over the distance of a vector that collides with probability p.
@@ -61,26 +66,25 @@ class CollisionIndex:
 
     def search(self, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Positions and approximate products of the best vectors: k, or more if more tie or are verified alike."""
-        n, m = len(self.vectors), len(self.sorted)
+        n, m = len(self.vectors), len(self.order)
         norm = float(np.sqrt((query * query).sum()))
-        lifted = np.append(query / norm, 0.0)
-        centre = lifted @ self.axes
-        low = np.array([np.searchsorted(self.sorted[i], centre[i]) for i in range(m)])
-        high = low.copy()
-        counts = np.zeros(n, np.uint16)
+        centre = np.append(query / norm, 0.0) @ self.axes
+        each, last = np.arange(m), self.before.shape[1] - 1
+
+        def upto(edge: np.ndarray) -> np.ndarray:
+            mark = np.clip(np.rint((edge + self.limit) / MARK), 0, last).astype(np.int64)
+            return self.before[each, mark]
+
+        low = high = upto(centre)
+        counts = np.zeros(n, np.int64)
         verified = np.zeros(n, bool)
         at, products = np.empty(0, np.int64), np.empty(0)
         half = FIRST
         while True:
-            for i in range(m):
-                left = int(np.searchsorted(self.sorted[i], centre[i] - half, "left"))
-                right = int(np.searchsorted(self.sorted[i], centre[i] + half, "right"))
-                if left < low[i]:
-                    counts[self.order[i, left : low[i]]] += 1
-                    low[i] = left
-                if right > high[i]:
-                    counts[self.order[i, high[i] : right]] += 1
-                    high[i] = right
+            left, right = upto(centre - half), upto(centre + half)
+            ends = [self.order[i, a:b] for i in range(m) for a, b in ((left[i], low[i]), (high[i], right[i]))]
+            counts += np.bincount(np.concatenate(ends), minlength=n)
+            low, high = left, right
             new = np.flatnonzero((counts >= self.need) & ~verified)
             if len(new):
                 verified[new] = True
