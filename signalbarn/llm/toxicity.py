@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from signalbarn.llm.common import fold
+from signalbarn.llm.common import fold, written
 
 #: n-grams and contexts are counted in so many buckets: 8 bytes each on every worker, one row each to the driver.
 BUCKETS = 1 << 20
@@ -171,36 +171,55 @@ def gram_counts(words: DataFrame) -> DataFrame:
     return spelled.groupBy("gram").agg(*(F.min(c).alias(c) for c in orders), *(F.sum(c).alias(c) for c in held))
 
 
-def log_ratios(grams: pd.DataFrame) -> ToxicityModel:
-    """The model of at most BUCKETS counted n-grams."""
-    g = {c: grams[c].to_numpy(np.int64) for c in grams.columns}
+def _columns(df: DataFrame) -> dict[str, np.ndarray]:
+    found = df.toArrow()
+    return {c: found.column(c).to_numpy() for c in found.column_names}
 
-    def backed(n, context, size, below):
-        """Interpolates counts with the probabilities of the order below."""
-        total = np.bincount(context, n, size)
-        types = np.bincount(context, n > 0, size)
-        total = np.maximum(total, 1e-9)[context]
-        return np.maximum(n - DISCOUNT, 0) / total + np.minimum(1, DISCOUNT * types[context] / total) * below
 
-    _, first = np.unique(g["low_gram"], return_index=True)
-    letter_types = np.bincount(g["letter"][first], minlength=LOW_BUCKETS)
-    known = max(1, int((letter_types > 0).sum()))
-    letter = np.maximum(letter_types - DISCOUNT, 0) / max(1, letter_types.sum()) + DISCOUNT * known / max(1, letter_types.sum()) / known
-    low_types = np.bincount(g["low_gram"], minlength=LOW_BUCKETS)
+def log_ratios(grams: DataFrame) -> ToxicityModel:
+    """The model of the counted n-grams.
+
+    Totals of contexts and of the low orders are summed by Spark. An n-gram that
+    no class has counted beyond the discount is judged by its context alone, so
+    only the others are gathered: each table has at most a row per bucket.
+    """
+    both = ["in_toxic", "in_ordinary"]
+    low_rows = _columns(
+        grams.groupBy("low_gram").agg(F.count("*").alias("n"), F.min("low_context").alias("context"), F.min("letter").alias("letter"))
+    )
+    contexts = _columns(
+        grams.where("in_toxic + in_ordinary > 0")
+        .groupBy("context")
+        .agg(
+            *[F.sum(c).cast("double").alias(c) for c in both],
+            *[F.sum(F.least(F.col(c), F.lit(int(CLASS_DISCOUNT)))).cast("double").alias(f"given_{c}") for c in both],
+        )
+    )
+    g = _columns(
+        grams.where(" or ".join(f"{c} > {CLASS_DISCOUNT}" for c in both)).select("gram", "context", "low_gram", *both)
+    )
+
+    letter_types = np.bincount(low_rows["letter"], minlength=LOW_BUCKETS)
+    types, known = max(1, letter_types.sum()), max(1, (letter_types > 0).sum())
+    letter = np.maximum(letter_types - DISCOUNT, 0) / types + DISCOUNT / types * (letter_types > 0).sum() / known
+    n, context = low_rows["n"], low_rows["context"]
+    total = np.maximum(np.bincount(context, n, LOW_BUCKETS), 1)[context]
+    kinds = np.bincount(context, minlength=LOW_BUCKETS)[context]
     low = np.zeros(LOW_BUCKETS)
-    low[g["low_gram"][first]] = backed(low_types[g["low_gram"][first]], g["low_context"][first], LOW_BUCKETS, letter[g["letter"][first]])
+    low[low_rows["low_gram"]] = np.maximum(n - DISCOUNT, 0) / total + DISCOUNT * kinds / total * letter[low_rows["letter"]]
     shared = low[g["low_gram"]]
-    log, unseen = [], []
-    for c in ("in_toxic", "in_ordinary"):
-        total = np.bincount(g["context"], g[c], BUCKETS)
-        given = np.bincount(g["context"], np.minimum(g[c], CLASS_DISCOUNT), BUCKETS)
-        left = np.where(total > 0, np.minimum(1, given / np.maximum(total, 1)), 1.0)
-        own = np.maximum(g[c] - CLASS_DISCOUNT, 0) / np.maximum(total, 1)[g["context"]]
-        log.append(np.log(np.maximum(own + left[g["context"]] * shared, 1e-12)))
-        unseen.append(np.log(left))
-    model = ToxicityModel(np.zeros(BUCKETS, np.float32), (unseen[0] - unseen[1]).astype(np.float32), np.zeros(BUCKETS, bool))
-    model.gram[g["gram"]] = log[0] - log[1]
+
+    model = ToxicityModel(np.zeros(BUCKETS, np.float32), np.zeros(BUCKETS, np.float32), np.zeros(BUCKETS, bool))
     model.seen[g["gram"]] = True
+    for sign, c in ((1, both[0]), (-1, both[1])):
+        total, left = np.ones(BUCKETS, np.float32), np.ones(BUCKETS, np.float32)
+        some = contexts[c] > 0
+        at = contexts["context"][some]
+        total[at] = contexts[c][some]
+        left[at] = contexts[f"given_{c}"][some] / contexts[c][some]
+        own = np.maximum(g[c] - CLASS_DISCOUNT, 0) / total[g["context"]]
+        model.gram[g["gram"]] += sign * np.log(np.maximum(own + left[g["context"]] * shared, 1e-12))
+        model.context += sign * np.log(left)
     return model
 
 
@@ -259,7 +278,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELL
     taught = F.broadcast(taught)  # about labelled_rows rows of 16 bytes at most
     known = docs.select("doc_id", "text").join(taught, "doc_id", "left")
     counted = known.withColumn("class", F.when(F.col("fold") != CURVE_FOLD, F.col("class")))
-    model = log_ratios(gram_counts(word_counts(counted)).toPandas())
+    model = log_ratios(written(gram_counts(word_counts(counted)), "grams"))
     curve = known.where(F.col("fold") == CURVE_FOLD).select("class", _score_column(spark, model, "signs")("text").alias("signs"))
     rows = curve.collect()  # part of about labelled_rows rows, two numbers each
     model.curve = fit_curve(np.array([r.signs for r in rows]).reshape(-1, 2), np.array([r["class"] for r in rows], float))
