@@ -16,13 +16,16 @@ from signalbarn.llm.packing import pack_documents
 from signalbarn.llm.queries import tokenizer_path
 from signalbarn.llm.secrets import fit_markov, redacted, with_spans
 from signalbarn.llm.simhash import keep_first, simhash_groups
-from signalbarn.llm.toxicity import THRESHOLD, fit_toxicity, toxicity_column
+from signalbarn.llm.toxicity import THRESHOLD, fit_toxicity, toxicity_scores
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score is below the threshold."""
     model = fit_toxicity(docs, table(spark, sf_dir, "labels"))
-    return docs.where(toxicity_column(spark, model) < THRESHOLD)
+    bad = toxicity_scores(docs, model).where(F.col("score") >= THRESHOLD)
+    bad = bad.select(F.col("doc_id").alias("bad_id"), F.col("key").alias("bad_hash")).distinct()
+    key = document_key()
+    return docs.join(bad, key["id"].eqNullSafe(F.col("bad_id")) & (key["hash"] == F.col("bad_hash")), "left_anti")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

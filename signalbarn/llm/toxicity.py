@@ -8,19 +8,22 @@ most its last five letters. For a class c (toxic, ordinary)
 with n_c and N_c the class's count and total and G_c what the discount D took.
 P is the backoff both classes share: an interpolated Kneser-Ney model of all
 documents, labelled or not, that knows the last two letters and counts the
-contexts a letter follows, not its occurrences. Words are
-counted by a Spark aggregate over all documents; their n-grams go to a fixed
-number of buckets, which bounds the model whatever the corpus.
+contexts a letter follows, not its occurrences. Words and their n-grams are
+counted by Spark aggregates; n-grams and contexts are told apart by their
+letters, in tables that grow with the corpus and never leave Spark.
 
 A text's score compares the two log-likelihoods per word: the mean of the words'
 log ratios and the mean of what they exceed `STRONG` by, brought to 0..1 by a
 logistic curve that is fitted on labelled rows the counts of the classes do not
-hold.
+hold. Texts are read in batches: a batch asks once for each of its distinct
+words, and a batch of words once for each of its n-grams, so that frequent ones
+are no hot keys and only lists of places are shuffled.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,10 +35,9 @@ from pyspark.sql import functions as F
 
 from signalbarn.llm.common import fold, written
 
-#: n-grams and contexts are counted in so many buckets: 8 bytes each on every worker, one row each to the driver.
-BUCKETS = 1 << 20
-LOW_BUCKETS = 1 << 16
-CONTEXT = 5
+CONTEXT, LOW_CONTEXT = 5, 2
+#: Log ratios of n-grams are summed in whole parts of this size, whose sum is the same in any order.
+PARTS = 1 << 32
 DISCOUNT = 0.75
 #: Discount of the class's own counts. Most words of toxic texts are ordinary: what was seen a few times proves nothing.
 CLASS_DISCOUNT = 3.0
@@ -45,8 +47,8 @@ STRONG = 2.0
 LABELLED_ROWS = 400_000
 #: Different words a worker counts before it passes them on.
 WORDS_HELD = 300_000
-#: Different words whose log ratio a worker remembers.
-CACHE_WORDS = 500_000
+#: A batch of texts ends at so many pairs of a text and a word, or so many texts; a batch of words at so many words.
+PAIRS_HELD, TEXTS_HELD, SPELLED = 2_000_000, 65_535, 100_000
 HELD_OUT_FOLD, CURVE_FOLD = 2, 3
 THRESHOLD = 0.3
 #: Letters of a word that are read as one; longer runs of letters are cut into such words.
@@ -59,73 +61,24 @@ def words_of(text: str | None) -> list[str]:
     return _WORD.findall(text.lower()) if text else []
 
 
-def spellings(words: list[str]) -> dict[str, np.ndarray]:
-    """For each letter of each word, and its end: the buckets of its n-gram and context, and the word's position."""
-    codes = np.frombuffer("".join(f"\x01{w}\x02" for w in words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
-    starts = np.flatnonzero(codes == 1)
-    word = np.cumsum(codes == 1) - 1
-    place = np.arange(len(codes)) - starts[word]
-    context = np.zeros(len(codes), np.uint64)
-    low = np.zeros(len(codes), np.uint64)
-    for back in range(1, CONTEXT + 1):
-        known = place >= back
-        before = np.where(known, np.roll(codes, back), np.uint64(0))
-        context = (context * np.uint64(0x9E3779B97F4A7C15) + before + np.uint64(back)) * np.uint64(0xC2B2AE3D27D4EB4F)
-        if back == 2:
-            low = context.copy()
-    gram = (context ^ (context >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + codes * np.uint64(0xD6E8FEB86659FD93)
-    low_gram = (low ^ (low >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + codes * np.uint64(0xD6E8FEB86659FD93)
-
-    def bucket(h: np.ndarray, n: int) -> np.ndarray:
-        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-        return ((h ^ (h >> np.uint64(32))) % np.uint64(n)).astype(np.int64)
-
-    at = place > 0
-    return {
-        "gram": bucket(gram, BUCKETS)[at],
-        "context": bucket(context, BUCKETS)[at],
-        "low_gram": bucket(low_gram, LOW_BUCKETS)[at],
-        "low_context": bucket(low, LOW_BUCKETS)[at],
-        "letter": bucket(codes, LOW_BUCKETS)[at],
-        "word": word[at],
-    }
+def spellings(words: list[str]) -> tuple[list[str], np.ndarray]:
+    """For each letter of each word, and its end: its context with the letter, and the word's position."""
+    grams, sizes = [], []
+    for w in words:
+        w = f"\x01{w}\x02"
+        grams += [w[max(0, i - CONTEXT) : i + 1] for i in range(1, len(w))]
+        sizes.append(len(w) - 1)
+    return grams, np.repeat(np.arange(len(words)), sizes)
 
 
 @dataclass
 class ToxicityModel:
-    """Log ratios by n-gram bucket and, for n-grams never counted, by context bucket; the curve's weights."""
+    """Log ratios, in parts, of n-grams (gram, ratio) and, for n-grams never counted, of contexts (context, ratio); the curve's weights."""
 
-    gram: np.ndarray
-    context: np.ndarray
-    seen: np.ndarray
+    grams: DataFrame
+    contexts: DataFrame
     curve: tuple[float, float, float] = (0.0, 0.0, -20.0)
 
-    def word_ratios(self, words: list[str]) -> np.ndarray:
-        if not words:
-            return np.empty(0)
-        s = spellings(words)
-        ratio = np.where(self.seen[s["gram"]], self.gram[s["gram"]], self.context[s["context"]])
-        return np.bincount(s["word"], ratio, len(words))
-
-    def signs(self, text: str | None, cache: dict[str, float]) -> tuple[float, float]:
-        words = words_of(text)
-        if not words:
-            return 0.0, 0.0
-        new = [w for w in set(words) if w not in cache]
-        if new:
-            if len(cache) + len(new) > CACHE_WORDS:
-                cache.clear()
-                new = list(set(words))
-            cache.update(zip(new, self.word_ratios(new).tolist()))
-        ratios = np.fromiter(map(cache.__getitem__, words), float, len(words))
-        return float(ratios.mean()), float(np.maximum(ratios - STRONG, 0).mean())
-
-    def scores(self, texts: pd.Series, cache: dict[str, float]) -> np.ndarray:
-        """0..1 for each text; a text without words has the score of two equal likelihoods."""
-        found = np.array([self.signs(t, cache) for t in texts]).reshape(-1, 2)
-        a, b, c = self.curve
-        return 1 / (1 + np.exp(-np.clip(a * found[:, 0] + b * found[:, 1] + c, -60, 60)))
-
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """Rows (word, in_all, in_toxic, in_ordinary) of docs(text, class); class 1 is toxic, 0 ordinary, null neither."""
@@ -154,73 +107,177 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def gram_counts(words: DataFrame) -> DataFrame:
-    """A row for each n-gram bucket: counts, and the buckets of its context and lower orders."""
-    held = ["in_all", "in_toxic", "in_ordinary"]
-    orders = ["context", "low_gram", "low_context", "letter"]
+    """Rows (gram, in_toxic, in_ordinary) of each n-gram of the words."""
+    held = ["in_toxic", "in_ordinary"]
 
     def spell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                s = pd.DataFrame(spellings(batch["word"].tolist()))
-                for c in held:
-                    s[c] = batch[c].to_numpy()[s["word"]]
-                yield s.groupby("gram", as_index=False).agg({c: "min" for c in orders} | {c: "sum" for c in held})
+                grams, word = spellings(batch["word"].tolist())
+                s = pd.DataFrame({"gram": grams} | {c: batch[c].to_numpy()[word] for c in held})
+                yield s.groupby("gram", as_index=False, sort=False).sum()
+
+    spelled = words.mapInPandas(spell, "gram string, in_toxic long, in_ordinary long")
+    return spelled.groupBy("gram").agg(*(F.sum(c).alias(c) for c in held))
+
 
-    fields = ", ".join([f"{c} int" for c in ["gram", *orders]] + [f"{c} long" for c in held])
-    spelled = words.mapInPandas(spell, fields)
-    return spelled.groupBy("gram").agg(*(F.min(c).alias(c) for c in orders), *(F.sum(c).alias(c) for c in held))
+def _context(gram: Column) -> Column:
+    return F.substring(gram, F.lit(1), F.length(gram) - 1)
 
 
-def _columns(df: DataFrame) -> dict[str, np.ndarray]:
-    found = df.toArrow()
-    return {c: found.column(c).to_numpy() for c in found.column_names}
+def low_orders(grams: DataFrame) -> DataFrame:
+    """Rows (low_gram, shared): the backoff's probability of a letter after the last two."""
+    low_gram = F.substring("gram", -(LOW_CONTEXT + 1), LOW_CONTEXT + 1)
+    low = grams.groupBy(low_gram.alias("low_gram")).agg(F.count("*").alias("n"))
+    low = low.withColumn("low_context", _context(F.col("low_gram"))).withColumn("letter", F.substring("low_gram", -1, 1))
+    low = written(low, "low_grams")
+    contexts = low.groupBy("low_context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
+    types = max(1, low.count())
+    letter = F.greatest(F.count("*") - DISCOUNT, F.lit(0.0)) / types + DISCOUNT / types
+    letters = F.broadcast(low.groupBy("letter").agg(letter.alias("alone")))  # as many rows as there are letters
+    shared = F.greatest(F.col("n") - DISCOUNT, F.lit(0.0)) / F.col("total") + DISCOUNT * F.col("kinds") / F.col("total") * F.col("alone")
+    return low.join(contexts, "low_context").join(letters, "letter").select("low_gram", shared.alias("shared"))
 
 
 def log_ratios(grams: DataFrame) -> ToxicityModel:
     """The model of the counted n-grams.
 
-    Totals of contexts and of the low orders are summed by Spark. An n-gram that
-    no class has counted beyond the discount is judged by its context alone, so
-    only the others are gathered: each table has at most a row per bucket.
+    An n-gram that no class has counted beyond the discount is judged by its
+    context alone, one whose context no class has seen tells nothing.
     """
     both = ["in_toxic", "in_ordinary"]
-    low_rows = _columns(
-        grams.groupBy("low_gram").agg(F.count("*").alias("n"), F.min("low_context").alias("context"), F.min("letter").alias("letter"))
-    )
-    contexts = _columns(
-        grams.where("in_toxic + in_ordinary > 0")
+    keyed = grams.withColumn("context", _context(F.col("gram")))
+    contexts = (
+        keyed.where("in_toxic + in_ordinary > 0")
         .groupBy("context")
         .agg(
-            *[F.sum(c).cast("double").alias(c) for c in both],
-            *[F.sum(F.least(F.col(c), F.lit(int(CLASS_DISCOUNT)))).cast("double").alias(f"given_{c}") for c in both],
+            *[F.sum(c).cast("double").alias(f"total_{c}") for c in both],
+            *[F.sum(F.least(F.col(c).cast("double"), F.lit(CLASS_DISCOUNT))).alias(f"given_{c}") for c in both],
         )
     )
-    g = _columns(
-        grams.where(" or ".join(f"{c} > {CLASS_DISCOUNT}" for c in both)).select("gram", "context", "low_gram", *both)
-    )
+    left = {c: F.when(F.col(f"total_{c}") > 0, F.col(f"given_{c}") / F.col(f"total_{c}")).otherwise(1.0) for c in both}
+    contexts = written(contexts.select("context", *[f"total_{c}" for c in both], *[left[c].alias(f"left_{c}") for c in both]), "contexts")
+
+    def ratio(each) -> Column:
+        return F.round((F.log(each(both[0])) - F.log(each(both[1]))) * PARTS).cast("long").alias("ratio")
+
+    def likelihood(c: str) -> Column:
+        own = F.greatest(F.col(c) - CLASS_DISCOUNT, F.lit(0.0)) / F.greatest(F.col(f"total_{c}"), F.lit(1.0))
+        return F.greatest(own + F.col(f"left_{c}") * F.col("shared"), F.lit(1e-12))
+
+    seen = keyed.where(" or ".join(f"{c} > {CLASS_DISCOUNT}" for c in both))
+    seen = seen.withColumn("low_gram", F.substring("gram", -(LOW_CONTEXT + 1), LOW_CONTEXT + 1))
+    seen = seen.join(low_orders(grams), "low_gram").join(contexts, "context").select("gram", ratio(likelihood))
+    return ToxicityModel(written(seen, "gram_ratios"), contexts.select("context", ratio(lambda c: F.col(f"left_{c}"))))
+
+
+def word_ratios(words: DataFrame, model: ToxicityModel) -> DataFrame:
+    """Rows (word, ratio) of words(word), which are distinct: the sum of the log ratios of a word's n-grams."""
+
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyspark import TaskContext
+
+        part, n, held = TaskContext.get().partitionId(), 0, []
+
+        def frame() -> pd.DataFrame:
+            nonlocal n
+            batch, n = part << 32 | n, n + 1
+            grams, word = spellings(held)
+            code, each = pd.factorize(np.array(grams, object))
+            order = np.argsort(code, kind="stable")
+            ends = np.cumsum(np.bincount(code, minlength=len(each)))
+            places = word[order].astype("<u4")
+            out = pd.DataFrame({"batch": batch, "gram": each, "places": [p.tobytes() for p in np.split(places, ends[:-1])]})
+            # the words themselves, under a key of their own that is no n-gram
+            own = pd.DataFrame({"batch": [batch], "gram": [f" {batch}"], "places": ["\n".join(held).encode()]})
+            held.clear()
+            return pd.concat([out, own])
+
+        for batch in batches:
+            held += batch["word"].tolist()
+            if len(held) >= SPELLED:
+                yield frame()
+        if held:
+            yield frame()
+
+    def add(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        own = rows["gram"].str.startswith(" ")
+        words = rows["places"][own].iloc[0].decode().split("\n")
+        sums = np.zeros(len(words), np.int64)
+        rows = rows[~own]
+        places = np.frombuffer(b"".join(rows["places"]), "<u4")
+        np.add.at(sums, places, np.repeat(rows["ratio"].to_numpy(np.int64), rows["places"].str.len().to_numpy() // 4))
+        return pd.DataFrame({"word": words, "ratio": sums / PARTS})
+
+    asked = words.select("word").mapInPandas(ask, "batch long, gram string, places binary").withColumn("context", _context(F.col("gram")))
+    grams = model.grams.withColumnRenamed("ratio", "of_gram")
+    contexts = model.contexts.withColumnRenamed("ratio", "of_context")
+    told = asked.join(grams, "gram", "left").join(contexts, "context", "left")
+    told = told.select("batch", "gram", "places", F.coalesce("of_gram", "of_context", F.lit(0)).alias("ratio"))
+    return told.groupBy("batch").applyInPandas(add, "word string, ratio double")
 
-    letter_types = np.bincount(low_rows["letter"], minlength=LOW_BUCKETS)
-    types, known = max(1, letter_types.sum()), max(1, (letter_types > 0).sum())
-    letter = np.maximum(letter_types - DISCOUNT, 0) / types + DISCOUNT / types * (letter_types > 0).sum() / known
-    n, context = low_rows["n"], low_rows["context"]
-    total = np.maximum(np.bincount(context, n, LOW_BUCKETS), 1)[context]
-    kinds = np.bincount(context, minlength=LOW_BUCKETS)[context]
-    low = np.zeros(LOW_BUCKETS)
-    low[low_rows["low_gram"]] = np.maximum(n - DISCOUNT, 0) / total + DISCOUNT * kinds / total * letter[low_rows["letter"]]
-    shared = low[g["low_gram"]]
-
-    model = ToxicityModel(np.zeros(BUCKETS, np.float32), np.zeros(BUCKETS, np.float32), np.zeros(BUCKETS, bool))
-    model.seen[g["gram"]] = True
-    for sign, c in ((1, both[0]), (-1, both[1])):
-        total, left = np.ones(BUCKETS, np.float32), np.ones(BUCKETS, np.float32)
-        some = contexts[c] > 0
-        at = contexts["context"][some]
-        total[at] = contexts[c][some]
-        left[at] = contexts[f"given_{c}"][some] / contexts[c][some]
-        own = np.maximum(g[c] - CLASS_DISCOUNT, 0) / total[g["context"]]
-        model.gram[g["gram"]] += sign * np.log(np.maximum(own + left[g["context"]] * shared, 1e-12))
-        model.context += sign * np.log(left)
-    return model
+
+_PAIR = np.dtype([("text", "<u2"), ("n", "<u4")])
+
+
+def text_signs(docs: DataFrame, model: ToxicityModel) -> DataFrame:
+    """A row for each row of docs(doc_id, text): doc_id, the hash of the text, and the two signs; 0 for texts without words."""
+
+    def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyspark import TaskContext
+
+        part, n = TaskContext.get().partitionId(), 0
+        codes: dict[str, int] = {}
+        word, text, times, own = array("L"), array("L"), array("L"), []
+
+        def frame() -> pd.DataFrame:
+            nonlocal n
+            batch, n = part << 32 | n, n + 1
+            code = np.array(word, np.int64)
+            order = np.argsort(code, kind="stable")
+            pairs = np.empty(len(code), _PAIR)
+            pairs["text"], pairs["n"] = np.array(text, np.int64)[order], np.array(times, np.int64)[order]
+            ends = np.cumsum(np.bincount(code, minlength=len(codes)))
+            found = [pairs[a:b].tobytes() for a, b in zip(np.append(0, ends[:-1]), ends)] if codes else []
+            out = pd.DataFrame({"batch": batch, "number": np.arange(len(codes)), "word": list(codes), "pairs": found})
+            # the rows themselves, under a key of their own that is no word
+            rows = np.array(own, np.int64).tobytes()
+            rows = pd.DataFrame({"batch": [batch], "number": [-1], "word": [f" {batch}"], "pairs": [rows]})
+            codes.clear()
+            own.clear()
+            del word[:], text[:], times[:]
+            return pd.concat([out, rows])
+
+        for batch in batches:
+            for doc_id, key, t in zip(batch["doc_id"].astype(object), batch["key"], batch["text"]):
+                counts = Counter(words_of(t))
+                word.extend([codes.setdefault(w, len(codes)) for w in counts])
+                text.extend([len(own)] * len(counts))
+                times.extend(counts.values())
+                known = not pd.isna(doc_id)
+                own.append((known, int(doc_id) if known else 0, key))
+                if len(word) >= PAIRS_HELD or len(own) >= TEXTS_HELD:
+                    yield frame()
+        if own:
+            yield frame()
+
+    def add(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("number")
+        own = np.frombuffer(rows["pairs"].iloc[0], np.int64).reshape(-1, 3)
+        pairs = np.frombuffer(b"".join(rows["pairs"].iloc[1:]), _PAIR)
+        ratio = np.repeat(rows["ratio"].to_numpy(float)[1:], rows["pairs"].str.len().to_numpy()[1:] // _PAIR.itemsize)
+        n = np.maximum(np.bincount(pairs["text"], pairs["n"], len(own)), 1)
+        out = pd.DataFrame({"doc_id": pd.array(own[:, 1], "Int64"), "key": own[:, 2]})
+        out.loc[own[:, 0] == 0, "doc_id"] = pd.NA
+        out["mean"] = np.bincount(pairs["text"], pairs["n"] * ratio, len(own)) / n
+        out["strong"] = np.bincount(pairs["text"], pairs["n"] * np.maximum(ratio - STRONG, 0), len(own)) / n
+        return out
+
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("key"), "text")
+    asked = written(keyed.mapInPandas(index, "batch long, number long, word string, pairs binary"), "asked")
+    ratios = word_ratios(asked.where("number >= 0").select("word").distinct(), model)
+    told = asked.join(written(ratios, "word_ratios"), "word", "left").select("batch", "number", "pairs", "ratio")
+    return told.groupBy("batch").applyInPandas(add, "doc_id long, key long, mean double, strong double")
 
 
 def fit_curve(signs: np.ndarray, toxic: np.ndarray) -> tuple[float, float, float]:
@@ -241,28 +298,6 @@ def fit_curve(signs: np.ndarray, toxic: np.ndarray) -> tuple[float, float, float
     return float(w[0] / scale[0]), float(w[1] / scale[1]), float(w[2])
 
 
-def _score_column(spark, model: ToxicityModel, what: str):
-    shared = spark.sparkContext.broadcast(model)
-
-    if what == "score":
-
-        @F.pandas_udf("double")
-        def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            cache: dict[str, float] = {}
-            for batch in texts:
-                yield pd.Series(shared.value.scores(batch, cache))
-
-        return score
-
-    @F.pandas_udf("array<double>")
-    def signs(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        cache: dict[str, float] = {}
-        for batch in texts:
-            yield pd.Series([list(shared.value.signs(t, cache)) for t in batch])
-
-    return signs
-
-
 def fit_toxicity(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS) -> ToxicityModel:
     """Counts words over all of docs(doc_id, text) and classes over labels(doc_id, toxic).
 
@@ -279,15 +314,21 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELL
     known = docs.select("doc_id", "text").join(taught, "doc_id", "left")
     counted = known.withColumn("class", F.when(F.col("fold") != CURVE_FOLD, F.col("class")))
     model = log_ratios(written(gram_counts(word_counts(counted)), "grams"))
-    curve = known.where(F.col("fold") == CURVE_FOLD).select("class", _score_column(spark, model, "signs")("text").alias("signs"))
+    held = known.where(F.col("fold") == CURVE_FOLD)
+    curve = text_signs(held, model).join(taught, "doc_id").select("class", "mean", "strong")
     rows = curve.collect()  # part of about labelled_rows rows, two numbers each
-    model.curve = fit_curve(np.array([r.signs for r in rows]).reshape(-1, 2), np.array([r["class"] for r in rows], float))
+    model.curve = fit_curve(np.array([(r.mean, r.strong) for r in rows]).reshape(-1, 2), np.array([r["class"] for r in rows], float))
     return model
 
 
-def toxicity_column(spark, model: ToxicityModel, text: str = "text") -> Column:
-    """A score between 0 and 1 of each text; null and empty texts count as texts without words."""
-    return _score_column(spark, model, "score")(F.col(text))
+def toxicity_scores(docs: DataFrame, model: ToxicityModel) -> DataFrame:
+    """A row for each row of docs(doc_id, text): doc_id, the hash of the text, and a score between 0 and 1.
+
+    Null and empty texts count as texts without words, which have the score of two equal likelihoods.
+    """
+    a, b, c = model.curve
+    power = F.greatest(F.lit(-60.0), F.least(F.lit(60.0), a * F.col("mean") + b * F.col("strong") + c))
+    return text_signs(docs, model).select("doc_id", "key", (1 / (1 + F.exp(-power))).alias("score"))
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:
@@ -296,5 +337,5 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = THR
     Repeated rows give repeated results; a null id is in fold 0. Columns other
     than doc_id and text are not read.
     """
-    scored = docs.select("doc_id", (fold() == HELD_OUT_FOLD).alias("held_out"), toxicity_column(docs.sparkSession, model).alias("score"))
+    scored = toxicity_scores(docs, model).select("doc_id", (fold() == HELD_OUT_FOLD).alias("held_out"), "score")
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

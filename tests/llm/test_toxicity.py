@@ -3,6 +3,7 @@ import zlib
 import numpy as np
 from pyspark.sql import functions as F
 
+from signalbarn.llm import toxicity
 from signalbarn.llm.toxicity import fit_curve, fit_toxicity, score_toxicity, words_of
 
 DATA = "/root/testdata/sf0.01"
@@ -43,3 +44,62 @@ def test_curve_and_words():
     a, b, c = fit_curve(x, np.repeat([0.0, 1.0], 100))
     assert b + c > 0 > c
     assert words_of("Äb_c D'e") == ["äb", "c", "d", "e"] and words_of(None) == []
+
+
+def plain_signs(docs, classes):
+    """The two signs of each text by dictionaries of exact n-grams; classes: doc_id to (toxic, fold)."""
+    grams = {}
+    spell = lambda w: [("\1" + w + "\2")[max(0, i - 5) : i + 1] for i in range(1, len(w) + 2)]
+    for i, text in docs:
+        toxic, of = classes.get(i, (None, None))
+        for w in words_of(text):
+            for g in spell(w):
+                n = grams.setdefault(g, [0, 0])
+                if toxic is not None and of != 3:
+                    n[1 - toxic] += 1
+    low, low_total, kinds, letters, total, given = {}, {}, {}, {}, {}, {}
+    for g, n in grams.items():
+        low[g[-3:]] = low.get(g[-3:], 0) + 1
+        for c in (0, 1):
+            total[g[:-1], c] = total.get((g[:-1], c), 0) + n[c]
+            given[g[:-1], c] = given.get((g[:-1], c), 0) + min(n[c], 3)
+    for g, n in low.items():
+        low_total[g[:-1]] = low_total.get(g[:-1], 0) + n
+        kinds[g[:-1]] = kinds.get(g[:-1], 0) + 1
+        letters[g[-1]] = letters.get(g[-1], 0) + 1
+
+    def shared(g):
+        alone = (max(letters[g[-1]] - 0.75, 0) + 0.75) / len(low)
+        return (max(low[g] - 0.75, 0) + 0.75 * kinds[g[:-1]] * alone) / low_total[g[:-1]]
+
+    def ratio(g):
+        n, c = grams[g], g[:-1]
+        left = [given[c, k] / total[c, k] if total[c, k] else 1 for k in (0, 1)]
+        if max(n) <= 3:
+            return np.log(left[0] / left[1])
+        p = [max(max(n[k] - 3, 0) / max(total[c, k], 1) + left[k] * shared(g[-3:]), 1e-12) for k in (0, 1)]
+        return np.log(p[0] / p[1])
+
+    known = {g: ratio(g) for g in grams}
+    out = []
+    for _, text in docs:
+        r = np.array([sum(known[g] for g in spell(w)) for w in words_of(text)] or [0.0])
+        out.append((r.mean(), np.maximum(r - 2, 0).mean()))
+    return np.array(out)
+
+
+def test_against_exact_ngrams(spark, monkeypatch):
+    """n-grams that shared a bucket of a hash were counted as one."""
+    monkeypatch.setattr(toxicity, "PAIRS_HELD", 5000)
+    monkeypatch.setattr(toxicity, "SPELLED", 1000)
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").where("n_chars < 2000").select("doc_id", "text")
+    labels = spark.read.parquet(f"{DATA}/labels.parquet")
+    rows = [tuple(r) for r in docs.collect()]
+    classes = {r.doc_id: (r.toxic, fold(r.doc_id)) for r in labels.collect() if fold(r.doc_id) != 2}
+    signs = plain_signs(rows, classes)
+    curve = [(s, classes[i][0]) for (i, _), s in zip(rows, signs) if classes.get(i, (0, 0))[1] == 3]
+    a, b, c = fit_curve(np.array([s for s, _ in curve]), np.array([t for _, t in curve], float))
+    want = {i: 1 / (1 + np.exp(-(a * s[0] + b * s[1] + c))) for (i, _), s in zip(rows, signs)}
+    got = {r.doc_id: r.score for r in score_toxicity(docs, fit_toxicity(docs, labels)).collect()}
+    assert set(got) == set(want)
+    assert max(abs(got[i] - want[i]) for i in want) < 1e-5
