@@ -31,7 +31,8 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash_groups(table(spark, sf_dir, "documents"), shingle=3, bits=2)
+    groups = simhash_groups(table(spark, sf_dir, "documents"), shingle=3, bits=2)
+    return groups.select("doc_id", "fingerprint", "component_id")
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from signalbarn.llm.common import written
+from signalbarn.llm.common import document_key, written
 from signalbarn.llm.components import connected_components
 
 SEED = 42
@@ -182,37 +182,46 @@ def fingerprint_edges(prints: DataFrame, bits: int = 2) -> DataFrame:
 
 
 def simhash_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, bits: int = 2) -> DataFrame:
-    """One row per row of `docs`: doc_id, fingerprint (16 hex digits) and component_id.
+    """One row per row of `docs`: doc_id, fingerprint (16 hex digits), component_id, and the hashes of own and first text.
 
     Documents are linked if their fingerprints differ in at most `bits` bits;
     component_id is the smallest id among all that links lead to. Null and empty
     texts have fingerprint 0 and are linked like others. Repeated rows give
     repeated results. A null id keeps its row; component_id is null only if no
-    document of the group has an id. Other columns are not read.
+    document of the group has an id. component_id and first_hash together are
+    the group's first document: the least id, nulls last, and of its texts the
+    one with the least hash. Other columns are not read.
     """
-    own = with_fingerprint(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "text", shingle)
-    own = written(own.select("doc_id", "fp"), "fingerprints")
-    least = own.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    own = with_fingerprint(own, "text", shingle).withColumn("hash", document_key()["hash"])
+    own = written(own.select("doc_id", "hash", "fp"), "fingerprints")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("id"), F.col("hash"))
+    least = own.groupBy("fp").agg(F.min(order).alias("least"))
     linked = connected_components(fingerprint_edges(least.select("fp"), bits), "a", "b")
     with_root = least.join(linked.withColumnRenamed("node", "fp"), "fp", "left")
     roots = with_root.where("root is not null").groupBy("root").agg(F.min("least").alias("of_root"))
+    first = F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("of_root"))
     groups = with_root.join(roots, "root", "left").select(
-        F.col("fp"), F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("of_root")).alias("component_id")
+        F.col("fp"), first["id"].alias("component_id"), first["hash"].alias("first_hash")
     )
     groups = written(groups, "groups")
     return own.join(groups, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "hash", "first_hash"
     )
 
 
-def keep_first(docs: DataFrame, groups: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """`docs` without those whose group holds a smaller id, and without repeats of an id.
+def keep_first(docs: DataFrame, groups: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of `docs` for each group: its first document, once.
 
-    Documents without an id cannot be told apart by it and are kept.
+    Rows are told apart by id and text, so that an id with different texts
+    stands for a document of each group that one of them is first in.
     """
-    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias(doc_id)).distinct()
-    kept = docs.join(gone, doc_id, "left_anti")
-    if groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
-        named = kept.where(F.col(doc_id).isNotNull()).dropDuplicates([doc_id])
-        kept = named.unionByName(kept.where(F.col(doc_id).isNull()))
+    key = document_key(doc_id, text)
+    is_first = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("hash") == F.col("first_hash"))
+    gone = groups.where(~is_first).select(F.col("doc_id").alias("gone_id"), F.col("hash").alias("gone_hash")).distinct()
+    kept = docs.join(gone, key["id"].eqNullSafe(F.col("gone_id")) & (key["hash"] == F.col("gone_hash")), "left_anti")
+    if groups.where(is_first).groupBy("doc_id", "hash").count().where("count > 1").limit(1).count():
+        # equal in id and text; the least of the other columns' hashes chooses, so that every run keeps the same row
+        one = F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+        kept = kept.groupBy(key["id"].alias("key_id"), key["hash"].alias("key_hash")).agg(one.alias("row")).select("row.*")
     return kept

@@ -103,3 +103,17 @@ def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert simhash_groups(docs).count() == 0
     assert keep_first(docs, simhash_groups(docs)).count() == 0
+
+
+def test_keep_first_tells_texts_of_an_id_apart(spark):
+    near, far, lone = "a b c d e f g h", "nothing like it at all in here", "words of no other text whatsoever"
+    assert plain_fingerprint(near) == plain_fingerprint(near.upper())
+    rows = [(1, near), (5, near.upper()), (5, far), (7, lone), (7, near + " zz" * 9), (7, lone), (None, "same"), (None, "same"), (None, "other"), (None, far)]
+    docs = spark.createDataFrame([(*r, n) for n, r in enumerate(rows)], "doc_id long, text string, n int")
+    want = {(1, near), (5, far), (7, lone), (7, near + " zz" * 9), (None, "same"), (None, "other")}
+    roots = plain_components([plain_fingerprint(t) for _, t in rows], 2)
+    assert len(set(roots)) == len(want)
+    kept = keep_first(docs, simhash_groups(docs))
+    assert kept.columns == docs.columns
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    assert len(got) == len(want) and set(got) == want
