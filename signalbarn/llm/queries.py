@@ -50,8 +50,11 @@ def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_dir(spark, "warc")
-    write_warc(table(spark, sf_dir, "pages"), folder)
-    return read_warc(spark, folder)
+    n = write_warc(table(spark, sf_dir, "pages"), folder)
+    found = written(read_warc(spark, folder), "records")
+    if (read := found.count()) != n:
+        raise ValueError(f"{n} records were written and {read} read")
+    return found
 
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -73,8 +73,8 @@ def revisits(pages: DataFrame, least: int = LEAST_SHARED) -> DataFrame:
     return found.select("page_id", "digest", "refers_to").distinct()
 
 
-def write_warc(pages: DataFrame, folder: str, least: int = LEAST_SHARED, file_bytes: int = FILE_BYTES) -> None:
-    """Writes pages(page_id, url, html) as records under `folder`.
+def write_warc(pages: DataFrame, folder: str, least: int = LEAST_SHARED, file_bytes: int = FILE_BYTES) -> int:
+    """Writes pages(page_id, url, html) as records under `folder` and returns their number.
 
     A null html is an empty payload. Rows that repeat an id and payload that
     nothing smaller has are all responses; rows without an id revisit any with
@@ -110,7 +110,7 @@ def write_warc(pages: DataFrame, folder: str, least: int = LEAST_SHARED, file_by
         if held:
             yield close()
 
-    joined.mapInPandas(write, "records long").agg(F.sum("records")).collect()
+    return joined.mapInPandas(write, "records long").agg(F.sum("records")).first()[0] or 0
 
 
 class _Source:
@@ -147,12 +147,28 @@ def _headers(head: bytes) -> dict[str, str] | None:
     return out if "warc-type" in out and "content-length" in out else None
 
 
-def is_member(data: bytes, most: int = 1 << 16) -> bool:
-    """Whether bytes that begin with gzip's magic inflate to a record's version line and headers."""
-    try:
-        return _headers(zlib.decompressobj(31).decompress(data, most)) is not None
-    except zlib.error:
-        return False
+def is_member(source: _Source, place: int) -> bool:
+    """Whether the bytes from `place` on inflate to a record's version line and headers, however long these are."""
+    unpack, head = zlib.decompressobj(31), bytearray()
+    data = b""
+    while True:
+        if not data:
+            data = source.at(place, READ_BYTES)[:READ_BYTES]
+            place += len(data)
+        try:
+            new = unpack.decompress(data, 1 << 16)
+        except zlib.error:
+            return False
+        ended = unpack.eof or not (data or new)
+        data = unpack.unconsumed_tail
+        searched = max(0, len(head) - 3)
+        head += new
+        if not head.startswith(VERSION[: len(head)]):
+            return False
+        if head.find(b"\r\n\r\n", searched) >= 0:
+            return _headers(bytes(head)) is not None
+        if ended:
+            return False
 
 
 def inflate(source: _Source, place: int) -> tuple[bytes, int]:
@@ -181,7 +197,7 @@ def records_in(source: _Source, start: int, end: int) -> Iterator[tuple[dict[str
         place += i
         if place >= end:
             return
-        if not is_member(source.at(place, READ_BYTES)):
+        if not is_member(source, place):
             place += 1
             continue
         while place < end and place < source.size:  # from here on members follow each other

@@ -4,6 +4,10 @@ import io
 import random
 import re
 
+import numpy as np
+import pytest
+
+from signalbarn.llm import queries
 from signalbarn.llm.urls import RULES, best_threshold, judge_urls
 from signalbarn.llm.warc import MAGIC, _Source, read_warc, record, records_in, write_warc
 
@@ -84,3 +88,22 @@ def test_every_range_owns_its_records():
     for step in (1, 7, 100, 5000, len(data)):
         ids = [h["x-page-id"] for s in range(0, len(data), step) for h, _ in records_in(_Source(io.BytesIO(data), len(data)), s, min(s + step, len(data)))]
         assert ids == [str(i) for i in range(40)]
+
+
+def test_warc_headers_of_any_length(spark, out):
+    """A record whose headers are longer than 64 KiB is the first of its file."""
+    rng = np.random.default_rng(1)
+    long = "http://a.b/" + bytes(rng.integers(33, 127, 3_000_000, np.uint8)).decode()
+    pages = spark.createDataFrame([(1, "http://a.b/" + " " * 40_000, "x"), (2, long, "y"), (3, "c", "z")], "page_id long, url string, html string")
+    n = write_warc(pages, f"{out}/long", file_bytes=1)
+    for size in (1 << 20, 50_000):
+        assert sorted(r.page_id for r in read_warc(spark, f"{out}/long", size).collect()) == [1, 2, 3]
+    assert n == 3
+
+
+def test_records_lost_on_reading_fail_the_query(spark, out, monkeypatch):
+    spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "page_id long, url string, html string").write.parquet(f"{out}/pages.parquet")
+    assert queries.op6_warc(spark, out).count() == 2
+    monkeypatch.setattr(queries, "read_warc", lambda *a: read_warc(*a).where("page_id = 1"))
+    with pytest.raises(ValueError, match="2 records were written and 1 read"):
+        queries.op6_warc(spark, out)
