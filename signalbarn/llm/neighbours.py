@@ -17,6 +17,7 @@ keep their smallest ids.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from statistics import NormalDist
 
 import numpy as np
@@ -24,6 +25,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from signalbarn.llm.common import written
+
 PROJECTIONS = 48
 #: Share of the windows that a vector must lie in to be verified.
 THRESHOLD = 0.57
@@ -123,8 +126,9 @@ def nearest(
     the same vector counts once and different ones are candidates of their own.
     A query without candidates gives no row. Other columns are not read.
     """
-    own = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
-    own = own.where(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
+    own = vectors.select("vec_id", "embedding").where(F.col("vec_id").isNotNull() & usable(F.col("embedding").cast("array<double>")))
+    # equal rows count once: copies of one row take no places of other ids, and do not fill a shard
+    own = written(own.distinct(), "vectors").withColumn("embedding", F.col("embedding").cast("array<double>"))
     queries = own.where(F.col("vec_id") % every == 0)
     total, asked = own.count(), queries.count()
     shards, blocks = max(1, -(-total // shard_rows)), max(1, -(-asked // block_rows))
@@ -143,11 +147,13 @@ def nearest(
             of = of.reshape(-1)
             by = np.lexsort((held_ids[mine], of))
             ids, first = held_ids[mine][by], np.searchsorted(of[by], np.arange(len(found) + 1))
+            vectors_of = Counter(ids.tolist())
             index = CollisionIndex(found)
             for query_id, query in asked:
                 if len(query) != size:
                     continue
-                at, _ = index.search(query, k + 1)
+                # none of the query's own vectors may take a candidate's place
+                at, _ = index.search(query, k + max(1, vectors_of[query_id]))
                 best = []
                 for i in at:
                     product = exact_product(found[i], query)

@@ -45,3 +45,16 @@ def test_recall_and_order(spark):
 
 def test_empty(spark):
     assert nearest(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_copies_take_no_places(spark):
+    rng = np.random.default_rng(5)
+    same = rng.normal(size=8).tolist()
+    rows = [(20, same)] + [(1, same)] * 25 + [(i, same) for i in range(2, 6)]
+    got = nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), every=20, k=20).collect()
+    assert sorted((r.rank, r.vec_id) for r in got) == [(i, i) for i in range(1, 6)]
+    # an id with many vectors, all nearer to each other than other ids are
+    rows = [(20, (np.array(same) * 9 + rng.normal(size=8) * 0.01).tolist()) for _ in range(40)]
+    rows += [(i, rng.normal(size=8).tolist()) for i in range(1, 19)]
+    got = nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), every=20, k=5).collect()
+    assert [r.rank for r in sorted(got, key=lambda r: r.rank)] == [1, 2, 3, 4, 5] and 20 not in {r.vec_id for r in got}
