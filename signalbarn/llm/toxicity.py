@@ -8,16 +8,20 @@ most its last five letters. For a class c (toxic, ordinary)
 with n_c and N_c the class's count and total and G_c what the discount D took.
 P is the backoff both classes share: an interpolated Kneser-Ney model of all
 documents, labelled or not, that knows the last two letters and counts the
-contexts a letter follows, not its occurrences. Words and their n-grams are
-counted by Spark aggregates; n-grams and contexts are told apart by their
-letters, in tables that grow with the corpus and never leave Spark.
+contexts a letter follows, not its occurrences. Tasks count the n-grams of their
+texts' words, Spark aggregates add them up; n-grams and contexts are told apart
+by their letters, in tables that grow with the corpus.
 
 A text's score compares the two log-likelihoods per word: the mean of the words'
 log ratios and the mean of what they exceed `STRONG` by, brought to 0..1 by a
 logistic curve that is fitted on labelled rows the counts of the classes do not
-hold. Texts are read in batches: a batch asks once for each of its distinct
-words, and a batch of words once for each of its n-grams, so that frequent ones
-are no hot keys and only lists of places are shuffled.
+hold. Scoring needs the n-grams that labelled rows hold more often than the
+discount and the contexts they hold at all. While these are at most HELD_ENTRIES,
+counted first, every worker gets them and a text is scored where it is read.
+Beyond that, texts are read in batches and the tables are joined, with the same
+results: a batch asks once for each of its distinct words, and a batch of words
+once for each of its n-grams, so that frequent ones are no hot keys and only
+lists of places are shuffled.
 """
 
 from __future__ import annotations
@@ -27,6 +31,7 @@ from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -45,10 +50,12 @@ CLASS_DISCOUNT = 3.0
 STRONG = 2.0
 #: About so many labelled rows, chosen by the hash of their ids, are used for the class counts and the curve.
 LABELLED_ROWS = 400_000
-#: Different words a worker counts before it passes them on.
-WORDS_HELD = 300_000
+#: Different words a worker counts before it passes their n-grams on, and those whose ratios it remembers.
+WORDS_HELD = 200_000
+#: N-grams and contexts, some 150 bytes each, that a worker may hold to score by. Larger models are joined.
+HELD_ENTRIES = 2_000_000
 #: A batch of texts ends at so many pairs of a text and a word, or so many texts; a batch of words at so many words.
-PAIRS_HELD, TEXTS_HELD, SPELLED = 2_000_000, 65_535, 100_000
+PAIRS_HELD, TEXTS_HELD, SPELLED = 200_000, 65_535, 100_000
 HELD_OUT_FOLD, CURVE_FOLD = 2, 3
 THRESHOLD = 0.3
 #: Letters of a word that are read as one; longer runs of letters are cut into such words.
@@ -61,14 +68,16 @@ def words_of(text: str | None) -> list[str]:
     return _WORD.findall(text.lower()) if text else []
 
 
+def grams_of(word: str) -> list[str]:
+    """For each letter of a word, and its end: its context with the letter."""
+    w = f"\x01{word}\x02"
+    return [w[max(0, i - CONTEXT) : i + 1] for i in range(1, len(w))]
+
+
 def spellings(words: list[str]) -> tuple[list[str], np.ndarray]:
-    """For each letter of each word, and its end: its context with the letter, and the word's position."""
-    grams, sizes = [], []
-    for w in words:
-        w = f"\x01{w}\x02"
-        grams += [w[max(0, i - CONTEXT) : i + 1] for i in range(1, len(w))]
-        sizes.append(len(w) - 1)
-    return grams, np.repeat(np.arange(len(words)), sizes)
+    """The n-grams of each word, and the word's position."""
+    grams = [g for w in words for g in grams_of(w)]
+    return grams, np.repeat(np.arange(len(words)), [len(w) + 1 for w in words])
 
 
 @dataclass
@@ -79,21 +88,37 @@ class ToxicityModel:
     contexts: DataFrame
     curve: tuple[float, float, float] = (0.0, 0.0, -20.0)
 
+    @cached_property
+    def held(self):
+        """Both tables as dictionaries for every worker, or None where they are too large."""
+        if self.grams.count() + self.contexts.count() > HELD_ENTRIES:
+            return None
+        tables = [df.toArrow().to_pydict() for df in (self.grams, self.contexts)]  # at most HELD_ENTRIES rows
+        both = tuple(dict(zip(t[key], t["ratio"])) for t, key in zip(tables, ("gram", "context")))
+        return self.grams.sparkSession.sparkContext.broadcast(both)
+
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """Rows (word, in_all, in_toxic, in_ordinary) of docs(text, class); class 1 is toxic, 0 ordinary, null neither."""
+def gram_counts(docs: DataFrame) -> DataFrame:
+    """Rows (gram, in_toxic, in_ordinary) of each n-gram of docs(text, class); class 1 is toxic, 0 ordinary, null neither."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[int, Counter] = {1: Counter(), 0: Counter(), -1: Counter()}
 
         def frame() -> pd.DataFrame:
-            out = pd.DataFrame(
-                [(w, n, n if c == 1 else 0, n if c == 0 else 0) for c, words in held.items() for w, n in words.items()],
-                columns=["word", "in_all", "in_toxic", "in_ordinary"],
-            )
-            for words in held.values():
+            times = {1: Counter(), 0: Counter()}
+            seen: set[str] = set()
+            for c, words in held.items():
+                for w, n in words.items():
+                    grams = grams_of(w)
+                    seen.update(grams)
+                    if c >= 0:
+                        own = times[c]
+                        for g in grams:
+                            own[g] += n
                 words.clear()
-            return out
+            grams = list(seen)
+            counts = {name: np.array([times[c][g] for g in grams], np.int64) for name, c in (("in_toxic", 1), ("in_ordinary", 0))}
+            return pd.DataFrame({"gram": pd.Series(grams, dtype=object), **counts})
 
         for batch in batches:
             for text, c in zip(batch["text"], batch["class"].fillna(-1)):
@@ -102,23 +127,8 @@ def word_counts(docs: DataFrame) -> DataFrame:
                     yield frame()
         yield frame()
 
-    parts = docs.select("text", "class").mapInPandas(count, "word string, in_all long, in_toxic long, in_ordinary long")
-    return parts.groupBy("word").agg(*(F.sum(c).alias(c) for c in ("in_all", "in_toxic", "in_ordinary")))
-
-
-def gram_counts(words: DataFrame) -> DataFrame:
-    """Rows (gram, in_toxic, in_ordinary) of each n-gram of the words."""
-    held = ["in_toxic", "in_ordinary"]
-
-    def spell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                grams, word = spellings(batch["word"].tolist())
-                s = pd.DataFrame({"gram": grams} | {c: batch[c].to_numpy()[word] for c in held})
-                yield s.groupby("gram", as_index=False, sort=False).sum()
-
-    spelled = words.mapInPandas(spell, "gram string, in_toxic long, in_ordinary long")
-    return spelled.groupBy("gram").agg(*(F.sum(c).alias(c) for c in held))
+    counted = docs.select("text", "class").mapInPandas(count, "gram string, in_toxic long, in_ordinary long")
+    return counted.groupBy("gram").agg(*(F.sum(c).alias(c) for c in ("in_toxic", "in_ordinary")))
 
 
 def _context(gram: Column) -> Column:
@@ -220,8 +230,46 @@ def word_ratios(words: DataFrame, model: ToxicityModel) -> DataFrame:
 _PAIR = np.dtype([("text", "<u2"), ("n", "<u4")])
 
 
+class _Ratios(dict):
+    """Log ratios of words, those of late remembered."""
+
+    def __init__(self, grams: dict[str, int], contexts: dict[str, int]):
+        super().__init__()
+        self.grams, self.contexts = grams, contexts
+
+    def __missing__(self, word: str) -> float:
+        if len(self) >= WORDS_HELD:
+            self.clear()
+        total = 0
+        for gram in grams_of(word):
+            ratio = self.grams.get(gram)
+            total += self.contexts.get(gram[:-1], 0) if ratio is None else ratio
+        self[word] = ratio = total / PARTS
+        return ratio
+
+
 def text_signs(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """A row for each row of docs(doc_id, text): doc_id, the hash of the text, and the two signs; 0 for texts without words."""
+    tables = model.held
+    if tables is None:
+        return joined_signs(docs, model)
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ratios = _Ratios(*tables.value)
+        for batch in batches:
+            signs = np.zeros((len(batch), 2))
+            for i, text in enumerate(batch["text"]):
+                if words := words_of(text):
+                    each = np.fromiter(map(ratios.__getitem__, words), float, len(words))
+                    signs[i] = each.mean(), np.maximum(each - STRONG, 0).mean()
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "key": batch["key"], "mean": signs[:, 0], "strong": signs[:, 1]})
+
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("key"), "text")
+    return keyed.mapInPandas(score, "doc_id long, key long, mean double, strong double")
+
+
+def joined_signs(docs: DataFrame, model: ToxicityModel) -> DataFrame:
+    """The same by joins, for models of any size."""
 
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
@@ -299,7 +347,7 @@ def fit_curve(signs: np.ndarray, toxic: np.ndarray) -> tuple[float, float, float
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS) -> ToxicityModel:
-    """Counts words over all of docs(doc_id, text) and classes over labels(doc_id, toxic).
+    """Counts n-grams over all of docs(doc_id, text) and classes over labels(doc_id, toxic).
 
     Labels of the held-out fold are never read, those of the curve's fold fit
     only the curve. Null labels teach nothing; an id labelled more than once is
@@ -313,10 +361,12 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELL
     taught = F.broadcast(taught)  # about labelled_rows rows of 16 bytes at most
     known = docs.select("doc_id", "text").join(taught, "doc_id", "left")
     counted = known.withColumn("class", F.when(F.col("fold") != CURVE_FOLD, F.col("class")))
-    model = log_ratios(written(gram_counts(word_counts(counted)), "grams"))
+    model = log_ratios(written(gram_counts(counted), "grams"))
     held = known.where(F.col("fold") == CURVE_FOLD)
-    curve = text_signs(held, model).join(taught, "doc_id").select("class", "mean", "strong")
-    rows = curve.collect()  # part of about labelled_rows rows, two numbers each
+    curve = text_signs(held, model).join(taught, "doc_id")
+    # an id counts once, however many rows it has: part of about labelled_rows rows, two numbers each
+    curve = curve.groupBy("doc_id").agg(F.first("class").alias("class"), F.avg("mean").alias("mean"), F.avg("strong").alias("strong"))
+    rows = curve.collect()
     model.curve = fit_curve(np.array([(r.mean, r.strong) for r in rows]).reshape(-1, 2), np.array([r["class"] for r in rows], float))
     return model
 

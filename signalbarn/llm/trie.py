@@ -289,10 +289,11 @@ def prefix_trie(turns: DataFrame, family: int = FAMILY, most_shared: int = MOST_
     shared = shared.select(
         "conv_id", "depth", parent.alias("parent_conv_id"), "n_convs", "n_children", "n_leaves", "saved_tokens", F.coalesce("ends_sha256", F.lit(empty)).alias("ends_sha256")
     )
-    top_ends = end_digests(prefixes.where("depth = 0 and is_end"))
+    # conversations without turns end at the root; without any, the hash of nothing is what is left
+    told = end_digests(prefixes.where("depth = 0 and is_end")).select("ends_sha256", F.lit(1).alias("is_told"))
+    ends = told.union(turns.sparkSession.range(1).select(F.lit(empty), F.lit(0)))
     numbers = [F.lit(root[c]).cast("long").alias(c) for c in ("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens")]
-    one = turns.sparkSession.range(1).select(F.lit(0).cast("long").alias("d1"), F.lit(0).cast("long").alias("d2"))
-    top = one.join(top_ends, _DIGESTS, "left").select(*numbers, F.coalesce("ends_sha256", F.lit(empty)).alias("ends_sha256"))
+    top = ends.agg(F.max_by("ends_sha256", "is_told").alias("ends_sha256")).select(*numbers, "ends_sha256")
     out = local.union(joined).union(shared).union(top)
     return out.select(*[F.col(c).cast(kind).alias(c) for c, kind in (x.split() for x in _COLUMNS.split(", "))])
 

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from signalbarn.llm import toxicity
@@ -88,8 +89,11 @@ def plain_signs(docs, classes):
     return np.array(out)
 
 
-def test_against_exact_ngrams(spark, monkeypatch):
-    """n-grams that shared a bucket of a hash were counted as one."""
+@pytest.mark.parametrize("entries", [10**6, 0])
+def test_against_exact_ngrams(spark, monkeypatch, entries):
+    """Models that workers hold and models that are joined, both against exact n-grams."""
+    monkeypatch.setattr(toxicity, "HELD_ENTRIES", entries)
+    monkeypatch.setattr(toxicity, "WORDS_HELD", 3000)
     monkeypatch.setattr(toxicity, "PAIRS_HELD", 5000)
     monkeypatch.setattr(toxicity, "SPELLED", 1000)
     docs = spark.read.parquet(f"{DATA}/documents.parquet").where("n_chars < 2000").select("doc_id", "text")
