@@ -3,8 +3,11 @@
 The built-in `percentile_disc` keeps all distinct values of a group in one
 task. Here rows are counted in coarse value ranges (a few thousand per group,
 whatever its size), the range holding each rank is found on these counts, and
-only the distinct values of that one range are ordered. The answer is the one
-`percentile_disc` gives.
+the values of that one range are counted. These counts are refined once more:
+summed by parts of the range, whose number is bounded too, until one part of it
+is left. Only the distinct values of that part are ordered, some millionth of
+the value's size, so a range that holds a great share of a group is not put into
+one task either. The answer is the one `percentile_disc` gives.
 """
 
 from __future__ import annotations
@@ -14,6 +17,8 @@ from pyspark.sql import functions as F
 
 # Ranges per doubling of the value: each is about 0.07 % wide.
 _RANGES_PER_OCTAVE = 1024
+# Parts of a range, about.
+_PARTS = 1024
 
 
 def value_range(value: Column) -> Column:
@@ -26,6 +31,13 @@ def value_range(value: Column) -> Column:
     return F.floor(octaves * _RANGES_PER_OCTAVE).cast("bigint")
 
 
+def part_of_range(value: Column, value_range: Column) -> Column:
+    """Order-preserving part of the range a value lies in: whole numbers of one width within a range."""
+    start = F.pow(F.lit(2.0), value_range / _RANGES_PER_OCTAVE)
+    width = start * (2.0 ** (1.0 / _RANGES_PER_OCTAVE) - 1.0) / _PARTS
+    return F.call_function("div", value, F.greatest(F.floor(width).cast("bigint"), F.lit(1).cast("bigint")))
+
+
 def exact_quantiles(
     df: DataFrame,
     by: list[str],
@@ -95,14 +107,27 @@ def exact_quantiles(
         ),
     )
 
-    # Only rows of wanted ranges are counted by value. They are shuffled once, by group and
-    # range: the counts, and the order inside a range, need no other partitioning.
+    # Only rows of wanted ranges are counted by value.
     keys = ["_group", "_range"]
     narrowed = ranged.select(*keys, value).join(wanted, keys)
-    counted = narrowed.groupBy(*keys, "_name", "_rank", *extra, value).agg(F.count(value).alias("_n"))
-    inside = Window.partitionBy(*keys, "_name").orderBy(value)
+    target = [*keys, "_name", "_rank", *extra]
+    counted = narrowed.groupBy(*target, value).agg(F.count(value).alias("_n"))
+    counted = counted.withColumn("_part", F.coalesce(part_of_range(F.col(value), F.col("_range")), F.lit(-1)))
+
+    # The part that holds the rank: at most some thousand sums per rank are ordered.
+    sums = counted.groupBy(*target, "_part").agg(F.sum("_n").alias("_n"))
+    along = Window.partitionBy(*keys, "_name").orderBy("_part")
+    placed_parts = sums.withColumn("_upto", F.sum("_n").over(along)).filter(F.col("_upto") >= F.col("_rank"))
+    first = placed_parts.withColumn("_at", F.row_number().over(along)).filter(F.col("_at") == 1)
+    parts = first.select(
+        *keys, "_name", "_part", *extra, (F.col("_rank") - F.col("_upto") + F.col("_n")).alias("_rank")
+    )
+
+    # The value inside that part.
+    values = counted.select(*keys, "_name", "_part", value, "_n").join(parts, [*keys, "_name", "_part"])
+    inside = Window.partitionBy(*keys, "_name", "_part").orderBy(value)
     return (
-        counted.withColumn("_upto", F.sum("_n").over(inside))
+        values.withColumn("_upto", F.sum("_n").over(inside))
         .filter(F.col("_upto") >= F.col("_rank"))
         .groupBy("_group")
         .agg(

@@ -376,3 +376,113 @@ def exp_histogram_quantile(points: DataFrame, q: float, name: str = "Quantile")
         )
         .drop("_rank", "_found")
     )
+
+
+def _shift(x: Column, by: Column) -> Column:
+    return F.call_function("shiftright", x, by)
+
+
+def _rescaled(counts: Column, offset: Column, by: Column) -> Column:
+    """Dense counts at a scale lower by `by`: bucket i becomes part of bucket `i >> by`. One pass over them."""
+    offset = offset.cast("bigint")
+    first, last = _shift(offset, by), _shift(offset + F.size(counts) - 1, by)
+
+    def inside(j: Column) -> Column:
+        low = F.greatest(F.call_function("shiftleft", j, by) - offset, _zero())
+        high = F.call_function("shiftleft", j + 1, by) - offset  # a slice may end beyond the array
+        part = F.slice(counts, (low + 1).cast("int"), (high - low).cast("int"))
+        return F.aggregate(part, _zero(), lambda n, x: n + x)
+
+    merged = F.transform(F.sequence(first, F.greatest(first, last)), inside)
+    return F.when((by <= 0) | (F.size(counts) == 0), counts).otherwise(merged)
+
+
+def _total(counts: Column) -> Column:
+    return F.aggregate(counts, _zero(), lambda n, x: n + x)
+
+
+def exp_histogram_to_delta(
+    points: DataFrame, slice_width: timedelta = DEFAULT_SLICE, first: str = "zero"
+) -> DataFrame:
+    """Cumulative exponential histograms as per-interval ones.
+
+    Two points are compared at the smaller of their scales, and the interval has
+    that scale. A reset (new start time, any falling count, or buckets that are
+    gone) makes the new point the interval, at its own scale. The first point of
+    a series counts as 0, or keeps its value with `first="value"`. Bucket arrays
+    keep the range of the new point. Min and Max are unknown for an interval.
+    """
+    if first not in ("zero", "value"):
+        raise ValueError("first must be 'zero' or 'value'")
+    order = ["TimeUnixNanos", "StartTimeUnixNanos", "Count", "Sum"]
+    sides = ("Positive", "Negative")
+    arrays = [c for s in sides for c in (f"{s}Offset", f"{s}BucketCounts")]
+    carried = [*order, "Scale", "ZeroCount", *arrays]
+    cumulative = with_series_key(points).filter(
+        F.col("AggregationTemporality") == TEMPORALITY_CUMULATIVE
+    )
+    df = previous_point(cumulative, SERIES, "TimeUnixNanos", order, carried, "_prev", slice_width)
+    prev = F.col("_prev")
+    df = df.withColumn("_low", F.least("Scale", prev["Scale"]))
+    now_by, prev_by = F.col("Scale") - F.col("_low"), prev["Scale"] - F.col("_low")
+    for s in sides:
+        counts, offset = f"{s}BucketCounts", f"{s}Offset"
+        df = df.withColumns(
+            {
+                f"_now{s}": _rescaled(F.col(counts), F.col(offset), now_by),
+                f"_at{s}": _shift(F.col(offset).cast("bigint"), now_by),
+                f"_old{s}": _rescaled(prev[counts], prev[offset], prev_by),
+                f"_oldat{s}": _shift(prev[offset].cast("bigint"), prev_by),
+            }
+        )
+
+    def matched(side: str) -> Column:
+        """What the old array takes off each bucket of the new one."""
+        old, ahead = F.col(f"_old{side}"), F.col(f"_at{side}") - F.col(f"_oldat{side}")
+        return F.transform(f"_now{side}", lambda _, i: F.coalesce(F.get(old, (ahead + i).cast("int")), _zero()))
+
+    gone = F.lit(False)
+    for s in sides:
+        df = df.withColumn(f"_off{s}", matched(s))
+        df = df.withColumn(f"_grown{s}", F.zip_with(f"_now{s}", f"_off{s}", lambda a, b: a - b))
+        falls = F.exists(f"_grown{s}", lambda d: d < 0)
+        gone = gone | falls | (_total(F.col(f"_off{s}")) != _total(F.col(f"_old{s}")))
+    reset = (
+        (F.col("StartTimeUnixNanos") != prev["StartTimeUnixNanos"])
+        | (F.col("Count") < prev["Count"])
+        | (F.col("ZeroCount") < prev["ZeroCount"])
+        | F.coalesce(gone, F.lit(False))
+    )
+    df = df.withColumn("_reset", reset)
+    is_first = prev.isNull()
+
+    def pick(now: Column, zero: Column, delta: Column) -> Column:
+        return (
+            F.when(is_first, now if first == "value" else zero)
+            .when(F.col("_reset"), now)
+            .otherwise(delta)
+        )
+
+    def none(counts: str) -> Column:
+        return F.transform(counts, lambda _: _zero())
+
+    changed = {
+        "Count": pick(F.col("Count"), _zero(), F.col("Count") - prev["Count"]),
+        "Sum": pick(F.col("Sum"), F.lit(0.0), F.col("Sum") - prev["Sum"]),
+        "ZeroCount": pick(F.col("ZeroCount"), _zero(), F.col("ZeroCount") - prev["ZeroCount"]),
+        "Scale": pick(F.col("Scale"), F.col("Scale"), F.col("_low")),
+    }
+    for s in sides:
+        counts, offset = f"{s}BucketCounts", f"{s}Offset"
+        changed[counts] = pick(F.col(counts), none(counts), F.col(f"_grown{s}"))
+        changed[offset] = pick(F.col(offset), F.col(offset), F.col(f"_at{s}").cast("int"))
+    helpers = [c for c in df.columns if c.startswith("_")]
+    out = df.withColumns(
+        {
+            **changed,
+            "Min": F.lit(None).cast("double"),
+            "Max": F.lit(None).cast("double"),
+            "AggregationTemporality": F.lit(TEMPORALITY_DELTA),
+        }
+    )
+    return out.drop(*helpers)

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from signalbarn.functions.columns import has_token, in_day_range, in_time_range
+from signalbarn.functions.columns import TOKEN_SEPARATORS, has_token, in_day_range, in_time_range
 from signalbarn.operators.keys import id_key, id_key_or_none, with_ids
 
 
@@ -43,6 +43,31 @@ def body_has_token(logs: DataFrame, token: str) -> DataFrame:
     return logs.filter(has_token("Body", token))
 
 
+def token_days(logs: DataFrame) -> DataFrame:
+    """The distinct tokens of each day's bodies, as (Token, EventDate): a lookup for body searches.
+
+    Like the trace lookup it is maintained batch by batch: every batch may add
+    its own rows, and readers count a row once. Tasks first drop their own
+    repeats, so a token that every body holds sends one row per task and day.
+    """
+    tokens = F.array_distinct(F.split("Body", TOKEN_SEPARATORS))
+    day = "EventDate" if "EventDate" in logs.columns else F.to_date("Timestamp").alias("EventDate")
+    return (
+        logs.select(F.explode(tokens).alias("Token"), day).filter(F.col("Token") != "").distinct()
+    )
+
+
+def search_bodies(logs: DataFrame, lookup: DataFrame, token: str) -> DataFrame:
+    """`body_has_token` that reads only the days on which the lookup has seen the token.
+
+    The days become an equi-join on the partition column, which prunes the scan
+    at run time. They are at most one row per calendar day, so broadcasting them
+    is bounded whatever the size of the tables.
+    """
+    days = lookup.filter(F.col("Token") == token).select("EventDate").distinct()
+    return body_has_token(logs, token).join(F.broadcast(days), "EventDate", "left_semi")
+
+
 def count_by(logs: DataFrame, *columns: str) -> DataFrame:
     """Log counts by service, version and severity (or the columns given)."""
     keys = columns or ("ServiceName", "ServiceVersion", "SeverityText", "SeverityNumber")

@@ -168,6 +168,30 @@ def series_cardinality(points: DataFrame, approximate: bool = False) -> DataFram
     return points.groupBy("ServiceName", "MetricName").agg(count.alias("series"))
 
 
+#: Accuracy of stored sketches: 2 ** SKETCH_BITS registers, a standard error of about 0.8 %.
+SKETCH_BITS = 14
+
+
+def series_sketches(points: DataFrame, bits: int = SKETCH_BITS) -> DataFrame:
+    """Per day, service and metric a sketch of the distinct series: some 12 kB, whatever their number.
+
+    Sketches are stored once a day is closed and merged over any days and
+    services by `series_of_sketches`, without going back to the points.
+    """
+    day = "EventDate" if "EventDate" in points.columns else F.to_date("TimeUnix").alias("EventDate")
+    return (
+        with_series_key(points)
+        .groupBy(day, "ServiceName", "MetricName")
+        .agg(F.hll_sketch_agg("SeriesKey", F.lit(bits)).alias("Sketch"))
+    )
+
+
+def series_of_sketches(sketches: DataFrame, by: list[str]) -> DataFrame:
+    """About how many distinct series the sketches of each group have seen together."""
+    merged = sketches.groupBy(*by).agg(F.hll_union_agg("Sketch").alias("_sketch"))
+    return merged.select(*by, F.hll_sketch_estimate("_sketch").alias("series"))
+
+
 def metric_trend(points: DataFrame, width: timedelta) -> DataFrame:
     """Per series and time bucket: count, sum, min, max, avg and the last value.
 
@@ -283,12 +307,7 @@ def cumulative_to_delta(points: DataFrame, slice_width: timedelta = DEFAULT_SLIC
     )
     with_prev = _with_previous(_cumulative(points), slice_width)
     plain = F.when(F.col("IsMonotonic"), _increase(F.col("Value"))).otherwise(
-        # Without monotonicity a fall is a fall, not a reset.
-        F.when(F.col("_prev").isNull(), F.col("Value"))
-        .when(
-            F.col("StartTimeUnixNanos") != F.col("_prev.StartTimeUnixNanos"), F.col("Value")
-        )
-        .otherwise(F.col("Value") - F.col("_prev.Value"))
+        _signed_change(F.col("Value"))
     )
     return (
         with_prev.withColumns({"_value": plain, "_start": start})
@@ -343,33 +362,28 @@ def sum_total(
     Points that say neither cannot be added to anything; they are counted.
     """
     temporality = F.coalesce(F.col("AggregationTemporality"), F.lit(0))
-    known = [TEMPORALITY_DELTA, TEMPORALITY_CUMULATIVE]
-    none = F.lit(0).cast("bigint").alias("_left")
-    parts = [
-        points.filter(temporality == TEMPORALITY_DELTA).select(
-            *by, F.col("Value").alias("Increase"), none
-        ),
-        counter_increase(points, slice_width).select(*by, "Increase", none),
-        _signed_change(points, slice_width).select(*by, F.col("_change").alias("Increase"), none),
-        points.filter(~temporality.isin(known)).select(
-            *by, F.lit(None).cast("double").alias("Increase"), F.lit(1).cast("bigint").alias("_left")
-        ),
-    ]
-    every = parts[0]
-    for part in parts[1:]:
-        every = every.unionByName(part)
-    return every.groupBy(*by).agg(
+    is_delta = temporality == TEMPORALITY_DELTA
+    none = F.lit(0).cast("bigint")
+    left = F.when(~is_delta, F.lit(1).cast("bigint")).otherwise(none)
+    plain = points.filter(temporality != TEMPORALITY_CUMULATIVE).select(
+        *by, F.when(is_delta, F.col("Value")).alias("Increase"), left.alias("_left")
+    )
+    # counters and sums that may fall go through the same slices; the flag says how a point changes
+    monotonic = F.coalesce("IsMonotonic", F.lit(False))
+    change = F.when(monotonic, _increase(F.lit(0.0))).otherwise(_signed_change(F.lit(0.0)))
+    changes = _with_previous(_cumulative(points), slice_width).select(
+        *by, change.alias("Increase"), none.alias("_left")
+    )
+    return plain.unionByName(changes).groupBy(*by).agg(
         F.sum("Increase").alias("total"), F.sum("_left").alias("unspecified")
     )
 
 
-def _signed_change(points: DataFrame, slice_width: timedelta) -> DataFrame:
-    """`_change` of each point of cumulative sums that may fall; 0 for the first, the value after a new start."""
-    sums = _cumulative(points).filter(~F.coalesce("IsMonotonic", F.lit(False)))
+def _signed_change(first: Column) -> Column:
+    """Change since the point before where a fall is a fall; after a new start the value itself."""
     restarted = F.col("StartTimeUnixNanos") != F.col("_prev.StartTimeUnixNanos")
-    change = (
-        F.when(F.col("_prev").isNull(), F.lit(0.0))
+    return (
+        F.when(F.col("_prev").isNull(), first)
         .when(restarted, F.col("Value"))
         .otherwise(F.col("Value") - F.col("_prev.Value"))
     )
-    return _with_previous(sums, slice_width).withColumn("_change", change)

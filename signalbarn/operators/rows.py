@@ -6,6 +6,8 @@ earlier columns.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -23,7 +25,7 @@ from signalbarn.functions.columns import (
     sql_timestamp,
     sql_value,
 )
-from signalbarn.schemas import METRIC_TABLES, TABLES
+from signalbarn.schemas import BATCHES, CORRUPT, METRIC_TABLES, TABLES
 
 # Wire struct of each metric kind -> stored table and type name.
 # The five metric type names of the data model.
@@ -311,6 +313,57 @@ def _point_rows(records: DataFrame, wire: str) -> DataFrame:
     return _project(good, METRIC_KINDS[wire][0], _POINT_COLUMNS[wire])
 
 
+@cache
+def _point_fields() -> dict[str, dict[str, str]]:
+    """Names and types of the fields of each kind of data point."""
+    shape = BATCHES["metrics"]
+    resources = StructType.fromDDL(shape.ddl)[shape.resources].dataType.elementType
+    metric = resources[shape.scopes].dataType.elementType[shape.records].dataType.elementType
+    return {
+        wire: {f.name: f.dataType.simpleString() for f in metric[wire].dataType["dataPoints"].dataType.elementType}
+        for wire in METRIC_KINDS
+    }
+
+
+def all_points(records: DataFrame) -> DataFrame:
+    """One row per data point of any kind, from one pass over the records; `kind` tells which.
+
+    Points have the fields of all kinds, so that they fit one column.
+    """
+    every = {name: kind for own in _point_fields().values() for name, kind in own.items()}
+    arrays = []
+    for wire, own in _point_fields().items():
+        fields = ", ".join(
+            f"'{name}', {f'x.{name}' if name in own else f'CAST(NULL AS {kind})'}"
+            for name, kind in every.items()
+        )
+        temporality = "NULL" if wire in ("gauge", "summary") else f"record.{wire}.aggregationTemporality"
+        arrays.append(
+            f"coalesce(transform(record.{wire}.dataPoints, x -> named_struct('kind', '{wire}', "
+            f"'temporality', CAST({temporality} AS INT), "
+            f"'monotonic', {'record.sum.isMonotonic' if wire == 'sum' else 'false'}, "
+            f"'p', named_struct({fields}))), array())"
+        )
+    kept = [CORRUPT] if CORRUPT in records.columns else []
+    how = "explode_outer" if kept else "explode"
+    points = records.selectExpr(
+        *kept,
+        "resource",
+        "resourceSchemaUrl",
+        "scope",
+        "scopeSchemaUrl",
+        "record.name AS name",
+        "record.description AS description",
+        "record.unit AS unit",
+        f"{how}(concat({', '.join(arrays)})) AS _point",
+    )
+    points = points.selectExpr(
+        *[c for c in points.columns if c != "_point"],
+        *[f"_point.{c} AS {c}" for c in ("kind", "temporality", "monotonic", "p")],
+    )
+    return points.filter(f"kind IS NOT NULL OR {CORRUPT} IS NOT NULL") if kept else points
+
+
 def to_gauge_rows(records: DataFrame) -> DataFrame:
     return _point_rows(records, "gauge")
 
@@ -349,10 +402,13 @@ def route_metrics(records: DataFrame) -> dict[str, DataFrame]:
 # ---------------------------------------------------------------- rejects
 
 
+_UNFIT = "integer out of range or array lengths that do not fit"
+
+
 def _reject(df: DataFrame, level: str, *parts: str) -> DataFrame:
     return df.selectExpr(
         f"'{level}' AS Level",
-        "'integer out of range or array lengths that do not fit' AS Reason",
+        f"'{_UNFIT}' AS Reason",
         f"to_json(struct({', '.join(parts)})) AS Raw",
     )
 
@@ -373,3 +429,42 @@ def point_rejects(records: DataFrame) -> DataFrame:
         part = _reject(bad, "point", "resource", "scope", "name", "p")
         out = part if out is None else out.unionByName(part)
     return out
+
+
+# ---------------------------------------------------------------- rows and rejects from one pass
+
+#: What becomes of a record: a row of `Kind`, or a reject of one of these levels.
+ROW, BAD_LINE = "row", "line"
+REJECT = "Level STRING, Reason STRING, Raw STRING"
+
+
+def tagged_rows(records: DataFrame, signal: str) -> DataFrame:
+    """Every record (for metrics: every data point) once, as a row or as a reject.
+
+    `Outcome` is "row" for what `Kind`'s table can hold, else the reject's
+    level; `Reason` and `Raw` belong to rejects. The other columns are those of
+    the signal's tables. Records that carry the corrupt column of their line,
+    see `flatten_all`, give one reject per malformed line.
+    """
+    if signal == "metrics":
+        df = all_points(records)
+        kind = "CASE kind " + " ".join(f"WHEN '{w}' THEN '{t}'" for w, (t, _) in METRIC_KINDS.items()) + " END"
+        bad = "CASE kind " + " ".join(f"WHEN '{w}' THEN {t}" for w, t in _BAD_POINT.items()) + " ELSE false END"
+        level, raw, tables = "point", "resource, scope, name, p", METRIC_TABLES
+        columns = {c: sql for own in _POINT_COLUMNS.values() for c, sql in own.items()}
+    else:
+        df, kind, level, raw, tables = records, f"'{signal}'", "record", "resource, scope, record", (signal,)
+        bad, columns = {"logs": (_BAD_LOG, _LOG), "traces": (_BAD_SPAN, _SPAN)}[signal]
+    line = f"{CORRUPT} IS NOT NULL" if CORRUPT in df.columns else "false"
+    corrupt = CORRUPT if CORRUPT in df.columns else "CAST(NULL AS STRING)"
+    outcome = f"CASE WHEN {line} THEN '{BAD_LINE}' WHEN {bad} THEN '{level}' ELSE '{ROW}' END"
+    tags = {
+        "Outcome": outcome,
+        "Kind": f"CASE WHEN {line} THEN 'none' ELSE {kind} END",
+        "Reason": f"CASE Outcome WHEN '{ROW}' THEN NULL WHEN '{BAD_LINE}' THEN 'malformed batch line' ELSE '{_UNFIT}' END",
+        "Raw": f"CASE Outcome WHEN '{ROW}' THEN NULL WHEN '{BAD_LINE}' THEN {corrupt} ELSE to_json(struct({raw})) END",
+    }
+    fields = {f.name: f for t in tables for f in StructType.fromDDL(TABLES[t].ddl).fields}
+    return df.selectExpr(*[f"{sql} AS {name}" for name, sql in {**tags, **columns}.items()]).selectExpr(
+        *tags, *[f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in fields.values()]
+    )

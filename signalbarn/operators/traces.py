@@ -41,10 +41,18 @@ def where_attr_value(df: DataFrame, column: str, value: str) -> DataFrame:
 
 
 def where_attr_equals(df: DataFrame, column: str, key: str, value: str) -> DataFrame:
-    """Rows whose map `column` has this value; uses the column promoted from that map and key, if any."""
+    """Rows whose map `column` has this value; uses the column promoted from that map and key, if any.
+
+    The promoted column is NULL in files written before the promotion, where the
+    map decides. Its own test stands alone, so that it reaches the scan.
+    """
     promoted = promoted_name(column, key)
     if promoted in df.columns:
-        return df.filter(F.col(promoted) == value)
+        own = F.col(promoted)
+        # written with two kinds of equality, since the planner joins equal conditions into one that is not pushed
+        return df.filter((own == value) | own.isNull()).filter(
+            own.eqNullSafe(value) | attr_equals(column, key, value)
+        )
     return df.filter(attr_equals(column, key, value))
 
 

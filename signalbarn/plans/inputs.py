@@ -411,3 +411,116 @@ def exp_histogram_cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:
         }
     )
     return whole.unionByName(half)
+
+
+def user_gauge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gauge points with a series for each user and key, many more than services."""
+    series = "map('k', k, 'user', CAST(user_id AS STRING))"
+    return _project(
+        events(spark, sf_dir),
+        {**_metric("event.by_user", series, "nanos", "nanos"), "Value": "CAST(cents AS DOUBLE)"},
+    )
+
+
+# Exponential histograms of signed values: positions -1 to 29 of each side.
+_FIRST, _LAST = -1, 29
+
+
+def exp_histogram_signed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running histograms per service over the days, cumulative since the first day.
+
+    Every third event counts as a negative value and every tenth cent as zero.
+    The scale is 0 up to the 14th of a month and -1 from then on, where bucket i
+    stands for the buckets 2i and 2i + 1 of scale 0.
+    """
+    index = "CASE WHEN cents <= 1 THEN -1 ELSE length(bin(cents - 1)) - 1 END"
+    positions = range(_FIRST, _LAST + 1)
+    daily = (
+        events(spark, sf_dir)
+        .withColumn("idx", F.expr(index))
+        .withColumn("zero", F.expr("cents % 10 = 0"))
+        .withColumn("negative", F.expr("event_id % 3 = 0"))
+        .groupBy("svc", "d")
+        .agg(
+            F.expr("count(1) AS n"),
+            F.expr("sum(CASE WHEN zero THEN 0 WHEN negative THEN -cents ELSE cents END) AS total"),
+            F.expr("count_if(zero) AS zeros"),
+            *[
+                F.array(*[F.count_if(F.expr(f"NOT zero AND {side} AND idx = {i}")) for i in positions]).alias(name)
+                for name, side in (("pos", "NOT negative"), ("neg", "negative"))
+            ],
+        )
+    )
+    # one row per service and calendar day, so a group is never large
+    upto = Window.partitionBy("svc").orderBy("d").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = daily.select(
+        "svc",
+        "d",
+        F.sum("n").over(upto).alias("n"),
+        F.sum("total").over(upto).alias("total"),
+        F.sum("zeros").over(upto).alias("zeros"),
+        *[
+            F.array(*[F.sum(F.get(c, F.lit(i))).over(upto) for i in range(len(positions))]).alias(c)
+            for c in ("pos", "neg")
+        ],
+        F.min("d").over(upto).alias("first_day"),
+    )
+    coarse = "dayofmonth(d) >= 15"
+
+    def buckets(c: str) -> str:
+        # position -1 of scale 0 is the upper half of position -1 of scale -1
+        halved = (
+            f"transform(sequence(0, {(_LAST + 1) // 2}), "
+            f"j -> coalesce(get({c}, 2 * j - 1), 0L) + coalesce(get({c}, 2 * j), 0L))"
+        )
+        return f"CASE WHEN {coarse} THEN {halved} ELSE {c} END"
+
+    return _project(
+        running,
+        {
+            **_metric("event.cents.signed", _BY_SERVICE, "unix_micros(CAST(first_day AS TIMESTAMP)) * 1000", _DAY_END),
+            "Count": "n",
+            "Sum": "CAST(total AS DOUBLE)",
+            "Scale": f"CASE WHEN {coarse} THEN -1 ELSE 0 END",
+            "ZeroCount": "zeros",
+            "PositiveOffset": str(_FIRST),
+            "PositiveBucketCounts": buckets("pos"),
+            "NegativeOffset": str(_FIRST),
+            "NegativeBucketCounts": buckets("neg"),
+            "Exemplars": _NO_EXEMPLARS,
+            "Min": "CAST(NULL AS DOUBLE)",
+            "Max": "CAST(NULL AS DOUBLE)",
+            "AggregationTemporality": str(TEMPORALITY_CUMULATIVE),
+        },
+    )
+
+
+def with_exemplars(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Points of the four types that have exemplars; each tells of its first event."""
+    exemplar = (
+        "array(named_struct('FilteredAttributes', map('k', k), "
+        f"'TimeUnix', {sql_timestamp('nanos')}, 'TimeUnixNanos', nanos, "
+        f"'Value', CAST(cents AS DOUBLE), 'SpanId', {_span_id('event_id')}, "
+        f"'TraceId', {_trace_id('event_id')}))"
+    )
+    first = (
+        events(spark, sf_dir)
+        .groupBy(F.col("svc").alias("ServiceName"), F.col("d").alias("EventDate"))
+        .agg(F.min("event_id").alias("event_id"))
+        .join(events(spark, sf_dir).select("event_id", "nanos", "cents", "k"), "event_id")
+        .selectExpr("ServiceName", "EventDate", f"{exemplar} AS Exemplars")
+    )
+
+    def told(points: DataFrame) -> DataFrame:
+        return points.drop("Exemplars").join(first, ["ServiceName", "EventDate"])
+
+    each = events(spark, sf_dir).selectExpr("nanos", "svc", f"{exemplar} AS Exemplars")
+    sums = sum_delta(spark, sf_dir).drop("Exemplars").join(
+        each, (F.col("TimeUnixNanos") == F.col("nanos")) & (F.col("ServiceName") == F.col("svc"))
+    )
+    return {
+        "gauge": gauge(spark, sf_dir),
+        "sum": sums.drop("nanos", "svc"),
+        "histogram": told(histogram(spark, sf_dir)),
+        "exponential_histogram": told(exp_histogram(spark, sf_dir)),
+    }

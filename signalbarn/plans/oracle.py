@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from signalbarn.plans.inputs import BOUNDS
-from signalbarn.plans.queries import SLA_NANOS, SPAN_ID, TRACE_ID
+from signalbarn.plans.queries import SLA_NANOS, SPAN_ID, TOKEN, TRACE_ID
 
 _DAY_NS = 86_400_000_000_000
 
@@ -156,25 +156,82 @@ _SPAN_COLUMNS = (
 )
 _SPANS = _with(["spans"], f"SELECT {_SPAN_COLUMNS} FROM spans")
 
+def _texts(*parts: str) -> str:
+    return " || ',' || ".join(f"CAST(CAST({p} AS BIGINT) AS VARCHAR)" for p in parts)
+
+
 _METRICS = _with(
-    ["ev", "hist", "summ"],
-    """
+    ["ev", "hist", "summ", "expo"],
+    f"""
+    , per_day AS (
+        SELECT svc, d, sum(cents) AS total, count(*) AS n, min(idx) AS lo, max(idx) AS hi
+        FROM expo GROUP BY svc, d
+    )
     SELECT 'gauge' AS table_name, svc AS ServiceName, count(*) AS points,
-           CAST(sum(cents) AS BIGINT) AS total, count(DISTINCT event_type) AS series
+           CAST(sum(cents) AS BIGINT) AS total, count(DISTINCT event_type) AS series,
+           {_texts("count(*)", "sum(cents)", "count(*)")} AS nested
     FROM ev GROUP BY svc
     UNION ALL
-    SELECT 'sum', svc, count(*), CAST(sum(cents) AS BIGINT), 1 FROM ev GROUP BY svc
+    SELECT 'sum', svc, count(*), CAST(sum(cents) AS BIGINT), 1, {_texts("count(*)", "1")}
+    FROM ev GROUP BY svc
     UNION ALL
-    SELECT 'histogram', svc, count(*), CAST(sum(total) AS BIGINT), count(DISTINCT event_type)
+    SELECT 'histogram', svc, count(*), CAST(sum(total) AS BIGINT), count(DISTINCT event_type),
+           {_texts(*[f"sum(b{i})" for i in range(len(BOUNDS) + 1)], f"{sum(BOUNDS)} * count(*)")}
     FROM hist GROUP BY svc
     UNION ALL
-    SELECT 'exponential_histogram', svc, count(DISTINCT d), CAST(sum(cents) AS BIGINT), 1
-    FROM ev GROUP BY svc
+    SELECT 'exponential_histogram', svc, count(*), CAST(sum(total) AS BIGINT), 1,
+           {_texts("sum(lo)", "sum(hi - lo + 1)", "sum(n)", "0")}
+    FROM per_day GROUP BY svc
     UNION ALL
-    SELECT 'summary', svc, count(*), CAST(sum(total) AS BIGINT), 1 FROM summ GROUP BY svc
+    SELECT 'summary', svc, count(*), CAST(sum(total) AS BIGINT), 1,
+           {_texts("sum(q50)", "sum(q90)", "sum(q99)")}
+    FROM summ GROUP BY svc
     """,
 )
 
+# Damaged batches: lines cut off, integers too large and histograms with a bucket missing.
+_READ, _LARGE, _SHORT = "(event_id // 40) % 5 <> 3", "event_id % 11 = 4", "event_id % 13 = 5"
+_LINES = "count(DISTINCT event_id // 40) FILTER (NOT " + _READ + ")"
+
+
+def _stored(signal: str, table: str, measure: str, unfit: str) -> str:
+    return f"""
+        SELECT '{signal}' AS signal, 'row' AS outcome, '{table}' AS table_name,
+               count(*) AS records, CAST(sum({measure}) AS BIGINT) AS total
+        FROM ev WHERE {_READ} AND NOT ({unfit})
+    """
+
+
+def _rejected(signal: str, level: str, counted: str) -> str:
+    return f"""
+        SELECT '{signal}', '{level}', 'none', CAST({counted} AS BIGINT), CAST({counted} AS BIGINT) FROM ev
+    """
+
+
+_SEVERITY = "CASE event_type WHEN 'error' THEN 17 WHEN 'view' THEN 13 WHEN 'click' THEN 5 ELSE 9 END"
+_INGESTED = _with(
+    ["ev"],
+    " UNION ALL ".join(
+        [
+            _stored("logs", "logs", _SEVERITY, _LARGE),
+            _rejected("logs", "record", f"count(*) FILTER ({_READ} AND {_LARGE})"),
+            _rejected("logs", "line", _LINES),
+            _stored("traces", "traces", "cents * 10000", _LARGE),
+            _rejected("traces", "record", f"count(*) FILTER ({_READ} AND {_LARGE})"),
+            _rejected("traces", "line", _LINES),
+            _stored("metrics", "gauge", "cents", "false"),
+            _stored("metrics", "sum", "cents", _LARGE),
+            _stored("metrics", "histogram", "cents", _SHORT),
+            _rejected(
+                "metrics",
+                "point",
+                f"count(*) FILTER ({_READ} AND {_LARGE}) + count(*) FILTER ({_READ} AND {_SHORT})",
+            ),
+            _rejected("metrics", "line", _LINES),
+        ]
+    ),
+)
+
 _LOOKUP = _with(
     ["spans"],
     """
@@ -207,17 +264,19 @@ ORACLE_SQL: dict[str, str] = {
     "roundtrip_traces": _SPANS,
     "route_metrics": _METRICS,
     "roundtrip_lookup": _LOOKUP,
+    "ingest_rejects": _INGESTED,
     "ensure_tables": _with(
-        ["spans"],
+        ["spans", "hist", "summ"],
         """
-        SELECT 'otel_logs' AS table_name, count(*) AS rows_stored FROM events
-        UNION ALL SELECT 'otel_traces', count(*) FROM events
-        UNION ALL SELECT 'otel_traces_trace_id_ts', count(DISTINCT TraceId) FROM spans
-        UNION ALL SELECT 'otel_metrics_gauge', count(*) FROM events
-        UNION ALL SELECT 'otel_metrics_sum', 0
-        UNION ALL SELECT 'otel_metrics_histogram', 0
-        UNION ALL SELECT 'otel_metrics_exponential_histogram', 0
-        UNION ALL SELECT 'otel_metrics_summary', 0
+        , lookup AS (SELECT min(TimestampNanos) // 86400000000000 AS day FROM spans GROUP BY TraceId)
+        SELECT 'otel_logs' AS table_name, count(*) AS rows_stored, count(DISTINCT d) AS days FROM ev
+        UNION ALL SELECT 'otel_traces', count(*), count(DISTINCT d) FROM ev
+        UNION ALL SELECT 'otel_traces_trace_id_ts', count(*), count(DISTINCT day) FROM lookup
+        UNION ALL SELECT 'otel_metrics_gauge', count(*), count(DISTINCT d) FROM ev
+        UNION ALL SELECT 'otel_metrics_sum', count(*), count(DISTINCT d) FROM ev
+        UNION ALL SELECT 'otel_metrics_histogram', count(*), count(DISTINCT d) FROM hist
+        UNION ALL SELECT 'otel_metrics_exponential_histogram', count(*), count(DISTINCT d) FROM summ
+        UNION ALL SELECT 'otel_metrics_summary', count(*), count(DISTINCT d) FROM summ
         """,
     ),
     "log_detail": _with(
@@ -276,6 +335,27 @@ ORACLE_SQL: dict[str, str] = {
                Duration // 10000 AS value, k FROM spans
         """,
     ),
+    "exemplars_all_types": _with(
+        ["ev", "hist", "summ"],
+        f"""
+        , told AS (
+            SELECT svc, d, nanos AS ExemplarTimeNanos, md5('t' || CAST(event_id // 5 AS VARCHAR)) AS TraceId,
+                   substr(md5('s' || CAST(event_id AS VARCHAR)), 1, 16) AS SpanId, cents AS value, k,
+                   row_number() OVER (PARTITION BY svc, d ORDER BY event_id) AS r
+            FROM ev
+        )
+        SELECT 'gauge' AS table_name, svc AS ServiceName, ExemplarTimeNanos AS TimeUnixNanos,
+               ExemplarTimeNanos, TraceId, SpanId, value, k FROM told
+        UNION ALL
+        SELECT 'sum', svc, ExemplarTimeNanos, ExemplarTimeNanos, TraceId, SpanId, value, k FROM told
+        UNION ALL
+        SELECT 'histogram', svc, midnight + {_DAY_NS} - 1, ExemplarTimeNanos, TraceId, SpanId, value, k
+        FROM hist JOIN told USING (svc, d) WHERE r = 1
+        UNION ALL
+        SELECT 'exponential_histogram', svc, midnight + {_DAY_NS} - 1, ExemplarTimeNanos, TraceId, SpanId, value, k
+        FROM summ JOIN told USING (svc, d) WHERE r = 1
+        """,
+    ),
     "summary_quantiles": _with(
         ["summ"],
         "\nUNION ALL\n".join(
@@ -338,7 +418,7 @@ ORACLE_SQL: dict[str, str] = {
     "promoted_attr": _with(
         ["logs"],
         "SELECT TimestampNanos, ServiceName, coalesce(k, '') AS k FROM logs "
-        "WHERE resource_service = 'svc-3'",
+        f"WHERE resource_service = 'svc-3' AND TimestampNanos >= {_JAN_5} AND TimestampNanos < {_JAN_20}",
     ),
     "duration_between": _with(
         ["spans"],
@@ -381,6 +461,16 @@ ORACLE_SQL: dict[str, str] = {
         WHERE list_contains(
             regexp_split_to_array(text, '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), 'thatin')
     """.strip(),
+    "token_days": _with(
+        ["logs"],
+        rf"""
+        SELECT TimestampNanos, ServiceName, Body,
+               strftime(make_timestamp(TimestampNanos // 1000), '%Y-%m-%d') AS EventDate
+        FROM logs
+        WHERE list_contains(
+            regexp_split_to_array(Body, '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), '{TOKEN}')
+        """,
+    ),
     "error_spans": _with(
         ["spans"],
         "SELECT TraceId, SpanId, StatusCode FROM spans WHERE upper(StatusCode) = 'ERROR'",
@@ -630,6 +720,17 @@ ORACLE_SQL: dict[str, str] = {
                count(DISTINCT event_type) AS series FROM ev GROUP BY svc
         """,
     ),
+    "series_sketch": _with(
+        ["ev"],
+        """
+        SELECT 'all' AS days, svc AS ServiceName, count(DISTINCT (user_id, k)) AS exact,
+               true AS is_close, true AS same_as_rebuilt
+        FROM ev GROUP BY svc
+        UNION ALL
+        SELECT 'early', svc, count(DISTINCT (user_id, k)), true, true
+        FROM ev WHERE d < DATE '2024-01-16' GROUP BY svc
+        """,
+    ),
     "metric_trend": _with(
         ["ev"],
         """
@@ -735,6 +836,32 @@ ORACLE_SQL: dict[str, str] = {
         FROM numbered
         """,
     ),
+    "exp_histogram_delta": _with(
+        ["expo"],
+        f"""
+        , signed AS (
+            SELECT svc, d, midnight, cents, CASE WHEN cents <= 1 THEN -1 ELSE length(bin(cents - 1)) - 1 END AS idx,
+                   CASE WHEN cents % 10 = 0 THEN 0 WHEN event_id % 3 = 0 THEN -1 ELSE 1 END AS side
+            FROM ev
+        ), per_day AS (
+            SELECT svc, d, midnight, count(*) AS events, CAST(sum(side * cents) AS BIGINT) AS total,
+                   row_number() OVER (PARTITION BY svc ORDER BY d) AS r
+            FROM signed GROUP BY svc, d, midnight
+        ), coarse AS (
+            SELECT *, CASE WHEN day(d) >= 15 THEN 2.0 ELSE 1.0 END AS step,
+                   CASE WHEN day(d) >= 15 THEN floor(idx / 2.0) ELSE idx END AS i
+            FROM signed
+        ), buckets AS (
+            SELECT svc, d, CASE side WHEN 0 THEN 0.0 WHEN 1 THEN pow(2.0, i * step) ELSE -pow(2.0, (i + 1) * step) END AS lower,
+                   CASE side WHEN 0 THEN 0.0 WHEN 1 THEN pow(2.0, (i + 1) * step) ELSE -pow(2.0, i * step) END AS upper
+            FROM coarse
+        )
+        SELECT svc AS ServiceName, midnight + {_DAY_NS} - 1 AS TimeUnixNanos, events, total,
+               CAST(lower AS DOUBLE) AS lower, CAST(upper AS DOUBLE) AS upper, count(*) AS count
+        FROM buckets JOIN per_day USING (svc, d) WHERE r > 1
+        GROUP BY svc, midnight, events, total, lower, upper
+        """,
+    ),
     "trace_timeline": _with(
         ["spans"],
         f"""
@@ -763,10 +890,10 @@ ORACLE_SQL: dict[str, str] = {
     "stream_trace_lookup": _with(
         ["spans"],
         """
-        SELECT count(DISTINCT TraceId) AS traces,
+        SELECT substr(TraceId, 1, 1) AS digit, count(DISTINCT TraceId) AS traces,
                min(TimestampNanos) // 1000000000 AS first_s,
                max(TimestampNanos) // 1000000000 AS last_s
-        FROM spans WHERE TraceId <> ''
+        FROM spans WHERE TraceId <> '' GROUP BY digit
         """,
     ),
     "collapse_lookup": _LOOKUP,
@@ -789,6 +916,25 @@ ORACLE_SQL: dict[str, str] = {
     ),
 }
 
+ORACLE_SQL["merge_days"] = _with(
+    ["spans"],
+    """
+    SELECT CAST(d AS VARCHAR) AS EventDate, count(*) AS spans, CAST(sum(Duration) AS BIGINT) AS duration,
+           count(DISTINCT SpanId) AS ids,
+           CASE WHEN d < DATE '2024-01-20' THEN 1 END AS files
+    FROM spans GROUP BY d
+    """,
+)
+# A day is dropped when its last row has expired.
+ORACLE_SQL["drop_expired"] = _with(
+    ["spans"],
+    """
+    SELECT CAST(d AS VARCHAR) AS EventDate, count(*) AS spans FROM spans GROUP BY d
+    HAVING (max(TimestampNanos) // 1000000000 + 20 * 86400) * 1000000
+           > epoch_us(TIMESTAMP '2024-01-28 12:00:00')
+    """,
+)
+
 # The same events told twice as cumulative runs; runs have no extremes of their own.
 ORACLE_SQL["merge_exp_cumulative"] = ORACLE_SQL["merge_exp_histograms"].replace(
     "s.n AS Count, s.total, s.low,\n               s.high,", "s.n AS Count, s.total,"

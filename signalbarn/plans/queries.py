@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,10 +20,11 @@ from signalbarn.operators import metrics as M
 from signalbarn.operators import rows as R
 from signalbarn.operators import traces as T
 from signalbarn.plans import inputs, wire
-from signalbarn.schemas import METRIC_TABLES
+from signalbarn.schemas import METRIC_TABLES, TABLES
 from signalbarn.session import configure, scratch_dir
 from signalbarn.sources import batches as B
 from signalbarn.sources import tables as S
+from signalbarn.sources.ingest import ingest
 from signalbarn.streaming.ingest import (
     stream_ingest,
     stream_route_metrics,
@@ -35,10 +36,12 @@ QUERIES: dict[str, Query] = {}
 
 # Parameters shared with the SQL counterparts.
 TRACE_NUMBER = 7
+TOKEN = "137"
 SPAN_NUMBER = 37
 SLA_NANOS = 100_000_000
 NOW = datetime(2024, 1, 28, 12, 0, 0)
 TTL = timedelta(days=20)
+CLOSED_BEFORE = date(2024, 1, 20)
 
 
 def named(name: str) -> Callable[[Query], Query]:
@@ -121,8 +124,47 @@ def _span_view(spans: DataFrame) -> DataFrame:
     )
 
 
+def _text(*parts: Column | str) -> Column:
+    """Numbers as text, joined by commas."""
+    return F.concat_ws(",", *[F.col(p) if isinstance(p, str) else p.cast("string") for p in parts])
+
+
+def _whole(c: Column) -> Column:
+    return c.cast("bigint")
+
+
+def _of_quantile(q: float) -> Column:
+    values = F.filter("ValueAtQuantiles", lambda v: v["Quantile"] == F.lit(q))
+    return _whole(F.sum(F.try_element_at(values, F.lit(1))["Value"]))
+
+
+def _nested(table: str) -> Column:
+    """What tells whether the nested parts of a table's points came through."""
+    if table == "gauge":
+        return _text(
+            _whole(F.sum(F.size("Exemplars"))),
+            _whole(F.sum(F.aggregate("Exemplars", F.lit(0.0), lambda n, x: n + x["Value"]))),
+            F.count_if(F.get("Exemplars", F.lit(0))["SpanId"] != ""),
+        )
+    if table == "sum":
+        return _text(F.count_if("IsMonotonic"), F.max("AggregationTemporality"))
+    if table == "histogram":
+        return _text(
+            *[F.sum(F.get("BucketCounts", F.lit(i))) for i in range(len(inputs.BOUNDS) + 1)],
+            _whole(F.sum(F.aggregate("ExplicitBounds", F.lit(0.0), lambda n, x: n + x))),
+        )
+    if table == "exponential_histogram":
+        return _text(
+            F.sum("PositiveOffset"),
+            F.sum(F.size("PositiveBucketCounts")),
+            F.sum(F.aggregate("PositiveBucketCounts", F.lit(0).cast("bigint"), lambda n, x: n + x)),
+            F.sum(F.size("NegativeBucketCounts")),
+        )
+    return _text(*[_of_quantile(q) for q in (0.5, 0.9, 0.99)])
+
+
 def _metric_view(tables: dict[str, DataFrame]) -> DataFrame:
-    """Points and totals per table and service."""
+    """Points, totals and nested parts per table and service."""
     out = None
     for table, df in tables.items():
         measure = "Value" if table in ("gauge", "sum") else "Sum"
@@ -130,6 +172,7 @@ def _metric_view(tables: dict[str, DataFrame]) -> DataFrame:
             F.count(F.lit(1)).alias("points"),
             F.sum(measure).cast("bigint").alias("total"),
             F.count_distinct("SeriesKey").alias("series"),
+            _nested(table).alias("nested"),
         )
         one = one.select(F.lit(table).alias("table_name"), "*")
         out = one if out is None else out.unionByName(one)
@@ -157,6 +200,47 @@ def otlp_metrics(spark, sf_dir):
     return _metric_view(R.route_metrics(B.read_otlp_metrics(spark, path)))
 
 
+_BATCH_WRITERS = {
+    "logs": wire.write_log_batches,
+    "traces": wire.write_span_batches,
+    "metrics": wire.write_mixed_metric_batches,
+}
+#: A measure of each table that tells its rows from others.
+_MEASURES = {"logs": "SeverityNumber", "traces": "Duration", "gauge": "Value", "sum": "Value", "histogram": "Sum"}
+
+
+@query
+def ingest_rejects(spark, sf_dir):
+    """Damaged batches of all signals, ingested once: what was stored and what was rejected, counted from the files."""
+    out = None
+    for signal, write in _BATCH_WRITERS.items():
+        source = write(spark, sf_dir, scratch_dir(spark, f"damaged-{signal}"), damaged=True)
+        target = scratch_dir(spark, f"ingested-{signal}")
+        counts = ingest(spark, signal, source, target)
+        parts = [
+            S.read_table(spark, table, S.metric_path(target, table)).agg(
+                F.lit(outcome).alias("outcome"),
+                F.lit(table).alias("table_name"),
+                F.count(F.lit(1)).alias("records"),
+                F.sum(_MEASURES[table]).cast("bigint").alias("total"),
+            )
+            for outcome, table in sorted(counts)
+            if outcome == R.ROW
+        ]
+        rejects = S.read_rejects(spark, f"{target}/rejects")
+        parts.append(
+            rejects.groupBy(F.col("Level").alias("outcome")).agg(
+                F.lit("none").alias("table_name"),
+                F.count(F.lit(1)).alias("records"),
+                F.count("Raw").alias("total"),
+            )
+        )
+        for part in parts:
+            one = part.select(F.lit(signal).alias("signal"), "*")
+            out = one if out is None else out.unionByName(one)
+    return out
+
+
 def _stored(spark, sf_dir, table: str, label: str) -> str:
     path = scratch_dir(spark, label)
     rows = {
@@ -213,27 +297,42 @@ def roundtrip_lookup(spark, sf_dir):
     return _lookup_view(S.read_table(spark, "lookup", path))
 
 
-@query
-def ensure_tables(spark, sf_dir):
-    folder = scratch_dir(spark, "db")
+def _database(spark, label: str) -> tuple[str, dict[str, str]]:
+    """A new database in the shared folder and the catalog names of its tables."""
+    folder = scratch_dir(spark, label)
     database = "signals_" + folder.rsplit("-", 1)[1]
     S.ensure_tables(spark, database, folder)
-    names = {n.rsplit(".", 1)[1]: n for n in S.ensure_tables(spark, database, folder)}
+    names = S.ensure_tables(spark, database, folder)  # a second call changes nothing
+    return database, dict(zip(TABLES, names))
+
+
+@query
+def ensure_tables(spark, sf_dir):
+    database, names = _database(spark, "db")
     spans = inputs.spans(spark, sf_dir)
     filled = {
         "logs": inputs.logs(spark, sf_dir),
         "traces": spans,
         "lookup": T.trace_id_ts(spans),
         "gauge": inputs.gauge(spark, sf_dir),
+        "sum": inputs.sum_delta(spark, sf_dir),
+        "histogram": inputs.histogram(spark, sf_dir),
+        "exponential_histogram": inputs.exp_histogram(spark, sf_dir),
+        "summary": inputs.summary(spark, sf_dir),
     }
     out = None
-    for table, spec in S.TABLES.items():
-        if table in filled:
-            S.insert_rows(filled[table], table, names[spec.name])
-        one = spark.table(names[spec.name]).agg(F.count(F.lit(1)).alias("rows_stored"))
-        one = one.select(F.lit(spec.name).alias("table_name"), "rows_stored")
+    for table, rows in filled.items():
+        S.insert_rows(rows, table, names[table])
+        day = TABLES[table].day
+        one = spark.table(names[table]).agg(
+            F.count(F.lit(1)).alias("rows_stored"), F.count_distinct(day).alias("days")
+        )
+        one = one.select(F.lit(TABLES[table].name).alias("table_name"), "*")
         out = one if out is None else out.unionByName(one)
-    return out
+    counts = scratch_dir(spark, "db-counts")
+    out.write.parquet(counts)
+    spark.sql(f"DROP DATABASE `{database}` CASCADE")
+    return spark.read.schema(out.schema).parquet(counts)
 
 
 # ---------------------------------------------------------------- projections
@@ -311,6 +410,25 @@ def exemplars(spark, sf_dir):
     )
 
 
+@query
+def exemplars_all_types(spark, sf_dir):
+    """Exemplars of gauges, sums and both kinds of histograms."""
+    out = None
+    for table, points in inputs.with_exemplars(spark, sf_dir).items():
+        one = M.explode_exemplars(points).select(
+            F.lit(table).alias("table_name"),
+            "ServiceName",
+            "TimeUnixNanos",
+            "ExemplarTimeNanos",
+            "TraceId",
+            "SpanId",
+            F.col("ExemplarValue").cast("bigint").alias("value"),
+            attr("ExemplarAttributes", "k").alias("k"),
+        )
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query
 def summary_quantiles(spark, sf_dir):
     return M.explode_quantiles(inputs.summary(spark, sf_dir)).select(
@@ -406,19 +524,18 @@ def attr_equals(spark, sf_dir):
 
 @query
 def promoted_attr(spark, sf_dir):
-    """A dotted key of one map and a key of another, promoted, stored, read back and filtered."""
+    """A dotted key of one map and a key of another, promoted for half of the files, read back and filtered."""
     keys = {"ResourceAttributes": ["service.name"], "LogAttributes": ["k", "service.name"]}
     rows = inputs.logs(spark, sf_dir)
-    for column, own in keys.items():
-        rows = S.promote_attrs(rows, column, own)
+    older = F.col("TimestampNanos") % 2 == 0
     path = scratch_dir(spark, "promoted")
-    S.write_table(rows, "logs", path)
-    stored = S.read_table(spark, "logs", path, promoted=keys)
+    S.write_table(rows.filter(older), "logs", path)
+    S.write_table(S.with_promoted(rows.filter(~older), keys), "logs", path)
+    stored = S.scan(spark, "logs", path, datetime(2024, 1, 5), datetime(2024, 1, 20), promoted=keys)
     found = T.where_attr_equals(stored, "ResourceAttributes", "service.name", "svc-3")
     absent = T.where_attr_equals(found, "LogAttributes", "service.name", "")
-    return absent.select(
-        "TimestampNanos", "ServiceName", F.col(promoted_name("LogAttributes", "k")).alias("k")
-    )
+    promoted = F.col(promoted_name("LogAttributes", "k"))
+    return absent.select("TimestampNanos", "ServiceName", F.coalesce(promoted, attr("LogAttributes", "k")).alias("k"))
 
 
 @query
@@ -484,6 +601,16 @@ def error_spans(spark, sf_dir):
     return T.error_spans(inputs.spans(spark, sf_dir)).select("TraceId", "SpanId", "StatusCode")
 
 
+@query
+def token_days(spark, sf_dir):
+    """A body search that reads only the days on which the token lookup has seen the token."""
+    path, lookup = _stored(spark, sf_dir, "logs", "tokens-logs"), scratch_dir(spark, "tokens-lookup")
+    stored = S.read_table(spark, "logs", path)
+    S.write_lookup(L.token_days(stored), "token_days", lookup)
+    found = L.search_bodies(stored, S.read_table(spark, "token_days", lookup), TOKEN)
+    return found.select("TimestampNanos", "ServiceName", "Body", _day())
+
+
 # ---------------------------------------------------------------- joins
 
 
@@ -711,6 +838,35 @@ def series_cardinality(spark, sf_dir):
     return M.series_cardinality(inputs.gauge(spark, sf_dir))
 
 
+@query
+def series_sketch(spark, sf_dir):
+    """Stored daily sketches merged over all days, and over one half of them, against exact counts."""
+    points = inputs.user_gauge(spark, sf_dir)
+    path = scratch_dir(spark, "sketches")
+    M.series_sketches(points).write.partitionBy("EventDate").parquet(path)
+    stored = spark.read.schema("ServiceName STRING, MetricName STRING, Sketch BINARY, EventDate DATE").parquet(path)
+    out = None
+    for days, cond in (("all", F.lit(True)), ("early", F.col("EventDate") < F.lit(date(2024, 1, 16)))):
+        merged = M.series_of_sketches(stored.filter(cond), ["ServiceName"])
+        rebuilt = M.series_of_sketches(
+            M.series_sketches(points.filter(cond).withColumn("EventDate", F.lit(date(2024, 1, 1)))), ["ServiceName"]
+        )
+        exact = M.series_cardinality(points.filter(cond)).select("ServiceName", F.col("series").alias("exact"))
+        one = (
+            exact.join(merged, "ServiceName")
+            .join(rebuilt.withColumnRenamed("series", "rebuilt"), "ServiceName")
+            .select(
+                F.lit(days).alias("days"),
+                "ServiceName",
+                "exact",
+                (F.abs(F.col("series") - F.col("exact")) <= 0.05 * F.col("exact")).alias("is_close"),
+                (F.abs(F.col("series") - F.col("rebuilt")) <= 0.02 * F.col("exact")).alias("same_as_rebuilt"),
+            )
+        )
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query
 def metric_trend(spark, sf_dir):
     trend = M.metric_trend(inputs.gauge(spark, sf_dir), timedelta(hours=6))
@@ -819,6 +975,14 @@ def histogram_delta(spark, sf_dir):
     )
 
 
+@query
+def exp_histogram_delta(spark, sf_dir):
+    """Intervals of running histograms with negative and zero buckets, whose scale changes in between."""
+    deltas = H.exp_histogram_to_delta(inputs.exp_histogram_signed(spark, sf_dir))
+    named = deltas.withColumns({"events": F.col("Count"), "total": F.col("Sum").cast("bigint")})
+    return H.exp_histogram_buckets(named, ["ServiceName", "TimeUnixNanos", "events", "total"])
+
+
 # ---------------------------------------------------------------- sorts and top-k
 
 
@@ -846,10 +1010,14 @@ def slowest_spans(spark, sf_dir):
 
 @query
 def stream_logs(spark, sf_dir):
+    """Into the catalog table, with an attribute promoted on the way."""
     source = wire.write_log_batches(spark, sf_dir, scratch_dir(spark, "stream-logs-in"))
     target, state = scratch_dir(spark, "stream-logs-out"), scratch_dir(spark, "stream-logs-state")
-    stream_ingest(spark, "logs", source, target, state, max_files=4).awaitTermination()
-    return _log_view(S.read_table(spark, "logs", f"{target}/rows"))
+    _, names = _database(spark, "stream-db")
+    stream_ingest(
+        spark, "logs", source, target, state, max_files=4, tables={"logs": names["logs"]}
+    ).awaitTermination()
+    return _log_view(spark.table(names["logs"]))
 
 
 @query
@@ -882,9 +1050,9 @@ def _streamed_lookup(spark, sf_dir) -> DataFrame:
 
 @named("stream_trace_lookup")
 def stream_trace_lookup_query(spark, sf_dir):
-    """The traces and time span the partial rows cover."""
+    """The traces and time spans the partial rows cover, by the first digit of the id."""
     lookup = _streamed_lookup(spark, sf_dir)
-    return lookup.agg(
+    return lookup.groupBy(F.substring("TraceId", 1, 1).alias("digit")).agg(
         F.count_distinct("TraceId").alias("traces"),
         F.unix_seconds(F.min("Start")).alias("first_s"),
         F.unix_seconds(F.max("End")).alias("last_s"),
@@ -909,6 +1077,38 @@ def expired_partitions(spark, sf_dir):
     return days.select(_day(), F.unix_micros("LastTime").alias("last_us"))
 
 
+@query
+def merge_days(spark, sf_dir):
+    """Days of a catalog table written in several batches, rewritten as one sorted file each and swapped."""
+    _, names = _database(spark, "merge-db")
+    spans = inputs.spans(spark, sf_dir)
+    for part in range(3):
+        S.insert_rows(spans.filter(F.crc32(F.col("SpanId").cast("binary")) % 3 == part), "traces", names["traces"])
+    merged = S.merge_days(spark, "traces", names["traces"], CLOSED_BEFORE)
+    S.drop_replaced(spark, merged)
+    closed = F.col("EventDate") < F.lit(CLOSED_BEFORE)
+    stored = spark.table(names["traces"]).select(
+        _day(), "Duration", "SpanId", F.when(closed, F.input_file_name()).alias("_file")
+    )
+    files = F.count_distinct("_file")
+    return stored.groupBy("EventDate").agg(
+        F.count(F.lit(1)).alias("spans"),
+        F.sum("Duration").alias("duration"),
+        F.count_distinct("SpanId").alias("ids"),
+        F.when(files > 0, files).alias("files"),
+    )
+
+
+@query
+def drop_expired(spark, sf_dir):
+    """What is left of a catalog table after its expired days were dropped."""
+    _, names = _database(spark, "drop-db")
+    S.insert_rows(inputs.spans(spark, sf_dir), "traces", names["traces"])
+    S.drop_expired(spark, "traces", names["traces"], TTL, NOW)
+    left = spark.table(names["traces"])
+    return left.groupBy(_day()).agg(F.count(F.lit(1)).alias("spans"))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Store spans and their lookup, fetch one trace through it, lay it out in time."""
     configure(spark)

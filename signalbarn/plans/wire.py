@@ -1,7 +1,9 @@
 """Nested JSON batches made from the derived inputs, to feed the batch readers.
 
 A batch of logs or spans holds 40 consecutive events, grouped by resource, so
-that no group grows with the data. A batch of metrics holds one metric.
+that no group grows with the data. A batch of metrics holds one metric; those of
+`write_mixed_metric_batches` hold several, with several points each. With
+`damaged`, every fifth batch is cut off and every eleventh record unfit.
 """
 
 from __future__ import annotations
@@ -12,6 +14,10 @@ from pyspark.sql import functions as F
 from signalbarn.plans import inputs
 
 _BATCH = "event_id div 40 AS _batch"
+#: In damaged batches: lines cut off in the middle, and integers beyond 64 bits.
+CUT_OFF = "_batch % 5 = 3"
+_UNFIT = "event_id % 11 = 4"
+_TOO_LARGE = "'9223372036854775808'"
 
 
 def _struct(**fields: str) -> str:
@@ -33,6 +39,10 @@ def _digits(c: str) -> str:
     return f"CAST({c} AS STRING)"
 
 
+def _fit(c: str, damaged: bool) -> str:
+    return f"CASE WHEN {_UNFIT} THEN {_TOO_LARGE} ELSE {_digits(c)} END" if damaged else _digits(c)
+
+
 #: Lines in a file at most; a line is one nested batch.
 _LINES_PER_FILE = 10_000
 
@@ -45,28 +55,39 @@ def _write(lines: DataFrame, path: str, files: int | None = None) -> str:
 
 
 def _lines(
-    rows: DataFrame, record: str, resource: str, names: tuple[str, str, str], keys: list[str]
+    rows: DataFrame,
+    record: str,
+    resource: str,
+    names: tuple[str, str, str],
+    keys: list[str],
+    damaged: bool = False,
+    together: str = "_records",
 ) -> DataFrame:
-    """Rows to one JSON line per batch."""
+    """Rows to one JSON line per batch; `together` makes the records of one resource from all its rows'."""
     resources, scopes, records = names
     scope = _struct(name="'events'", version="'1'")
     entry = _struct(
         resource=_struct(attributes=resource),
-        **{scopes: f"array({_struct(scope=scope, **{records: '_records'})})"},
+        **{scopes: f"array({_struct(scope=scope, **{records: together})})"},
     )
+    line = f"to_json(struct({resources}))"
+    if damaged:
+        line = f"CASE WHEN {CUT_OFF} THEN left({line}, length({line}) div 2) ELSE {line} END"
     return (
         rows.groupBy("_batch", *keys)
         .agg(F.expr(f"collect_list({record}) AS _records"))
         .groupBy("_batch")
         .agg(F.expr(f"collect_list({entry}) AS {resources}"))
-        .selectExpr(f"to_json(struct({resources})) AS value")
+        .selectExpr(f"{line} AS value")
     )
 
 
-def write_log_batches(spark: SparkSession, sf_dir: str, path: str, files: int | None = None) -> str:
-    rows = inputs.logs(spark, sf_dir, _BATCH)
+def write_log_batches(
+    spark: SparkSession, sf_dir: str, path: str, files: int | None = None, damaged: bool = False
+) -> str:
+    rows = inputs.logs(spark, sf_dir, _BATCH, "event_id")
     record = _struct(
-        timeUnixNano=_digits("TimestampNanos"),
+        timeUnixNano=_fit("TimestampNanos", damaged),
         observedTimeUnixNano=_digits("ObservedTimestampNanos"),
         severityNumber="SeverityNumber",
         severityText="SeverityText",
@@ -84,12 +105,14 @@ def write_log_batches(spark: SparkSession, sf_dir: str, path: str, files: int |
         _kv("service.version", "stringValue", "ServiceVersion"),
     )
     names = ("resourceLogs", "scopeLogs", "logRecords")
-    lines = _lines(rows, record, resource, names, ["ServiceName", "ServiceVersion"])
+    lines = _lines(rows, record, resource, names, ["ServiceName", "ServiceVersion"], damaged)
     return _write(lines, path, files)
 
 
-def write_span_batches(spark: SparkSession, sf_dir: str, path: str, files: int | None = None) -> str:
-    rows = inputs.spans(spark, sf_dir, _BATCH)
+def write_span_batches(
+    spark: SparkSession, sf_dir: str, path: str, files: int | None = None, damaged: bool = False
+) -> str:
+    rows = inputs.spans(spark, sf_dir, _BATCH, "event_id")
     event = _struct(
         timeUnixNano=_digits("e.TimestampNanos"),
         name="e.Name",
@@ -106,7 +129,7 @@ def write_span_batches(spark: SparkSession, sf_dir: str, path: str, files: int |
         name="SpanName",
         kind=kind,
         startTimeUnixNano=_digits("TimestampNanos"),
-        endTimeUnixNano=_digits("TimestampNanos + Duration"),
+        endTimeUnixNano=_fit("TimestampNanos + Duration", damaged),
         attributes=_attrs(_kv("k", "intValue", "SpanAttributes['k']")),
         events=f"transform(Events, e -> {event})",
         links=f"transform(Links, x -> {link})",
@@ -114,7 +137,7 @@ def write_span_batches(spark: SparkSession, sf_dir: str, path: str, files: int |
     )
     resource = _attrs(_kv("service.name", "stringValue", "ServiceName"))
     names = ("resourceSpans", "scopeSpans", "spans")
-    return _write(_lines(rows, record, resource, names, ["ServiceName"]), path, files)
+    return _write(_lines(rows, record, resource, names, ["ServiceName"], damaged), path, files)
 
 
 # ---------------------------------------------------------------- metrics
@@ -214,3 +237,42 @@ def write_metric_batches(spark: SparkSession, sf_dir: str, path: str, files: int
         part = _metric_lines(source(spark, sf_dir), wire, _struct(**body))
         lines = part if lines is None else lines.unionByName(part)
     return _write(lines, path, files)
+
+
+def write_mixed_metric_batches(
+    spark: SparkSession, sf_dir: str, path: str, files: int | None = None, damaged: bool = False
+) -> str:
+    """Batches whose resources hold a gauge, a sum and a histogram with a point per event.
+
+    With `damaged`, unfit sums hold integers beyond 64 bits, and every
+    thirteenth histogram has as many buckets as bounds.
+    """
+    rows = inputs.events(spark, sf_dir).selectExpr("*", _BATCH)
+    times = {"startTimeUnixNano": _digits("nanos"), "timeUnixNano": _digits("nanos")}
+    exemplar = _struct(timeUnixNano=_digits("nanos"), asDouble="CAST(cents AS DOUBLE)")
+    short = "event_id % 13 = 5" if damaged else "false"
+    record = _struct(
+        gauge=_struct(**times, asDouble="CAST(cents AS DOUBLE)", exemplars=f"array({exemplar})"),
+        sum=_struct(**times, asInt=_fit("cents", damaged)),
+        histogram=_struct(
+            **times,
+            count="'1'",
+            sum="CAST(cents AS DOUBLE)",
+            bucketCounts=f"CASE WHEN {short} THEN array('1') WHEN cents <= 1000 THEN array('1', '0') ELSE array('0', '1') END",
+            explicitBounds="array(1000D)",
+        ),
+    )
+    kinds = {
+        "gauge": _struct(dataPoints="_records.gauge"),
+        "sum": _struct(dataPoints="_records.sum", aggregationTemporality="1", isMonotonic="true"),
+        "histogram": _struct(dataPoints="_records.histogram", aggregationTemporality="1"),
+    }
+    # one shape for all metrics of an array: the kinds a metric is not are NULL and left out of the JSON
+    empty = {k: f"CASE WHEN false THEN {v} END" for k, v in kinds.items()}
+    metrics = ", ".join(
+        _struct(name=f"'event.{k}'", unit="'cents'", **{**empty, k: v}) for k, v in kinds.items()
+    )
+    resource = _attrs(_kv("service.name", "stringValue", "svc"))
+    names = ("resourceMetrics", "scopeMetrics", "metrics")
+    lines = _lines(rows, record, resource, names, ["svc"], damaged, f"array({metrics})")
+    return _write(lines, path, files)

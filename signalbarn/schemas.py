@@ -211,6 +211,13 @@ TABLES = {
     "summary": _metric("otel_metrics_summary", SUMMARY),
 }
 
+# Lookups of our own that are stored like the tables but are not part of the data model.
+LOOKUPS = {
+    "token_days": TableSpec(
+        "token_days", "Token STRING", "EventDate", sort=("Token",), bloom={"Token": 0.01}
+    ),
+}
+
 METRIC_TABLES = ("gauge", "sum", "histogram", "exponential_histogram", "summary")
 
 # Aggregation temporality codes.

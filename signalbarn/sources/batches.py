@@ -1,14 +1,18 @@
 """Reading nested telemetry batches (one JSON object per line) and flattening them.
 
-Flattening is three `explode`s: resource, scope, record. Malformed lines are not
-lost: `rejected_lines` returns them whole.
+Flattening is three `explode`s: resource, scope, record. `flatten` gives the
+records of good lines, `flatten_all` also the malformed lines; storing both, with
+counts that must balance, is what `staging.ingest` does.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from signalbarn.operators.rows import METRIC_KINDS
 from signalbarn.schemas import BATCHES, CORRUPT
 
 
@@ -73,6 +77,28 @@ def flatten(batches: DataFrame, signal: str) -> DataFrame:
     )
 
 
+def flatten_all(batches: DataFrame, signal: str) -> DataFrame:
+    """The records of `flatten`, and one row without a record for each malformed line, which it keeps whole."""
+    shape = BATCHES[signal]
+    resources = batches.select(CORRUPT, F.explode_outer(shape.resources).alias("r"))
+    scopes = resources.select(
+        CORRUPT,
+        F.col("r.resource").alias("resource"),
+        F.col("r.schemaUrl").alias("resourceSchemaUrl"),
+        F.explode_outer(f"r.{shape.scopes}").alias("s"),
+    )
+    # the position tells an empty list from a list with an empty entry
+    records = scopes.select(
+        CORRUPT,
+        "resource",
+        "resourceSchemaUrl",
+        F.col("s.scope").alias("scope"),
+        F.col("s.schemaUrl").alias("scopeSchemaUrl"),
+        F.posexplode_outer(f"s.{shape.records}").alias("_at", "record"),
+    )
+    return records.filter(F.col("_at").isNotNull() | F.col(CORRUPT).isNotNull()).drop("_at")
+
+
 def read_otlp_logs(spark: SparkSession, path: str) -> DataFrame:
     """One row per log record with its resource and scope."""
     return flatten(read_batches(spark, "logs", path), "logs")
@@ -88,36 +114,47 @@ def read_otlp_metrics(spark: SparkSession, path: str) -> DataFrame:
     return flatten(read_batches(spark, "metrics", path), "metrics")
 
 
+def _length(a: Column) -> Column:
+    return F.when(a.isNull(), F.lit(0)).otherwise(F.coalesce(F.size(a), F.lit(0))).cast("bigint")
+
+
+def _count_inside(items: Column, count: Callable[[Column], Column]) -> Column:
+    """The sum of `count` over the entries of a list that may be absent."""
+    zero = F.lit(0).cast("bigint")
+    return F.coalesce(F.aggregate(items, zero, lambda n, x: n + F.coalesce(count(x), zero)), zero)
+
+
+def record_count(signal: str) -> Column:
+    """Records of a batch, without exploding it."""
+    shape = BATCHES[signal]
+    return _count_inside(
+        F.col(shape.resources),
+        lambda r: _count_inside(r[shape.scopes], lambda s: _length(s[shape.records])),
+    )
+
+
+def point_count() -> Column:
+    """Data points of a metric batch, without exploding it."""
+    shape = BATCHES["metrics"]
+
+    def points(metric: Column) -> Column:
+        return sum((_length(metric[wire]["dataPoints"]) for wire in METRIC_KINDS), F.lit(0).cast("bigint"))
+
+    return _count_inside(
+        F.col(shape.resources),
+        lambda r: _count_inside(r[shape.scopes], lambda s: _count_inside(s[shape.records], points)),
+    )
+
+
 def batch_summary(batches: DataFrame, signal: str) -> DataFrame:
     """Resource and record counts of each batch, without exploding it.
 
     Every resource entry counts, even an empty one. For metrics the record
     count is the number of metrics, not of data points.
     """
-    shape = BATCHES[signal]
-    resources = F.col(shape.resources)
-
-    def length(a):
-        return F.coalesce(F.size(a), F.lit(0)).cast("bigint")
-
-    def present(a):
-        return F.when(a.isNull(), F.lit(0).cast("bigint")).otherwise(length(a))
-
-    records = F.aggregate(
-        F.coalesce(resources, F.array()),
-        F.lit(0).cast("bigint"),
-        lambda n, r: n
-        + F.coalesce(
-            F.aggregate(
-                r[shape.scopes],
-                F.lit(0).cast("bigint"),
-                lambda m, s: m + present(s[shape.records]),
-            ),
-            F.lit(0).cast("bigint"),
-        ),
-    )
     return batches.filter(F.col(CORRUPT).isNull()).select(
-        present(resources).alias("resource_count"), records.alias("record_count")
+        _length(F.col(BATCHES[signal].resources)).alias("resource_count"),
+        record_count(signal).alias("record_count"),
     )
 
 

@@ -1,9 +1,9 @@
 """Streams of nested batches into the tables, and spans into the trace lookup.
 
-Each micro-batch is written by `foreachBatch` into its own (day, BatchId)
-partitions. A batch replayed after a failure overwrites exactly its own
-partitions, so the result holds every row once. There is no state and no
-watermark: late rows land in the partition of their own day.
+Each micro-batch is parsed once, staged, and published into the day folders by
+`commit_batch`: a batch replayed after a failure neither doubles nor loses rows.
+Targets are folders or the catalog tables of `ensure_tables`. There is no state
+and no watermark: late rows land in the folder of their own day.
 """
 
 from __future__ import annotations
@@ -11,34 +11,31 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from signalbarn.functions.jobs import run_together
-from signalbarn.operators.rows import (
-    log_rejects,
-    point_rejects,
-    route_metrics,
-    span_rejects,
-    to_logs_rows,
-    to_span_rows,
-)
+from signalbarn.operators.rows import ROW
 from signalbarn.operators.traces import trace_id_ts
-from signalbarn.sources.batches import flatten, malformed, read_batch_stream
-from signalbarn.sources.tables import metric_path, table_schema, write_batch
+from signalbarn.sources.batches import read_batch_stream
+from signalbarn.sources.staging import stage, tables_of
+from signalbarn.sources.tables import (
+    Promoted,
+    metric_path,
+    table_location,
+    table_schema,
+    with_promoted,
+    write_rejects,
+    write_table,
+)
+from signalbarn.streaming.commit import Part, commit_batch
 
 Trigger = dict
 
 
-def batch_name(df: DataFrame, batch_id: int) -> str:
-    """Name of a micro-batch that is the same on replay and unique per stream.
-
-    Spark keeps a query's id in its checkpoint, so a new checkpoint never
-    overwrites what an older stream wrote to the same table.
-    """
-    query = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "stream"
-    return f"{query}-{batch_id:012d}"
+def stream_name(df: DataFrame) -> str:
+    """The query's id, which its checkpoint keeps: the same on replay and another one for each stream."""
+    return df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "stream"
 
 
 def _run(
@@ -55,13 +52,6 @@ def _run(
     )
 
 
-def _write_rejects(parts: list[DataFrame], path: str, batch: str) -> None:
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    out.write.mode("overwrite").parquet(f"{path}/{batch}")
-
-
 def stream_ingest(
     spark: SparkSession,
     signal: str,
@@ -70,35 +60,42 @@ def stream_ingest(
     checkpoint: str,
     trigger: Trigger | None = None,
     max_files: int | None = None,
+    tables: dict[str, str] | None = None,
+    promoted: Promoted | None = None,
 ) -> StreamingQuery:
     """Continuous batches of one signal into its table (five tables for metrics).
 
-    Logs and spans go to `target/rows`, metrics to `target/<table name>`; what
-    cannot be stored goes whole to `target/rejects`.
+    `tables` maps a table to its catalog name. Without it logs and spans go to
+    `target/rows` and metrics to `target/<table name>`. What cannot be stored
+    goes whole to `target/rejects`. `promoted` names the attributes of logs or
+    spans that get columns of their own.
     """
-    if signal == "metrics":
-        return stream_route_metrics(spark, source, target, checkpoint, trigger, max_files)
-    table = signal
-    to_rows, rejects = {
-        "logs": (to_logs_rows, log_rejects),
-        "traces": (to_span_rows, span_rejects),
-    }[signal]
+    names = tables or {}
+    paths = {
+        t: table_location(spark, names[t])
+        if t in names
+        else (metric_path(target, t) if signal == "metrics" else f"{target}/rows")
+        for t in tables_of(signal)
+    }
 
     def sink(batches: DataFrame, batch_id: int) -> None:
-        batch = batch_name(batches, batch_id)
-        kept = batches.persist(StorageLevel.DISK_ONLY)
-        try:
-            records = flatten(kept, signal)
-            bad = [malformed(kept), rejects(records)]
-            run_together(
-                batches.sparkSession,
-                [
-                    partial(write_batch, to_rows(records), table, f"{target}/rows", batch),
-                    partial(_write_rejects, bad, f"{target}/rejects", batch),
-                ],
-            )
-        finally:
-            kept.unpersist()
+        session = batches.sparkSession
+
+        def prepare(folder: str) -> list[Part]:
+            staged = stage(batches, signal, f"{folder}/parsed")
+            found = [t for t in paths if (ROW, t) in staged.counts]
+            jobs = [
+                partial(write_table, with_promoted(staged.rows(t), promoted), t, f"{folder}/{t}", "overwrite")
+                for t in found
+            ]
+            parts = [Part(f"{folder}/{t}", paths[t], t, names.get(t)) for t in found]
+            if staged.rejected:
+                jobs.append(partial(write_rejects, staged.rejects(), f"{folder}/rejects", "overwrite"))
+                parts.append(Part(f"{folder}/rejects", f"{target}/rejects"))
+            run_together(session, jobs)
+            return parts
+
+        commit_batch(session, f"{target}/_ledger", stream_name(batches), batch_id, prepare)
 
     return _run(read_batch_stream(spark, signal, source, max_files), sink, checkpoint, trigger)
 
@@ -110,25 +107,10 @@ def stream_route_metrics(
     checkpoint: str,
     trigger: Trigger | None = None,
     max_files: int | None = None,
+    tables: dict[str, str] | None = None,
 ) -> StreamingQuery:
     """One stream of metric batches into the five metrics tables."""
-
-    def sink(batches: DataFrame, batch_id: int) -> None:
-        batch = batch_name(batches, batch_id)
-        kept = batches.persist(StorageLevel.DISK_ONLY)
-        try:
-            records = flatten(kept, "metrics")
-            jobs = [
-                partial(write_batch, rows, table, metric_path(target, table), batch)
-                for table, rows in route_metrics(records).items()
-            ]
-            bad = [malformed(kept), point_rejects(records)]
-            jobs.append(partial(_write_rejects, bad, f"{target}/rejects", batch))
-            run_together(batches.sparkSession, jobs)
-        finally:
-            kept.unpersist()
-
-    return _run(read_batch_stream(spark, "metrics", source, max_files), sink, checkpoint, trigger)
+    return stream_ingest(spark, "metrics", source, target, checkpoint, trigger, max_files, tables)
 
 
 def stream_trace_lookup(
@@ -138,11 +120,13 @@ def stream_trace_lookup(
     checkpoint: str,
     trigger: Trigger | None = None,
     max_files: int | None = None,
+    full_name: str | None = None,
 ) -> StreamingQuery:
     """Time ranges of the traces of each newly written batch of spans.
 
     Every batch adds its own partial rows and never changes earlier ones;
-    readers merge them with `collapse_lookup`.
+    readers merge them with `collapse_lookup`. With `full_name`, a catalog table
+    whose folder is `lookup_path`, the rows become its partitions.
     """
     reader = spark.readStream.schema(table_schema("traces"))
     if max_files is not None:
@@ -150,8 +134,10 @@ def stream_trace_lookup(
     spans = reader.parquet(spans_path)
 
     def sink(batch_spans: DataFrame, batch_id: int) -> None:
-        name = batch_name(batch_spans, batch_id)
-        write_batch(trace_id_ts(batch_spans), "lookup", lookup_path, name)
+        def prepare(folder: str) -> list[Part]:
+            write_table(trace_id_ts(batch_spans), "lookup", f"{folder}/lookup", "overwrite")
+            return [Part(f"{folder}/lookup", lookup_path, "lookup", full_name)]
 
-    return _run(spans.select("TraceId", "TimestampNanos"), sink, checkpoint, trigger)
+        commit_batch(batch_spans.sparkSession, f"{lookup_path}/_ledger", stream_name(batch_spans), batch_id, prepare)
 
+    return _run(spans.select("TraceId", "TimestampNanos"), sink, checkpoint, trigger)

@@ -175,6 +175,83 @@ def test_exp_quantile_walks_all_buckets(spark):
         assert out["e"] is None
 
 
+def dense(values, at):
+    """(offset, counts) of a dict of counts, with an empty bucket on both sides."""
+    return (min(values) - 1, [values.get(i, 0) for i in range(min(values) - 1, max(values) + 2)]) if values else (at, [])
+
+
+def test_exp_histogram_to_delta_against_python(spark):
+    """Random cumulative points of several series: growth, changes of scale, restarts and falls."""
+    rng = random.Random(8)
+    schema = (
+        "ServiceName string, MetricName string, SeriesKey string, TimeUnixNanos bigint, StartTimeUnixNanos bigint, "
+        "Count bigint, Sum double, Scale int, ZeroCount bigint, PositiveOffset int, PositiveBucketCounts array<bigint>, "
+        "NegativeOffset int, NegativeBucketCounts array<bigint>, Min double, Max double, AggregationTemporality int"
+    )
+    rows, want = [], {}
+    for series in range(12):
+        scale, start, zero, sides, before = 4, 0, 0, ({}, {}), None
+        for t in range(1, 9):
+            event = rng.choice(["grow", "grow", "coarser", "restart", "fall", "finer"])
+            if event == "restart":
+                start, zero, sides = t, 0, ({}, {})
+            if event in ("coarser", "finer"):
+                new = scale + (-rng.randint(1, 3) if event == "coarser" else 1)
+                if event == "finer":  # a finer scale starts over
+                    start, zero, sides = t, 0, ({}, {})
+                else:
+                    moved = ({}, {})
+                    for side, to in zip(sides, moved):
+                        for i, n in side.items():
+                            to[i >> (scale - new)] = to.get(i >> (scale - new), 0) + n
+                    sides = moved
+                scale = new
+            for side in sides:
+                for _ in range(rng.randint(0, 4)):
+                    i = rng.randint(-30, 30)
+                    side[i] = side.get(i, 0) + rng.randint(1, 5)
+            zero += rng.randint(0, 2)
+            if event == "fall" and sides[0]:
+                key = rng.choice(list(sides[0]))
+                sides[0].pop(key)
+            now = (start, scale, zero, [dict(s) for s in sides])
+            total = zero + sum(n for s in sides for n in s.values())
+            (po, pc), (no, nc) = dense(sides[0], 0), dense(sides[1], 0)
+            rows.append(("s", "m", str(series), t * 10**12, start, total, float(total), scale, zero, po, pc, no, nc, None, None, 2))
+            if before is None:
+                want[series, t] = (scale, 0, {}, {})
+            else:
+                low = min(scale, before[1])
+
+                def at_low(state):
+                    out = []
+                    for s in state[3]:
+                        o = {}
+                        for i, n in s.items():
+                            o[i >> (state[1] - low)] = o.get(i >> (state[1] - low), 0) + n
+                        out.append(o)
+                    return out
+
+                a, b = at_low(now), at_low(before)
+                grown = [{i: x.get(i, 0) - y.get(i, 0) for i in {*x, *y}} for x, y in zip(a, b)]
+                total_before = before[2] + sum(n for s in before[3] for n in s.values())
+                reset = start != before[0] or total < total_before or zero < before[2] or any(n < 0 for g in grown for n in g.values())
+                clean = lambda d: {i: n for i, n in d.items() if n}
+                want[series, t] = (scale, zero, *map(clean, now[3])) if reset else (low, zero - before[2], *map(clean, grown))
+            before = now
+    got = {}
+    for r in H.exp_histogram_to_delta(spark.createDataFrame(rows, schema)).collect():
+        sides = [
+            {offset + i: n for i, n in enumerate(counts) if n}
+            for offset, counts in ((r.PositiveOffset, r.PositiveBucketCounts), (r.NegativeOffset, r.NegativeBucketCounts))
+        ]
+        got[int(r.SeriesKey), r.TimeUnixNanos // 10**12] = (r.Scale, r.ZeroCount, *sides)
+        assert r.AggregationTemporality == 1 and r.Count == r.ZeroCount + sum(n for s in sides for n in s.values())
+    assert got == want
+    first = H.exp_histogram_to_delta(spark.createDataFrame(rows, schema), first="value").filter("TimeUnixNanos = 1000000000000")
+    assert first.agg(F.sum("Count")).first()[0] == sum(r[5] for r in rows if r[3] == 10**12)
+
+
 def test_means_and_summaries(spark):
     df = spark.createDataFrame([("a", 2, 5.0), ("a", 3, 5.0), ("b", 0, 0.0)], "g string, Count bigint, Sum double")
     assert {r.g: r.mean for r in M.mean_from_sum_count(df, ["g"]).collect()} == {"a": 2.0, "b": None}

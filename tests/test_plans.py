@@ -128,12 +128,27 @@ def test_aggregates_combine_before_the_shuffle(stored):
         L.count_by(stored("logs")),
         M.metric_trend(stored("gauge"), timedelta(hours=1)),
         M.series_cardinality(stored("gauge")),
-        H.merge_histograms(stored("histogram"), ["ServiceName"]),
+        H.merge_histograms(stored("histogram").drop("AggregationTemporality"), ["ServiceName"]),
     ):
         text = plan_text(df)
         assert "Aggregate(key" in text[text.rindex("Exchange") :]
 
 
+def test_cumulative_runs_are_cut_before_the_shuffle(stored):
+    """Where points may be cumulative, each task passes on one row per run."""
+    for df in (
+        H.merge_histograms(stored("histogram"), ["ServiceName"]),
+        M.mean_from_sum_count(stored("histogram"), ["ServiceName"]),
+    ):
+        text = plan_text(df)
+        assert "WindowGroupLimit" in text[text.rindex("Exchange") :]
+
+
+def test_totals_scan_the_points_three_times(stored):
+    """Deltas, cumulative points, and the tails of their slices."""
+    assert plan_text(M.sum_total(stored("sum"), ["ServiceName"])).count("FileScan") <= 3
+
+
 def test_edges_read_four_columns(stored):
     text = formatted(T.service_edges(stored("traces")))
     assert "ReadSchema: struct<TraceId:string,ParentSpanId:string,ServiceName:string,StatusCode:string>" in text

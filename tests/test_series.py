@@ -7,7 +7,7 @@ from datetime import timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from signalbarn.functions.quantiles import exact_quantiles, value_range
+from signalbarn.functions.quantiles import exact_quantiles, part_of_range, value_range
 from signalbarn.functions.series import previous_point, running_total
 from signalbarn.operators import metrics as M
 
@@ -142,6 +142,31 @@ def test_exact_quantiles_against_sort(spark):
             assert row[name] == values[rank - 1], (g, name)
 
 
+def test_part_of_range_keeps_order(spark):
+    rng = random.Random(5)
+    values = sorted({0, 1, 5, 2**62, *(rng.getrandbits(rng.randint(1, 62)) for _ in range(2000)), *range(10**12, 10**12 + 500)})
+    both = F.struct(value_range(F.col("v")), part_of_range(F.col("v"), value_range(F.col("v"))))
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in values], "v bigint").orderBy("v").select(both).collect()]
+    assert got == sorted(got)
+
+
+def test_quantiles_of_a_hot_range(spark):
+    """A third of the rows differ by less than 0.07 %; no task orders more than a few of their values."""
+    hot, other = 20_000, 40_000
+    df = spark.range(hot + other).selectExpr(
+        "'g' AS g", f"CASE WHEN id < {hot} THEN 1000000000 + id * 30 ELSE (id * 7919) % 900000000 END AS v"
+    )
+    values = sorted(r.v for r in df.collect())
+    qs = {"p50": "0.5", "p70": "0.7", "p80": "0.8", "p99": "0.99"}
+    (got,) = exact_quantiles(df, ["g"], "v", qs).collect()
+    for name, q in qs.items():
+        assert got[name] == values[math.ceil(round(float(q) * len(values), 9)) - 1]
+    ranged = df.withColumn("r", value_range(F.col("v"))).withColumn("p", part_of_range(F.col("v"), F.col("r")))
+    per_range = ranged.groupBy("r").agg(F.count_distinct("v").alias("n")).agg(F.max("n")).first()[0]
+    per_part = ranged.groupBy("r", "p").agg(F.count_distinct("v").alias("n")).agg(F.max("n")).first()[0]
+    assert per_range > 15_000 and per_part < 100
+
+
 def test_latest_and_trend(spark):
     rows = [("a", "x", 1, 0, 5), ("a", "x", 9, 0, 1), ("a", "y", 3, 0, 2), ("a", "x", 70, 0, 4)]
     df = points(spark, rows, temporality=0)
@@ -164,3 +189,14 @@ def test_cardinality(spark):
 def test_series_key_ignores_order(spark):
     df = spark.sql("SELECT map('a','1','b','2') AS Attributes UNION ALL SELECT map('b','2','a','1')")
     assert M.with_series_key(df).select("SeriesKey").distinct().count() == 1
+
+
+def test_series_sketches_merge(spark):
+    rows = [("a", f"k{i % 5000}", 86400 * (i % 3) + i, 0, 1) for i in range(15000)]
+    df = points(spark, rows).withColumn("TimeUnix", F.timestamp_seconds(F.expr("TimeUnixNanos div 1000000000")))
+    daily = M.series_sketches(df)
+    assert daily.count() == 3
+    (whole,) = M.series_of_sketches(daily, ["ServiceName", "MetricName"]).collect()
+    assert abs(whole.series - 5000) < 150
+    again = M.series_of_sketches(daily.unionByName(daily), ["ServiceName", "MetricName"]).first()
+    assert again.series == whole.series
