@@ -112,12 +112,12 @@ def decode_steps(words: np.ndarray, state: np.ndarray, count: int, lookup: np.nd
 def encode_file(doc_ids: list, documents: list[np.ndarray]) -> bytes:
     """The bytes of a file that holds these documents, in this order."""
     lengths = np.array([len(d) for d in documents], np.int64)
-    ids = np.concatenate([np.asarray(d, np.int64) for d in documents]) if documents else np.empty(0, np.int64)
+    ids = np.concatenate([np.asarray(d, "<u4") for d in documents]) if documents else np.empty(0, "<u4")
     symbols, counts = frequencies(ids)
     freq = counts.astype(np.uint64)
     cum = np.concatenate([[0], np.cumsum(counts)])[:-1].astype(np.uint64) if len(counts) else freq
     if len(symbols) and symbols[-1] < _TOTAL:
-        place = np.zeros(symbols[-1] + 1, np.int64)
+        place = np.zeros(int(symbols[-1]) + 1, np.int32)
         place[symbols] = np.arange(len(symbols))
         slots = place[ids]
     else:
@@ -126,7 +126,7 @@ def encode_file(doc_ids: list, documents: list[np.ndarray]) -> bytes:
     for start in range(0, len(ids), BLOCK):
         part = slots[start : start + BLOCK]
         words, checkpoints, state = encode_block(part, freq, cum)
-        crc = zlib.crc32(ids[start : start + BLOCK].astype("<u4").tobytes())
+        crc = zlib.crc32(ids[start : start + BLOCK])
         blocks.append(
             {
                 "offset": offset,
@@ -140,7 +140,7 @@ def encode_file(doc_ids: list, documents: list[np.ndarray]) -> bytes:
         body.append(words)
         offset += len(words)
     header = json.dumps(
-        {"doc_ids": doc_ids, "lengths": _pack(lengths), "symbols": _pack(np.diff(symbols, prepend=0)), "freq": _pack(counts), "blocks": blocks}
+        {"doc_ids": doc_ids, "lengths": _pack(lengths), "symbols": _pack(np.diff(symbols.astype(np.int64), prepend=0)), "freq": _pack(counts), "blocks": blocks}
     ).encode()
     return b"".join([MAGIC, struct.pack("<I", len(header)), header, struct.pack("<I", zlib.crc32(header)), *body])
 
@@ -203,6 +203,26 @@ class TokenFile:
             parts.append(symbols[slots[skip - step * LANES :]].astype("<u4"))
         return np.concatenate(parts) if parts else np.empty(0, "<u4")
 
+    def documents_of(self, i: int):
+        """(doc_id, place of its first id, ids) of the documents that start in block i, in order.
+
+        The last of them may end in later blocks, of which only what it holds is decoded.
+        """
+        lengths = _unpack(self.header["lengths"]).astype(np.int64)
+        starts = np.cumsum(lengths) - lengths
+        first, count = i * BLOCK, self.header["blocks"][i]["count"]
+        is_last = i == len(self.header["blocks"]) - 1  # documents without ids may stand at the very end
+        own = np.flatnonzero((starts >= first) & ((starts < first + count) | is_last))
+        if not len(own):
+            return
+        low, high = int(starts[own[0]]), int(starts[own[-1]] + lengths[own[-1]])
+        ids = self.block(i)[low - first :]
+        if high > first + count:
+            ids = np.concatenate([ids, self.ids(first + count, high - first - count)])
+        for d in own.tolist():
+            at = int(starts[d])
+            yield self.header["doc_ids"][d], at, ids[at - low : at - low + int(lengths[d])]
+
     def documents(self):
         """(doc_id, ids) in order, block by block: no more than a block and one document is held."""
         blocks = iter(range(len(self.header["blocks"])))

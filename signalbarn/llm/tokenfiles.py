@@ -1,10 +1,12 @@
 """Token ids of whole texts in compressed binary files, in ascending order of doc_id.
 
-Texts are range-partitioned by doc_id and encoded after the shuffle, once. Each
-task writes its range as files of whole documents; a file's name starts with the
-number of its range, so names sorted are documents sorted. Reading lists the
-files, deals them out to tasks and decodes block by block; where each file's ids
-begin comes from the totals of the files before it, one row per file.
+Texts are range-partitioned by doc_id, and those of one id by how they begin, and
+encoded after the shuffle, once. Each task writes its range as files of whole
+documents; a file's name starts with the number of its range, so names sorted are
+documents sorted. Reading lists the files and deals out their blocks: a task
+decodes the documents that start in its block, and of the next block only what
+the last of them needs, from checkpoint to checkpoint. Where each file's ids begin
+comes from the totals of the files before it, one row per file.
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ from signalbarn.llm.tokens import encoder
 
 #: A file is closed at the first end of a document beyond so many ids.
 FILE_IDS = 1 << 22
+#: Characters of a text that range partitioning looks at.
+TEXT_START = 64
 END_ID = 0
 
 
@@ -37,13 +41,14 @@ def write_token_files(
     """
     own = docs.select("doc_id", "text")
     order = [F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()]
-    # ranges by id alone: the bounds are drawn from a sample that the driver sees
-    ranged = own.repartitionByRange(*([partitions] if partitions else []), order[0]).sortWithinPartitions(*order)
+    # the bounds of ranges are drawn from a sample that the driver sees, so texts do not take part whole
+    start = F.substring("text", 1, TEXT_START).asc_nulls_first()
+    ranged = own.repartitionByRange(*([partitions] if partitions else []), order[0], start).sortWithinPartitions(*order)
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        encode = encoder(tokenizer).encode
+        encode = encoder(tokenizer).encode_many
         end = np.array([end_id], "<u4").tobytes()
         part = TaskContext.get().partitionId()
         ids: list = []
@@ -61,9 +66,9 @@ def write_token_files(
             return out
 
         for batch in batches:
-            for doc_id, text in zip(batch["doc_id"].astype(object), batch["text"]):
+            for doc_id, coded in zip(batch["doc_id"].astype(object), encode(batch["text"].tolist())):
                 ids.append(None if pd.isna(doc_id) else int(doc_id))
-                texts.append(np.frombuffer(encode(text) + end, "<u4"))
+                texts.append(np.frombuffer(coded + end, "<u4"))
                 held += len(texts[-1])
                 if held >= file_ids:
                     yield close()
@@ -86,29 +91,28 @@ def _listed(spark: SparkSession, folder: str) -> DataFrame:
 def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """A row per document of the files: doc_id, start, n_tokens and ids_crc32 of its ids."""
 
+    def opened(name: str) -> TokenFile:
+        return TokenFile.open(lambda start, n: read_range(f"{folder}/{name}", start, n))
+
     def totals(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for name, size in zip(batch["name"], batch["size"]):
-                header = TokenFile.open(lambda s, n, name=name: read_range(f"{folder}/{name}", s, n)).header
-                yield pd.DataFrame({"name": [name], "ids": [sum(b["count"] for b in header["blocks"])]})
+            for name in batch["name"]:
+                blocks = opened(name).header["blocks"]
+                yield pd.DataFrame({"name": [name], "ids": [sum(b["count"] for b in blocks)], "blocks": [len(blocks)]})
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for name in batch["name"]:
-                rows, at = [], 0
-                for doc_id, ids in TokenFile.open(lambda s, n, name=name: read_range(f"{folder}/{name}", s, n)).documents():
-                    rows.append((name, doc_id, at, len(ids), zlib.crc32(ids)))
-                    at += len(ids)
-                out = pd.DataFrame(rows, columns=["name", "doc_id", "at", "n_tokens", "ids_crc32"])
+            for name, base, block in zip(batch["name"], batch["base"], batch["block"]):
+                rows = [(doc_id, base + at, len(ids), zlib.crc32(ids)) for doc_id, at, ids in opened(name).documents_of(block)]
+                out = pd.DataFrame(rows, columns=["doc_id", "start", "n_tokens", "ids_crc32"])
                 out["doc_id"] = out["doc_id"].astype("Int64")
                 yield out
 
     files = _listed(spark, folder)
-    sizes = files.mapInPandas(totals, "name string, ids long").collect()  # a name and a number per file of FILE_IDS ids
-    bases, before = [], 0
+    sizes = files.mapInPandas(totals, "name string, ids long, blocks int").collect()  # a row per file of FILE_IDS ids
+    rows, before = [], 0
     for r in sorted(sizes, key=lambda r: r.name):
-        bases.append((r.name, before))
+        rows += [(r.name, before, block) for block in range(r.blocks)]
         before += r.ids
-    bases = spark.createDataFrame(bases, "name string, base long")
-    rows = files.mapInPandas(decode, "name string, doc_id long, at long, n_tokens long, ids_crc32 long")
-    return rows.join(bases, "name").select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
+    blocks = spark.createDataFrame(rows, "name string, base long, block int").repartition(max(1, min(len(rows), 65536)), "name", "block")
+    return blocks.mapInPandas(decode, "doc_id long, start long, n_tokens long, ids_crc32 long")
