@@ -1,7 +1,8 @@
 """Packing of token ids into sequences of fixed length: first-fit decreasing in randomised groups.
 
 Documents are encoded where they are read and shuffled once, by the hash of id
-and text, to groups of about `group_docs` documents. A group cuts its documents
+and text, to groups of about `group_docs` documents; a row that repeats within a
+task goes to another group each time, so that equal rows do not meet in one. A group cuts its documents
 into whole sequences and a rest, and places the rests, longest first, each into
 the first open sequence with room. A tournament tree holds the room of all
 sequences: every node knows the most room below it, so the first fit is found
@@ -11,7 +12,7 @@ are padded much, so larger groups waste less.
 
 from __future__ import annotations
 
-import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +24,7 @@ from signalbarn.llm.tokens import encoder
 
 LENGTH = 4096
 GROUP_DOCS = 4096
+MOST_PARTITIONS = 100_000
 END_ID = 2
 
 PACKED = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
@@ -71,13 +73,28 @@ def first_fit_decreasing(lengths: list[int], capacity: int) -> list[tuple[int, i
 
 
 def token_rows(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
-    """(doc_id, n, ids): each text's ids and the end id, as little-endian unsigned 32-bit integers."""
+    """(doc_id, key, ids): each text's ids and the end id, as little-endian unsigned 32-bit integers.
+
+    The key is a hash of the row, for a row that repeats in its task also of the
+    task and the number of the repeat. Rows that are equal stay equal but for
+    their keys, so a task that runs again gives the same rows, whatever their order.
+    """
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = encoder(tokenizer).encode
+        from pyspark import TaskContext
+
+        part = TaskContext.get().partitionId()
+        own = encoder(tokenizer)
         end = np.array([end_id], "<u4").tobytes()
+        seen: Counter = Counter()
+
+        def salted(key: int) -> int:
+            n = seen[key] = seen[key] + 1
+            return key if n == 1 else hash((key, part, n))  # hashes of whole numbers are the same everywhere
+
         for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "key": batch["key"], "ids": [own(t) + end for t in batch["text"]]})
+            ids = [x + end for x in own.encode_many(batch["text"].tolist())]
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "key": [salted(k) for k in batch["key"].tolist()], "ids": ids})
 
     keyed = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), "text")
     return keyed.mapInPandas(encode, "doc_id long, key long, ids binary")
@@ -89,8 +106,8 @@ def pack_documents(
     """One row per piece of a document of docs(doc_id, text), with its ids, sequence and place in it.
 
     Null and empty texts are their end id. Null ids are kept; repeated rows are
-    documents of their own. An empty table gives no rows. Other columns are not
-    read. A group is held in memory by one task.
+    documents of their own, dealt over the groups. An empty table gives no rows.
+    Other columns are not read. A group is held in memory by one task.
     """
     groups = max(1, -(-docs.count() // group_docs))
 
@@ -117,7 +134,8 @@ def pack_documents(
         return out.drop(columns="i")[[c.split()[0] for c in PACKED.split(", ")]]
 
     grouped = token_rows(docs, tokenizer, end_id).withColumn("group", F.pmod("key", F.lit(groups)))
-    return grouped.groupBy("group").applyInPandas(pack, PACKED)
+    # a partition holds a few groups, however many there are
+    return grouped.repartition(min(groups, MOST_PARTITIONS), "group").groupBy("group").applyInPandas(pack, PACKED)
 
 
 def piece_digests(packed: DataFrame) -> DataFrame:
