@@ -4,8 +4,17 @@ Everything is column expressions; a text never leaves its row. The models are
 tables of character pairs: how random strings and ordinary identifiers go on
 after each character. Their labelled samples come from the documents themselves:
 what the fixed patterns find is random, other long strings that are spelled as
-words are ordinary. Each string counts as often as it occurs. A string is a secret if its mean log
-likelihood ratio per character reaches a threshold.
+words or numbers are ordinary. Each string counts as often as it occurs.
+
+A run of letters, digits and joining signs is judged by the sum of its
+characters' log likelihood ratios. Those of random characters are positive, so
+the best stretch of a run is the one whose sum is greatest: it starts where the
+sum has come up from zero and ends at its height. A stretch is a secret if its
+sum reaches NEED, so short ones must look more random than long ones; a few
+characters up to the next joining sign or the run's end belong to it. What fixed
+patterns have found within a run counts for nothing and does not part it, so a
+key is found around it. All work on a text grows with its length, or its length
+times the logarithm of the number of matches.
 """
 
 from __future__ import annotations
@@ -15,6 +24,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from signalbarn.llm.common import bound
+
 #: The patterns by kind, in the order in which spans of one start are listed.
 ASSIGN = r"(?i)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
 #: Runs of these characters are matched whole, so asking for the least length within the pattern drops what a filter would.
@@ -27,46 +38,81 @@ STRING = r"[A-Za-z0-9+/_-]"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
 #: Row and column of the table: 1.. for the alphabet's characters, then the end; row 0 is the start.
 SIZE = len(ALPHABET) + 2
-LEAST_LABELLED, LEAST_JUDGED = 12, 20
-#: What labels a string as ordinary: words of letters, joined by single signs.
-WORDLIKE = r"^[A-Z]?[a-z]+([_/-][A-Z]?[a-z]+)*$"
+LEAST_LABELLED, LEAST_JUDGED = 12, 12
+#: What labels a string as ordinary: words of letters, or numbers, joined by single signs.
+WORDLIKE = r"^([A-Z]?[a-z]+([_/-][A-Z]?[a-z]+)*|[0-9]+([_/+-][0-9]+)*)$"
 #: Share of the models that is spread evenly over all characters.
 SPREAD = 0.5
 #: Weight, in characters, of single characters' frequencies after each context.
 LEAN = 5.0
-THRESHOLD = 1.5
+#: The sum that makes a stretch a secret: ordinary strings reach it about once in e ** NEED.
+NEED = 20.0
+#: A stretch ends for good when its sum has fallen by so much; less than NEED, so none is passed over.
+DROP = 10.0
+#: So many characters between a stretch and the next sign or end belong to it.
+EDGE = 4
+SIGNS = "+/_-"
+#: Stands for each character that a fixed pattern has found.
+BLANK = "\x01"
 
 _SPANS = "array<struct<start:int,kind:int,end:int>>"
 
 
-def _pattern_spans(text: Column, pattern: str, kind: int, group: int = 0) -> Column:
-    """Spans of the pattern's matches in code points, from left to right; those whose group is too short are left out.
+def running_sums(values: Column) -> Column:
+    """Sums up to and including each entry of an array of numbers, by doubling steps."""
+    steps = F.array(*[F.lit(1 << k) for k in range(31)])
 
-    Splitting at the matches gives what lies between them; lengths add up to places.
-    """
-    parts = F.arrays_zip(
-        F.split(text, pattern, -1).alias("gap"),
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("match"),
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("value"),
-    )
-    lengths = F.transform(
-        parts,
-        lambda p: F.struct(
-            F.length(p["gap"]).alias("gap"), F.length(p["match"]).alias("match"), F.length(p["value"]).alias("value")
-        ),
+    def summed(v: Column) -> Column:
+        needed = F.filter(steps, lambda step: step < F.size(v))
+        return F.aggregate(
+            needed, v, lambda done, step: F.transform(done, lambda x, i: x + F.coalesce(F.get(done, i - step), F.lit(0)))
+        )
+
+    return bound(values, summed)
+
+
+def _matches(text: Column, pattern: str, group: int = 0) -> Column:
+    """A struct of what lies before each match (and after the last), the matches and their group."""
+    return F.struct(
+        F.split(text, pattern, -1).alias("gaps"),
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("matches"),
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("values"),
     )
-    first = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("spans"))
 
-    def add(done, p):
-        start = (done["at"] + p["gap"]).cast("int")
-        end = (start + p["match"]).cast("int")
-        span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"))
-        keep = p["value"] >= (LEAST_ASSIGNED if group else 0)
-        spans = F.when(keep, F.concat(done["spans"], F.array(span))).otherwise(done["spans"])
-        return F.struct(F.coalesce(end, done["at"]).alias("at"), spans.cast(_SPANS).alias("spans"))
 
-    found = F.aggregate(lengths, first, add, lambda done: done["spans"])
-    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(_SPANS))
+def _ends(found: Column) -> Column:
+    """Where each match ends, in code points."""
+    steps = F.transform(found["matches"], lambda m, i: F.length(F.get(found["gaps"], i)) + F.length(m))
+    return running_sums(steps)
+
+
+def _pattern_spans(text: Column, pattern: str, kind: int, group: int = 0) -> Column:
+    """Spans of the pattern's matches in code points, from left to right; those whose group is too short are left out."""
+    none = F.array().cast(_SPANS)
+
+    def spans(found: Column) -> Column:
+        each = F.arrays_zip(_ends(found).alias("end"), found["matches"].alias("match"), found["values"].alias("value"))
+        long = F.filter(each, lambda m: F.length(m["value"]) >= (LEAST_ASSIGNED if group else 0))
+        return F.transform(
+            long,
+            lambda m: F.struct((m["end"] - F.length(m["match"])).alias("start"), F.lit(kind).alias("kind"), m["end"].alias("end")),
+        ).cast(_SPANS)
+
+    return F.when(text.rlike(pattern), bound(_matches(text, pattern, group), spans)).otherwise(none)
+
+
+def _blanked(text: Column, pattern: str, group: int = 0) -> Column:
+    """The text with the pattern's matches blanked out, sign by sign; those whose group is too short stay."""
+
+    def join(found: Column) -> Column:
+        def piece(gap: Column, i: Column) -> Column:
+            match, value = F.get(found["matches"], i), F.get(found["values"], i)
+            kept = F.when(F.length(value) >= (LEAST_ASSIGNED if group else 0), F.repeat(F.lit(BLANK), F.length(match))).otherwise(match)
+            return F.concat(gap, F.coalesce(kept, F.lit("")))
+
+        return F.array_join(F.transform(found["gaps"], piece), "")
+
+    return F.when(text.rlike(pattern), bound(_matches(text, pattern, group), join)).otherwise(text)
 
 
 def base_spans(text: Column) -> Column:
@@ -75,8 +121,14 @@ def base_spans(text: Column) -> Column:
     return F.when(text.isNull(), F.array().cast(_SPANS)).otherwise(F.array_sort(found))
 
 
+def letters(string: Column) -> Column:
+    """The characters of a string, which is walked once."""
+    return F.split(string, "", -1)
+
+
 def _index(char: Column) -> Column:
-    return F.when(char == "", F.lit(SIZE - 1)).otherwise(F.expr("0") + F.instr(F.lit(ALPHABET), char))
+    """The place of a character in the table, from 1 on; 0, like the start of a string, for a blank."""
+    return F.instr(F.lit(ALPHABET), char).cast("int")
 
 
 def pair_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -97,13 +149,15 @@ def pair_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     words = docs.select(F.explode(samples).alias("s")).groupBy("s.random", "s.word").agg(F.count("*").alias("n"))
     words = words.where(F.col("random") | F.col("word").rlike(WORDLIKE))
     # identifiers are spelled in capitals as well
-    spelled = F.when(F.col("random"), F.array("word")).otherwise(F.array("word", F.upper("word")))
+    spelled = F.when(F.col("random"), F.array("word")).otherwise(F.array_distinct(F.array("word", F.upper("word"))))
     words = words.select("random", F.explode(spelled).alias("word"), "n")
-    place = F.explode(F.sequence(F.lit(0), F.length("word")))
-    pairs = words.select("random", "word", "n", place.alias("i"))
-    before = F.when(F.col("i") == 0, F.lit(0)).otherwise(_index(F.substring(F.col("word"), F.col("i"), F.lit(1))))
-    after = _index(F.substring(F.col("word"), F.col("i") + 1, F.lit(1)))
-    return pairs.groupBy("random", before.alias("a"), after.alias("b")).agg(F.sum("n").alias("n"))
+
+    def pairs(places: Column) -> Column:
+        return F.transform(places, lambda b, i: F.struct(F.coalesce(F.get(places, i - 1), F.lit(0)).alias("a"), b.alias("b")))
+
+    places = F.concat(F.transform(letters(F.col("word")), _index), F.array(F.lit(SIZE - 1)))
+    each = words.select("random", F.explode(bound(places, pairs)).alias("p"), "n")
+    return each.groupBy("random", F.col("p.a").alias("a"), F.col("p.b").alias("b")).agg(F.sum("n").alias("n"))
 
 
 def fit_markov(docs: DataFrame, text: str = "text") -> list[float]:
@@ -128,36 +182,82 @@ def fit_markov(docs: DataFrame, text: str = "text") -> list[float]:
     return [x - y for x, y in zip(logs(table[True], SPREAD), logs(table[False], 0.01))]
 
 
-def string_score(string: Column, ratios: Column) -> Column:
-    """Mean log ratio per character of a string, with the column or literal `ratios` as the table."""
-    places = F.sequence(F.lit(1), F.length(string))
-    first = F.struct(F.lit(0).alias("a"), F.lit(0.0).alias("sum"))
-
-    def add(done, i):
-        b = F.instr(F.lit(ALPHABET), F.substring(string, i, F.lit(1))).cast("int")
-        return F.struct(b.alias("a"), (done["sum"] + F.element_at(ratios, done["a"] * SIZE + b + 1)).alias("sum"))
-
-    return F.aggregate(places, first, add, lambda done: done["sum"]) / F.length(string)
-
-
-def all_spans(text: Column, base: Column, ratios: Column, threshold: float = THRESHOLD) -> Column:
-    """`base` and the model's spans; the model judges whole long strings that no base span touches."""
-    pattern = f"{STRING}{{{LEAST_JUDGED},}}"
-    judged = F.filter(
-        _pattern_spans(text, pattern, 3),
-        lambda s: (
-            ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-            & (string_score(F.substring(text, s["start"] + 1, s["end"] - s["start"]), ratios) >= threshold)
-        ),
-    )
-    return F.when(text.isNull(), base).otherwise(F.array_sort(F.concat(base, judged)))
-
-
-def with_spans(docs: DataFrame, ratios: list[float], text: str = "text", threshold: float = THRESHOLD, prefix: str = "") -> DataFrame:
+def best_stretches(string: Column, at: Column, ratios: Column) -> Column:
+    """Spans of the stretches of a string, which starts at `at`, whose log ratios sum up to NEED or more."""
+
+    def each(places: Column) -> Column:
+        return F.transform(
+            places,
+            lambda b, i: F.when(b == 0, F.lit(0.0)).otherwise(
+                F.element_at(ratios, F.coalesce(F.get(places, i - 1), F.lit(0)) * SIZE + b + 1)
+            ),
+        )
+
+    def state(**fields: Column) -> Column:
+        return F.struct(*[c.alias(name) for name, c in fields.items()])
+
+    start, none = at.cast("int"), F.array().cast(_SPANS)
+    zero, no = F.lit(0.0), F.lit(False)
+    # word: where the signs before the present place end; open: no sign has come since the best end
+    first = state(at=start, word=start, sum=zero, start=start, best=zero, end=start, open=no, spans=none)
+
+    def with_best(done: Column, place: Column | None = None) -> Column:
+        """The spans with the best stretch, if it is one; `place` is where the string ends."""
+        end = done["end"] if place is None else F.when(place - done["end"] <= EDGE, place).otherwise(done["end"])
+        span = state(start=done["start"], kind=F.lit(KINDS.index("markov")), end=end)
+        return F.when(done["best"] >= NEED, F.concat(done["spans"], F.array(span))).otherwise(done["spans"]).cast(_SPANS)
+
+    def add(done: Column, letter: Column) -> Column:
+        place, total, next_at = done["at"], done["sum"] + letter["ratio"], done["at"] + 1
+        sign = letter["sign"]
+        word = F.when(sign, next_at).otherwise(done["word"])
+        over = (total <= 0) | (total < done["best"] - DROP)
+        higher = total > done["best"]
+        closes = sign & done["open"] & (place - done["end"] <= EDGE)
+        head = F.when((done["sum"] == 0) & (place - done["word"] <= EDGE), done["word"]).otherwise(done["start"])
+        ended = F.when(closes, place).otherwise(done["end"])
+        anew = state(
+            at=next_at, word=word, sum=zero, start=next_at, best=zero, end=next_at, open=no,
+            spans=with_best(state(**{c: done[c] for c in ("start", "best", "spans")}, end=ended)),
+        )
+        on = state(
+            at=next_at, word=word, sum=total, start=head, best=F.when(higher, total).otherwise(done["best"]),
+            end=F.when(higher, next_at).otherwise(ended), open=F.when(sign, no).otherwise(higher | done["open"]), spans=done["spans"],
+        )
+        return F.when(over, anew).otherwise(on)
+
+    def scored(places: Column) -> Column:
+        signs = [ALPHABET.index(c) + 1 for c in SIGNS]
+        ratio = each(places)
+        return bound(ratio, lambda r: F.transform(places, lambda b, i: state(ratio=F.get(r, i), sign=(b == 0) | b.isin(signs))))
+
+    return F.aggregate(bound(F.transform(letters(string), _index), scored), first, add, lambda done: with_best(done, done["at"]))
+
+
+def all_spans(text: Column, base: Column, ratios: Column) -> Column:
+    """`base` and the model's spans; the model judges whole long strings around what the fixed patterns have found."""
+    pattern = f"[A-Za-z0-9+/_{BLANK}-]{{{LEAST_JUDGED},}}"
+    plain = F.translate(text, BLANK, " ")
+    left = _blanked(_blanked(_blanked(plain, ASSIGN, 2), ACCESS), HEX)
+
+    def judged(found: Column) -> Column:
+        ends = _ends(found)
+        each = F.arrays_zip(ends.alias("end"), found["matches"].alias("match"))
+        return F.flatten(
+            F.transform(each, lambda m: best_stretches(m["match"], m["end"] - F.length(m["match"]), ratios))
+        )
+
+    def of_left(t: Column) -> Column:
+        return F.when(t.rlike(pattern), bound(_matches(t, pattern), judged)).otherwise(F.array().cast(_SPANS))
+
+    return F.when(text.isNull(), base).otherwise(F.array_sort(F.concat(base, bound(left, of_left))))
+
+
+def with_spans(docs: DataFrame, ratios: list[float], text: str = "text", prefix: str = "") -> DataFrame:
     """Adds the columns `<prefix>base` and `<prefix>spans`: arrays of (start, kind, end) in code points, end exclusive."""
     table = F.split(F.lit(",".join(map(repr, ratios))), ",").cast("array<double>")  # folded to one constant
     out = docs.withColumn(f"{prefix}base", base_spans(F.col(text)))
-    return out.withColumn(f"{prefix}spans", all_spans(F.col(text), F.col(f"{prefix}base"), table, threshold))
+    return out.withColumn(f"{prefix}spans", all_spans(F.col(text), F.col(f"{prefix}base"), table))
 
 
 def spans_text(spans: Column) -> Column:
@@ -168,14 +268,14 @@ def spans_text(spans: Column) -> Column:
     )
 
 
-def scan_secrets(docs: DataFrame, ratios: list[float] | None = None, threshold: float = THRESHOLD) -> DataFrame:
+def scan_secrets(docs: DataFrame, ratios: list[float] | None = None) -> DataFrame:
     """One row per row of docs(doc_id, text): counts of base spans, their digest, and all spans as text.
 
     Null and empty texts have no spans. Repeated rows give repeated results and
     null ids are kept. Other columns are not read.
     """
     own = docs.select("doc_id", "text")
-    found = with_spans(own, fit_markov(own) if ratios is None else ratios, threshold=threshold)
+    found = with_spans(own, fit_markov(own) if ratios is None else ratios)
 
     def n(kind: int) -> Column:
         return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")

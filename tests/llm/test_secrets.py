@@ -1,7 +1,9 @@
 import hashlib
 import random
 import re
+import time
 
+from signalbarn.llm import secrets as S
 from signalbarn.llm.secrets import fit_markov, redacted, scan_secrets, with_spans
 from pyspark.sql import functions as F
 
@@ -65,3 +67,100 @@ def test_model_and_redaction(spark):
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert scan_secrets(docs).count() == 0
+
+
+def plain_spans(text, ratios):
+    """The model's spans by a plain scorer: blank out base matches, then walk each run."""
+    text = (text or "").replace("\1", " ")
+    text = ASSIGN.sub(lambda m: "\1" * len(m[0]) if len(m[2]) >= 12 else m[0], text)
+    text = re.sub("AKIA[A-Z0-9]{14,}", lambda m: "\1" * len(m[0]), text)
+    text = re.sub("[0-9a-f]{16,}", lambda m: "\1" * len(m[0]), text)
+    out = []
+    for run in re.finditer("[A-Za-z0-9+/_\1-]{12,}", text):
+        total = best = 0.0
+        start = end = word = run.start()
+        before, is_open = 0, False
+        for at, c in enumerate(run[0], run.start()):
+            place = S.ALPHABET.find(c) + 1
+            if total == 0 and at - word <= S.EDGE:
+                start = word
+            total += ratios[before * S.SIZE + place] if place else 0.0
+            before = place
+            sign = c in "\1+/_-"
+            if sign and is_open and at - end <= S.EDGE:
+                end = at
+            if total <= 0 or total < best - S.DROP:
+                if best >= S.NEED:
+                    out.append((start, end))
+                total, best, start, end, is_open = 0.0, 0.0, at + 1, at + 1, False
+            else:
+                if total > best:
+                    best, end, is_open = total, at + 1, True
+                is_open = is_open and not sign
+            word = at + 1 if sign else word
+        if best >= S.NEED:
+            out.append((start, run.end() if run.end() - end <= S.EDGE else end))
+    return out
+
+
+def corpus(spark):
+    rng = random.Random(2)
+    parts = ["tion", "the", "ing", "er", "an", "re", "st", "on", "at", "en"]
+    word = lambda: "".join(rng.choice(parts) for _ in range(rng.randrange(1, 9)))
+    key = lambda n: "".join(rng.choice("ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz0123456789") for _ in range(n))
+    rows = [(i, " ".join(word() for _ in range(60)) + f" 2024-01-0{1 + i % 9}-1200 0{rng.randrange(100, 999)}-{rng.randrange(100, 999)}-{rng.randrange(10**6, 10**7)} " + (f"token={key(30)}" if i % 3 == 0 else "")) for i in range(120)]
+    return spark.createDataFrame(rows, "doc_id long, text string"), key
+
+
+def markov(row):
+    return [(s.start, s.end) for s in row.spans if s.kind == 3]
+
+
+def test_model_spans_equal_a_plain_scorer(spark):
+    docs, key = corpus(spark)
+    ratios = fit_markov(docs)
+    rng = random.Random(7)
+    long = [t for t in texts()]
+    for _ in range(60):
+        long.append(rng.choice(["", "wörd ", "\1", "é/"]).join(rng.choice([key(rng.randrange(6, 40)), "theration-", "station/", "0123456789abcdef01", "_", " ", "token=" + key(14), "\1", "AKIA" + "Z9" * 8]) for _ in range(rng.randrange(1, 9))))
+    own = spark.createDataFrame(list(enumerate(long)), "doc_id long, text string")
+    for r in with_spans(own, ratios).collect():
+        assert markov(r) == plain_spans(r.text, ratios), r.text
+        assert [(s.start, s.kind) for s in r.spans] == sorted((s.start, s.kind) for s in r.spans)
+    assert sum(bool(plain_spans(t, ratios)) for t in long) > 30
+
+
+def test_short_keys_keys_around_matches_and_behind_paths(spark):
+    docs, _ = corpus(spark)
+    ratios = fit_markov(docs)
+    texts = ["see Zq8Kx2Wm9LpT4vRb7 there", "Zq8Kx2-0123456789abcdef-Wk3T9vLp7Rn", "station/ingreation/theration/Zq8Kx2Wm9LpT4vRb7kQ", "internationalisation/therestation", "call 0049-170-1234567 now", "2024-01-01-120000", None, ""]
+    rows = with_spans(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), ratios).orderBy("doc_id").collect()
+    assert markov(rows[0]) == [(4, 21)]
+    assert markov(rows[1]) == [(0, 35)] and [s.kind for s in rows[1].spans] == [3, 2]
+    ((start, end),) = markov(rows[2])
+    assert abs(start - 29) <= 1 and end == len(texts[2])
+    assert all(not r.spans for r in rows[3:])
+
+
+def test_a_run_of_a_million_letters(spark):
+    """Time grows with the length: 50,000 letters once took a minute."""
+    docs, key = corpus(spark)
+    ratios = fit_markov(docs)
+    texts = [key(1_000_000), "ab" * 300_000, " ".join(["word"] * 1000 + [key(20)]) * 100, "deadbeef01234567 " * 20_000]
+    began = time.time()
+    rows = with_spans(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), ratios).orderBy("doc_id").collect()
+    assert time.time() - began < 60
+    for r in rows:
+        assert markov(r) == plain_spans(r.text, ratios)
+    assert sum(e - s for s, e in markov(rows[0])) > 990_000 and len(rows[3].spans) >= 20_000
+
+
+def test_pairs_are_counted_in_place(spark):
+    docs = spark.createDataFrame([(1, "thingthething " * 3 + "token=Ab9_Ab9_Ab9_")], "doc_id long, text string")
+    got = {(r.random, r.a, r.b): r.n for r in S.pair_counts(docs).collect()}
+    want = {}
+    for is_random, word, n in ((False, "thingthething", 3), (False, "THINGTHETHING", 3), (True, "Ab9_Ab9_Ab9_", 1)):
+        places = [0, *(S.ALPHABET.index(c) + 1 for c in word), S.SIZE - 1]
+        for a, b in zip(places, places[1:]):
+            want[is_random, a, b] = want.get((is_random, a, b), 0) + n
+    assert got == want
