@@ -7,13 +7,17 @@ both sides and so the same kept hash at the same place: none is missed.
 
 Documents carry each kept hash with the words around it. Those whose hash occurs
 among the benchmark's are extended: every window that holds the kept words is
-compared, as text, with the distinct windows of the benchmark. A window that
-many items share is one row with a list of items, and a hash that occurs in many
-windows still only asks whether it occurs, so nothing multiplies.
+compared, as text, with the distinct windows of the benchmark. Windows of all
+sizes are looked for in one pass: a document's words are split and hashed once.
+A window that many items share is one row with a group of items, a hash that
+occurs in many windows still only asks whether it occurs, and items are listed
+once for each different set of groups that documents hold, so nothing multiplies.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -67,50 +71,63 @@ def _least(hashes: Column, run: int) -> Column:
     return _each(F.size(hashes), run, lambda i: F.least(*[F.get(hashes, i + o) for o in range(run)]))
 
 
-def _anchors(words: Column, gram: int, run: int) -> Column:
-    """The kept hashes of a text, with the words that windows around them can hold.
+def _anchors(words: Column, sizes: list[int], gram: int) -> Column:
+    """The kept hashes of a text for windows of each size, with the words that windows around them can hold.
 
     `first` is the place of the first of these words, of which `skip` stand
     before the hashed ones.
     """
 
-    def kept(s: Column) -> Column:
-        """s holds words, hashes and the least hash of each run; run j has the hashes from j on.
-
-        A run's least hash is looked up where it is a new one, or where the place
-        of the last one may just have left; so each run holds a place looked up.
-        """
-        words, hashes, least = s["words"], s["hashes"], s["least"]
-        runs = F.filter(
-            F.sequence(F.lit(0), F.size(least) - 1),
-            lambda j: (
-                (j == 0) | (F.get(least, j) != F.get(least, j - 1)) | (F.get(hashes, j - 1) == F.get(least, j))
-            ),
-        )
-
-        def around(j: Column) -> Column:
-            own = F.get(least, j)
-            # the last place of the run with this hash
-            place = F.coalesce(*[F.when(F.get(hashes, j + o) == own, j + o) for o in range(run - 1, -1, -1)])
-            return F.struct(own.alias("hash"), place.alias("place"))
-
-        def with_words(p: Column) -> Column:
-            first = F.greatest(p["place"] - (run - 1), F.lit(0))
-            context = F.array_compact(F.array(*[F.get(words, first + o) for o in range(gram + 2 * run - 2)]))
-            return F.struct(
-                p["hash"].alias("hash"), first.alias("first"), (p["place"] - first).alias("skip"), context.alias("words")
+    def of_size(words: Column, hashes: Column, size: int) -> Column:
+        k = min(gram, size)
+        run = size - k + 1
+
+        def kept(least: Column) -> Column:
+            """A run's least hash is looked up where it is a new one, or where the place of the last one may
+            just have left; so each run, of which run j has the hashes from j on, holds a place looked up."""
+            runs = F.filter(
+                F.sequence(F.lit(0), F.size(least) - 1),
+                lambda j: (
+                    (j == 0) | (F.get(least, j) != F.get(least, j - 1)) | (F.get(hashes, j - 1) == F.get(least, j))
+                ),
             )
 
-        return F.transform(F.transform(runs, around), with_words)
+            def around(j: Column) -> Column:
+                own = F.get(least, j)
+                # the last place of the run with this hash
+                place = F.coalesce(*[F.when(F.get(hashes, j + o) == own, j + o) for o in range(run - 1, -1, -1)])
+                return F.struct(own.alias("hash"), place.alias("place"))
+
+            def with_words(p: Column) -> Column:
+                first = F.greatest(p["place"] - (run - 1), F.lit(0))
+                context = F.array_compact(F.array(*[F.get(words, first + o) for o in range(k + 2 * run - 2)]))
+                return F.struct(
+                    F.lit(size).alias("size"), p["hash"].alias("hash"), first.alias("first"),
+                    (p["place"] - first).alias("skip"), context.alias("words"),
+                )
+
+            return F.transform(F.transform(runs, around), with_words)
+
+        return F.when(F.size(words) >= size, bound(_least(hashes, run), kept))
 
-    def with_least(s: Column) -> Column:
-        held = F.struct(s["words"].alias("words"), s["hashes"].alias("hashes"), _least(s["hashes"], run).alias("least"))
-        return bound(held, kept)
+    def all_sizes(w: Column) -> Column:
+        """Sizes with grams of one length share their hashes."""
+        by_gram: dict[int, list[int]] = {}
+        for size in sizes:
+            by_gram.setdefault(min(gram, size), []).append(size)
 
-    def with_hashes(w: Column) -> Column:
-        return bound(F.struct(w.alias("words"), _hashes(w, gram).alias("hashes")), with_least)
+        def of_gram(k: int) -> Column:
+            hashed = F.struct(w.alias("words"), _hashes(w, k).alias("hashes"))
+            return bound(hashed, lambda s: _joined([of_size(s["words"], s["hashes"], size) for size in by_gram[k]]))
 
-    return F.when(F.size(words) >= gram + run - 1, bound(words, with_hashes))
+        return _joined([of_gram(k) for k in by_gram])
+
+    return bound(words, all_sizes)
+
+
+def _joined(parts: list[Column]) -> Column:
+    """Arrays one after another; null ones are empty."""
+    return parts[0] if len(parts) == 1 else F.flatten(F.array_compact(F.array(*parts)))
 
 
 def _windows(items: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
@@ -139,29 +156,26 @@ def window_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram: i
     """
     windows, groups = _windows(items, window)
     docs = docs.select(document_key().alias("key"), words_of(F.col("text")).alias("words"))
-    found = None
-    for size in _sizes(windows):
-        own = windows.where(F.col("size") == size)
-        k = min(gram, size)
-        run = size - k + 1
-        # all words of a window are one run, whose least hash is the only one kept
-        kept = own.select(F.array_min(bound(F.col("words"), lambda w: _hashes(w, k))).alias("hash")).distinct()
-        at = docs.select("key", F.explode(_anchors(F.col("words"), k, run)).alias("a"))
-        at = at.select("key", "a.*").join(small_or_shuffled(kept), "hash", "left_semi")
-        # windows that start at most `run - 1` words before the hashed words and end within the words at hand
-        starts = F.sequence(F.lit(0), F.least(F.col("skip"), F.size("words") - size))
-        each = at.where(F.size("words") >= size).select("key", "first", "words", F.explode(starts).alias("s"))
-        each = each.select(
-            "key", (F.col("first") + F.col("s")).alias("start"), F.array_join(F.slice("words", F.col("s") + 1, size), " ").alias("text")
-        ).distinct()
-        hits = each.join(small_or_shuffled(own.select("text", "group")), "text").select(
-            "key", "start", F.lit(size).alias("size"), "group"
-        )
-        found = hits if found is None else found.union(hits)
-    if found is None:
+    sizes = _sizes(windows)
+    if not sizes:
         number = F.lit(0).cast("long")
         found = docs.select("key", F.lit(0).alias("start"), F.lit(0).alias("size"), number.alias("group")).limit(0)
-    return written(found, "hits"), groups
+        return written(found, "hits"), groups
+    # all words of a window are one run, whose least hash is the only one kept
+    def least_hash(k: int) -> Column:
+        return F.when(F.least(F.lit(gram), F.col("size")) == k, F.array_min(bound(F.col("words"), lambda w: _hashes(w, k))))
+
+    of_window = F.coalesce(*[least_hash(k) for k in sorted({min(gram, size) for size in sizes})])
+    kept = written(windows.select("size", of_window.alias("hash")).distinct(), "hashes")
+    at = docs.select("key", F.explode(_anchors(F.col("words"), sizes, gram)).alias("a")).select("key", "a.*")
+    at = at.join(small_or_shuffled(kept), ["size", "hash"], "left_semi")
+    # windows that start at most as many words before the hashed words as are at hand, and end within them
+    starts = F.sequence(F.lit(0), F.least(F.col("skip"), F.size("words") - F.col("size")))
+    each = at.where(F.size("words") >= F.col("size")).select("key", "size", "first", "words", F.explode(starts).alias("s"))
+    text = F.array_join(F.slice("words", F.col("s") + 1, F.col("size")), " ")
+    each = each.select("key", "size", (F.col("first") + F.col("s")).alias("start"), text.alias("text")).distinct()
+    hits = each.join(small_or_shuffled(windows.select("size", "text", "group")), ["size", "text"])
+    return written(hits.select("key", "start", "size", "group"), "hits"), groups
 
 
 def _covered(spans: Column) -> Column:
@@ -186,19 +200,25 @@ def find_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW,
     hits, groups = window_hits(docs, items, window, gram)
     spans = hits.select("key", "start", (F.col("start") + F.col("size")).alias("end")).distinct()
     covered = spans.groupBy("key").agg(_covered(F.array_sort(F.collect_list(F.struct("start", "end")))).alias("n_hit"))
-    whose = hits.select("key", "group").distinct().join(small_or_shuffled(groups), "group")
-    whose = whose.select("key", F.explode("items").alias("item")).distinct()
-    whose = whose.groupBy("key").agg(F.array_sort(F.collect_list(F.col("item").cast("string"))).alias("items"))
+    held = hits.select("key", "group").distinct().groupBy("key").agg(F.array_sort(F.collect_list("group")).alias("set"))
+    held = written(held, "sets")
+    # documents that hold the same groups hold the same items: these are listed once per set
+    sets = held.select("set").distinct().select("set", F.explode("set").alias("group")).join(small_or_shuffled(groups), "group")
+    listed = sets.select("set", F.explode(F.col("items").cast("array<string>")).alias("item")).distinct().groupBy("set")
+    listed = listed.agg(F.array_sort(F.collect_list("item")).alias("items")).select(
+        "set", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256")
+    )
+    whose = held.join(small_or_shuffled(written(listed, "listed")), "set", "left").drop("set")
     judged = covered.join(whose, "key", "left")
     own = docs.select(F.col("doc_id"), document_key().alias("key"), n_words(F.col("text")).alias("n_words"))
     same = own["key"].eqNullSafe(judged["key"])
-    none = F.array().cast("array<string>")
+    nothing = hashlib.sha256(b"").hexdigest()
     out = own.join(judged, same, "left").select(
         "doc_id",
         "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-        F.size(F.coalesce("items", none)).cast("long").alias("n_items"),
-        F.sha2(F.array_join(F.coalesce("items", none), ",").cast("binary"), 256).alias("items_sha256"),
+        F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
+        F.coalesce("items_sha256", F.lit(nothing)).alias("items_sha256"),
         own["key"].alias("key"),
     )
     return out.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * one_in >= F.col("n_words")))
