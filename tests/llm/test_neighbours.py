@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 
 from signalbarn.llm.neighbours import nearest
 
@@ -58,3 +59,35 @@ def test_copies_take_no_places(spark):
     rows += [(i, rng.normal(size=8).tolist()) for i in range(1, 19)]
     got = nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), every=20, k=5).collect()
     assert [r.rank for r in sorted(got, key=lambda r: r.rank)] == [1, 2, 3, 4, 5] and 20 not in {r.vec_id for r in got}
+
+
+@pytest.mark.parametrize("data", ["sf0.01", "sf0.1"])
+def test_recall_on_given_tables(spark, data):
+    frame = spark.read.parquet(f"/root/testdata/{data}/embeddings.parquet")
+    want = brute([(r.vec_id, r.embedding) for r in frame.collect()])
+    got = {}
+    for r in nearest(frame).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    recalls = [len(got.get(q, set()) & {x[2] for x in w}) / len(w) for q, w in want.items()]
+    assert sum(recalls) / len(recalls) >= 0.97 and min(recalls) >= 0.8
+
+
+def test_exact_search_misses_nothing(spark):
+    rows = vectors()
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    want = brute([(r.vec_id, r.embedding) for r in frame.collect()])
+    got = {}
+    for r in nearest(frame, shard_rows=300, block_rows=20, exact=True).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(tuple(r))
+    assert got == {q: w for q, w in want.items() if w}
+
+
+def test_extreme_values(spark):
+    big, small = 1e200, 1e-200
+    rows = [(0, [big, big]), (1, [big, -big]), (2, [small, small]), (3, [1.0, 2.0]), (20, [small, 0.0]), (40, [1.7e308, 1.7e308]), (41, [-1.7e308, 1.0])]
+    found = nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), exact=True).collect()
+    scores = {(r.query_id, r.vec_id): r.score for r in found}
+    assert len(scores) == 3 * 6
+    assert scores[0, 40] == scores[40, 0] == 1.7976931348623157e308 and scores[40, 41] == -1.7976931348623157e308
+    assert scores[0, 1] == 0.0 and scores[20, 3] == 1e-200
+    assert len(nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()) == 18
