@@ -17,7 +17,7 @@ DATA = "/root/testdata/sf0.001"
 
 def test_registered():
     names = __spark_entry__.queries()
-    assert "pipeline" in names and sum(n.startswith("op") and n[2].isdigit() for n in names) == 10
+    assert "pipeline" in names and sum(n.startswith("op") and n[2].isdigit() for n in names) == 13
 
 
 def test_against_brute_force(spark, out):
