@@ -80,7 +80,8 @@ def encode_block(slots: np.ndarray, freq: np.ndarray, cum: np.ndarray) -> tuple[
             out.append((x[full] & np.uint64(0xFFFFFFFF)).astype("<u4"))
             written += int(full.sum())
             x = np.where(full, x >> np.uint64(32), x)
-        state[:n] = ((x // f) << np.uint64(BITS)) + c + (x % f)
+        times = x // f
+        state[:n] = (times << np.uint64(BITS)) + c + (x - times * f)
         if step and step % CHECKPOINT == 0:
             marks.append((step, written, state.copy()))
     words = np.concatenate(out[::-1]) if out else np.empty(0, "<u4")
@@ -203,25 +204,27 @@ class TokenFile:
             parts.append(symbols[slots[skip - step * LANES :]].astype("<u4"))
         return np.concatenate(parts) if parts else np.empty(0, "<u4")
 
-    def documents_of(self, i: int):
-        """(doc_id, place of its first id, ids) of the documents that start in block i, in order.
+    def documents_of(self, first: int, last: int):
+        """(doc_id, place of its first id, ids) of the documents that start in the blocks from first to last, in order.
 
         The last of them may end in later blocks, of which only what it holds is decoded.
         """
+        blocks = self.header["blocks"]
         lengths = _unpack(self.header["lengths"]).astype(np.int64)
         starts = np.cumsum(lengths) - lengths
-        first, count = i * BLOCK, self.header["blocks"][i]["count"]
-        is_last = i == len(self.header["blocks"]) - 1  # documents without ids may stand at the very end
-        own = np.flatnonzero((starts >= first) & ((starts < first + count) | is_last))
-        if not len(own):
-            return
-        low, high = int(starts[own[0]]), int(starts[own[-1]] + lengths[own[-1]])
-        ids = self.block(i)[low - first :]
-        if high > first + count:
-            ids = np.concatenate([ids, self.ids(first + count, high - first - count)])
+        low, high = first * BLOCK, last * BLOCK + blocks[last]["count"]
+        own = np.flatnonzero((starts >= low) & ((starts < high) | (last == len(blocks) - 1)))  # at the very end may stand empty ones
+        held, at, block = np.empty(0, "<u4"), low, first  # the ids from `at` on: no more than two blocks and a document
         for d in own.tolist():
-            at = int(starts[d])
-            yield self.header["doc_ids"][d], at, ids[at - low : at - low + int(lengths[d])]
+            start, end = int(starts[d]), int(starts[d] + lengths[d])
+            while at + len(held) < end:
+                if block <= last:
+                    more, block = self.block(block), block + 1
+                else:
+                    more = self.ids(at + len(held), end - at - len(held))
+                gone = min(start - at, len(held))
+                held, at = np.concatenate([held[gone:], more]), at + gone
+            yield self.header["doc_ids"][d], start, held[start - at : end - at]
 
     def documents(self):
         """(doc_id, ids) in order, block by block: no more than a block and one document is held."""

@@ -3,9 +3,9 @@
 Texts are range-partitioned by doc_id, and those of one id by how they begin, and
 encoded after the shuffle, once. Each task writes its range as files of whole
 documents; a file's name starts with the number of its range, so names sorted are
-documents sorted. Reading lists the files and deals out their blocks: a task
-decodes the documents that start in its block, and of the next block only what
-the last of them needs, from checkpoint to checkpoint. Where each file's ids begin
+documents sorted. Reading lists the files and deals out ranges of their blocks: a
+task decodes the documents that start in its range, and behind it only what the
+last of them needs, from checkpoint to checkpoint. Where each file's ids begin
 comes from the totals of the files before it, one row per file.
 """
 
@@ -25,6 +25,8 @@ from signalbarn.llm.tokens import encoder
 
 #: A file is closed at the first end of a document beyond so many ids.
 FILE_IDS = 1 << 22
+#: Blocks of a range that a task reads; each range reads the file's header.
+RANGE_BLOCKS = 4
 #: Characters of a text that range partitioning looks at.
 TEXT_START = 64
 END_ID = 0
@@ -102,8 +104,8 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for name, base, block in zip(batch["name"], batch["base"], batch["block"]):
-                rows = [(doc_id, base + at, len(ids), zlib.crc32(ids)) for doc_id, at, ids in opened(name).documents_of(block)]
+            for name, base, first, last in batch[["name", "base", "first", "last"]].itertuples(index=False):
+                rows = [(doc_id, base + at, len(ids), zlib.crc32(ids)) for doc_id, at, ids in opened(name).documents_of(first, last)]
                 out = pd.DataFrame(rows, columns=["doc_id", "start", "n_tokens", "ids_crc32"])
                 out["doc_id"] = out["doc_id"].astype("Int64")
                 yield out
@@ -112,7 +114,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     sizes = files.mapInPandas(totals, "name string, ids long, blocks int").collect()  # a row per file of FILE_IDS ids
     rows, before = [], 0
     for r in sorted(sizes, key=lambda r: r.name):
-        rows += [(r.name, before, block) for block in range(r.blocks)]
+        rows += [(r.name, before, b, min(b + RANGE_BLOCKS, r.blocks) - 1) for b in range(0, r.blocks, RANGE_BLOCKS)]
         before += r.ids
-    blocks = spark.createDataFrame(rows, "name string, base long, block int").repartition(max(1, min(len(rows), 65536)), "name", "block")
-    return blocks.mapInPandas(decode, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    ranges = spark.createDataFrame(rows, "name string, base long, first int, last int")
+    return ranges.repartition(max(1, min(len(rows), 65536)), "name", "first").mapInPandas(decode, "doc_id long, start long, n_tokens long, ids_crc32 long")

@@ -94,7 +94,7 @@ class TextEncoder:
 
     def _encode_word(self, word: str) -> bytes:
         # letters alone, with the space before them, are one piece
-        if not (word.isalpha() or word[0] == " " and word[1:].isalpha()):
+        if not (word[1:] if word[0] == " " else word).isalpha():
             pieces = _SPACED.findall(word) if self.kind == "spaced" else _LOWERED.findall(word)
             if len(pieces) != 1 or pieces[0] != word:
                 return b"".join(map(self.words.__getitem__, pieces))

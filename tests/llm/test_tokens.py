@@ -55,10 +55,11 @@ def test_file_round_trip(monkeypatch):
     file = TokenFile.open(lambda s, n: reads.append(n) or data[s : s + n])
     got = list(file.documents())
     assert [i for i, _ in got] == [None, *range(11)] and all((g == d).all() and len(g) == len(d) for (_, g), d in zip(got, docs))
-    by_block = [d for i in range(len(file.header["blocks"])) for d in file.documents_of(i)]
-    ends = np.cumsum([len(d) for d in docs])
-    assert [(i, at) for i, at, _ in by_block] == [(i, e - len(d)) for i, e, d in zip([None, *range(11)], ends, docs)]
-    assert all((ids == docs[0 if i is None else i + 1]).all() for i, _, ids in by_block)
+    ends, blocks = np.cumsum([len(d) for d in docs]), len(file.header["blocks"])
+    for step in (1, 2, 3, blocks):
+        by_range = [d for i in range(0, blocks, step) for d in file.documents_of(i, min(i + step, blocks) - 1)]
+        assert [(i, at) for i, at, _ in by_range] == [(i, e - len(d)) for i, e, d in zip([None, *range(11)], ends, docs)]
+        assert all(len(ids) == len(d) and (ids == d).all() for (_, _, ids), d in zip(by_range, docs))
     whole = np.concatenate(docs)
     for start, n in [(0, 1), (5, 2000), (1023, 2), (1500, 700), (len(whole) - 3, 3), (7, 0)]:
         reads.clear()
