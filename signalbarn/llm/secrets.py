@@ -73,11 +73,14 @@ def running_sums(values: Column) -> Column:
 
 def _matches(text: Column, pattern: str, group: int = 0) -> Column:
     """A struct of what lies before each match (and after the last), the matches and their group."""
-    return F.struct(
-        F.split(text, pattern, -1).alias("gaps"),
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("matches"),
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("values"),
-    )
+    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else F.array().cast("array<string>")
+    return F.struct(F.split(text, pattern, -1).alias("gaps"), matches.alias("matches"), values.alias("values"))
+
+
+def _is_long(found: Column, i: Column, group: int) -> Column:
+    """Whether a match counts: one with a group only if that is long enough."""
+    return F.length(F.get(found["values"], i)) >= LEAST_ASSIGNED if group else F.lit(True)
 
 
 def _ends(found: Column) -> Column:
@@ -91,12 +94,12 @@ def _pattern_spans(text: Column, pattern: str, kind: int, group: int = 0) -> Col
     none = F.array().cast(_SPANS)
 
     def spans(found: Column) -> Column:
-        each = F.arrays_zip(_ends(found).alias("end"), found["matches"].alias("match"), found["values"].alias("value"))
-        long = F.filter(each, lambda m: F.length(m["value"]) >= (LEAST_ASSIGNED if group else 0))
-        return F.transform(
-            long,
-            lambda m: F.struct((m["end"] - F.length(m["match"])).alias("start"), F.lit(kind).alias("kind"), m["end"].alias("end")),
-        ).cast(_SPANS)
+        def span(end: Column, i: Column) -> Column:
+            start = end - F.length(F.get(found["matches"], i))
+            return F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), _is_long(found, i, group).alias("long"))
+
+        long = F.filter(F.transform(_ends(found), span), lambda s: s["long"])
+        return F.transform(long, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))).cast(_SPANS)
 
     return F.when(text.rlike(pattern), bound(_matches(text, pattern, group), spans)).otherwise(none)
 
@@ -106,8 +109,8 @@ def _blanked(text: Column, pattern: str, group: int = 0) -> Column:
 
     def join(found: Column) -> Column:
         def piece(gap: Column, i: Column) -> Column:
-            match, value = F.get(found["matches"], i), F.get(found["values"], i)
-            kept = F.when(F.length(value) >= (LEAST_ASSIGNED if group else 0), F.repeat(F.lit(BLANK), F.length(match))).otherwise(match)
+            match = F.get(found["matches"], i)
+            kept = F.when(_is_long(found, i, group), F.repeat(F.lit(BLANK), F.length(match))).otherwise(match)
             return F.concat(gap, F.coalesce(kept, F.lit("")))
 
         return F.array_join(F.transform(found["gaps"], piece), "")
@@ -115,10 +118,15 @@ def _blanked(text: Column, pattern: str, group: int = 0) -> Column:
     return F.when(text.rlike(pattern), bound(_matches(text, pattern, group), join)).otherwise(text)
 
 
+def has_match(text: Column) -> Column:
+    """Whether a fixed pattern may match at all: most texts are looked through once."""
+    return F.coalesce(text.rlike(f"{ASSIGN}|{ACCESS}|{HEX}"), F.lit(False))
+
+
 def base_spans(text: Column) -> Column:
     """All spans of the fixed patterns, by start, then kind. A null text has none."""
     found = F.concat(_pattern_spans(text, ASSIGN, 0, 2), _pattern_spans(text, ACCESS, 1), _pattern_spans(text, HEX, 2))
-    return F.when(text.isNull(), F.array().cast(_SPANS)).otherwise(F.array_sort(found))
+    return F.when(has_match(text), F.array_sort(found)).otherwise(F.array().cast(_SPANS))
 
 
 def letters(string: Column) -> Column:
@@ -128,7 +136,8 @@ def letters(string: Column) -> Column:
 
 def _index(char: Column) -> Column:
     """The place of a character in the table, from 1 on; 0, like the start of a string, for a blank."""
-    return F.instr(F.lit(ALPHABET), char).cast("int")
+    codes = F.array(*[F.lit(ALPHABET.find(chr(i)) + 1) for i in range(128)])  # folded to one constant
+    return F.coalesce(F.get(codes, F.ascii(char)), F.lit(0))
 
 
 def pair_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -140,7 +149,7 @@ def pair_counts(docs: DataFrame, text: str = "text") -> DataFrame:
         F.regexp_extract_all(t, F.lit(ACCESS), F.lit(0)),
         F.regexp_extract_all(t, F.lit(HEX), F.lit(0)),
     )
-    hit = t.rlike(f"{ASSIGN}|{ACCESS}|{HEX}")
+    hit = has_match(t)
     ordinary = F.regexp_extract_all(F.when(hit, rest).otherwise(t), F.lit(f"{STRING}{{{LEAST_LABELLED},}}"), F.lit(0))
     samples = F.concat(
         F.transform(F.when(hit, values).otherwise(F.array().cast("array<string>")), lambda v: F.struct(F.lit(True).alias("random"), v.alias("word"))),
@@ -182,16 +191,26 @@ def fit_markov(docs: DataFrame, text: str = "text") -> list[float]:
     return [x - y for x, y in zip(logs(table[True], SPREAD), logs(table[False], 0.01))]
 
 
+def _ratio(ratios: Column, before: Column, place: Column) -> Column:
+    return F.when(place == 0, F.lit(0.0)).otherwise(F.element_at(ratios, before * SIZE + place + 1))
+
+
+def greatest_sum(string: Column, ratios: Column) -> Column:
+    """What the positive log ratios of a string add up to: no stretch has more. Ordinary strings are passed over by it."""
+    first = F.struct(F.lit(0).alias("before"), F.lit(0.0).alias("sum"))
+
+    def add(done: Column, char: Column) -> Column:
+        place = _index(char)
+        return F.struct(place.alias("before"), (done["sum"] + F.greatest(_ratio(ratios, done["before"], place), F.lit(0.0))).alias("sum"))
+
+    return F.aggregate(letters(string), first, add, lambda done: done["sum"])
+
+
 def best_stretches(string: Column, at: Column, ratios: Column) -> Column:
     """Spans of the stretches of a string, which starts at `at`, whose log ratios sum up to NEED or more."""
 
     def each(places: Column) -> Column:
-        return F.transform(
-            places,
-            lambda b, i: F.when(b == 0, F.lit(0.0)).otherwise(
-                F.element_at(ratios, F.coalesce(F.get(places, i - 1), F.lit(0)) * SIZE + b + 1)
-            ),
-        )
+        return F.transform(places, lambda b, i: _ratio(ratios, F.coalesce(F.get(places, i - 1), F.lit(0)), b))
 
     def state(**fields: Column) -> Column:
         return F.struct(*[c.alias(name) for name, c in fields.items()])
@@ -237,18 +256,23 @@ def best_stretches(string: Column, at: Column, ratios: Column) -> Column:
 def all_spans(text: Column, base: Column, ratios: Column) -> Column:
     """`base` and the model's spans; the model judges whole long strings around what the fixed patterns have found."""
     pattern = f"[A-Za-z0-9+/_{BLANK}-]{{{LEAST_JUDGED},}}"
-    plain = F.translate(text, BLANK, " ")
-    left = _blanked(_blanked(_blanked(plain, ASSIGN, 2), ACCESS), HEX)
+    none = F.array().cast(_SPANS)
+    plain = F.when(F.contains(text, F.lit(BLANK)), F.translate(text, BLANK, " ")).otherwise(text)
+    left = F.when(F.size(base) > 0, _blanked(_blanked(_blanked(plain, ASSIGN, 2), ACCESS), HEX)).otherwise(plain)
 
     def judged(found: Column) -> Column:
-        ends = _ends(found)
-        each = F.arrays_zip(ends.alias("end"), found["matches"].alias("match"))
-        return F.flatten(
-            F.transform(each, lambda m: best_stretches(m["match"], m["end"] - F.length(m["match"]), ratios))
-        )
+        def of_run(end: Column, i: Column) -> Column:
+            run = F.get(found["matches"], i)
+            stretches = best_stretches(run, end - F.length(run), ratios)
+            return F.when(greatest_sum(run, ratios) >= NEED, stretches).otherwise(none)
+
+        return F.flatten(F.transform(_ends(found), of_run))
 
     def of_left(t: Column) -> Column:
-        return F.when(t.rlike(pattern), bound(_matches(t, pattern), judged)).otherwise(F.array().cast(_SPANS))
+        runs = F.regexp_extract_all(t, F.lit(pattern), F.lit(0))
+        # places are counted only in texts with a run that may be a secret
+        may_be = F.exists(runs, lambda run: greatest_sum(run, ratios) >= NEED)
+        return F.when(may_be, bound(_matches(t, pattern), judged)).otherwise(none)
 
     return F.when(text.isNull(), base).otherwise(F.array_sort(F.concat(base, bound(left, of_left))))
 
