@@ -29,14 +29,17 @@ GRAM = 5
 ONE_IN = 20
 #: Fixed value: everything that is not part of a word, once A-Z are lower-cased; words hold no other A-Z.
 NOT_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+WORD = NOT_WORD.replace("[", "[^", 1)
 
 
 def words_of(text: Column) -> Column:
     """The words of a text, A-Z lower-cased; none for a null.
 
-    Only words that lower() changes are looked at letter by letter.
+    lower() changes nothing else in ASCII texts. Of other texts only the words
+    that it changes are looked at letter by letter.
     """
-    lowered = F.transform(split_words(text), lambda w: F.when(F.lower(w) == w, w).otherwise(lower_ascii(w)))
+    by_word = F.transform(split_words(text), lambda w: F.when(F.lower(w) == w, w).otherwise(lower_ascii(w)))
+    lowered = F.when(F.octet_length(text) == F.length(text), split_words(F.lower(text))).otherwise(by_word)
     return F.coalesce(lowered, F.array().cast("array<string>"))
 
 
@@ -46,7 +49,7 @@ def split_words(text: Column) -> Column:
 
 
 def n_words(text: Column) -> Column:
-    return F.coalesce(F.size(split_words(text)), F.lit(0)).cast("long")
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
 def _each(n: Column, run: int, at) -> Column:
