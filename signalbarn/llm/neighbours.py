@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from signalbarn.llm.common import written
 
-PROJECTIONS = 48
+PROJECTIONS = 32
 #: Share of the windows that a vector must lie in to be verified.
 THRESHOLD = 0.57
 #: Standard deviations by which an equally distant vector would be expected beyond the threshold when a query ends.
