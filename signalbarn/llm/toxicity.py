@@ -51,7 +51,7 @@ STRONG = 2.0
 #: About so many labelled rows, chosen by the hash of their ids, are used for the class counts and the curve.
 LABELLED_ROWS = 400_000
 #: Different words a worker counts before it passes their n-grams on, and those whose ratios it remembers.
-WORDS_HELD, RATIOS_HELD = 200_000, 600_000
+WORDS_HELD, RATIOS_HELD = 400_000, 600_000
 #: N-grams and contexts, some 150 bytes each, that a worker may hold to score by. Larger models are joined.
 HELD_ENTRIES = 2_000_000
 #: A batch of texts ends at so many pairs of a text and a word, or so many texts; a batch of words at so many words.
@@ -62,10 +62,19 @@ THRESHOLD = 0.3
 LONGEST_WORD = 64
 
 _WORD = re.compile(rf"[^\W_]{{1,{LONGEST_WORD}}}")
+#: Texts of ASCII signs alone are cut at the same places by turning all else into blanks.
+_BLANKS = {i: " " for i in range(128) if not chr(i).isalnum()}
 
 
 def words_of(text: str | None) -> list[str]:
-    return _WORD.findall(text.lower()) if text else []
+    if not text:
+        return []
+    text = text.lower()
+    if text.isascii():
+        words = text.translate(_BLANKS).split()
+        if max(map(len, words), default=0) <= LONGEST_WORD:
+            return words
+    return _WORD.findall(text)
 
 
 def grams_of(word: str) -> list[str]:
@@ -102,19 +111,20 @@ def gram_counts(docs: DataFrame) -> DataFrame:
     """Rows (gram, in_toxic, in_ordinary) of each n-gram of docs(text, class); class 1 is toxic, 0 ordinary, null neither."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[int, Counter] = {1: Counter(), 0: Counter(), -1: Counter()}
+        # of unlabelled texts only which words they hold is asked
+        held: dict = {1: Counter(), 0: Counter(), -1: set()}
 
         def frame() -> pd.DataFrame:
             times = {1: Counter(), 0: Counter()}
             seen: set[str] = set()
-            for c, words in held.items():
-                for w, n in words.items():
-                    grams = grams_of(w)
-                    seen.update(grams)
-                    if c >= 0:
-                        own = times[c]
-                        for g in grams:
-                            own[g] += n
+            for w in held[-1]:
+                seen.update(grams_of(w))
+            for c, own in times.items():
+                for w, n in held[c].items():
+                    for g in grams_of(w):
+                        own[g] += n
+                seen.update(own)
+            for words in held.values():
                 words.clear()
             grams = list(seen)
             counts = {name: np.array([times[c][g] for g in grams], np.int64) for name, c in (("in_toxic", 1), ("in_ordinary", 0))}

@@ -45,6 +45,8 @@ def test_curve_and_words():
     a, b, c = fit_curve(x, np.repeat([0.0, 1.0], 100))
     assert b + c > 0 > c
     assert words_of("Äb_c D'e") == ["äb", "c", "d", "e"] and words_of(None) == []
+    for text in ("", " _ ", "A1_b-C\x1cd\n\tE.f", "x" * 200 + " y", "\u212a9 k", "".join(map(chr, range(128)))):
+        assert words_of(text) == toxicity._WORD.findall(text.lower())
 
 
 def plain_signs(docs, classes):
