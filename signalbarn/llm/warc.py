@@ -23,12 +23,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from signalbarn.llm.common import small_or_shuffled, written
 from signalbarn.llm.files import opened, write_file
 
 #: A file is closed beyond so many bytes; ranges are of this size.
 FILE_BYTES = 64 << 20
 RANGE_BYTES = 8 << 20
-READ_BYTES = 1 << 20
+READ_BYTES, PIECE = 1 << 20, 1 << 16
 LEAST_SHARED = 0
 MAGIC = b"\x1f\x8b\x08"
 VERSION = b"WARC/1.1\r\n"
@@ -69,6 +70,8 @@ def revisits(pages: DataFrame, least: int = LEAST_SHARED) -> DataFrame:
     """(page_id, digest, refers_to) of pages whose payload of at least `least` bytes a smaller id has too."""
     own = pages.select("page_id", F.sha1("payload").alias("digest"), F.length("payload").alias("size")).where(F.col("size") >= least)
     first = own.groupBy("digest", "size").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1")
+    # written, so that a payload of very many pages is either broadcast to them or split by AQE
+    first = small_or_shuffled(written(first.drop("n"), "payloads"))
     found = own.join(first, ["digest", "size"]).where("refers_to is not null and (page_id is null or page_id > refers_to)")
     return found.select("page_id", "digest", "refers_to").distinct()
 
@@ -131,6 +134,13 @@ class _Source:
             self.data, self.start = self.data[place - self.start :], place
         return self.data[place - self.start :]
 
+    def piece(self, place: int) -> bytes:
+        """At most PIECE bytes from `place` on, none at the file's end: what a small member needs is not copied by the megabyte."""
+        if not self.start <= place < self.start + len(self.data):
+            self.at(place, PIECE)
+        at = place - self.start
+        return self.data[at : at + PIECE]
+
 
 def _headers(head: bytes) -> dict[str, str] | None:
     """A record's headers, if the bytes begin with its version line and hold them whole."""
@@ -153,7 +163,7 @@ def is_member(source: _Source, place: int) -> bool:
     data = b""
     while True:
         if not data:
-            data = source.at(place, READ_BYTES)[:READ_BYTES]
+            data = source.piece(place)
             place += len(data)
         try:
             new = unpack.decompress(data, 1 << 16)
@@ -175,7 +185,7 @@ def inflate(source: _Source, place: int) -> tuple[bytes, int]:
     """A member's content and the place behind it."""
     unpack, parts = zlib.decompressobj(31), []
     while not unpack.eof:
-        data = source.at(place, READ_BYTES)
+        data = source.piece(place)
         if not data:
             raise ValueError("an archive ends within a record")
         parts.append(unpack.decompress(data))

@@ -25,7 +25,7 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 def test_results_equal_sql(spark, name):
     found = LLM_QUERIES[name](spark, SF_CHECK)
     own = duckdb.connect()
-    for t in ("embeddings", "conversations"):
+    for t in ("embeddings", "conversations", "documents", "benchmark", "pages"):
         own.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF_CHECK}/{t}.parquet'")
     told = own.execute(LLM_SQL[name])
     columns = [c[0] for c in told.description]

@@ -1,14 +1,16 @@
 import base64
 import hashlib
 import io
+import math
 import random
 import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from signalbarn.llm import queries
-from signalbarn.llm.urls import RULES, best_threshold, judge_urls
+from signalbarn.llm.urls import RULES, STEP, best_threshold, judge_urls
 from signalbarn.llm.warc import MAGIC, _Source, read_warc, record, records_in, write_warc
 
 
@@ -46,6 +48,57 @@ def test_urls(spark):
     assert judge_urls(spark.createDataFrame([], "page_id long, url string")).count() == 0
 
 
+def plain_scores(train, urls):
+    """Mean log ratios by dictionaries of contexts: Witten and Bell's mixing of the last three to no characters."""
+    shown = "abcdefghijklmnopqrstuvwxyz0123456789./-_?=&%"
+    text = lambda u: (u or "").partition("://")[2] or (u or "")
+    symbols = lambda u: [0, 0, 0] + [shown.find(chr(b).lower()) + 1 or len(shown) + 1 for b in text(u).encode()]
+    follow = {v: {} for v in ("allow", "block")}
+    for u, v in train:
+        s = symbols(u)
+        for i in range(3, len(s)):
+            for k in range(4):
+                own = follow[v].setdefault(tuple(s[i - k : i]), {})
+                own[s[i]] = own.get(s[i], 0) + 1
+
+    def p(v, context, x):
+        shorter = p(v, context[1:], x) if context else 1 / (len(shown) + 2)
+        own = follow[v].get(context)
+        return (own.get(x, 0) + len(own) * shorter) / (sum(own.values()) + len(own)) if own else shorter
+
+    out = []
+    for u in urls:
+        s = symbols(u)
+        each = [math.log(p("allow", tuple(s[i - 3 : i]), s[i]) / p("block", tuple(s[i - 3 : i]), s[i])) for i in range(3, len(s))]
+        out.append(sum(each) / max(1, len(each)))
+    return out
+
+
+def test_the_models_verdict_against_plain_counts(spark):
+    rng = random.Random(3)
+    urls = [f"http{rng.choice(['', 's'])}://{rng.choice(['Shop', 'blog', 'x%d' % rng.randrange(9)])}.{rng.choice(['spam.net', 'example.com', 'good.org', 'example.net', 'else.io'])}/{rng.choice(['en', 'de', 'fr'])}/{rng.choice(['é', 'a-b', 'C_d', '%20'])}{rng.randrange(99)}" for _ in range(500)]
+    urls += [None, "", "no scheme", "a://"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    rows = judge_urls(pages).collect()
+    out = pages.where(F.pmod(F.xxhash64("page_id", "url"), F.lit(4)) == 0).select("page_id").collect()
+    kept_out = {r.page_id for r in out}
+    labelled = {r.page_id: r.verdict for r in rows if r.rule is not None}
+    scores = plain_scores([(urls[i], v) for i, v in labelled.items() if i not in kept_out], urls)
+    steps = {}
+    for i, v in labelled.items():
+        if i in kept_out:
+            step = steps.setdefault(round(scores[i] / STEP), [0, 0])
+            step[v != "allow"] += 1
+    threshold = best_threshold([(k, a, b) for k, (a, b) in steps.items()])
+    judged = 0
+    for r in rows:
+        assert r.score == pytest.approx(scores[r.page_id], abs=1e-4)
+        if r.rule is None and abs(r.score - threshold) > 2 * STEP:
+            judged += 1
+            assert r.verdict == ("allow" if scores[r.page_id] >= threshold else "block")
+    assert judged > 80
+
+
 def test_threshold():
     assert best_threshold([]) == 0.0
     assert 0.0 < best_threshold([(-50, 0, 9), (0, 0, 1), (40, 5, 0)]) <= 0.4
