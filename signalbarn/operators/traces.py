@@ -259,7 +259,8 @@ def links_to_spans(spans: DataFrame) -> DataFrame:
 def operation_stats(spans: DataFrame, sla_nanos: int) -> DataFrame:
     """Per service and operation: counts, exact duration percentiles, SLA misses.
 
-    Percentiles are the discrete ones; every figure comes from one scan.
+    Percentiles are the discrete ones. Counts and coarse ranges come from one
+    scan; a second one counts the values of the ranges that hold the ranks.
     """
     one = F.lit(1)
     late = F.col("Duration") > sla_nanos

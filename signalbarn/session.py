@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from signalbarn.functions.files import Store
+
 # Settings that change results, so every entry point applies them.
 RESULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -65,6 +67,19 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def _own_scratch(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/signalbarn/{spark.sparkContext.applicationId}"
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/signalbarn/{label}-{uuid.uuid4().hex}"
+    """A new, unused path below the shared folder, in the part of this application."""
+    return f"{_own_scratch(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete what this application has written with `scratch_dir`, once nothing reads it any more.
+
+    Results are computed late and read such tables, so nothing is deleted by itself.
+    """
+    folder = _own_scratch(spark)
+    Store(spark, folder).delete(folder)

@@ -44,11 +44,17 @@ def table_schema(table: str, promoted: Promoted | None = None) -> StructType:
     return StructType.fromDDL(f"{spec.ddl}{extra}, {spec.day} DATE")
 
 
-def layout_options(table: str, distinct_ids: int | None = None) -> dict[str, str]:
+#: The largest Bloom filter of a row group, unless another is asked for: room for some 2 million ids.
+BLOOM_BYTES = 4 * 1024 * 1024
+
+
+def layout_options(
+    table: str, distinct_ids: int | None = None, bloom_bytes: int = BLOOM_BYTES
+) -> dict[str, str]:
     """Parquet writer options: compression and Bloom filters on the id columns.
 
-    The filters size themselves to the ids a row group really holds, up to 4 MB.
-    With `distinct_ids` they have the fixed size for that many ids instead, which
+    The filters size themselves to the ids a row group really holds, up to
+    `bloom_bytes`; files with larger row groups ask for more. With `distinct_ids` they have the fixed size for that many ids instead, which
     is cheaper to write but wasteful in small files.
     """
     options = {"compression": "zstd"}
@@ -59,7 +65,7 @@ def layout_options(table: str, distinct_ids: int | None = None) -> dict[str, str
         if distinct_ids is not None:
             options[f"parquet.bloom.filter.expected.ndv#{column}"] = str(distinct_ids)
     if bloom:
-        options["parquet.bloom.filter.max.bytes"] = str(4 * 1024 * 1024)
+        options["parquet.bloom.filter.max.bytes"] = str(bloom_bytes)
         if distinct_ids is None:
             options["parquet.bloom.filter.adaptive.enabled"] = "true"
     return options
@@ -98,13 +104,15 @@ def promote_attrs(df: DataFrame, column: str, keys: list[str]) -> DataFrame:
     )
 
 
-def write_table(df: DataFrame, table: str, path: str, mode: str = "append") -> None:
-    """Sorted, day-partitioned, compressed write."""
+def write_table(
+    df: DataFrame, table: str, path: str, mode: str = "append", options: dict[str, str] | None = None
+) -> None:
+    """Sorted, day-partitioned, compressed write; `options` are `layout_options` other than the usual ones."""
     day = spec_of(table).day
     (
         cluster_sort(with_day(df, table), table)
         .write.mode(mode)
-        .options(**layout_options(table))
+        .options(**(options or layout_options(table)))
         .partitionBy(day)
         .parquet(path)
     )
@@ -323,7 +331,8 @@ def merge_day(
     to it, which is the swap: queries planned before go on reading the old files,
     which stay until `drop_replaced`. A rewrite that stops halfway leaves the
     table as it was. Files that arrived in the old folder meanwhile are moved
-    along. `before_swap` runs last before the swap.
+    along; a note in the new folder lets the next call do so if this one ends
+    right after the swap. `before_swap` runs last before the swap.
     """
     store = Store(spark, table_location(spark, full_name))
     old = day_folder(spark, table, full_name, day)
@@ -341,17 +350,29 @@ def merge_day(
     if rows.count() != spark.read.schema(schema).parquet(folder).count():
         store.delete(folder)
         raise RuntimeError(f"{full_name}, {day}: the rewritten day has another number of rows")
+    replaced = tuple(f for f, _ in files)
+    store.write_note(f"{folder}/{_SWAPPED}", {"old": old, "replaced": replaced})
     if before_swap:
         before_swap()
     spark.sql(f"ALTER TABLE {full_name} {_partition(table, day)} SET LOCATION '{folder}'")
-    replaced = tuple(f for f, _ in files)
-    for file, _ in store.files(old):
-        if file not in replaced:
-            store.move(file, f"{folder}/{file.rsplit('/', 1)[1]}")
+    _bring_late_files(store, folder)
     spark.catalog.refreshTable(full_name)
     return MergedDay(day, folder, len(store.files(folder)), replaced)
 
 
+#: Beside the files of a merged day: where they came from, until late files of that folder have been moved along.
+_SWAPPED = "_swapped.json"
+
+
+def _bring_late_files(store: Store, folder: str) -> None:
+    note = store.note(f"{folder}/{_SWAPPED}")
+    if note:
+        for file, _ in store.files(note["old"]):
+            if file not in note["replaced"]:
+                store.move(file, f"{folder}/{file.rsplit('/', 1)[1]}")
+        store.delete(f"{folder}/{_SWAPPED}")
+
+
 def merge_days(
     spark: SparkSession, table: str, full_name: str, closed_before: date, file_bytes: int = 256 * 1024 * 1024
 ) -> list[MergedDay]:
@@ -361,6 +382,10 @@ def merge_days(
     merged by the next call.
     """
     days = [d for d in catalog_days(spark, table, full_name) if d < closed_before.isoformat()]
+    store = Store(spark, table_location(spark, full_name))
+    for day in days:  # swaps whose call did not end
+        _bring_late_files(store, day_folder(spark, table, full_name, day))
+    spark.catalog.refreshTable(full_name)
     done = (merge_day(spark, table, full_name, d, file_bytes) for d in days)
     return [m for m in done if m]
 

@@ -267,6 +267,25 @@ def test_a_merge_that_stops_halfway_changes_nothing(spark, out):
     assert spark.table(names["traces"]).count() == 3 * rows.count()
 
 
+def test_late_files_survive_a_call_that_ends_after_the_swap(spark, out, monkeypatch):
+    names = catalog(spark, out, "ended_after_swap")
+    rows = inputs.spans(spark, SF_SMALL).filter("EventDate = DATE'2024-01-05'")
+    for _ in range(2):
+        S.insert_rows(rows, "traces", names["traces"])
+
+    def stop(*_):
+        raise Crash
+
+    late = lambda: S.insert_rows(rows, "traces", names["traces"])
+    with monkeypatch.context() as m, pytest.raises(Crash):
+        m.setattr(S, "_bring_late_files", stop)
+        S.merge_day(spark, "traces", names["traces"], "2024-01-05", 1 << 28, late)
+    spark.catalog.refreshTable(names["traces"])
+    assert spark.table(names["traces"]).count() == 2 * rows.count()
+    S.merge_days(spark, "traces", names["traces"], date(2024, 1, 10))
+    assert spark.table(names["traces"]).count() == 3 * rows.count()
+
+
 def test_a_stream_after_a_merge_writes_to_the_merged_day(spark, out):
     names = catalog(spark, out, "stream_after_merge")
     for n in range(2):
@@ -336,3 +355,28 @@ def test_views_see_nested_parts(spark):
     whole = _metric_view({"gauge": gauge}).collect()
     less = _metric_view({"gauge": gauge.withColumn("Exemplars", F.slice("Exemplars", 1, 0))}).collect()
     assert whole != less
+
+
+def test_files_of_a_store(spark, out):
+    store = Store(spark, out)
+    assert store.files(f"{out}/none") == [] and store.folders(f"{out}/none") == [] and store.note(f"{out}/none") is None
+    store.write_note(f"{out}/a/n.json", {"x": 1})
+    store.write_note(f"{out}/a/n.json", {"x": "ü"})
+    assert store.note(f"{out}/a/n.json") == {"x": "ü"} and os.listdir(f"{out}/a") != []
+    spark.range(10).coalesce(1).write.parquet(f"{out}/p")
+    ((file, size),) = store.files(f"{out}/p")
+    store.move(file, f"{out}/q/moved.parquet")
+    store.move(file, f"{out}/q/moved.parquet")  # has ended before
+    assert size > 0 and spark.read.parquet(f"{out}/q").count() == 10 and store.files(f"{out}/p") == []
+    spark.range(3).coalesce(1).write.parquet(f"{out}/r")
+    store.move(store.files(f"{out}/r")[0][0], f"{out}/q/moved.parquet")  # replaces what a broken move left
+    assert spark.read.parquet(f"{out}/q").count() == 3
+    with pytest.raises(FileNotFoundError):
+        store.move(f"{out}/absent", f"{out}/q/other")
+
+
+def test_bloom_filters_take_the_size_asked_for(spark, out):
+    options = S.layout_options("logs", bloom_bytes=1 << 20)
+    assert options["parquet.bloom.filter.max.bytes"] == str(1 << 20)
+    S.write_table(inputs.logs(spark, SF_SMALL), "logs", out, options=options)
+    assert S.read_table(spark, "logs", out).count() == 1000
