@@ -1,12 +1,12 @@
 """Token ids of whole texts in compressed binary files, in ascending order of doc_id.
 
-Texts are range-partitioned by doc_id, and those of one id by how they begin, and
-encoded after the shuffle, once. Each task writes its range as files of whole
-documents; a file's name starts with the number of its range, so names sorted are
-documents sorted. Reading lists the files and deals out ranges of their blocks: a
-task decodes the documents that start in its range, and behind it only what the
-last of them needs, from checkpoint to checkpoint. Where each file's ids begin
-comes from the totals of the files before it, one row per file.
+Texts are range-partitioned by doc_id, and where one id has very many also by how
+they begin, and encoded after the shuffle, once. Each task writes its range as files
+of whole documents; a file's name starts with the number of its range, so names
+sorted are documents sorted, and ends with the number of its ids. Reading lists the
+files and deals out ranges of their blocks: a task decodes the documents that start
+in its range, and behind it only what the last of them needs, from checkpoint to
+checkpoint. Where each file's ids begin is told by the names before it.
 """
 
 from __future__ import annotations
@@ -16,24 +16,32 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signalbarn.llm.files import opened, read_range, write_file
-from signalbarn.llm.rans import TokenFile, encode_file
+from signalbarn.llm.rans import BLOCK, TokenFile, encode_file
 from signalbarn.llm.tokens import encoder
 
 #: A file is closed at the first end of a document beyond so many ids.
 FILE_IDS = 1 << 22
-#: Blocks of a range that a task reads; each range reads the file's header.
-RANGE_BLOCKS = 4
-#: Characters of a text that range partitioning looks at.
-TEXT_START = 64
+#: Words that a worker remembers, of each of two generations.
+WORDS_HELD = 700_000
+#: Blocks of a range that a task reads: a usual file, or part of a larger one. Each range reads the file's header.
+RANGE_BLOCKS = 12
+#: Rows of an id beyond which range partitioning also looks at so many characters of the texts.
+BUSY_ID, TEXT_START = 10_000, 64
 END_ID = 0
 
 
 def write_token_files(
-    docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID, file_ids: int = FILE_IDS, partitions: int | None = None
+    docs: DataFrame,
+    folder: str,
+    tokenizer: str,
+    end_id: int = END_ID,
+    file_ids: int = FILE_IDS,
+    partitions: int | None = None,
+    busy_id: int = BUSY_ID,
 ) -> None:
     """Encodes docs(doc_id, text) into files under `folder`.
 
@@ -43,14 +51,15 @@ def write_token_files(
     """
     own = docs.select("doc_id", "text")
     order = [F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()]
+    most = own.groupBy("doc_id").count().agg(F.max("count")).first()[0] or 0
     # the bounds of ranges are drawn from a sample that the driver sees, so texts do not take part whole
-    start = F.substring("text", 1, TEXT_START).asc_nulls_first()
-    ranged = own.repartitionByRange(*([partitions] if partitions else []), order[0], start).sortWithinPartitions(*order)
+    start = [F.substring("text", 1, TEXT_START).asc_nulls_first()] if most > busy_id else []
+    ranged = own.repartitionByRange(*([partitions] if partitions else []), order[0], *start).sortWithinPartitions(*order)
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        encode = encoder(tokenizer).encode_many
+        encode = encoder(tokenizer, WORDS_HELD).encode_many
         end = np.array([end_id], "<u4").tobytes()
         part = TaskContext.get().partitionId()
         ids: list = []
@@ -59,7 +68,7 @@ def write_token_files(
 
         def close() -> pd.DataFrame:
             nonlocal held, n
-            name = f"{part:06d}-{n:06d}.tok"
+            name = f"{part:06d}-{n:06d}.{held}.tok"
             write_file(f"{folder}/{name}", [encode_file(ids, texts)])
             out = pd.DataFrame({"name": [name], "documents": [len(ids)], "ids": [held]})
             ids.clear()
@@ -81,40 +90,38 @@ def write_token_files(
     ranged.mapInPandas(write, "name string, documents long, ids long").agg(F.sum("ids")).collect()
 
 
-def _listed(spark: SparkSession, folder: str) -> DataFrame:
+def _listed(folder: str) -> list[tuple[str, int]]:
+    """Names of the files, in order, and how many ids each holds."""
     from pyarrow import fs
 
     system, path = opened(folder)
-    files = [f for f in system.get_file_info(fs.FileSelector(path, allow_not_found=True)) if f.base_name.endswith(".tok") and f.base_name[0] != "."]
-    rows = [(f.base_name, f.size) for f in files]
-    return spark.createDataFrame(rows, "name string, size long").repartition(max(1, min(len(rows), 4096)), "name")
+    files = system.get_file_info(fs.FileSelector(path, allow_not_found=True))
+    names = sorted(f.base_name for f in files if f.base_name.endswith(".tok") and f.base_name[0] != ".")
+    return [(name, int(name.split(".")[1])) for name in names]
 
 
 def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
-    """A row per document of the files: doc_id, start, n_tokens and ids_crc32 of its ids."""
+    """A row per document of the files: doc_id, start, n_tokens and ids_crc32 of its ids.
 
-    def opened(name: str) -> TokenFile:
-        return TokenFile.open(lambda start, n: read_range(f"{folder}/{name}", start, n))
-
-    def totals(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for name in batch["name"]:
-                blocks = opened(name).header["blocks"]
-                yield pd.DataFrame({"name": [name], "ids": [sum(b["count"] for b in blocks)], "blocks": [len(blocks)]})
+    A file whose header tells another number of ids than its name fails the job.
+    """
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for name, base, first, last in batch[["name", "base", "first", "last"]].itertuples(index=False):
-                rows = [(doc_id, base + at, len(ids), zlib.crc32(ids)) for doc_id, at, ids in opened(name).documents_of(first, last)]
+            for name, ids, base, first, last in batch[["name", "ids", "base", "first", "last"]].itertuples(index=False):
+                file = TokenFile.open(lambda start, n, name=name: read_range(f"{folder}/{name}", start, n))
+                if sum(b["count"] for b in file.header["blocks"]) != ids:
+                    raise ValueError(f"{name} does not hold {ids} ids")
+                rows = [(doc_id, base + at, len(x), zlib.crc32(x)) for doc_id, at, x in file.documents_of(first, last)]
                 out = pd.DataFrame(rows, columns=["doc_id", "start", "n_tokens", "ids_crc32"])
                 out["doc_id"] = out["doc_id"].astype("Int64")
                 yield out
 
-    files = _listed(spark, folder)
-    sizes = files.mapInPandas(totals, "name string, ids long, blocks int").collect()  # a row per file of FILE_IDS ids
     rows, before = [], 0
-    for r in sorted(sizes, key=lambda r: r.name):
-        rows += [(r.name, before, b, min(b + RANGE_BLOCKS, r.blocks) - 1) for b in range(0, r.blocks, RANGE_BLOCKS)]
-        before += r.ids
-    ranges = spark.createDataFrame(rows, "name string, base long, first int, last int")
-    return ranges.repartition(max(1, min(len(rows), 65536)), "name", "first").mapInPandas(decode, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    for name, ids in _listed(folder):  # a name and a number per file of FILE_IDS ids
+        blocks = -(-ids // BLOCK)
+        rows += [(name, ids, before, b, min(b + RANGE_BLOCKS, blocks) - 1) for b in range(0, blocks, RANGE_BLOCKS)]
+        before += ids
+    ranges = spark.createDataFrame(rows, "name string, ids long, base long, first int, last int")
+    ranges = ranges.repartition(max(1, min(len(rows), 65536)), "name", "first")
+    return ranges.mapInPandas(decode, "doc_id long, start long, n_tokens long, ids_crc32 long")

@@ -18,7 +18,7 @@ from array import array
 import numpy as np
 
 #: Entries of each generation of a worker's cache; two generations are kept, some 200 bytes an entry.
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 300_000
 #: Characters whose classes and lower case are the same in Python's `re` and in the files' patterns.
 _PLAIN = re.compile("[\\x00-\\x1b\\x20-\\x7fÀ-įı-ɏ]*")
 _CONTROL = re.compile("[\x1c-\x1f]")
@@ -44,16 +44,16 @@ def _byte_letters() -> dict[int, int]:
 class _Cache(dict):
     """Keeps what was used of late: a full generation becomes the old one, and the one before goes."""
 
-    def __init__(self, make):
+    def __init__(self, make, entries: int):
         super().__init__()
-        self.make, self.old = make, {}
+        self.make, self.entries, self.old = make, entries, {}
 
     def __missing__(self, key):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
         if len(key) < 100:
-            if len(self) >= CACHE_ENTRIES:
+            if len(self) >= self.entries:
                 self.old = dict(self)
                 self.clear()
             self[key] = value
@@ -63,7 +63,7 @@ class _Cache(dict):
 class TextEncoder:
     """Encodes texts to ids, as little-endian unsigned 32-bit integers in bytes."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_entries: int = CACHE_ENTRIES):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -76,7 +76,7 @@ class TextEncoder:
         self.letters = _byte_letters()
         self.space = chr(self.letters[32])
         self.model = self.tokenizer.model
-        self.words = _Cache(self._encode_word)
+        self.words = _Cache(self._encode_word, cache_entries)
 
     @staticmethod
     def _kind(spec: dict) -> str:
@@ -141,8 +141,8 @@ class TextEncoder:
 _encoders: dict[str, TextEncoder] = {}
 
 
-def encoder(path: str) -> TextEncoder:
+def encoder(path: str, cache_entries: int = CACHE_ENTRIES) -> TextEncoder:
     """One encoder per file and worker process."""
     if path not in _encoders:
-        _encoders[path] = TextEncoder(path)
+        _encoders[path] = TextEncoder(path, cache_entries)
     return _encoders[path]

@@ -51,7 +51,7 @@ STRONG = 2.0
 #: About so many labelled rows, chosen by the hash of their ids, are used for the class counts and the curve.
 LABELLED_ROWS = 400_000
 #: Different words a worker counts before it passes their n-grams on, and those whose ratios it remembers.
-WORDS_HELD, RATIOS_HELD = 400_000, 600_000
+WORDS_HELD, RATIOS_HELD = 300_000, 200_000
 #: N-grams and contexts, some 150 bytes each, that a worker may hold to score by. Larger models are joined.
 HELD_ENTRIES = 2_000_000
 #: A batch of texts ends at so many pairs of a text and a word, or so many texts; a batch of words at so many words.

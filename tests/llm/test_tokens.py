@@ -35,13 +35,10 @@ def test_encoder(path):
         assert np.frombuffer(own.encode(text), "<u4").tolist() == other(text), text
 
 
-def test_encoder_of_many_and_its_cache(monkeypatch):
-    from signalbarn.llm import tokens
-
-    monkeypatch.setattr(tokens, "CACHE_ENTRIES", 50)
+def test_encoder_of_many_and_its_cache():
     for path in (BYTES, WORDS):
         other, many = plain(path), [None, *ODD, *texts(200, 2), "", *texts(50, 2)]
-        assert [np.frombuffer(x, "<u4").tolist() for x in TextEncoder(path).encode_many(many)] == [other(t) for t in many]
+        assert [np.frombuffer(x, "<u4").tolist() for x in TextEncoder(path, 50).encode_many(many)] == [other(t) for t in many]
 
 
 def test_file_round_trip(monkeypatch):
@@ -159,7 +156,7 @@ def test_repeated_rows_are_dealt_over_groups(spark):
 
 def test_one_id_with_many_texts_is_split(spark, out):
     docs = spark.createDataFrame([(5, t) for t in texts(400, 9)], "doc_id long, text string")
-    write_token_files(docs, f"{out}/tokens", BYTES, partitions=4)
+    write_token_files(docs, f"{out}/tokens", BYTES, partitions=4, busy_id=100)
     import os
 
     assert len({f[:6] for f in os.listdir(f"{out}/tokens") if f.endswith(".tok")}) == 4
