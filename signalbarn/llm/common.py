@@ -54,3 +54,13 @@ def document_key(doc_id: str = "doc_id", text: str = "text") -> Column:
 def fold(doc_id: str = "doc_id") -> Column:
     """crc32 of the id's decimal digits, modulo 4. A null id has fold 0."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4, F.lit(0)).cast("int")
+
+
+def tidy() -> None:
+    """Gives back what a worker's allocators hold for later. Workers live on from stage to stage, beside an executor's heap."""
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()

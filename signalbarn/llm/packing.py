@@ -20,6 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from signalbarn.llm.common import tidy
 from signalbarn.llm.tokens import encoder
 
 LENGTH = 4096
@@ -95,6 +96,7 @@ def token_rows(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFra
         for batch in batches:
             ids = [x + end for x in own.encode_many(batch["text"].tolist())]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "key": [salted(k) for k in batch["key"].tolist()], "ids": ids})
+        tidy()
 
     keyed = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), "text")
     return keyed.mapInPandas(encode, "doc_id long, key long, ids binary")

@@ -18,7 +18,7 @@ from array import array
 import numpy as np
 
 #: Entries of each generation of a worker's cache; two generations are kept, some 200 bytes an entry.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 150_000
 #: Characters whose classes and lower case are the same in Python's `re` and in the files' patterns.
 _PLAIN = re.compile("[\\x00-\\x1b\\x20-\\x7fÀ-įı-ɏ]*")
 _CONTROL = re.compile("[\x1c-\x1f]")

@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from signalbarn.llm.common import fold, written
+from signalbarn.llm.common import fold, tidy, written
 
 CONTEXT, LOW_CONTEXT = 5, 2
 #: Log ratios of n-grams are summed in whole parts of this size, whose sum is the same in any order.
@@ -51,7 +51,7 @@ STRONG = 2.0
 #: About so many labelled rows, chosen by the hash of their ids, are used for the class counts and the curve.
 LABELLED_ROWS = 400_000
 #: Different words a worker counts before it passes their n-grams on, and those whose ratios it remembers.
-WORDS_HELD, RATIOS_HELD = 300_000, 200_000
+WORDS_HELD, RATIOS_HELD = 200_000, 150_000
 #: N-grams and contexts, some 150 bytes each, that a worker may hold to score by. Larger models are joined.
 HELD_ENTRIES = 2_000_000
 #: A batch of texts ends at so many pairs of a text and a word, or so many texts; a batch of words at so many words.
@@ -136,6 +136,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
                 if sum(map(len, held.values())) > WORDS_HELD:
                     yield frame()
         yield frame()
+        tidy()
 
     counted = docs.select("text", "class").mapInPandas(count, "gram string, in_toxic long, in_ordinary long")
     return counted.groupBy("gram").agg(*(F.sum(c).alias(c) for c in ("in_toxic", "in_ordinary")))
@@ -273,6 +274,8 @@ def text_signs(docs: DataFrame, model: ToxicityModel) -> DataFrame:
                     each = np.fromiter(map(ratios.__getitem__, words), float, len(words))
                     signs[i] = each.mean(), np.maximum(each - STRONG, 0).mean()
             yield pd.DataFrame({"doc_id": batch["doc_id"], "key": batch["key"], "mean": signs[:, 0], "strong": signs[:, 1]})
+        ratios.clear()
+        tidy()
 
     keyed = docs.select("doc_id", F.xxhash64("text").alias("key"), "text")
     return keyed.mapInPandas(score, "doc_id long, key long, mean double, strong double")
