@@ -132,14 +132,22 @@ _LOG = {
 }
 
 
-def spans(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
+def spans_of(events: DataFrame, *extra: str) -> DataFrame:
     """One span per event; `extra` names further event columns to keep."""
-    return _project(events(spark, sf_dir), _SPAN, *extra)
+    return _project(events, _SPAN, *extra)
 
 
-def logs(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
+def logs_of(events: DataFrame, *extra: str) -> DataFrame:
     """One log record per event; `extra` names further event columns to keep."""
-    return _project(events(spark, sf_dir), _LOG, *extra)
+    return _project(events, _LOG, *extra)
+
+
+def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans_of(events(spark, sf_dir))
+
+
+def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return logs_of(events(spark, sf_dir))
 
 
 def log_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1011,7 +1011,7 @@ def slowest_spans(spark, sf_dir):
 @query
 def stream_logs(spark, sf_dir):
     """Into the catalog table, with an attribute promoted on the way."""
-    source = wire.write_log_batches(spark, sf_dir, scratch_dir(spark, "stream-logs-in"))
+    source = wire.write_log_batches(spark, sf_dir, scratch_dir(spark, "stream-logs-in"), compression="none")
     target, state = scratch_dir(spark, "stream-logs-out"), scratch_dir(spark, "stream-logs-state")
     _, names = _database(spark, "stream-db")
     stream_ingest(
@@ -1022,7 +1022,7 @@ def stream_logs(spark, sf_dir):
 
 @query
 def stream_traces(spark, sf_dir):
-    source = wire.write_span_batches(spark, sf_dir, scratch_dir(spark, "stream-traces-in"))
+    source = wire.write_span_batches(spark, sf_dir, scratch_dir(spark, "stream-traces-in"), compression="none")
     target = scratch_dir(spark, "stream-traces-out")
     state = scratch_dir(spark, "stream-traces-state")
     stream_ingest(spark, "traces", source, target, state, max_files=4).awaitTermination()
@@ -1031,7 +1031,7 @@ def stream_traces(spark, sf_dir):
 
 @query
 def stream_metrics(spark, sf_dir):
-    source = wire.write_metric_batches(spark, sf_dir, scratch_dir(spark, "stream-metrics-in"))
+    source = wire.write_metric_batches(spark, sf_dir, scratch_dir(spark, "stream-metrics-in"), compression="none")
     root = scratch_dir(spark, "stream-metrics-out")
     state = scratch_dir(spark, "stream-metrics-state")
     stream_route_metrics(spark, source, root, state, max_files=4).awaitTermination()

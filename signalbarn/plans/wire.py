@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from signalbarn.functions.files import Store
 from signalbarn.plans import inputs
 
 _BATCH = "event_id div 40 AS _batch"
@@ -43,17 +44,36 @@ def _fit(c: str, damaged: bool) -> str:
     return f"CASE WHEN {_UNFIT} THEN {_TOO_LARGE} ELSE {_digits(c)} END" if damaged else _digits(c)
 
 
-#: Lines in a file at most; a line is one nested batch.
-_LINES_PER_FILE = 10_000
+#: Records in a file at most, whatever a line holds, and events in a batch of logs, spans or mixed metrics.
+_RECORDS_PER_FILE, _EVENTS_PER_BATCH = 400_000, 40
+#: Stored bytes of events that one task makes into batches.
+_TASK_BYTES = 4 * 1024 * 1024
 
 
-def _write(lines: DataFrame, path: str, files: int | None = None) -> str:
-    """As many files as tasks, or for tests of small streams a given number."""
+def _write(lines: DataFrame, path: str, files: int | None, per_line: int, compression: str) -> str:
+    """As many files as tasks, or for tests of small streams a given number.
+
+    The text takes ten times the room of its events, so it is compressed, lightly.
+    Streams take a few files at a time; theirs are not, so that tasks can share them.
+    """
     lines = lines.repartition(files) if files else lines
-    lines.write.option("maxRecordsPerFile", _LINES_PER_FILE).text(path)
+    writer = lines.write.option("maxRecordsPerFile", _RECORDS_PER_FILE // per_line)
+    writer.options(**{"compression": compression, "zlib.compress.level": "BEST_SPEED"}).text(path)
     return path
 
 
+def _batched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events with the number of their batch, each batch in one task.
+
+    This is the only shuffle on the way to batches, and of the few columns that
+    records are made of. Records are far wider, so the number of tasks follows
+    the size of the table and not what is shuffled.
+    """
+    size = sum(n for _, n in Store(spark, sf_dir).files(f"{sf_dir}/events.parquet"))
+    tasks = max(spark.sparkContext.defaultParallelism, -(-size // _TASK_BYTES))
+    return inputs.events(spark, sf_dir).selectExpr("*", _BATCH).repartition(tasks, "_batch")
+
+
 def _lines(
     rows: DataFrame,
     record: str,
@@ -63,7 +83,10 @@ def _lines(
     damaged: bool = False,
     together: str = "_records",
 ) -> DataFrame:
-    """Rows to one JSON line per batch; `together` makes the records of one resource from all its rows'."""
+    """Rows to one JSON line per batch; `together` makes the records of one resource from all its rows'.
+
+    Rows of `_batched` are grouped where they are: both groupings keep to their batches.
+    """
     resources, scopes, records = names
     scope = _struct(name="'events'", version="'1'")
     entry = _struct(
@@ -83,9 +106,14 @@ def _lines(
 
 
 def write_log_batches(
-    spark: SparkSession, sf_dir: str, path: str, files: int | None = None, damaged: bool = False
+    spark: SparkSession,
+    sf_dir: str,
+    path: str,
+    files: int | None = None,
+    damaged: bool = False,
+    compression: str = "gzip",
 ) -> str:
-    rows = inputs.logs(spark, sf_dir, _BATCH, "event_id")
+    rows = inputs.logs_of(_batched(spark, sf_dir), "_batch", "event_id")
     record = _struct(
         timeUnixNano=_fit("TimestampNanos", damaged),
         observedTimeUnixNano=_digits("ObservedTimestampNanos"),
@@ -106,13 +134,18 @@ def write_log_batches(
     )
     names = ("resourceLogs", "scopeLogs", "logRecords")
     lines = _lines(rows, record, resource, names, ["ServiceName", "ServiceVersion"], damaged)
-    return _write(lines, path, files)
+    return _write(lines, path, files, _EVENTS_PER_BATCH, compression)
 
 
 def write_span_batches(
-    spark: SparkSession, sf_dir: str, path: str, files: int | None = None, damaged: bool = False
+    spark: SparkSession,
+    sf_dir: str,
+    path: str,
+    files: int | None = None,
+    damaged: bool = False,
+    compression: str = "gzip",
 ) -> str:
-    rows = inputs.spans(spark, sf_dir, _BATCH, "event_id")
+    rows = inputs.spans_of(_batched(spark, sf_dir), "_batch", "event_id")
     event = _struct(
         timeUnixNano=_digits("e.TimestampNanos"),
         name="e.Name",
@@ -137,7 +170,8 @@ def write_span_batches(
     )
     resource = _attrs(_kv("service.name", "stringValue", "ServiceName"))
     names = ("resourceSpans", "scopeSpans", "spans")
-    return _write(_lines(rows, record, resource, names, ["ServiceName"], damaged), path, files)
+    lines = _lines(rows, record, resource, names, ["ServiceName"], damaged)
+    return _write(lines, path, files, _EVENTS_PER_BATCH, compression)
 
 
 # ---------------------------------------------------------------- metrics
@@ -169,7 +203,9 @@ def _metric_lines(rows: DataFrame, wire: str, body: str) -> DataFrame:
     return rows.selectExpr(f"to_json(named_struct('resourceMetrics', array({entry}))) AS value")
 
 
-def write_metric_batches(spark: SparkSession, sf_dir: str, path: str, files: int | None = None) -> str:
+def write_metric_batches(
+    spark: SparkSession, sf_dir: str, path: str, files: int | None = None, compression: str = "gzip"
+) -> str:
     exemplar = _struct(
         timeUnixNano=_digits("x.TimeUnixNanos"),
         asDouble="x.Value",
@@ -236,18 +272,23 @@ def write_metric_batches(spark: SparkSession, sf_dir: str, path: str, files: int
     for wire, (source, body) in bodies.items():
         part = _metric_lines(source(spark, sf_dir), wire, _struct(**body))
         lines = part if lines is None else lines.unionByName(part)
-    return _write(lines, path, files)
+    return _write(lines, path, files, 1, compression)
 
 
 def write_mixed_metric_batches(
-    spark: SparkSession, sf_dir: str, path: str, files: int | None = None, damaged: bool = False
+    spark: SparkSession,
+    sf_dir: str,
+    path: str,
+    files: int | None = None,
+    damaged: bool = False,
+    compression: str = "gzip",
 ) -> str:
     """Batches whose resources hold a gauge, a sum and a histogram with a point per event.
 
     With `damaged`, unfit sums hold integers beyond 64 bits, and every
     thirteenth histogram has as many buckets as bounds.
     """
-    rows = inputs.events(spark, sf_dir).selectExpr("*", _BATCH)
+    rows = _batched(spark, sf_dir)
     times = {"startTimeUnixNano": _digits("nanos"), "timeUnixNano": _digits("nanos")}
     exemplar = _struct(timeUnixNano=_digits("nanos"), asDouble="CAST(cents AS DOUBLE)")
     short = "event_id % 13 = 5" if damaged else "false"
@@ -275,4 +316,4 @@ def write_mixed_metric_batches(
     resource = _attrs(_kv("service.name", "stringValue", "svc"))
     names = ("resourceMetrics", "scopeMetrics", "metrics")
     lines = _lines(rows, record, resource, names, ["svc"], damaged, f"array({metrics})")
-    return _write(lines, path, files)
+    return _write(lines, path, files, _EVENTS_PER_BATCH, compression)

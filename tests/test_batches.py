@@ -1,13 +1,18 @@
 """Nested batches: flattening, value kinds, rejects, counts."""
 
 import json
+import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from signalbarn.operators import rows as R
+from signalbarn.plans import inputs, wire
 from signalbarn.sources import batches as B
 from signalbarn.sources import tables as S
 
+from .conftest import plan_text
+
 TRACE, SPAN = "0af7651916cd43dd8448eb211c80319c", "b7ad6b7169203331"
 BIG = str(2**63 + 5)
 
@@ -349,3 +354,43 @@ def test_bad_points_are_rejected(spark, tmp_path):
     records = B.read_otlp_metrics(spark, path)
     assert R.to_sum_rows(records).count() == 0
     assert R.point_rejects(records).count() == 2
+
+
+# ---------------------------------------------------------------- batches made from events
+
+
+def own_events(spark, out, n):
+    """A folder with `n` events of our own, in one file."""
+    rows = spark.range(n).selectExpr(
+        "id AS event_id",
+        "CAST(TIMESTAMP'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, id) AS TIMESTAMP_NTZ) AS ts",
+        "id % 50 AS user_id",
+        "element_at(array('view', 'click', 'error'), CAST(id % 3 AS INT) + 1) AS event_type",
+        "CAST(id % 900 AS DOUBLE) / 4 AS value",
+        "concat('{\"k\": ', id % 100, '}') AS props",
+    )
+    rows.coalesce(1).write.parquet(f"{out}/sf/events.parquet")
+    return f"{out}/sf"
+
+
+@pytest.mark.parametrize("signal", ["logs", "traces", "metrics"])
+def test_batches_are_made_with_one_narrow_shuffle_and_compressed(spark, out, signal):
+    """Batches are ten times as large as their events: they are neither shuffled nor stored as they are."""
+    source = own_events(spark, out, 2_000)
+    write = {
+        "logs": wire.write_log_batches,
+        "traces": wire.write_span_batches,
+        "metrics": wire.write_mixed_metric_batches,
+    }[signal]
+    path = write(spark, source, f"{out}/in")
+    stored = sum(os.path.getsize(f"{path}/{f}") for f in os.listdir(path) if not f.startswith((".", "_")))
+    text = spark.read.text(path)
+    assert text.agg(F.sum(F.length("value"))).first()[0] > 4 * stored
+    assert text.count() == 50
+
+    rows = inputs.logs_of(wire._batched(spark, source), "_batch", "event_id")
+    lines = wire._lines(rows, "named_struct('body', Body)", "array()", ("a", "b", "c"), ["ServiceName"])
+    plan = plan_text(lines)
+    assert plan.count("Exchange hashpartitioning") == 1
+    shuffled = plan[plan.index("Exchange hashpartitioning") :]
+    assert "Body" not in shuffled and "ServiceName" not in shuffled
