@@ -394,3 +394,12 @@ def test_batches_are_made_with_one_narrow_shuffle_and_compressed(spark, out, sig
     assert plan.count("Exchange hashpartitioning") == 1
     shuffled = plan[plan.index("Exchange hashpartitioning") :]
     assert "Body" not in shuffled and "ServiceName" not in shuffled
+
+
+def test_files_of_points_hold_as_many_records_as_files_of_logs(spark, out):
+    """Streams take so many files at a time, so small files make many micro-batches, each with its own jobs."""
+    source = own_events(spark, out, 15_000)
+    path = wire.write_metric_batches(spark, source, f"{out}/in", compression="none")
+    sizes = spark.read.text(path).groupBy(F.input_file_name()).count().collect()
+    assert sum(n == 15_000 for _, n in sizes) == 2  # gauges and sums, a file each
+    assert all(f.endswith(".txt") for f in os.listdir(path) if not f.startswith((".", "_")))  # tasks can share a file
