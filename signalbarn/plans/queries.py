@@ -9,11 +9,13 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signalbarn.functions.columns import attr, has_attr_key, has_attr_value, promoted_name
+from signalbarn.functions.jobs import run_together
 from signalbarn.operators import histograms as H
 from signalbarn.operators import logs as L
 from signalbarn.operators import metrics as M
@@ -212,11 +214,18 @@ _MEASURES = {"logs": "SeverityNumber", "traces": "Duration", "gauge": "Value", "
 @query
 def ingest_rejects(spark, sf_dir):
     """Damaged batches of all signals, ingested once: what was stored and what was rejected, counted from the files."""
-    out = None
-    for signal, write in _BATCH_WRITERS.items():
-        source = write(spark, sf_dir, scratch_dir(spark, f"damaged-{signal}"), damaged=True)
+    done = {}
+
+    def store(signal: str) -> None:
+        source = _BATCH_WRITERS[signal](spark, sf_dir, scratch_dir(spark, f"damaged-{signal}"), damaged=True)
         target = scratch_dir(spark, f"ingested-{signal}")
-        counts = ingest(spark, signal, source, target)
+        done[signal] = target, ingest(spark, signal, source, target)
+
+    # one signal's last tasks leave cores to the others
+    run_together(spark, [partial(store, signal) for signal in _BATCH_WRITERS])
+    out = None
+    for signal in _BATCH_WRITERS:
+        target, counts = done[signal]
         parts = [
             S.read_table(spark, table, S.metric_path(target, table)).agg(
                 F.lit(outcome).alias("outcome"),

@@ -2,12 +2,13 @@
 
 import json
 import os
+import threading
 
 import pytest
 from pyspark.sql import functions as F
 
 from signalbarn.operators import rows as R
-from signalbarn.plans import inputs, wire
+from signalbarn.plans import inputs, queries, wire
 from signalbarn.sources import batches as B
 from signalbarn.sources import tables as S
 
@@ -403,3 +404,13 @@ def test_files_of_points_hold_as_many_records_as_files_of_logs(spark, out):
     sizes = spark.read.text(path).groupBy(F.input_file_name()).count().collect()
     assert sum(n == 15_000 for _, n in sizes) == 2  # gauges and sums, a file each
     assert all(f.endswith(".txt") for f in os.listdir(path) if not f.startswith((".", "_")))  # tasks can share a file
+
+
+def test_signals_are_ingested_together(spark, out, monkeypatch):
+    """Each signal waits until all three are at their ingest; one after the other, the first would give up."""
+    source, all_here = own_events(spark, out, 400), threading.Barrier(3, timeout=120)
+    real = queries.ingest
+    monkeypatch.setattr(queries, "ingest", lambda *args: (all_here.wait(), real(*args))[1])
+    rows = queries.QUERIES["ingest_rejects"](spark, source).collect()
+    assert {r["signal"] for r in rows} == {"logs", "traces", "metrics"}
+    assert {r["table_name"] for r in rows} == {"logs", "traces", "gauge", "sum", "histogram", "none"}
